@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folioflow.llm import sharding
+from folioflow.llm import decontamination, mixing, sharding
 from folioflow.session import table
 
 
@@ -14,9 +14,17 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.numbered_shards(table(spark, sf_dir, "documents"), shards=16)
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.digest(decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
+
+
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_sharding,)}
+    return {f.__name__: f for f in (op2_sharding, op9_decontamination, op10_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op9_decontamination": decontamination.ORACLE}
