@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folioflow.llm import decontamination, mixing, sharding
+from folioflow.llm import decontamination, mixing, near_dup, sharding
 from folioflow.session import table
 
 
@@ -14,6 +14,10 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.numbered_shards(table(spark, sf_dir, "documents"), shards=16)
 
 
+def op5_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.digest(decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
@@ -23,7 +27,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_sharding, op9_decontamination, op10_mixing)}
+    return {f.__name__: f for f in (op2_sharding, op5_near_dup, op9_decontamination, op10_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
