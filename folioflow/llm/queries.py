@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from folioflow.llm import decontamination, mixing, near_dup, sharding
+from folioflow.llm import decontamination, language, mixing, near_dup, quality, sharding, token_counts
 from folioflow.session import table
 
 
@@ -14,10 +16,24 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.numbered_shards(table(spark, sf_dir, "documents"), shards=16)
 
 
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = language.identify(docs.select("doc_id", "text"), language.train(docs))
+    return found.select("doc_id", language.held_out().alias("held_out"), F.col("lang_best").alias("lang_pred"), "score", (F.col("lang") != F.col("lang_best")).alias("rejected"))
+
+
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op5_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.assess(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.digest(decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
@@ -27,7 +43,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_sharding, op5_near_dup, op9_decontamination, op10_mixing)}
+    return {f.__name__: f for f in (op2_sharding, op3_language, op4_token_counts, op5_near_dup, op7_quality, op9_decontamination, op10_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
