@@ -8,10 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioflow.llm import decontamination, language, mixing, near_dup, quality, sharding, token_counts
+from folioflow.llm import chat, decontamination, embedding_dup, language, line_dedup, mixing, near_dup, quality, sharding, token_counts
 from folioflow.session import table
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_report(table(spark, sf_dir, "documents"))
+
+
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.numbered_shards(table(spark, sf_dir, "documents"), shards=16)
 
@@ -30,10 +34,21 @@ def op5_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"))
+    return chat.digest(chat.format_conversations(chat.text_parts(rows.unionByName(extra))))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.assess(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_embedding_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.digest(decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
@@ -43,8 +58,8 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_sharding, op3_language, op4_token_counts, op5_near_dup, op7_quality, op9_decontamination, op10_mixing)}
+    return {f.__name__: f for f in (op1_line_dedup, op2_sharding, op3_language, op4_token_counts, op5_near_dup, op6_chat, op7_quality, op8_embedding_dup, op9_decontamination, op10_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_decontamination": decontamination.ORACLE}
+    return {"op6_chat": chat.ORACLE, "op8_embedding_dup": embedding_dup.ORACLE, "op9_decontamination": decontamination.ORACLE}
