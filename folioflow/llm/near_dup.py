@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -14,11 +15,17 @@ from folioflow.llm.common import Scratch, components
 
 WORDS = 5
 ROWS, BANDS = 4, 28
+#: Minima in all: those of the bands and more for a sharper estimate.
+MINIMA = 256
 #: Signatures keep two low bits of each minimum, as two bit planes of 64-bit words.
 BITS = 2
-PLANE_WORDS = -(-ROWS * BANDS // 64)
+PLANE_WORDS = -(-MINIMA // 64)
 #: Pairs estimated this far under the threshold are not confirmed: five standard deviations at a similarity of 0.75.
-MARGIN = 0.25
+MARGIN = 0.17
+#: Rounds of comparing a bucket's members with one of them before the members of unlike components meet.
+STAR_ROUNDS = 3
+#: Buckets with more pairs to compare across components than this are compared in blocks of about BLOCK x BLOCK.
+FEW_PAIRS, BLOCK = 1024, 512
 SIGNATURE = "doc_id long, n_shingles long, cls binary, bands array<long>, planes array<long>"
 _P = np.uint64(0x9E3779B97F4A7C15)
 _Q = np.uint64(0xC2B2AE3D27D4EB4F)
@@ -44,18 +51,18 @@ def shingles(text: str | None, width: int = WORDS) -> np.ndarray:
 
 def _hash_family(seed: int = 5) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     rng = np.random.default_rng(seed)
-    low, high, plus = (rng.integers(0, 2**32, (ROWS * BANDS, 1), np.uint32) for _ in range(3))
+    low, high, plus = (rng.integers(0, 2**32, (MINIMA, 1), np.uint32) for _ in range(3))
     return low | np.uint32(1), high | np.uint32(1), plus
 
 
 _FAMILY = _hash_family()
 
 
-def minima(hashes: np.ndarray, step: int = 1024) -> np.ndarray:
+def minima(hashes: np.ndarray, step: int = 512) -> np.ndarray:
     """The minimum of each hash function of the family over the shingles."""
     a, c, b = _FAMILY
     low, high = hashes.astype(np.uint32), (hashes >> np.uint64(32)).astype(np.uint32)
-    best = np.full(ROWS * BANDS, 2**32 - 1, np.uint32)
+    best = np.full(MINIMA, 2**32 - 1, np.uint32)
     for i in range(0, len(hashes), step):
         v = a * low[i : i + step]
         v += c * high[i : i + step]
@@ -67,7 +74,7 @@ def minima(hashes: np.ndarray, step: int = 1024) -> np.ndarray:
 def _bands(best: np.ndarray) -> np.ndarray:
     """One 64-bit key of each band's minima and number."""
     key = np.arange(BANDS, dtype=np.uint64) * _Q + np.uint64(1)
-    for column in best.reshape(BANDS, ROWS).T.astype(np.uint64):
+    for column in best[: ROWS * BANDS].reshape(BANDS, ROWS).T.astype(np.uint64):
         key = (key ^ column) * _P
         key ^= key >> np.uint64(31)
     return key.view(np.int64)
@@ -120,7 +127,7 @@ def estimate(a: Column, b: Column) -> Column:
             unlike = x if unlike is None else unlike.bitwiseOR(x)
         apart = F.bit_count(unlike) if apart is None else apart + F.bit_count(unlike)
     chance = 1.0 / 2**BITS
-    return ((1.0 - apart / float(ROWS * BANDS)) - chance) / (1.0 - chance)
+    return ((1.0 - apart / float(MINIMA)) - chance) / (1.0 - chance)
 
 
 def _sizes_fit(a: Column, b: Column, percent: int) -> Column:
@@ -128,12 +135,17 @@ def _sizes_fit(a: Column, b: Column, percent: int) -> Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
+def _sets_of(own: Scratch, docs: DataFrame, needed: DataFrame) -> DataFrame:
+    """The full shingle sets (cls, grams) of the needed classes (cls, id)."""
+    texts = docs.select("doc_id", "text").join(needed.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi").select("text")
+    sets = texts.mapInArrow(_sets, "cls binary, grams array<long>").join(needed.select("cls"), "cls", "left_semi")
+    return own.table(sets.groupBy("cls").agg(F.first("grams").alias("grams")))
+
+
 def _confirm(own: Scratch, docs: DataFrame, classes: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of classes whose full shingle sets reach the threshold."""
     needed = own.table(pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct().join(classes.select("cls", "id"), "cls"))
-    texts = docs.select("doc_id", "text").join(needed.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi").select("text")
-    sets = texts.mapInArrow(_sets, "cls binary, grams array<long>").join(needed.select("cls"), "cls", "left_semi")
-    sets = own.table(sets.groupBy("cls").agg(F.first("grams").alias("grams")))
+    sets = _sets_of(own, docs, needed)
     half = pairs.join(sets.select(F.col("cls").alias("b"), F.col("grams").alias("gb")), "b")
     both = half.join(sets.select(F.col("cls").alias("a"), F.col("grams").alias("ga")), "a")
     common = both.select("a", "b", F.size(F.array_intersect("ga", "gb")).alias("both"), (F.size("ga") + F.size("gb")).alias("sum"))
@@ -142,6 +154,45 @@ def _confirm(own: Scratch, docs: DataFrame, classes: DataFrame, pairs: DataFrame
     return links
 
 
+def _compare(percent: int):
+    def compare(asking: pd.DataFrame, others: pd.DataFrame) -> pd.DataFrame:
+        """For each asking class and component among the others, one link at the threshold if there is any."""
+        a, b = [], []
+        if len(asking) and len(others):
+            size = others["grams"].map(len).to_numpy()
+            owner, grams = np.repeat(np.arange(len(others)), size), np.concatenate(others["grams"].to_list())
+            component = others["component"].to_numpy()
+            for cls, own, mine in zip(asking["cls"], asking["component"], asking["grams"], strict=True):
+                mine = np.sort(mine)  # the sets are in unsigned order
+                at = np.minimum(np.searchsorted(mine, grams), len(mine) - 1)
+                both = np.bincount(owner[mine[at] == grams], minlength=len(others))
+                hit = np.flatnonzero(both * 100 >= (size + len(mine) - both) * percent)
+                for k in {component[i]: i for i in hit if component[i] != own}.values():
+                    a.append(cls)
+                    b.append(others["cls"].iloc[k])
+        return pd.DataFrame({"a": a, "b": b})
+
+    return compare
+
+
+def _across_blocks(own: Scratch, docs: DataFrame, classes: DataFrame, shaped: DataFrame, percent: int) -> DataFrame:
+    """Links across components in large buckets: the members outside a bucket's main component ask all its members,
+    in blocks of about BLOCK by BLOCK, and only links come back."""
+    needed = own.table(shaped.select("cls").distinct().join(classes.select("cls", "id"), "cls"))
+    sets = _sets_of(own, docs, needed)
+    blocks = lambda c: F.ceil(F.col(c) / F.lit(BLOCK)).cast("int")
+    dealt = lambda c: F.pmod(F.xxhash64(F.lit(c), "cls"), blocks(c)).cast("int")
+    every = lambda c: F.explode(F.sequence(F.lit(0), blocks(c) - 1))
+    asking = shaped.filter("component <> main").select("band", "cls", "component", dealt("odd").alias("bx"), every("k").alias("by")).join(sets, "cls")
+    asking = own.table(asking)
+    others = shaped.select("band", "cls", "component", every("odd").alias("bx"), dealt("k").alias("by")).join(sets, "cls")
+    others = own.table(others)
+    by = ("band", "bx", "by")
+    links = own.table(asking.groupBy(*by).cogroup(others.groupBy(*by)).applyInPandas(_compare(percent), "a binary, b binary"))
+    own.drop(needed, sets, asking, others)
+    return links
+
+
 def near_duplicates(docs: DataFrame, percent: int = 75, scratch: Scratch | None = None) -> DataFrame:
     """Groups of documents (doc_id, text) linked by a shingle similarity of ``percent`` in 100 or more.
 
@@ -151,11 +202,11 @@ def near_duplicates(docs: DataFrame, percent: int = 75, scratch: Scratch | None
     sets, and their groups are one. Only doc_id and text are read. An empty table gives an empty result.
 
     Documents with equal sets form a class, found by a grouping with map-side reduction, and go on as one. Class pairs
-    come from bands of minima in two rounds, so that no bucket is paired in full: first every member of a bucket with
-    the bucket's head; then, where the links so confirmed leave a bucket in several components, its members across
-    components, of which only those pass the join whose packed signatures are near. A pair inside one component is
-    never looked at, since it changes no component. Each round's candidates are confirmed on their full sets. A pair at
-    the threshold shares no band with a chance of 2.4e-5, and is estimated too low with one of 3e-7.
+    come from bands of minima, and no bucket is paired in full: in STAR_ROUNDS rounds the members of a bucket meet one
+    of them, another in each round, and only buckets that the links so confirmed leave in several components go on;
+    then the members that are left meet across components: in small buckets by a join that only pairs with near packed
+    signatures pass, in large ones block by block, where only links leave a task. A pair inside one component is never looked at, since it changes none. Candidates are confirmed on their full
+    sets. A pair at the threshold shares no band with a chance of 2.4e-5, and is estimated too low with one of 3e-7.
     """
     own = scratch or Scratch(docs.sparkSession, "near-dup")
     signed = own.table(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_sign, SIGNATURE))
@@ -163,28 +214,39 @@ def near_duplicates(docs: DataFrame, percent: int = 75, scratch: Scratch | None
     classes = own.table(sets.groupBy("cls").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("planes").alias("planes")))
 
     postings = classes.select(F.explode("bands").alias("band"), "cls")
-    heads = postings.groupBy("band").agg(F.min("cls").alias("head"), F.count(F.lit(1)).alias("members")).filter("members > 1").select("band", "head")
-    members = own.table(postings.join(heads, "band"))
+    full = postings.groupBy("band").agg(F.count(F.lit(1)).alias("members")).filter("members > 1").select("band")
+    members = own.table(postings.join(full, "band"))
     sketches = classes.select("cls", "n", "planes")
-    near = (100 - percent) / 100.0 + MARGIN
-
-    pairs = members.filter("cls <> head").select(F.col("head").alias("a"), F.col("cls").alias("b")).distinct()
+    least = 1.0 - ((100 - percent) / 100.0 + MARGIN)
+    near = lambda na, nb, pa, pb: _sizes_fit(F.col(na), F.col(nb), percent) & (estimate(F.col(pa), F.col(pb)) >= least)
     sketch = lambda c: sketches.select(F.col("cls").alias(c), F.col("n").alias(f"n{c}"), F.col("planes").alias(f"p{c}"))
-    likely = pairs.join(sketch("b"), "b").join(sketch("a"), "a").filter(_sizes_fit(F.col("na"), F.col("nb"), percent) & (estimate(F.col("pa"), F.col("pb")) >= 1.0 - near))
-    likely = own.table(likely.select("a", "b"))
-    links = _confirm(own, docs, classes, likely, percent)
-
-    first = components(own, links)
-    labelled = members.select("band", "cls").join(first.withColumnRenamed("id", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
-    labelled = own.table(labelled)
-    split = labelled.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("band")
-    open_ = own.table(labelled.join(split, "band").join(sketches, "cls"))
-    x, y = open_.alias("x"), open_.alias("y")
-    across = (F.col("x.band") == F.col("y.band")) & (F.col("x.component") < F.col("y.component")) & _sizes_fit(F.col("x.n"), F.col("y.n"), percent) & (estimate(F.col("x.planes"), F.col("y.planes")) >= 1.0 - near)
-    more = x.join(y, across).select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b")).distinct()
-    seen = likely.union(likely.select("b", "a"))
+
+    open_, links, seen = members.withColumn("component", F.col("cls")), None, None
+    for turn in range(STAR_ROUNDS):
+        heads = open_.groupBy("band").agg(F.min(F.struct(F.xxhash64(F.lit(turn), "band", "cls").alias("by"), F.col("cls").alias("a"), F.col("component").alias("at"))).alias("head")).select("band", "head.a", "head.at")
+        pairs = open_.join(heads, "band").filter("component <> at").select(F.least("a", "cls").alias("a"), F.greatest("a", "cls").alias("b")).distinct()
+        if seen is not None:
+            pairs = pairs.join(seen, ["a", "b"], "left_anti")
+        likely = own.table(pairs.join(sketch("b"), "b").join(sketch("a"), "a").filter(near("na", "nb", "pa", "pb")).select("a", "b"))
+        found = _confirm(own, docs, classes, likely, percent)
+        links, seen = (found, likely) if turn == 0 else (links.union(found), seen.union(likely))
+        groups = components(own, links)
+        labelled = open_.select("band", "cls").join(groups.withColumnRenamed("id", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
+        labelled = own.table(labelled)
+        split = labelled.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("band")
+        open_ = own.table(labelled.join(split, "band"))
+        own.drop(labelled)
+
+    parts = open_.groupBy("band", "component").agg(F.count(F.lit(1)).alias("rows"))
+    shape = parts.groupBy("band").agg(F.max(F.struct("rows", "component")).alias("most"), F.sum("rows").alias("k")).select("band", F.col("most.component").alias("main"), "k", (F.col("k") - F.col("most.rows")).alias("odd"))
+    shaped = own.table(open_.join(shape, "band"))
+    few = F.col("k") * F.col("odd") <= FEW_PAIRS
+    small = shaped.filter(few).join(sketches, "cls")
+    x, y = small.alias("x"), small.alias("y")
+    across = (F.col("x.band") == F.col("y.band")) & (F.col("x.component") < F.col("y.component")) & near("x.n", "y.n", "x.planes", "y.planes")
+    more = x.join(y, across).select(F.least("x.cls", "y.cls").alias("a"), F.greatest("x.cls", "y.cls").alias("b")).distinct()
     more = own.table(more.join(seen, ["a", "b"], "left_anti"))
-    links = links.union(_confirm(own, docs, classes, more, percent))
+    links = links.union(_confirm(own, docs, classes, more, percent)).union(_across_blocks(own, docs, classes, shaped.filter(~few), percent))
 
     # Classes of one doc_id belong together whatever their sets are.
     ids = sets.select("doc_id", "cls").distinct()

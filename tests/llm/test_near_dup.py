@@ -1,6 +1,10 @@
 import random
 import re
 
+import numpy as np
+import pandas as pd
+
+from folioflow.llm import near_dup
 from folioflow.llm.near_dup import keep_one, near_duplicates, shingles
 
 
@@ -58,6 +62,26 @@ def test_matches_brute_force(spark):
     assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [r[0] for r in brute(rows) if r[3]]
 
 
+def test_large_buckets_go_by_blocks(spark, monkeypatch):
+    monkeypatch.setattr(near_dup, "FEW_PAIRS", 0)
+    monkeypatch.setattr(near_dup, "BLOCK", 3)
+    monkeypatch.setattr(near_dup, "STAR_ROUNDS", 1)
+    rows = corpus()
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(tuple(r) for r in near_duplicates(docs).collect()) == brute(rows)
+
+
+def test_block_comparison():
+    rng = random.Random(5)
+    texts = [" ".join(rng.choice("ab") + str(k) for k in range(40)) for _ in range(60)]
+    sets = [shingles(t).view(np.int64) for t in texts]
+    block = pd.DataFrame({"cls": [bytes([i]) for i in range(60)], "component": [bytes([i]) for i in range(60)], "grams": sets})
+    for percent in (2, 10, 75):
+        got = {(a[0], b[0]) for a, b in near_dup._compare(percent)(block, block).itertuples(index=False)}
+        s = [set(x.tolist()) for x in sets]
+        assert got == {(i, j) for i in range(60) for j in range(60) if i != j and 100 * len(s[i] & s[j]) >= percent * len(s[i] | s[j])}
+
+
 def test_repeated_and_null_ids(spark):
     rows = [(1, "a b c d e f g"), (1, "a b c d e f g"), (2, "a b c d e f g"), (3, "q r s t u v"), (1, "q r s t u v"), (None, "a b c d e f g"), (9, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
