@@ -75,22 +75,30 @@ def space_words(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), "[\\x20\\x09-\\x0D]+"), "")
 
 
+#: Edges up to which the vertex tables of connected components are broadcast; about 10 MB.
+BROADCAST_EDGES = 200_000
+
+
 def components(scratch: Scratch, edges: DataFrame) -> DataFrame:
     """Connected components of the undirected ``edges`` (a, b): rows (id, component), component being the smallest id.
 
     Every vertex takes the smallest label of its neighbours and then the label of that label (pointer jumping), so a
-    star ends after two rounds and a path of n vertices after about log n. Each round is a join and a grouping with
-    map-side minimum, written to the shared folder; a hot centre is one key of a join that adaptive execution splits.
+    star ends after two rounds and a path of n vertices after about log n. Each round is a grouping with map-side
+    minimum and two joins, written to the shared folder; a hot centre is one key of a join that adaptive execution
+    splits. Up to BROADCAST_EDGES edges, counted first, the joins broadcast their vertex tables, which hold no more
+    than two rows an edge; the steps are the same.
     """
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).filter("a <> b")
     links = scratch.table(both.distinct())
+    small = links.count() <= 2 * BROADCAST_EDGES
+    sent = F.broadcast if small else lambda df: df
     labels = scratch.table(links.groupBy(F.col("a").alias("id")).agg(F.least(F.col("a"), F.min("b")).alias("component")))
     while True:
-        near = links.join(labels, links.b == labels.id).groupBy("a").agg(F.min("component").alias("near"))
-        step = labels.join(near, labels.id == near.a, "left").select("id", F.least("component", F.coalesce("near", "component")).alias("hop"), F.col("component").alias("was"))
+        near = links.join(sent(labels), links.b == labels.id).groupBy("a").agg(F.min("component").alias("near"))
+        step = labels.join(sent(near), labels.id == near.a, "left").select("id", F.least("component", F.coalesce("near", "component")).alias("hop"), F.col("component").alias("was"))
         step = scratch.table(step)
         target = step.select(F.col("id").alias("t"), F.col("hop").alias("far"))
-        new = scratch.table(step.join(target, step.hop == target.t, "left").select("id", F.least("hop", F.coalesce("far", "hop")).alias("component"), "was"))
+        new = scratch.table(step.join(sent(target), step.hop == target.t, "left").select("id", F.least("hop", F.coalesce("far", "hop")).alias("component"), "was"))
         scratch.drop(labels, step)
         changed = new.filter("component <> was").limit(1).count()
         labels = new.select("id", "component")
