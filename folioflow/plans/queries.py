@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioflow.operators import analytics, browse, incremental, joins, quality, repair, runs, upsert
+from folioflow.functions.text import clean_lines
+from folioflow.operators import analytics, browse, extract, incremental, joins, quality, repair, runs, search, upsert
 from folioflow.plans.model import SQL, Model, as_of, wall
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -648,3 +649,104 @@ def purge_test_keys(m: Model) -> DataFrame:
 @query(f"{_BAD} SELECT count(*) AS documents, count(*) FILTER (WHERE doc_id % 7 = 5) AS shells, count(*) FILTER (WHERE contains(url, ' ') OR contains(url, ',')) AS bad_urls, (SELECT count(*) FROM some_versions) AS versions, (SELECT count(*) FROM keys) AS keys FROM bad")
 def repair_summary(m: Model) -> DataFrame:
     return repair.repair_summary(m.bad_urls, m.some_versions, m.keys)
+
+
+# --- search
+
+_TOK = """, words AS (SELECT DISTINCT id AS doc, unnest(regexp_extract_all(lower(title || ' ' || citation), '[\\p{L}\\p{N}]+')) AS term FROM docs),
+  texts AS (SELECT DISTINCT document_id AS doc, unnest(regexp_extract_all(lower(content_text), '[\\p{L}\\p{N}]+')) AS term FROM versions WHERE is_latest AND content_text <> '')"""
+
+
+def _all(table: str, *terms: str) -> str:
+    return f"SELECT doc FROM {table} WHERE term IN ({', '.join(repr(t) for t in terms)}) GROUP BY doc HAVING count(*) = {len(terms)}"
+
+
+@query(f"{_TOK} SELECT term, doc, count(*) AS holders FROM words GROUP BY term, doc")
+def title_index(m: Model) -> DataFrame:
+    return search.build_title_index(m.docs).select("term", "doc").distinct().withColumn("holders", F.lit(1).cast("long"))
+
+
+@query(", t AS (SELECT document_id AS doc, unnest(regexp_extract_all(lower(content_text), '[\\\\p{L}\\\\p{N}]+')) AS term FROM versions WHERE is_latest AND content_text <> '') SELECT term, count(DISTINCT doc) AS documents, count(*) AS occurrences FROM t GROUP BY term".replace("\\\\", "\\"))
+def content_index(m: Model) -> DataFrame:
+    index = search.build_content_index(m.versions)
+    return index.groupBy("term").agg(F.count(F.lit(1)).alias("documents"), F.sum(F.size("positions")).alias("occurrences"))
+
+
+@query(f"{_TOK} {_all('words', 'the', 'src1')}")
+def title_match(m: Model) -> DataFrame:
+    return search.match(search.build_title_index(m.docs), search.parse_query("The SRC1"))
+
+
+@query(f"{_TOK} {_all('texts', 'the', 'of', 'amended')}")
+def content_match(m: Model) -> DataFrame:
+    return search.match(search.build_content_index(m.versions), search.parse_query("the OF amended"))
+
+
+@query(f"{_TOK}, f AS ({_all('words', 'the', 'that')} UNION {_all('texts', 'the', 'that')}) SELECT doc, (SELECT count(*) FROM f) AS total FROM f")
+def search_matches(m: Model) -> DataFrame:
+    found = search.matches(search.build_title_index(m.docs), search.build_content_index(m.versions), search.parse_query("the that"))
+    return found.join(found.agg(F.count(F.lit(1)).alias("total")))
+
+
+@query()
+def search_page(m: Model) -> DataFrame:
+    rows, facts = search.search(m.docs, m.versions, search.build_title_index(m.docs), search.build_content_index(m.versions), "the and", per_page=20, document_type="regulation")
+    return rows.join(facts)
+
+
+@query()
+def search_english(m: Model) -> DataFrame:
+    rows, facts = search.search(m.docs, m.versions, search.build_title_index(m.docs, "english"), search.build_content_index(m.versions, "english"), "amended the", per_page=20, analyzer="english")
+    return rows.join(facts)
+
+
+@query(f"""{_TOK}, q AS (SELECT item_id AS query_id, unnest(list_distinct(list_slice(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+'), 1, 3))) AS term FROM benchmark), n AS (SELECT query_id, count(*) AS n FROM q GROUP BY query_id),
+  h AS (SELECT query_id, doc, count(*) AS n FROM q JOIN texts ON q.term = texts.term GROUP BY query_id, doc) SELECT h.query_id, doc FROM h JOIN n ON h.query_id = n.query_id AND h.n = n.n""")
+def search_many(m: Model) -> DataFrame:
+    queries = m.raw("benchmark").select(F.col("item_id").alias("query_id"), F.array_join(F.slice(search.tokens(F.col("text")), 1, 3), " ").alias("text"))
+    return search.search_many(search.build_content_index(m.versions), queries)
+
+
+# --- extraction
+
+
+@query(r"SELECT url, trim(regexp_replace(regexp_replace(html, '<[^>]+>', ' ', 'g'), '\s+', ' ', 'g')) AS content_text FROM pages", prefix=False)
+def strip_pages(m: Model) -> DataFrame:
+    return extract.strip_pages(m.raw("pages"))
+
+
+@query("SELECT url, array_to_string(list_filter(list_transform(string_split(html, chr(10)), lambda x: trim(x, chr(32) || chr(9) || chr(13))), lambda x: x <> ''), chr(10)) AS content_text FROM pages", prefix=False)
+def clean_page_lines(m: Model) -> DataFrame:
+    return m.raw("pages").select("url", clean_lines(F.col("html")).alias("content_text"))
+
+
+@query()
+def extract_pages(m: Model) -> DataFrame:
+    return extract.extract_pages(m.raw("pages").withColumn("profile", F.lit("any")))
+
+
+@query(r"SELECT url, trim(regexp_replace(regexp_replace(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '<[^>]+>', ' ', 'g'), '\s+', ' ', 'g')) AS title FROM pages", prefix=False)
+def extract_title(m: Model) -> DataFrame:
+    return extract.extract_title(m.raw("pages")).select("url", "title")
+
+
+@query("SELECT url, contains(lower(html), 'page not found') OR contains(lower(html), 'page you were looking for') AS is_error FROM pages", prefix=False)
+def flag_error_pages(m: Model) -> DataFrame:
+    return extract.flag_error_pages(m.raw("pages")).select("url", "is_error")
+
+
+@query(r"""SELECT url, CASE WHEN length(html) < 500 THEN 'raw_too_short' WHEN length(trim(regexp_replace(regexp_replace(html, '<[^>]+>', ' ', 'g'), '\s+', ' ', 'g'))) < 50 THEN 'text_too_short' END AS reason FROM pages""", prefix=False)
+def gate_content(m: Model) -> DataFrame:
+    pages = m.raw("pages").join(extract.strip_pages(m.raw("pages")), "url").withColumn("profile", F.lit("quebec"))
+    return extract.gate_content(pages).select("url", "reason")
+
+
+@query("SELECT id, CASE WHEN length(title) >= 50 THEN title WHEN length(content_text) >= 50 THEN content_text END AS content_text FROM docs")
+def choose_content(m: Model) -> DataFrame:
+    return extract.choose_content(m.corpus.select(F.sha2("source_url", 256).alias("id"), "title", F.col("content_text").alias("body")), ["title", "body"]).select("id", "content_text")
+
+
+@query("SELECT id, coalesce(CASE WHEN document_type = 'case_law' THEN 'new' END, 'new') AS court, source_type AS source FROM docs")
+def enrich_metadata(m: Model) -> DataFrame:
+    out = extract.enrich_metadata(m.docs, {"court": "new", "source": F.col("source_type")})
+    return out.select("id", F.try_element_at("metadata", F.lit("court")).alias("court"), F.try_element_at("metadata", F.lit("source")).alias("source"))
