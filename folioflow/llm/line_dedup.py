@@ -82,6 +82,10 @@ def _chunks(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray
         at = to
 
 
+def _bucket(hashed: np.ndarray) -> np.ndarray:
+    return (hashed >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per task and slice of buckets, the buckets seen and their counts."""
     seen = np.zeros(1 << SKETCH_BITS, np.int64)
@@ -163,6 +167,64 @@ def _lines(levels, percent: int):
     return lines
 
 
+def _holders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per task and slice of buckets, the buckets that prefix tokens fall into with the name of the set that has them,
+    0 where there are several."""
+    first = np.zeros(1 << SKETCH_BITS, np.uint64)
+    several = np.zeros(1 << SKETCH_BITS, bool)
+    for batch in batches:
+        grams = batch.column(1)
+        sets = np.repeat(batch.column(0).to_numpy().view(np.uint64) | np.uint64(1), np.diff(grams.offsets.to_numpy()))
+        bucket = _bucket(grams.flatten().to_numpy().view(np.uint64))
+        before = first[bucket]
+        several[bucket[(before != 0) & (before != sets)]] = True
+        first[bucket] = sets
+        several[bucket[first[bucket] != sets]] = True
+    width = len(first) // SLICES
+    for s in range(SLICES):
+        own = first[s * width : (s + 1) * width]
+        at = np.flatnonzero(own)
+        if len(at):
+            names = np.where(several[s * width + at], np.uint64(0), own[at])
+            yield pa.RecordBatch.from_arrays([pa.array([s], pa.int32()), pa.array([at.astype(np.int32).tobytes()], pa.binary()), pa.array([names.tobytes()], pa.binary())], ["slice", "at", "n"])
+
+
+def _meet(part: pd.DataFrame) -> pd.DataFrame:
+    width = (1 << SKETCH_BITS) // SLICES
+    first, seen, several = np.zeros(width, np.uint64), np.zeros(width, bool), np.zeros(width, bool)
+    for at, n in zip(part["at"], part["n"], strict=True):
+        at, n = np.frombuffer(at, np.int32), np.frombuffer(n, np.uint64)
+        several[at] |= (n == 0) | (seen[at] & (first[at] != n))
+        first[at], seen[at] = n, True
+    at = np.flatnonzero(seen)
+    return pd.DataFrame({"slice": [part["slice"].iloc[0]], "at": [at.astype(np.int32).tobytes()], "n": [np.where(several[at], np.uint64(0), first[at]).tobytes()]})
+
+
+def shared_buckets(lines: DataFrame) -> np.ndarray:
+    """Which buckets of prefix tokens hold those of more than one set: tokens elsewhere join nothing. 8 MB."""
+    schema = "slice int, at binary, n binary"
+    held = lines.select("s1", "tokens").mapInArrow(_holders, schema)
+    for salt in (F.pmod(F.xxhash64("at"), F.lit(16)), F.lit(0)):
+        held = held.withColumn("salt", salt).groupBy("slice", "salt").applyInPandas(_meet, schema)
+    shared, width = np.zeros(1 << SKETCH_BITS, bool), (1 << SKETCH_BITS) // SLICES
+    for r in held.collect():
+        shared[r.slice * width + np.frombuffer(r.at, np.int32)] = np.frombuffer(r.n, np.uint64) == 0
+    return shared
+
+
+def _thinned(shared):
+    def thin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            grams, places = batch.column(7), batch.column(8)
+            values = grams.flatten().to_numpy()
+            keep = shared.value[_bucket(values.view(np.uint64))]
+            ends = pa.array(np.r_[0, np.cumsum(keep)][grams.offsets.to_numpy() - grams.offsets[0].as_py()].astype(np.int32))
+            thin_lists = [pa.ListArray.from_arrays(ends, pa.array(v[keep])) for v in (values, places.flatten().to_numpy())]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:7], *thin_lists], batch.schema.names)
+
+    return thin
+
+
 def _wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The token sets of the wanted lines of each text."""
     for batch in batches:
@@ -213,9 +275,13 @@ def matched_lines(docs: DataFrame, percent: int = 75, scratch: Scratch | None =
     own = scratch or Scratch(docs.sparkSession, "line-dedup")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id IS NOT NULL AND text IS NOT NULL")
     levels = docs.sparkSession.sparkContext.broadcast(rarity(docs))
-    lines = docs.mapInArrow(_lines(levels, percent), LINE)
+    lines = own.table(docs.mapInArrow(_lines(levels, percent), LINE))
+    shared_at = docs.sparkSession.sparkContext.broadcast(shared_buckets(lines))
     firsts = [F.first(c).alias(c) for c in ("b1", "b2", "tokens", "places")]
-    classes = own.table(lines.groupBy("s1", "s2", "n").agg(F.min(F.struct("doc_id", "line")).alias("at"), F.count(F.lit(1)).alias("lines"), *firsts).select("s1", "s2", "n", "at.doc_id", "at.line", "lines", "b1", "b2", "tokens", "places"))
+    sets = lines.mapInArrow(_thinned(shared_at), LINE).groupBy("s1", "s2", "n").agg(F.min(F.struct("doc_id", "line")).alias("at"), F.count(F.lit(1)).alias("lines"), *firsts)
+    classes = own.table(sets.select("s1", "s2", "n", "at.doc_id", "at.line", "lines", "b1", "b2", "tokens", "places"))
+    slim = own.table(lines.select("doc_id", "line", "s1", "s2", "n"))
+    own.drop(lines)
 
     postings = classes.select("doc_id", "line", "n", "b1", "b2", F.explode(F.arrays_zip("tokens", "places")).alias("t")).select(F.col("t.tokens").alias("token"), "doc_id", "line", "n", F.col("t.places").alias("place"), "b1", "b2")
     heads = postings.groupBy("token").agg(F.min(F.struct("doc_id", "line", "n", "place", "b1", "b2")).alias("head"), F.count(F.lit(1)).alias("holders")).filter("holders > 1").select("token", "head.*")
@@ -234,7 +300,6 @@ def matched_lines(docs: DataFrame, percent: int = 75, scratch: Scratch | None =
 
     # Copies: the lines of a class other than its first.
     repeated = classes.filter("lines > 1").select("s1", "s2", "n", F.col("doc_id").alias("d"), F.col("line").alias("l"))
-    slim = docs.mapInArrow(_lines(levels, percent), LINE).select("doc_id", "line", "s1", "s2", "n")
     copies = slim.join(repeated, ["s1", "s2", "n"]).filter("doc_id <> d OR line <> l").select("doc_id", "line")
     result = own.keep(copies.union(found).distinct())
     own.clear()
