@@ -164,12 +164,13 @@ def chapter_class(chapter: Column) -> Column:
 
 def normalize_new_brunswick(raw: DataFrame, base: str = "https://laws.gnb.ca") -> DataFrame:
     """Rows (list, pos, chapter, title, href) of the list of statutes, in which regulations follow their act, and of the
-    list of regulations, which adds what the first hasn't got."""
-    rows = raw.select("list", "pos", _said("chapter").alias("chapter"), _said("title").alias("title"), F.coalesce("href", F.lit("")).alias("href"))
+    list of regulations, which adds what the first hasn't got. A column ``listing`` keeps several listings apart."""
+    by = ["listing", "list"] if "listing" in raw.columns else ["list"]
+    rows = raw.select(*by, "pos", _said("chapter").alias("chapter"), _said("title").alias("title"), F.coalesce("href", F.lit("")).alias("href"))
     rows = rows.filter((F.col("chapter") != "") & (F.col("title") != "") & (F.col("href") != "") & ~F.lower("title").isin("title", "titre", "chapter"))
     from_statutes = F.col("list") == "statutes"
     rows = rows.withColumn("regulation", ~from_statutes | (chapter_class(F.col("chapter")) == "regulation")).withColumn("act", F.when(from_statutes & ~F.col("regulation"), F.col("title")))
-    rows = carry_forward(rows, "act", ["list"], "pos", "parent")
+    rows = carry_forward(rows, "act", by, "pos", "parent")
     part = F.when(F.col("regulation"), "cr").otherwise("cs")
     place = F.concat(F.lit("/en/document/"), part, F.lit("/"))
     url = F.when(F.col("href").contains(place), normalize_url(F.col("href"), SAFE_PATH)).otherwise(F.concat(F.lit(base), place, encoded(F.col("chapter"), "-._~")))

@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioflow.functions.text import clean_lines
-from folioflow.operators import analytics, browse, extract, incremental, joins, quality, repair, runs, search, upsert
+from folioflow.operators import analytics, browse, extract, incremental, joins, normalize, quality, repair, runs, search, upsert
 from folioflow.plans.model import SQL, Model, as_of, wall
+from folioflow.sources import store
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -677,9 +678,9 @@ def title_match(m: Model) -> DataFrame:
     return search.match(search.build_title_index(m.docs), search.parse_query("The SRC1"))
 
 
-@query(f"{_TOK} {_all('texts', 'the', 'of', 'amended')}")
+@query(f"{_TOK} {_all('texts', 'the', 'of', 'and')}")
 def content_match(m: Model) -> DataFrame:
-    return search.match(search.build_content_index(m.versions), search.parse_query("the OF amended"))
+    return search.match(search.build_content_index(m.versions), search.parse_query("the OF and"))
 
 
 @query(f"{_TOK}, f AS ({_all('words', 'the', 'that')} UNION {_all('texts', 'the', 'that')}) SELECT doc, (SELECT count(*) FROM f) AS total FROM f")
@@ -750,3 +751,89 @@ def choose_content(m: Model) -> DataFrame:
 def enrich_metadata(m: Model) -> DataFrame:
     out = extract.enrich_metadata(m.docs, {"court": "new", "source": F.col("source_type")})
     return out.select("id", F.try_element_at("metadata", F.lit("court")).alias("court"), F.try_element_at("metadata", F.lit("source")).alias("source"))
+
+
+# --- normalisation: raw listing tables derived from the documents, in each source's layout
+
+
+
+@query("""SELECT CASE WHEN doc_id % 4 = 0 THEN 'a2aj://case/' || replace(citation, ' ', '_') ELSE source_url END AS source_url, CASE WHEN doc_id % 6 = 0 OR trim(title) = '' THEN citation ELSE trim(title) END AS title, citation,
+  CASE WHEN doc_id % 3 = 0 THEN 'bc' WHEN doc_id % 3 = 1 THEN 'on' ELSE 'ca' END AS jurisdiction_code FROM docs""")
+def normalize_cases(m: Model) -> DataFrame:
+    n, null = F.col("doc_id"), F.lit(None).cast("string")
+    raw = m.corpus.select(
+        n.alias("pos"), F.when(n % 3 == 0, "bcca ").when(n % 3 == 1, "XX-ONSC").otherwise("elsewhere").alias("dataset"), F.when(n % 2 == 0, F.col("citation")).otherwise("None").alias("citation_en"), F.col("citation").alias("citation_fr"),
+        F.when(n % 6 != 0, F.col("title")).alias("name_en"), null.alias("name_fr"), F.when(n % 4 != 0, F.col("source_url")).alias("url_en"), F.lit("None").alias("url_fr"), null.alias("document_date_en"), null.alias("document_date_fr"),
+    )
+    return normalize.normalize_cases(raw).select("source_url", "title", "citation", "jurisdiction_code")
+
+
+@query("""SELECT CASE WHEN doc_id % 5 = 0 THEN 'https://kings-printer.alberta.ca/570.cfm?frm_isbn=' || doc_id || '&search_by=link' END AS by_isbn, CASE WHEN doc_id % 2 = 0 THEN '2020_' || lpad((doc_id % 1000)::VARCHAR, 3, '0') ELSE upper('a' || doc_id) END AS citation,
+  CASE WHEN doc_id % 2 = 0 THEN 'regulation' ELSE 'legislation' END AS document_type FROM docs""")
+def normalize_alberta(m: Model) -> DataFrame:
+    n = F.col("doc_id")
+    name = F.when(n % 2 == 0, F.concat(F.lit("2020_"), F.lpad((n % 1000).cast("string"), 3, "0"))).otherwise(F.concat(F.lit("a"), n.cast("string")))
+    raw = m.corpus.select(n.alias("pos"), name.alias("name"), "title", F.when(n % 5 == 0, n.cast("string")).alias("isbn"), F.lit("").alias("date_modified"))
+    out = normalize.normalize_alberta(raw)
+    return out.select(F.when(F.col("source_url").contains("frm_isbn"), F.col("source_url")).alias("by_isbn"), "citation", "document_type")
+
+
+@query("""SELECT 'https://x/statutes/' || doc_id || '.htm' AS source_url, 'SNL ' || doc_id AS citation, trim(title) AS title FROM docs WHERE length(trim(title)) >= 3 AND title <> upper(title)""")
+def normalize_newfoundland(m: Model) -> DataFrame:
+    raw = m.corpus.filter("title <> upper(title)").select(F.col("doc_id").alias("pos"), F.concat(F.lit("https://x/statutes/"), F.col("doc_id").cast("string"), F.lit(".htm")).alias("href"), "title")
+    return normalize.normalize_newfoundland(raw, False).select("source_url", "citation", "title")
+
+
+@query("""SELECT CASE WHEN doc_id % 4 = 1 THEN '/en/document/cr/' ELSE '/en/document/cs/' END AS place, CASE WHEN doc_id % 4 = 1 THEN '99-' || doc_id ELSE '2011, c.' || doc_id END AS citation,
+  CASE WHEN doc_id % 4 = 1 THEN (SELECT trim(b.title) FROM docs b WHERE b.source_type = a.source_type AND b.doc_id % 4 <> 1 AND b.doc_id < a.doc_id AND trim(b.title) <> '' ORDER BY b.doc_id DESC LIMIT 1) END AS parent FROM docs a WHERE trim(title) <> ''""")
+def normalize_new_brunswick(m: Model) -> DataFrame:
+    n = F.col("doc_id")
+    chapter = F.when(n % 4 == 1, F.concat(F.lit("99-"), n.cast("string"))).otherwise(F.concat(F.lit("2011, c."), n.cast("string")))
+    raw = m.corpus.select(F.col("source_type").alias("listing"), F.lit("statutes").alias("list"), n.alias("pos"), chapter.alias("chapter"), "title", F.lit("https://laws.gnb.ca/x").alias("href"))
+    out = normalize.normalize_new_brunswick(raw)
+    place = F.regexp_extract("source_url", "(/en/document/c[rs]/)", 1)
+    return out.select(place.alias("place"), "citation", F.when(F.col("document_type") == "regulation", F.nullif(F.col("metadata")["parent_act"], F.lit(""))).alias("parent"))
+
+
+@query("SELECT id, CASE WHEN doc_id % 2 = 0 THEN 'RSA 2000, c A ' || doc_id ELSE '' END AS citation FROM docs")
+def citation_from_url(m: Model) -> DataFrame:
+    n = F.col("doc_id").cast("string")
+    url = F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit("https://c/ab/laws/stat/rsa-2000-c-a-"), n, F.lit("/latest/"))).otherwise(F.col("source_url"))
+    return m.corpus.select(F.sha2("source_url", 256).alias("id"), normalize.citation_from_url(url).alias("citation"))
+
+
+@query("SELECT id, CASE WHEN doc_id % 2 = 0 THEN 'NSSC' ELSE 'ABKB' END AS court, CASE WHEN doc_id % 2 = 0 THEN 'ns' ELSE 'zz' END AS jurisdiction, doc_id * 1000 AS results FROM docs")
+def parse_citations(m: Model) -> DataFrame:
+    n = F.col("doc_id")
+    cited = F.concat(F.lit("2024 "), F.when(n % 2 == 0, "nssc").otherwise("ABKB"), F.lit("  "), n.cast("string"))
+    court, jurisdiction = normalize.parse_citation(cited, "zz")
+    html = F.concat(n.cast("string"), F.lit(",000&nbsp;result(s)"))
+    return m.corpus.select(F.sha2("source_url", 256).alias("id"), court.alias("court"), jurisdiction.alias("jurisdiction"), normalize.result_count(html).alias("results"))
+
+
+# --- loads, backfills and snapshots
+
+
+@query(f"""SELECT id, strftime(coalesce(last_checked_at, CASE WHEN doc_id % 7 <> 5 THEN {T} END, updated_at), '{DAY}') AS checked FROM docs""")
+def backfill_checked(m: Model) -> DataFrame:
+    return store.backfill_checked(m.docs, m.some_versions).select("id", wall("last_checked_at").alias("checked"))
+
+
+@query("""SELECT 'documents.last_checked_at' AS item, count(*) AS total, count(last_checked_at) AS filled, count(*) - count(last_checked_at) AS missing FROM docs
+  UNION ALL SELECT 'source_sync_log.finished_at', count(*), count(finished_at), count(*) - count(finished_at) FROM sync_log""")
+def backfill_report(m: Model) -> DataFrame:
+    return store.backfill_report(m.docs, m.sync_log)
+
+
+@query("SELECT 'documents' AS table_name, count(*) AS rows_read, count(*) FILTER (WHERE doc_id % 9 = 0) AS skipped, count(*) FILTER (WHERE doc_id % 9 <> 0 AND doc_id % 11 = 4) AS added FROM docs")
+def load_tables(m: Model) -> DataFrame:
+    gone = m.corpus.filter("doc_id % 9 = 0").select("source_url", F.lit(True).alias("gone"))
+    source = m.docs.join(gone, "source_url", "left").withColumn("title", F.when(F.col("gone").isNull(), F.col("title"))).drop("gone")
+    target = m.some_docs.withColumn("metadata", F.to_json("metadata"))
+    return store.load_tables({"documents": source}, {"documents": target}, {"documents": ["source_url"]}, {"documents": ["source_url", "title"]})[1]
+
+
+@query("SELECT sha256(sha256(source_url) || ':1') AS id, sha256(source_url) AS document_id, length(content_text)::INTEGER AS content_length FROM corpus")
+def upgrade_flat_corpus(m: Model) -> DataFrame:
+    flat = m.corpus.withColumns({"scraped_at": as_of(), "last_updated": as_of()})
+    return store.upgrade_flat_corpus(flat)[1].select("id", "document_id", F.length("content_text").alias("content_length"))
