@@ -7,7 +7,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioflow.operators import upsert
+from folioflow.operators import search, upsert
 from folioflow.schemas import DOCUMENTS, VERSIONS
 from folioflow.session import table
 
@@ -126,6 +126,15 @@ class Model:
         url = url.when(n % 20 == 5, F.concat(F.regexp_replace("source_url", r"\d+$", ""), (n - 2).cast("string"), F.lit("%2C%20a%20b")))
         return self.docs.withColumn("source_url", url.otherwise(F.col("source_url")))
 
+    @cached_property
+    def title_index(self) -> DataFrame:
+        """Kept in memory for the query, as a written index would be."""
+        return search.build_title_index(self.docs).cache()
+
+    @cached_property
+    def content_index(self) -> DataFrame:
+        return search.build_content_index(self.versions).cache()
+
     def empty(self, schema) -> DataFrame:
         return self.spark.createDataFrame([], schema)
 

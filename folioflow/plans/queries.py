@@ -675,29 +675,29 @@ def content_index(m: Model) -> DataFrame:
 
 @query(f"{_TOK} {_all('words', 'the', 'src1')}")
 def title_match(m: Model) -> DataFrame:
-    return search.match(search.build_title_index(m.docs), search.parse_query("The SRC1"))
+    return search.match(m.title_index, search.parse_query("The SRC1"))
 
 
 @query(f"{_TOK} {_all('texts', 'the', 'of', 'and')}")
 def content_match(m: Model) -> DataFrame:
-    return search.match(search.build_content_index(m.versions), search.parse_query("the OF and"))
+    return search.match(m.content_index, search.parse_query("the OF and"))
 
 
 @query(f"{_TOK}, f AS ({_all('words', 'the', 'that')} UNION {_all('texts', 'the', 'that')}) SELECT doc, (SELECT count(*) FROM f) AS total FROM f")
 def search_matches(m: Model) -> DataFrame:
-    found = search.matches(search.build_title_index(m.docs), search.build_content_index(m.versions), search.parse_query("the that"))
+    found = search.matches(m.title_index, m.content_index, search.parse_query("the that"))
     return found.join(found.agg(F.count(F.lit(1)).alias("total")))
 
 
 @query()
 def search_page(m: Model) -> DataFrame:
-    rows, facts = search.search(m.docs, m.versions, search.build_title_index(m.docs), search.build_content_index(m.versions), "the and", per_page=20, document_type="regulation")
+    rows, facts = search.search(m.docs, m.versions, m.title_index, m.content_index, "the and", per_page=20, document_type="regulation")
     return rows.join(facts)
 
 
 @query()
 def search_english(m: Model) -> DataFrame:
-    rows, facts = search.search(m.docs, m.versions, search.build_title_index(m.docs, "english"), search.build_content_index(m.versions, "english"), "amended the", per_page=20, analyzer="english")
+    rows, facts = search.search(m.docs, m.versions, search.build_title_index(m.docs, "english").cache(), search.build_content_index(m.versions, "english").cache(), "the tion of ers", per_page=20, analyzer="english")
     return rows.join(facts)
 
 
