@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 UNKNOWN = "und"
+#: Row counts by language are broadcast up to this many languages, so that no text is shuffled by language.
+FEW_LANGUAGES = 10_000
 _APART = regex.compile(r"[^\p{L}\p{M}]+")
 
 
@@ -31,10 +33,11 @@ def train(docs: DataFrame, dictionary_bytes: int = 131_072, sample_rows: int = 4
     most a 32nd of the dictionary, from the start. Rows of equal text count once. Shorter samples make shorter
     dictionaries; a language whose texts have no letters is not learned. Languages with more rows come first.
     """
-    known = docs.filter(F.col("lang").isNotNull() & (F.length("text") > 0) & ~held_out()).select("doc_id", "lang", "text")
-    counts = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    learned = docs.filter(F.col("lang").isNotNull() & ~held_out())
+    counts = learned.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    known = learned.filter(F.length("text") > 0).select("doc_id", "lang", "text")
     piece = dictionary_bytes // 32
-    chosen = known.join(counts, "lang").filter(F.pmod(F.xxhash64(F.lit("lang"), "doc_id"), F.col("n")) < sample_rows)
+    chosen = known.join(F.broadcast(counts) if counts.count() <= FEW_LANGUAGES else counts, "lang").filter(F.pmod(F.xxhash64(F.lit("lang"), "doc_id"), F.col("n")) < sample_rows)
     rows = chosen.select("n", "doc_id", "lang", F.substring("text", 1, piece).alias("text")).collect()
     rows.sort(key=lambda r: (-r.n, r.lang, r.doc_id is None, r.doc_id or 0, r.text))
     texts: dict[str, dict[bytes, None]] = {}
