@@ -109,6 +109,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, span: int = 10, k: int
 def decontaminate(docs: DataFrame, benchmark: DataFrame, span: int = 10, k: int = 5) -> DataFrame:
     """The documents, all columns, without a word inside a window of a benchmark item."""
     found = contamination(docs, benchmark, span, k).filter("contaminated").select(F.col("doc_id").alias("__id"), F.col("text_md5").alias("__md5")).distinct()
+    found = Scratch(docs.sparkSession, "contaminated").keep(found)  # its size decides whether texts are shuffled
     hit = docs["doc_id"].eqNullSafe(found["__id"]) & (F.md5(F.coalesce(docs["text"], F.lit(""))) == found["__md5"])
     return docs.join(found, hit, "left_anti")
 

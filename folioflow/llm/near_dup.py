@@ -274,8 +274,11 @@ def keep_one(docs: DataFrame, percent: int = 75) -> DataFrame:
     """The documents, all columns, with one row of each near-duplicate group; of repeated rows of a doc_id, one."""
     found = near_duplicates(docs, percent).filter("kept AND doc_id IS NOT NULL")
     counts = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"))
-    once = counts.filter("rows = 1").select(F.col("doc_id").alias("__id"))
     often = counts.filter("rows > 1").select(F.col("doc_id").alias("__id"))
     on = docs["doc_id"] == F.col("__id")
+    unnamed = docs.filter(F.col("doc_id").isNull())
+    if not often.limit(1).count():  # no repeated rows: texts are shuffled once
+        return docs.join(found.select(F.col("doc_id").alias("__id")), on, "left_semi").unionByName(unnamed)
+    once = counts.filter("rows = 1").select(F.col("doc_id").alias("__id"))
     repeated = docs.join(often, on, "left_semi").dropDuplicates(["doc_id"])
-    return docs.join(once, on, "left_semi").unionByName(repeated).unionByName(docs.filter(F.col("doc_id").isNull()))
+    return docs.join(once, on, "left_semi").unionByName(repeated).unionByName(unnamed)
