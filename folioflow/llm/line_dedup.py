@@ -267,8 +267,8 @@ def matched_lines(docs: DataFrame, percent: int = 75, scratch: Scratch | None =
     Jaccard similarity of ``percent`` in 100 or more, earlier by doc_id and then line number (from 0).
 
     Lines without words match nothing. Lines of equal sets form a class that stands at its earliest line; its other
-    lines are matched. Classes meet over the tokens of their prefixes, rarest first, in two rounds: first each with the
-    earliest class that holds the token; then those not yet matched with all earlier ones. So a large group of near
+    lines are matched. Classes meet over the tokens of their prefixes, rarest first, in two rounds: first each with one of the
+    earliest classes that hold its tokens, that of the nearest bitmap; then those not yet matched with all earlier ones. So a large group of near
     copies costs a pair each and not one for each two of them. Candidates are verified on their full token sets.
     Rows of one doc_id count as one place, null doc_ids are left out, and only doc_id and text are read.
     """
@@ -287,7 +287,9 @@ def matched_lines(docs: DataFrame, percent: int = 75, scratch: Scratch | None =
     heads = postings.groupBy("token").agg(F.min(F.struct("doc_id", "line", "n", "place", "b1", "b2")).alias("head"), F.count(F.lit(1)).alias("holders")).filter("holders > 1").select("token", "head.*")
     heads = own.table(heads)
     pairs = postings.alias("x").join(heads.alias("y"), (F.col("x.token") == F.col("y.token")) & _may_match("x", "y", percent))
-    pairs = own.table(pairs.select("x.doc_id", "x.line", F.col("y.doc_id").alias("d2"), F.col("y.line").alias("l2")).distinct())
+    apart = F.bit_count(F.col("x.b1").bitwiseXOR(F.col("y.b1"))) + F.bit_count(F.col("x.b2").bitwiseXOR(F.col("y.b2")))
+    pairs = pairs.select("x.doc_id", "x.line", F.struct(apart.alias("apart"), F.col("y.doc_id").alias("d2"), F.col("y.line").alias("l2")).alias("head"))
+    pairs = own.table(pairs.groupBy("doc_id", "line").agg(F.min("head").alias("head")).select("doc_id", "line", "head.d2", "head.l2"))
     found = _verify(own, docs, pairs, percent)
 
     shared = postings.join(heads.select("token"), "token", "left_semi")
