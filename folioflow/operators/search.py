@@ -14,7 +14,6 @@ from folioflow.operators.browse import page_facts
 from folioflow.operators.joins import filter_documents, latest_of, with_has_content
 
 WORD = r"[\p{L}\p{N}]+"
-CONTENT_CAP, HEADLINE_CAP = 500_000, 10_000
 #: Weights of title and citation, and of the labels from the weakest to the strongest.
 LABELS = {"D": 0.1, "C": 0.2, "B": 0.4, "A": 1.0}
 _WORD = re.compile(r"[^\W_]+")
@@ -58,9 +57,9 @@ def build_title_index(docs: DataFrame, analyzer: str = "simple") -> DataFrame:
     return _postings(docs.select(F.col("id").alias("doc"), F.inline(parts)), analyzer)
 
 
-def build_content_index(versions: DataFrame, analyzer: str = "simple", cap: int = CONTENT_CAP) -> DataFrame:
-    """Latest versions with text, the first ``cap`` characters; written by term, searches read few row groups."""
-    texts = latest_of(versions).filter("content_text <> ''").select(F.col("document_id").alias("doc"), F.lit("D").alias("weight"), tokens(F.left("content_text", F.lit(cap))).alias("words"), F.lit(0).alias("shift"))
+def build_content_index(versions: DataFrame, analyzer: str = "simple") -> DataFrame:
+    """Latest versions with text, whole texts; written by term, searches read few row groups."""
+    texts = latest_of(versions).filter("content_text <> ''").select(F.col("document_id").alias("doc"), F.lit("D").alias("weight"), tokens(F.col("content_text")).alias("words"), F.lit(0).alias("shift"))
     return _postings(texts, analyzer)
 
 
@@ -150,7 +149,7 @@ def _fragments(text: str, terms: set[str], analyzer: str, most: int = 35, least:
 
 
 def headline(page: DataFrame, terms: Sequence[str], analyzer: str = "simple") -> DataFrame:
-    """Snippets of a page's rows (in_content, content_text): from the first 10,000 characters, null for others."""
+    """Snippets of a page's rows (in_content, content_text): from whole texts, null for others."""
     wanted = set(terms)
 
     @F.pandas_udf("string")
@@ -158,7 +157,7 @@ def headline(page: DataFrame, terms: Sequence[str], analyzer: str = "simple") ->
         for part in parts:
             yield part.map(lambda t: None if t is None else _fragments(t, wanted, analyzer))
 
-    return page.withColumn("snippet", snippet(F.when(F.col("in_content"), F.left("content_text", F.lit(HEADLINE_CAP))))).drop("content_text")
+    return page.withColumn("snippet", snippet(F.when(F.col("in_content"), F.col("content_text")))).drop("content_text")
 
 
 def search(docs: DataFrame, versions: DataFrame, title_index: DataFrame, content_index: DataFrame, text: str, page: int = 1, per_page: int = 20, analyzer: str = "simple", **filters) -> tuple[DataFrame, DataFrame]:

@@ -22,6 +22,17 @@ def test_search(spark):
     assert {r.doc for r in search.match(refreshed, ["land"]).collect()} == {"2"}
 
 
+def test_search_reads_whole_texts(spark):
+    docs = spark.createDataFrame([("1", "Long", "L 1", "s", "ca", "legislation")], "id string, title string, citation string, source_type string, jurisdiction_code string, document_type string").selectExpr("*", "id AS source_url")
+    text = "word " * 100_100 + "lastword"
+    versions = spark.createDataFrame([("1", text, True)], "document_id string, content_text string, is_latest boolean")
+    ti, ci = search.build_title_index(docs), search.build_content_index(versions)
+    assert len(text) > 500_000 and {r.doc for r in search.match(ci, ["lastword"]).collect()} == {"1"}
+    assert ci.filter("term = 'word'").selectExpr("size(positions)").first()[0] == 100_100
+    rows, facts = search.search(docs, versions, ti, ci, "lastword")
+    assert facts.first().total == 1 and rows.first().snippet.endswith("<mark>lastword</mark>")
+
+
 def test_density():
     w = lambda *p: [(i, t, 1.0) for i, t in p]
     assert search._density(w((1, "a"), (2, "b")), 2) == pytest.approx(1.0)
