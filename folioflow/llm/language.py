@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import random
 from collections.abc import Iterator
+from itertools import zip_longest
 
 import pandas as pd
 import regex
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 UNKNOWN = "und"
@@ -26,29 +28,44 @@ def held_out(doc_id: str = "doc_id"):
     return F.coalesce(F.pmod(F.crc32(F.col(doc_id).cast("string")), F.lit(4)) == 2, F.lit(False))
 
 
+def _pieces(text: str, seed: int, piece: int, most: int) -> list[bytes]:
+    """Up to ``most`` pieces of the whole letter string, at places that the seed chooses and in its order."""
+    raw = letters(text).encode("utf-8", "surrogatepass")
+    n = -(-len(raw) // piece)
+    return [raw[i * piece : (i + 1) * piece] for i in random.Random(seed).sample(range(n), min(n, most))]
+
+
 def train(docs: DataFrame, dictionary_bytes: int = 131_072, sample_rows: int = 400) -> dict[str, bytes]:
     """A raw-content dictionary for each non-null language of documents (doc_id, text, lang) that aren't held out.
 
-    A bounded sample is read: about ``sample_rows`` rows a language, chosen by a hash of doc_id, and of each row at
-    most a 32nd of the dictionary, from the start. Rows of equal text count once. Shorter samples make shorter
-    dictionaries; a language whose texts have no letters is not learned. Languages with more rows come first.
+    A bounded sample of rows with letters is read: at most ``sample_rows`` a language, by a hash of doc_id and text.
+    Rows of equal text count once. Each row's whole letter string is cut into pieces of a 512th of the dictionary (64
+    bytes at least), and up to a 32nd of the dictionary is taken of them, at places chosen by a hash of the text. One
+    rule fills every dictionary: the first piece of each row, then the second of each, until it is full. Shorter
+    samples make shorter dictionaries; a language whose texts have no letters is not learned. Languages with more rows
+    come first.
     """
-    learned = docs.filter(F.col("lang").isNotNull() & ~held_out())
-    counts = learned.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    known = learned.filter(F.length("text") > 0).select("doc_id", "lang", "text")
-    piece = dictionary_bytes // 32
-    chosen = known.join(F.broadcast(counts) if counts.count() <= FEW_LANGUAGES else counts, "lang").filter(F.pmod(F.xxhash64(F.lit("lang"), "doc_id"), F.col("n")) < sample_rows)
-    rows = chosen.select("n", "doc_id", "lang", F.substring("text", 1, piece).alias("text")).collect()
-    rows.sort(key=lambda r: (-r.n, r.lang, r.doc_id is None, r.doc_id or 0, r.text))
-    texts: dict[str, dict[bytes, None]] = {}
+    known = docs.filter(F.col("lang").isNotNull() & ~held_out() & F.col("text").rlike(r"\p{L}"))
+    counts = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    piece = max(64, dictionary_bytes // 512)
+    most = max(1, dictionary_bytes // 32 // piece)
+
+    @F.pandas_udf("array<binary>")
+    def cut(texts: pd.Series, seeds: pd.Series) -> pd.Series:
+        return pd.Series([_pieces(t, s, piece, most) for t, s in zip(texts, seeds, strict=True)], dtype=object)
+
+    hashed = known.select("lang", "text", F.xxhash64(F.lit("lang"), "doc_id", "text").alias("by"), F.xxhash64("text").alias("same"))
+    # Twice as many rows as needed pass before the limit, so that the window sees few.
+    some = hashed.join(F.broadcast(counts) if counts.count() <= FEW_LANGUAGES else counts, "lang").filter(F.pmod("by", "n") < 2 * sample_rows)
+    once = some.select("lang", "n", "by", "same", cut("text", "same").alias("pieces")).groupBy("lang", "n", "same").agg(F.min("by").alias("by"), F.first("pieces").alias("pieces"))
+    order = Window.partitionBy("lang").orderBy("by", "same")
+    rows = once.withColumn("at", F.row_number().over(order)).filter(F.col("at") <= sample_rows).collect()
+    rows.sort(key=lambda r: (-r.n, r.lang, r.at))
+    found: dict[str, list[list[bytes]]] = {}
     for r in rows:
-        if (text := letters(r.text)).strip():
-            texts.setdefault(r.lang, {})[text.encode("utf-8", "surrogatepass")[:piece]] = None
-    out = {}
-    for lang, parts in texts.items():
-        share = dictionary_bytes if sum(map(len, parts)) <= dictionary_bytes else max(64, dictionary_bytes // len(parts))  # a like share, so that late rows count too
-        out[lang] = b"".join(p[:share] for p in parts)[:dictionary_bytes]
-    return out
+        found.setdefault(r.lang, []).append(r.pieces)
+    turns = {lang: [p for turn in zip_longest(*lists) for p in turn if p] for lang, lists in found.items()}
+    return {lang: b"".join(dict.fromkeys(map(bytes, parts)))[:dictionary_bytes] for lang, parts in turns.items()}
 
 
 class Classifier:

@@ -53,6 +53,25 @@ def test_language(spark):
     assert language.train(docs.limit(0)) == {}
 
 
+def test_language_learns_from_whole_texts(spark):
+    rng = random.Random(4)
+    header = "this licence opens every document of the table alike " * 100
+    rows = [(i, header + speech(rng, lang, 2000), lang) for i, lang in enumerate(list(WORDS) * 30)]
+    rows += [(1000 + i, "12 34 " * 1000 + " ".join(rng.choice("voi ei tai on se mutta kun niin".split()) for _ in range(60)), "fi") for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    known = language.train(docs, dictionary_bytes=8192, sample_rows=50)
+    assert set(known) == {*WORDS, "fi"}
+    asked = [(i, speech(rng, lang, 40), lang) for i, lang in enumerate(list(WORDS) * 20)]
+    got = {r.doc_id: r.lang_best for r in language.identify(spark.createDataFrame(asked, "doc_id long, text string, lang string"), known).collect()}
+    assert sum(got[i] == lang for i, _, lang in asked) >= 57
+
+
+def test_language_sample_is_bounded(spark):
+    rows = [(None, f"{'ab' * (i % 7 + 1)} {chr(97 + i % 26)}{chr(97 + i // 26)} word", "en") for i in range(500)]
+    known = language.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), sample_rows=10)
+    assert 0 < len(known["en"]) <= 10 * max(len(language.letters(t)) for _, t, _ in rows)
+
+
 def test_quality(spark):
     rng = random.Random(3)
     rows, labels = [], []
