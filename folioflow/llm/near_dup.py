@@ -81,8 +81,18 @@ def _bands(best: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
+def _mixed(best: np.ndarray) -> np.ndarray:
+    """Minima through a 32-bit finaliser: the low bits of the linear hashes hang together, those of its results don't."""
+    v = best ^ (best >> np.uint32(16))
+    v *= np.uint32(0x85EBCA6B)
+    v ^= v >> np.uint32(13)
+    v *= np.uint32(0xC2B2AE35)
+    return v ^ (v >> np.uint32(16))
+
+
 def _planes(best: np.ndarray) -> np.ndarray:
-    """BITS x PLANE_WORDS words: the low bits of the minima, plane by plane."""
+    """BITS x PLANE_WORDS words: the low bits of the mixed minima, plane by plane."""
+    best = _mixed(best)
     bits = np.zeros((BITS, PLANE_WORDS * 64), np.uint8)
     for p in range(BITS):
         bits[p, : len(best)] = (best >> np.uint32(p)) & np.uint32(1)
@@ -205,7 +215,8 @@ def near_duplicates(docs: DataFrame, percent: int = 75, scratch: Scratch | None
     of them, another in each round, and only buckets that the links so confirmed leave in several components go on;
     then the members that are left meet across components: in small buckets by a join that only pairs with near packed
     signatures pass, in large ones block by block, where only links leave a task. A pair inside one component is never looked at, since it changes none. Candidates are confirmed on their full
-    sets. A pair at the threshold shares no band with a chance of 2.4e-5, and is estimated too low with one of 3e-7.
+    sets. A pair at the threshold shares no band with a chance of 2.4e-5, and is estimated too low with one of 3e-7 if
+    minima are independent.
     """
     own = scratch or Scratch(docs.sparkSession, "near-dup")
     signed = own.table(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_sign, SIGNATURE))

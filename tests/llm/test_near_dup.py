@@ -82,6 +82,17 @@ def test_block_comparison():
         assert got == {(i, j) for i in range(60) for j in range(60) if i != j and 100 * len(s[i] & s[j]) >= percent * len(s[i] | s[j])}
 
 
+def test_estimates_of_small_sets():
+    rng = np.random.default_rng(6)
+    got = []
+    for _ in range(3000):
+        four = rng.integers(0, 2**64, 4, np.uint64)
+        a, b = (near_dup._planes(near_dup.minima(x)).reshape(near_dup.BITS, -1) for x in (four, four[:3]))
+        unlike = np.bitwise_count(np.bitwise_or.reduce(a ^ b, axis=0).view(np.uint64)).sum()
+        got.append(((1 - unlike / near_dup.MINIMA) - 0.25) / 0.75)
+    assert abs(np.mean(got) - 0.75) < 0.005 and np.std(got) < 0.04
+
+
 def test_repeated_and_null_ids(spark):
     rows = [(1, "a b c d e f g"), (1, "a b c d e f g"), (2, "a b c d e f g"), (3, "q r s t u v"), (1, "q r s t u v"), (None, "a b c d e f g"), (9, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
