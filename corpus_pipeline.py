@@ -1,7 +1,8 @@
 """The training-data pipeline: five stages over the documents table.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written and read again as the next one's docs.
-All but the last return the columns of documents.
+All but the last return the columns of documents. Every stage takes an empty table (and gives one), null, empty and very
+long texts, null ids and sources, repeated rows and further columns of any name; what becomes of such rows is said at each.
 """
 
 from __future__ import annotations
@@ -16,27 +17,30 @@ SHARDS = 16
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 7: documents that the classifier rejects go."""
+    """Operator 7: documents that the classifier rejects go. Null texts are scored as empty ones; of repeated rows all go
+    or all stay."""
     return quality.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 5: one document of each near-duplicate group stays, that of the smallest doc_id."""
+    """Operator 5: one document of each near-duplicate group stays, that of the smallest doc_id, null ids last. Rows
+    without words all stay; of repeated rows one stays."""
     return near_dup.keep_one(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 9: documents with a window of a benchmark item go."""
+    """Operator 9: documents with a window of a benchmark item go. Rows without words stay; of repeated rows all go or all
+    stay."""
     return decontamination.decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 10: each document as often as the mix takes it."""
+    """Operator 10: each document as often as the mix takes it. Rows without words go; a null source is a source."""
     return mixing.apply_mix(docs)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 2: adds each row's shard."""
+    """Operator 2: adds each row's shard by doc_id, replacing a column of that name; a null id is the key 0."""
     return sharding.assign_shards(docs, "doc_id", SHARDS)
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from typing import ClassVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,7 +31,11 @@ def shared_dir(spark: SparkSession) -> str:
 
 class Scratch:
     """Intermediate tables as Parquet in the shared folder: lineage ends there, so a lost executor costs
-    only its running tasks. ``clear`` deletes them; what ``keep`` wrote stays for the caller's result."""
+    only its running tasks. ``clear`` deletes them; what ``keep`` wrote stays for the caller's result until
+    ``release_results`` is called."""
+
+    #: Scratches of this process whose results are still there.
+    kept: ClassVar[list[Scratch]] = []
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
@@ -47,6 +52,8 @@ class Scratch:
         return self._write(df, "work")
 
     def keep(self, df: DataFrame) -> DataFrame:
+        if self not in Scratch.kept:
+            Scratch.kept.append(self)
         return self._write(df, "kept")
 
     def drop(self, *frames: DataFrame) -> None:
@@ -65,6 +72,14 @@ class Scratch:
         self._delete(f"{self.root}/work")
 
 
+def release_results() -> None:
+    """Deletes the results that operators of this process keep in the shared folder; call it once their frames have
+    been written or collected."""
+    while Scratch.kept:
+        own = Scratch.kept.pop()
+        own._delete(own.root)
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-cases A-Z alone. Pure ASCII texts take the faster built-in."""
     return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(F.translate(text, ASCII_UPPER, ASCII_LOWER))
@@ -75,6 +90,24 @@ def space_words(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), "[\\x20\\x09-\\x0D]+"), "")
 
 
+#: Rows of a list of documents (an id and a hash, about 60 bytes held) up to which it is broadcast: 24 MB.
+BROADCAST_ROWS = 400_000
+
+
+def listed(listing: DataFrame) -> DataFrame:
+    """A written list of documents that is small beside the corpus, ready to be joined with it: counted first, and
+    broadcast up to BROADCAST_ROWS rows. Beyond them the join shuffles both sides."""
+    return F.broadcast(listing) if listing.count() <= BROADCAST_ROWS else listing.hint("merge")
+
+
+def repeated(df: DataFrame, times: str, number: str, chunk: int = 4096) -> DataFrame:
+    """Each row ``times`` (long) times, numbered from 0 in the column ``number``. Rows grow in two steps, so that no
+    array is longer than ``chunk`` or the count's ``chunk``-th part."""
+    begin, most = F.col(f"{number}_"), F.lit(chunk).cast("long")
+    steps = df.filter(F.col(times) > 0).withColumn(f"{number}_", F.explode(F.sequence(F.lit(0).cast("long"), F.col(times) - 1, most)))
+    return steps.withColumn(number, F.explode(F.sequence(begin, F.least(begin + most, F.col(times)) - 1))).drop(f"{number}_")
+
+
 #: Edges up to which the vertex tables of connected components are broadcast; about 10 MB.
 BROADCAST_EDGES = 200_000
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from folioflow.llm.common import ASCII_LOWER, ASCII_UPPER, Scratch
+from folioflow.llm.common import ASCII_LOWER, ASCII_UPPER, Scratch, listed
 
 #: All ASCII characters but digits and letters part words.
 SEPARATORS = "".join(chr(c) for c in [*range(0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)])
@@ -88,7 +88,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, span: int = 10, k: int
 
     same = lambda a, b: a.doc_id.eqNullSafe(b.doc_id) & (a.text_md5 == b.text_md5)
     texts = docs.select("doc_id", "text", F.md5(F.coalesce(F.col("text"), F.lit(""))).alias("text_md5"))
-    texts = texts.join(suspects, same(texts, suspects), "left_semi").dropDuplicates(["doc_id", "text_md5"]).select("doc_id", "text_md5", words(F.col("text")).alias("ws"))
+    texts = texts.join(listed(suspects), same(texts, suspects), "left_semi").dropDuplicates(["doc_id", "text_md5"]).select("doc_id", "text_md5", words(F.col("text")).alias("ws"))
     windows = _windows(texts, ["doc_id", "text_md5"], lengths, False, span).withColumn("hash", F.xxhash64("gram"))
     hits = windows.join(window_hashes, "hash", "left_semi").join(item_windows, "gram")
 
@@ -107,11 +107,15 @@ def contamination(docs: DataFrame, benchmark: DataFrame, span: int = 10, k: int
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, span: int = 10, k: int = 5) -> DataFrame:
-    """The documents, all columns, without a word inside a window of a benchmark item."""
-    found = contamination(docs, benchmark, span, k).filter("contaminated").select(F.col("doc_id").alias("__id"), F.col("text_md5").alias("__md5")).distinct()
-    found = Scratch(docs.sparkSession, "contaminated").keep(found)  # its size decides whether texts are shuffled
-    hit = docs["doc_id"].eqNullSafe(found["__id"]) & (F.md5(F.coalesce(docs["text"], F.lit(""))) == found["__md5"])
-    return docs.join(found, hit, "left_anti")
+    """The documents, all columns, without a word inside a window of a benchmark item. Texts without words, null texts
+    and null doc_ids are judged as any other row: by their text. Of repeated rows all go or all stay. Columns may have any
+    name. An empty table gives an empty one; an empty benchmark takes nothing away."""
+    own = Scratch(docs.sparkSession, "contaminated")
+    found = contamination(docs, benchmark, span, k, own).filter("contaminated").select("doc_id", "text_md5").distinct()
+    found = own.keep(found)
+    rows = docs.select(F.struct("*").alias("row"), "doc_id", F.md5(F.coalesce(F.col("text"), F.lit(""))).alias("text_md5"))
+    hit = rows["doc_id"].eqNullSafe(found["doc_id"]) & (rows["text_md5"] == found["text_md5"])
+    return rows.join(listed(found), hit, "left_anti").select("row.*")
 
 
 def digest(found: DataFrame) -> DataFrame:

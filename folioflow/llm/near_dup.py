@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from folioflow.llm.common import Scratch, components
+from folioflow.llm.common import Scratch, components, listed
 
 WORDS = 5
 ROWS, BANDS = 4, 28
@@ -27,7 +27,7 @@ MARGIN = 0.17
 STAR_ROUNDS = 1
 #: Buckets with more pairs to compare across components than this are compared in blocks of about BLOCK x BLOCK.
 FEW_PAIRS, BLOCK = 1024, 512
-SIGNATURE = "doc_id long, n_shingles long, cls binary, bands array<long>, planes array<long>"
+SIGNATURE = "doc_id long, key long, hash long, n_shingles long, cls binary, bands array<long>, planes array<long>"
 _P = np.uint64(0x9E3779B97F4A7C15)
 _Q = np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -119,7 +119,8 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             best = minima(found) if len(found) else None
             bands.append(none if best is None else _bands(best))
             planes.append(none if best is None else _planes(best))
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(cls, pa.binary()), _lists(bands), _lists(planes)], ["doc_id", "n_shingles", "cls", "bands", "planes"])
+        made = [pa.array(n, pa.int64()), pa.array(cls, pa.binary()), _lists(bands), _lists(planes)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), batch.column(3), *made], ["doc_id", "key", "hash", "n_shingles", "cls", "bands", "planes"])
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -147,14 +148,21 @@ def _sizes_fit(a: Column, b: Column, percent: int) -> Column:
 
 
 def _sets_of(own: Scratch, docs: DataFrame, needed: DataFrame) -> DataFrame:
-    """The full shingle sets (cls, grams) of the needed classes (cls, id)."""
-    texts = docs.select("doc_id", "text").join(needed.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi").select("text")
+    """The full shingle sets (cls, grams) of the needed classes (cls, key). The needed ones grow with the corpus, so
+    texts meet them in a shuffle at every size."""
+    keys = needed.select("key").distinct().hint("merge")
+    texts = docs.select(_key().alias("key"), "text").join(keys, "key", "left_semi").select("text")
     sets = texts.mapInArrow(_sets, "cls binary, grams array<long>").join(needed.select("cls"), "cls", "left_semi")
     return own.table(sets.groupBy("cls").agg(F.first("grams").alias("grams")))
 
 
+def _key() -> Column:
+    """What a row's text is found by: its doc_id, or a hash of the text where there is none."""
+    return F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text"))
+
+
 def _needed(classes: DataFrame, pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct().join(classes.select("cls", "id"), "cls")
+    return pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct().join(classes.select("cls", "key"), "cls")
 
 
 def _confirm(own: Scratch, sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
@@ -202,13 +210,11 @@ def _across_blocks(own: Scratch, sets: DataFrame, shaped: DataFrame, percent: in
     return links
 
 
-def near_duplicates(docs: DataFrame, percent: int = 75, scratch: Scratch | None = None) -> DataFrame:
-    """Groups of documents (doc_id, text) linked by a shingle similarity of ``percent`` in 100 or more.
-
-    Returns per row doc_id, n_shingles, component_id (the smallest doc_id reachable) and kept. Texts without words and
-    null texts are linked with nothing: their component is their own. Rows with a null doc_id get a null component and
-    are kept. Repeated rows are copies of each other; rows of one doc_id with unlike texts are one document with two
-    sets, and their groups are one. Only doc_id and text are read. An empty table gives an empty result.
+def linked_classes(own: Scratch, docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Signed rows (doc_id, key, hash, n_shingles, cls) of documents (doc_id, text), their classes (cls, id, key, place) and
+    the links (a, b) between classes whose shingle sets have a similarity of ``percent`` in 100 or more: enough of them to join
+    the classes of each group. Rows without words have a null cls; id is a class's smallest doc_id, null if it has none;
+    place (none, doc_id, hash, key) says where its first row is.
 
     Documents with equal sets form a class, found by a grouping with map-side reduction, and go on as one. Class pairs
     come from bands of minima, and no bucket is paired in full: in STAR_ROUNDS rounds the members of a bucket meet one
@@ -218,10 +224,9 @@ def near_duplicates(docs: DataFrame, percent: int = 75, scratch: Scratch | None
     sets. A pair at the threshold shares no band with a chance of 2.4e-5, and is estimated too low with one of 3e-7 if
     minima are independent.
     """
-    own = scratch or Scratch(docs.sparkSession, "near-dup")
-    signed = own.table(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_sign, SIGNATURE))
-    sets = signed.filter("cls IS NOT NULL AND doc_id IS NOT NULL")
-    classes = own.table(sets.groupBy("cls").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("planes").alias("planes")))
+    signed = own.table(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", _key().alias("key"), F.xxhash64("text").alias("hash")).mapInArrow(_sign, SIGNATURE))
+    sets = signed.filter("cls IS NOT NULL")
+    classes = own.table(sets.groupBy("cls").agg(F.min("doc_id").alias("id"), F.min("key").alias("key"), F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "hash", "key")).alias("place"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("planes").alias("planes")))
 
     postings = classes.select(F.explode("bands").alias("band"), "cls")
     full = postings.groupBy("band").agg(F.count(F.lit(1)).alias("members")).filter("members > 1").select("band")
@@ -260,13 +265,27 @@ def near_duplicates(docs: DataFrame, percent: int = 75, scratch: Scratch | None
     more = x.join(y, across).select(F.least("x.cls", "y.cls").alias("a"), F.greatest("x.cls", "y.cls").alias("b")).distinct()
     more = own.table(more.join(seen, ["a", "b"], "left_anti"))
     large = shaped.filter(~few)
-    needed = own.table(_needed(classes, more).union(large.select("cls").distinct().join(classes.select("cls", "id"), "cls")).distinct())
+    needed = own.table(_needed(classes, more).union(large.select("cls").distinct().join(classes.select("cls", "key"), "cls")).distinct())
     grams = _sets_of(own, docs, needed)
     links = links.union(_confirm(own, grams, more, percent)).union(_across_blocks(own, grams, large, percent))
     own.drop(needed, grams)
+    return signed, classes, links
+
+
+def near_duplicates(docs: DataFrame, percent: int = 75, scratch: Scratch | None = None) -> DataFrame:
+    """Groups of documents (doc_id, text) linked by a shingle similarity of ``percent`` in 100 or more.
+
+    Returns per row doc_id, n_shingles, component_id (the smallest doc_id reachable) and kept. Texts without words and
+    null texts are linked with nothing: their component is their own. Rows with a null doc_id link others but get a null
+    component and count as kept. Repeated rows are copies of each other; rows of one doc_id with unlike texts are one
+    document with two sets, and their groups are one. Only doc_id and text are read, so other columns may have any name.
+    An empty table gives an empty result. See ``linked_classes`` for the method.
+    """
+    own = scratch or Scratch(docs.sparkSession, "near-dup")
+    signed, classes, links = linked_classes(own, docs, percent)
 
     # Classes of one doc_id belong together whatever their sets are.
-    ids = sets.select("doc_id", "cls").distinct()
+    ids = signed.filter("cls IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", "cls").distinct()
     repeated = ids.groupBy("doc_id").agg(F.min("cls").alias("a"), F.max("cls").alias("b")).filter("a <> b").select("doc_id", "a")
     links = links.union(repeated.join(ids, "doc_id").filter("a <> cls").select("a", F.col("cls").alias("b")))
 
@@ -282,14 +301,26 @@ def near_duplicates(docs: DataFrame, percent: int = 75, scratch: Scratch | None
 
 
 def keep_one(docs: DataFrame, percent: int = 75) -> DataFrame:
-    """The documents, all columns, with one row of each near-duplicate group; of repeated rows of a doc_id, one."""
-    found = near_duplicates(docs, percent).filter("kept AND doc_id IS NOT NULL")
-    counts = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"))
-    often = counts.filter("rows > 1").select(F.col("doc_id").alias("__id"))
-    on = docs["doc_id"] == F.col("__id")
-    unnamed = docs.filter(F.col("doc_id").isNull())
-    if not often.limit(1).count():  # no repeated rows: texts are shuffled once
-        return docs.join(found.select(F.col("doc_id").alias("__id")), on, "left_semi").unionByName(unnamed)
-    once = counts.filter("rows = 1").select(F.col("doc_id").alias("__id"))
-    repeated = docs.join(often, on, "left_semi").dropDuplicates(["doc_id"])
-    return docs.join(once, on, "left_semi").unionByName(repeated).unionByName(unnamed)
+    """The documents, all columns, with one row of each group of near-duplicate texts: that of the smallest doc_id (rows
+    without one come last), among rows of that doc_id the one whose text has the smallest hash, and among rows alike in
+    both the one whose columns have. Rows without words or text are linked with nothing and all stay. Unlike texts of one
+    doc_id are documents of their own here. Columns may have any name; an empty table gives an empty one.
+
+    The decision is made on ids and hashes. Texts meet it in one shuffle join by (key, hash), at every size.
+    """
+    own = Scratch(docs.sparkSession, "keep-one")
+    signed, classes, links = linked_classes(own, docs, percent)
+    groups = components(own, links).withColumnRenamed("id", "cls")
+    named = classes.select("cls", "place").join(groups, "cls", "left")
+    stay = own.keep(named.groupBy(F.coalesce("component", "cls")).agg(F.min("place").alias("place")).select("place.key", "place.hash"))
+    alike = signed.filter("cls IS NOT NULL").groupBy("key", "hash").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")
+    alike = own.keep(alike.join(stay, ["key", "hash"], "left_semi").select("key", "hash"))
+    own.clear()
+
+    rows = docs.select(F.struct("*").alias("row"), _key().alias("key"), F.xxhash64("text").alias("hash"), F.coalesce("text", F.lit("")).rlike("[^\\x20\\x09-\\x0D]").alias("words"))
+    kept = rows.filter("words").join(stay.hint("merge"), ["key", "hash"], "left_semi")
+    if alike.limit(1).count():
+        several = listed(alike)
+        first = kept.join(several, ["key", "hash"], "left_semi").groupBy("key", "hash").agg(F.min_by("row", F.xxhash64(F.to_json("row"))).alias("row"))
+        kept = kept.join(several, ["key", "hash"], "left_anti").select("row").unionByName(first.select("row"))
+    return kept.select("row").unionByName(rows.filter("NOT words").select("row")).select("row.*")

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from folioflow.llm.common import repeated
+
 #: Fixed values of the published algorithm: the multiplier of its 64-bit linear congruential generator.
 MULTIPLIER = 2862933555777941757
 #: A key jumps about ln(shards) times; 96 jumps are more than twelve standard deviations above that for 2^31 shards.
@@ -73,5 +75,4 @@ def numbered_shards(docs: DataFrame, shards: int = 16, rows_per_bucket: int = 20
         starts AS (SELECT shard, bucket, sum(n) OVER (PARTITION BY shard ORDER BY bucket) - n AS start FROM totals),
         ranked AS (SELECT *, sum(copies) OVER (PARTITION BY shard, bucket ORDER BY doc_id, size, text_crc32 ROWS UNBOUNDED PRECEDING) - copies AS before FROM {groups})
         SELECT r.*, s.start + r.before AS first FROM ranked r JOIN starts s ON r.shard = s.shard AND r.bucket = s.bucket""", groups=groups)
-    copy = F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)).alias("copy")
-    return placed.select("*", copy).select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", (F.col("first") + F.col("copy")).alias("slot"), "grown_shard")
+    return repeated(placed, "copies", "copy").select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", (F.col("first") + F.col("copy")).alias("slot"), "grown_shard")

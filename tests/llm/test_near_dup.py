@@ -98,7 +98,19 @@ def test_repeated_and_null_ids(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = sorted(near_duplicates(docs).collect(), key=str)
     assert {(r.doc_id, r.component_id, r.kept) for r in got} == {(1, 1, True), (2, 1, False), (3, 1, False), (None, None, True), (9, 9, True)} and len(got) == 7
-    assert sorted(str(r.doc_id) for r in keep_one(docs).collect()) == ["1", "9", "None"]
+    # One row of each group of texts: unlike texts of one doc_id are groups of their own, a null id is no shield.
+    assert sorted((r.doc_id, r.text or "") for r in keep_one(docs).collect()) == [(1, "a b c d e f g"), (1, "q r s t u v"), (9, "")]
+
+
+def test_keep_one_takes_extra_columns_of_clashing_names_and_repeated_rows(spark):
+    rows = [(5, "a b c d e f g", "x", {"k": 1}), (5, "a b c d e f g", "y", {"k": 2}), (None, "a b c d e f g", "z", None), (None, "u v w", "z", None), (None, "u v w", "z", None), (7, " ", "t", None), (8, None, "t", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, row string, key map<string,int>")
+    found = keep_one(docs)
+    assert found.columns == docs.columns
+    got = sorted(((r.doc_id, r.text) for r in found.collect()), key=str)
+    assert got == sorted([(5, "a b c d e f g"), (None, "u v w"), (7, " "), (8, None)], key=str)
+    assert sorted(map(str, found.collect())) == sorted(map(str, keep_one(docs.repartition(3)).collect()))
+    assert keep_one(docs.limit(0)).collect() == []
 
 
 def test_empty_and_shingles(spark):
