@@ -7,17 +7,28 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folioflow.llm.common import Scratch
+from folioflow.llm.common import BROADCAST_ROWS, Scratch
 
-#: Token frequencies are counted in 2^SKETCH_BITS buckets by hash: a fixed size whatever the vocabulary.
+#: Counts by token hash are kept in 2^SKETCH_BITS buckets: a fixed size whatever the vocabulary.
 SKETCH_BITS = 23
-SLICES = 64
+#: A sketch travels in SLICES parts; the tasks' parts are added up FAN at a time.
+SLICES, FAN = 64, 64
+MOST = 2**32 - 1
+#: Postings of a token that meet in one place; those of more frequent ones are dealt to blocks of this size.
+CELL = 4096
+#: Postings of a group, and those that a task packs together.
+GROUP_POSTINGS, PACKED = 1 << 19, 1 << 20
+#: Nearest partners that a posting names in a round; every further round asks for FAR times as many.
+FEW, FAR = 4, 16
 #: Texts are worked on together up to about this many bytes; a longer text alone.
 WORK_BYTES = 1 << 21
-LINE = "doc_id long, line int, s1 long, s2 long, n int, b1 long, b2 long, tokens array<long>, places array<int>"
+LINE = "doc_id long, line int, s1 long, s2 long, n int, b1 long, b2 long, tokens binary, places binary"
+PAIR = "doc_id long, line int, d2 long, l2 int"
+#: A posting: a set's line, size and bitmap under one of its prefix tokens, with the token's place in the set.
+POSTING = np.dtype([("key", "<u4"), ("n", "<u2"), ("place", "u1"), ("asks", "u1"), ("doc_id", "<i8"), ("line", "<i4"), ("b1", "<u8"), ("b2", "<u8")])
 
 _R = np.uint64(0x9E3779B97F4A7C15)
 _R_INVERSE = np.uint64(pow(int(_R), -1, 2**64))
@@ -82,84 +93,115 @@ def _chunks(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray
         at = to
 
 
-def _bucket(hashed: np.ndarray) -> np.ndarray:
-    return (hashed >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
-
-
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per task and slice of buckets, the buckets seen and their counts."""
-    seen = np.zeros(1 << SKETCH_BITS, np.int64)
-    for batch in batches:
-        for _, _, data, starts in _chunks(batch.column(0)):
-            hashed = tokens(data, starts)[0]
-            bucket, n = np.unique(hashed >> np.uint64(64 - SKETCH_BITS), return_counts=True)
-            seen[bucket.astype(np.int64)] += n
+def _sliced(seen: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """A task's counts by bucket, slice by slice: the buckets seen and their counts, up to MOST."""
     width = len(seen) // SLICES
     for s in range(SLICES):
         own = seen[s * width : (s + 1) * width]
         at = np.flatnonzero(own)
         if len(at):
-            yield pa.RecordBatch.from_arrays([pa.array([s], pa.int32()), pa.array([at.astype(np.int32).tobytes()], pa.binary()), pa.array([own[at].tobytes()], pa.binary())], ["slice", "at", "n"])
+            n = np.minimum(own[at], MOST).astype(np.uint32)
+            yield pa.RecordBatch.from_arrays([pa.array([s], pa.int32()), pa.array([at.astype(np.int32).tobytes()], pa.binary()), pa.array([n.tobytes()], pa.binary())], ["slice", "at", "n"])
+
+
+def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    seen = np.zeros(1 << SKETCH_BITS, np.int64)
+    for batch in batches:
+        for _, _, data, starts in _chunks(batch.column(0)):
+            np.add.at(seen, (tokens(data, starts)[0] >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), 1)
+    yield from _sliced(seen)
+
+
+def _count_postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    seen = np.zeros(1 << SKETCH_BITS, np.int64)
+    for batch in batches:
+        np.add.at(seen, _flat(batch.column(0), np.uint32)[0] >> np.uint32(32 - SKETCH_BITS), 1)
+    yield from _sliced(seen)
 
 
 def _add(part: pd.DataFrame) -> pd.DataFrame:
     own = np.zeros((1 << SKETCH_BITS) // SLICES, np.int64)
     for at, n in zip(part["at"], part["n"], strict=True):
-        own[np.frombuffer(at, np.int32)] += np.frombuffer(n, np.int64)
+        own[np.frombuffer(at, np.int32)] += np.frombuffer(n, np.uint32)
     at = np.flatnonzero(own)
-    return pd.DataFrame({"slice": [part["slice"].iloc[0]], "at": [at.astype(np.int32).tobytes()], "n": [own[at].tobytes()]})
-
-
-def rarity(docs: DataFrame) -> np.ndarray:
-    """A level by bucket of token hashes, from counts over all texts: 0 for buckets seen once or never, then by eighths
-    of powers of two. (Level, hash) is one order for all tokens, rare ones first; a token at level 0 is in one line
-    alone. Levels take 8 MB at any corpus size."""
-    schema = "slice int, at binary, n binary"
-    counted = docs.select("text").mapInArrow(_count, schema)
-    for salt in (F.pmod(F.xxhash64("at"), F.lit(16)), F.lit(0)):
-        counted = counted.withColumn("salt", salt).groupBy("slice", "salt").applyInPandas(_add, schema)
+    n = np.minimum(own[at], MOST).astype(np.uint32)
+    return pd.DataFrame({"task": [part["task"].iloc[0]], "slice": [part["slice"].iloc[0]], "at": [at.astype(np.int32).tobytes()], "n": [n.tobytes()]})
+
+
+def sketch(df: DataFrame, count) -> np.ndarray:
+    """A level for each bucket of token hashes, from counts over all rows of ``df``: 0 for buckets counted once or
+    never, then by eighths of powers of two. Tasks' counts are added up in a tree, FAN of a slice at a time, so that no
+    group grows with the number of tasks. Levels take 8 MB at any corpus size."""
+    tasks = df.rdd.getNumPartitions()
+    counted = df.mapInArrow(count, "slice int, at binary, n binary").select(F.spark_partition_id().alias("task"), "slice", "at", "n")
+    while True:
+        counted = counted.withColumn("task", F.floor(F.col("task") / FAN).cast("int")).groupBy("slice", "task").applyInPandas(_add, "task int, slice int, at binary, n binary")
+        tasks = -(-tasks // FAN)
+        if tasks <= 1:
+            break
     levels, width = np.zeros(1 << SKETCH_BITS, np.uint8), (1 << SKETCH_BITS) // SLICES
-    for r in counted.collect():
-        n = np.frombuffer(r.n, np.int64)
+    for r in counted.collect():  # SLICES rows
+        n = np.frombuffer(r.n, np.uint32)
         levels[r.slice * width + np.frombuffer(r.at, np.int32)] = np.where(n < 2, 0, np.minimum(255, np.log2(np.maximum(n, 2)) * 8))
     return levels
 
 
+def _flat(column: pa.Array, kind) -> tuple[np.ndarray, np.ndarray]:
+    """The values of a binary column laid end to end, and how many each row has."""
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+    data = np.frombuffer(column.buffers()[2], np.uint8)[offsets[0] : offsets[-1]] if column.buffers()[2] is not None else np.empty(0, np.uint8)
+    return np.frombuffer(data.tobytes(), kind), np.diff(offsets) // np.dtype(kind).itemsize
+
+
+def _binary(values: np.ndarray, counts: np.ndarray) -> pa.Array:
+    ends = np.r_[0, np.cumsum(counts * values.dtype.itemsize)].astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(values.tobytes())])
+
+
+def _ordered(hashed: np.ndarray, line: np.ndarray, level: np.ndarray) -> np.ndarray:
+    """Puts tokens in order of line, level and hash. The order within a level goes by the low bits of the hash."""
+    low = hashed & np.uint64((1 << 35) - 1)
+    if not len(line) or int(line[-1]) < 1 << 21:  # lines come in ascending order
+        key = (line.astype(np.uint64) << np.uint64(43)) | (level.astype(np.uint64) << np.uint64(35)) | low
+        order = np.argsort(key)
+        key, name = key[order], hashed[order]
+        if not ((key[1:] == key[:-1]) & (name[1:] != name[:-1])).any():
+            return order
+    return np.lexsort((hashed, low, level, line))
+
+
 def _lines(levels, percent: int):
     """Lines with words as sets: sums of token hashes that name the set, its size, a 128-bit bitmap, and the tokens of
-    its prefix that some other line may hold, with their places."""
+    its prefix that some other line may hold (32 bits of their hashes), with their places (255 at most). A set too small
+    to match any other than its equal has no prefix."""
 
     def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         level_of = levels.value
         for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
             for at, to, data, starts in _chunks(batch.column(1)):
                 hashed, line, first_line = tokens(data, starts)
-                order = np.lexsort((hashed, line))
-                hashed, line = hashed[order], line[order]
-                once = np.r_[True, (hashed[1:] != hashed[:-1]) | (line[1:] != line[:-1])][: len(hashed)]
-                hashed, line = hashed[once], line[once]
                 level = level_of[(hashed >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
-                order = np.lexsort((hashed, level, line))
+                order = _ordered(hashed, line, level)
                 hashed, line, level = hashed[order], line[order], level[order]
+                once = np.r_[True, (hashed[1:] != hashed[:-1]) | (line[1:] != line[:-1])][: len(hashed)]
+                hashed, line, level = hashed[once], line[once], level[once]
                 begin = np.flatnonzero(np.r_[True, line[1:] != line[:-1]][: len(line)])
                 size = np.diff(np.r_[begin, len(line)])
                 own = line[begin]
                 if not len(own):
                     continue
                 place = np.arange(len(line)) - np.repeat(begin, size)
-                prefix = size - -(-size * percent // 100) + 1
+                prefix = np.where(size * 100 >= (size + 1) * percent, size - -(-size * percent // 100) + 1, 0)
                 keep = (place < np.repeat(prefix, size)) & (level > 0)
-                bit = hashed & np.uint64(63)
-                mask, high = np.uint64(1) << bit, (hashed >> np.uint64(6)) & np.uint64(1)
-                ends = pa.array(np.r_[0, np.cumsum(np.add.reduceat(keep, begin))].astype(np.int32))
+                counts = np.add.reduceat(keep.astype(np.int64), begin)
+                bit, high = np.uint64(1) << (hashed & np.uint64(63)), (hashed & np.uint64(64)) == 0
+                bits = [np.bitwise_xor.reduceat(np.where(side, bit, np.uint64(0)), begin).view(np.int64) for side in (high, ~high)]
                 text = np.searchsorted(first_line, own, side="right") - 1
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(at, to - at).take(pa.array(text)), pa.array((own - first_line[text]).astype(np.int32)),
                         pa.array(np.add.reduceat(_mix(hashed, 0xD6E8FEB86659FD93), begin).view(np.int64)), pa.array(np.add.reduceat(_mix(hashed, 0xA0761D6478BD642F), begin).view(np.int64)), pa.array(size.astype(np.int32)),
-                        pa.array(np.bitwise_xor.reduceat(np.where(high == 0, mask, np.uint64(0)), begin).view(np.int64)), pa.array(np.bitwise_xor.reduceat(np.where(high == 1, mask, np.uint64(0)), begin).view(np.int64)),
-                        pa.ListArray.from_arrays(ends, pa.array(hashed[keep].view(np.int64))), pa.ListArray.from_arrays(ends, pa.array(place[keep].astype(np.int32))),
+                        *map(pa.array, bits), _binary((hashed[keep] >> np.uint64(32)).astype(np.uint32), counts), _binary(np.minimum(place[keep], 255).astype(np.uint8), counts),
                     ],
                     ["doc_id", "line", "s1", "s2", "n", "b1", "b2", "tokens", "places"],
                 )
@@ -167,142 +209,188 @@ def _lines(levels, percent: int):
     return lines
 
 
-def _holders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per task and slice of buckets, the buckets that prefix tokens fall into with the name of the set that has them,
-    0 where there are several."""
-    first = np.zeros(1 << SKETCH_BITS, np.uint64)
-    several = np.zeros(1 << SKETCH_BITS, bool)
-    for batch in batches:
-        grams = batch.column(1)
-        sets = np.repeat(batch.column(0).to_numpy().view(np.uint64) | np.uint64(1), np.diff(grams.offsets.to_numpy()))
-        bucket = _bucket(grams.flatten().to_numpy().view(np.uint64))
-        before = first[bucket]
-        several[bucket[(before != 0) & (before != sets)]] = True
-        first[bucket] = sets
-        several[bucket[first[bucket] != sets]] = True
-    width = len(first) // SLICES
-    for s in range(SLICES):
-        own = first[s * width : (s + 1) * width]
-        at = np.flatnonzero(own)
-        if len(at):
-            names = np.where(several[s * width + at], np.uint64(0), own[at])
-            yield pa.RecordBatch.from_arrays([pa.array([s], pa.int32()), pa.array([at.astype(np.int32).tobytes()], pa.binary()), pa.array([names.tobytes()], pa.binary())], ["slice", "at", "n"])
+def _packed(held, groups: int, cell: int):
+    """Postings of classes (doc_id, line, n, b1, b2, tokens, places, asks), packed by group. Tokens that a single class
+    holds join nothing and are dropped. A token with more than ``cell`` postings has its classes dealt to blocks, and a class
+    goes to each pair of blocks with its own in it."""
 
+    def dealt(rows: list[np.ndarray]) -> pa.RecordBatch:
+        rec, group = np.concatenate([r[0] for r in rows]), np.concatenate([r[1] for r in rows])
+        order = np.argsort(group, kind="stable")
+        rec, group = rec[order], group[order]
+        begin = np.flatnonzero(np.r_[True, group[1:] != group[:-1]][: len(group)])
+        # Byte planes: the high bytes of numbers are mostly alike and pack well.
+        blobs = [r.view(np.uint8).reshape(len(r), -1).T.tobytes() for r in np.split(rec, begin[1:])] if len(rec) else []
+        return pa.RecordBatch.from_arrays([pa.array(group[begin].astype(np.int32)), pa.array(blobs, pa.binary())], ["part", "data"])
 
-def _meet(part: pd.DataFrame) -> pd.DataFrame:
-    width = (1 << SKETCH_BITS) // SLICES
-    first, seen, several = np.zeros(width, np.uint64), np.zeros(width, bool), np.zeros(width, bool)
-    for at, n in zip(part["at"], part["n"], strict=True):
-        at, n = np.frombuffer(at, np.int32), np.frombuffer(n, np.uint64)
-        several[at] |= (n == 0) | (seen[at] & (first[at] != n))
-        first[at], seen[at] = n, True
-    at = np.flatnonzero(seen)
-    return pd.DataFrame({"slice": [part["slice"].iloc[0]], "at": [at.astype(np.int32).tobytes()], "n": [np.where(several[at], np.uint64(0), first[at]).tobytes()]})
-
-
-def shared_buckets(lines: DataFrame) -> np.ndarray:
-    """Which buckets of prefix tokens hold those of more than one set: tokens elsewhere join nothing. 8 MB."""
-    schema = "slice int, at binary, n binary"
-    held = lines.select("s1", "tokens").mapInArrow(_holders, schema)
-    for salt in (F.pmod(F.xxhash64("at"), F.lit(16)), F.lit(0)):
-        held = held.withColumn("salt", salt).groupBy("slice", "salt").applyInPandas(_meet, schema)
-    shared, width = np.zeros(1 << SKETCH_BITS, bool), (1 << SKETCH_BITS) // SLICES
-    for r in held.collect():
-        shared[r.slice * width + np.frombuffer(r.at, np.int32)] = np.frombuffer(r.n, np.uint64) == 0
-    return shared
-
-
-def _thinned(shared):
-    def thin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, waiting = [], 0
         for batch in batches:
-            grams, places = batch.column(7), batch.column(8)
-            values = grams.flatten().to_numpy()
-            keep = shared.value[_bucket(values.view(np.uint64))]
-            ends = pa.array(np.r_[0, np.cumsum(keep)][grams.offsets.to_numpy() - grams.offsets[0].as_py()].astype(np.int32))
-            thin_lists = [pa.ListArray.from_arrays(ends, pa.array(v[keep])) for v in (values, places.flatten().to_numpy())]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:7], *thin_lists], batch.schema.names)
-
-    return thin
+            token, counts = _flat(batch.column(5), np.uint32)
+            level = held.value[token >> np.uint32(32 - SKETCH_BITS)]
+            owner = np.repeat(np.arange(len(counts)), counts)
+            place = _flat(batch.column(6), np.uint8)[0]
+            shared = level > 0
+            token, owner, place = token[shared], owner[shared], place[shared]
+            cells = np.ceil(np.exp2((level[shared].astype(np.float64) + 1) / 8) / cell).astype(np.int64)
+            doc, line = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            many = np.repeat(np.arange(len(token)), cells)
+            token, owner, place, cells = token[many], owner[many], place[many], cells[many]
+            other = np.arange(len(many)) - np.searchsorted(many, many)
+            block = (_mix(doc[owner].view(np.uint64) * _R + line[owner].astype(np.uint64), 0xBF58476D1CE4E5B9) % cells.astype(np.uint64)).astype(np.int64)
+            pair = np.minimum(block, other).astype(np.uint64) * np.uint64(0x9E3779B1) + np.maximum(block, other).astype(np.uint64)
+            name = _mix((token.astype(np.uint64) << np.uint64(32)) ^ _mix(pair, 0x94D049BB133111EB), 0xBF58476D1CE4E5B9)
+            rec = np.empty(len(many), POSTING)
+            rec["key"], rec["place"] = name >> np.uint64(32), place
+            rec["n"] = np.minimum(batch.column(2).to_numpy(zero_copy_only=False), 65535)[owner]
+            rec["doc_id"], rec["line"] = doc[owner], line[owner]
+            rec["b1"], rec["b2"] = (batch.column(i).to_numpy(zero_copy_only=False).view(np.uint64)[owner] for i in (3, 4))
+            rec["asks"] = batch.column(7).to_numpy(zero_copy_only=False)[owner]
+            rows.append((rec, (name & np.uint64(0xFFFFFFFF)) % np.uint64(groups)))
+            waiting += len(rec)
+            if waiting >= PACKED:
+                yield dealt(rows)
+                rows, waiting = [], 0
+        if waiting:
+            yield dealt(rows)
+
+    return pack
+
+
+def _meet(percent: int, few: int):
+    """Pairs of a group's postings that pass the filters which no matching pair fails: the same token, sizes near enough,
+    enough tokens left after the common one (the first common token passes this), and bitmaps that leave room for the
+    overlap needed. The later line asks; of its pairs under a token the ``few`` of the nearest bitmaps go on, and
+    ``more`` says whether there were others."""
+
+    def meet(part: pd.DataFrame) -> pd.DataFrame:
+        rec = np.concatenate([np.frombuffer(b, np.uint8).reshape(POSTING.itemsize, -1).T.copy().view(POSTING).ravel() for b in part["data"]])
+        rec = rec[np.argsort((rec["key"].astype(np.uint64) << np.uint64(16)) | rec["n"], kind="stable")]
+        key, n, b1, b2 = (np.ascontiguousarray(rec[c]) for c in ("key", "n", "b1", "b2"))
+        n = n.astype(np.int64)
+        rest = n - rec["place"]
+        doc, line, asks = np.ascontiguousarray(rec["doc_id"]), np.ascontiguousarray(rec["line"]), rec["asks"] != 0
+        more = np.zeros(len(rec), bool)
+        kept = np.empty((3, 0), np.int64)
+        found, waiting = [], 0
+
+        def nearest(pairs: np.ndarray) -> np.ndarray:
+            asker, other, apart = pairs
+            order = np.lexsort((line[other], doc[other], apart, asker))
+            asker = asker[order]
+            rank = np.arange(len(asker)) - np.searchsorted(asker, asker)
+            more[asker[rank >= few]] = True
+            return pairs[:, order[rank < few]]
+
+        x, step = np.arange(len(rec)), 0
+        while len(x):
+            step += 1
+            x = x[x + step < len(rec)]
+            y = x + step  # sizes ascend, so the first that is too large ends a row's search
+            near = (key[x] == key[y]) & (n[x] * 100 >= n[y] * percent)
+            x, y = x[near], y[near]
+            both = n[x] + n[y]
+            apart = (np.bitwise_count(b1[x] ^ b1[y]) + np.bitwise_count(b2[x] ^ b2[y])).astype(np.int64)
+            hit = ((both - apart) * (100 + percent) >= 2 * both * percent) & (np.minimum(rest[x], rest[y]) * (100 + percent) >= both * percent)
+            if hit.any():
+                a, b, apart = x[hit], y[hit], apart[hit]
+                later = (doc[a] > doc[b]) | ((doc[a] == doc[b]) & (line[a] > line[b]))
+                asker, other = np.where(later, a, b), np.where(later, b, a)
+                ok = asks[asker] & ((doc[a] != doc[b]) | (line[a] != line[b]))
+                found.append(np.stack([asker[ok], other[ok], apart[ok]]))
+                waiting += len(asker)
+                if waiting > PACKED:
+                    kept, found, waiting = nearest(np.concatenate([kept, *found], 1)), [], 0
+        asker, other, apart = nearest(np.concatenate([kept, *found], 1))
+        return pd.DataFrame({"doc_id": doc[asker], "line": line[asker], "d2": doc[other], "l2": line[other], "apart": apart, "more": more[asker]})
+
+    return meet
+
+
+def _candidates(own: Scratch, classes: DataFrame, held, postings: int, percent: int, few: int, cell: int) -> DataFrame:
+    """Pairs (doc_id, line, d2, l2, apart, more) that may match, each once: an asking class and an earlier one."""
+    groups = max(2 * classes.sparkSession.sparkContext.defaultParallelism, -(-postings // GROUP_POSTINGS))
+    packed = classes.select("doc_id", "line", "n", "b1", "b2", "tokens", "places", "asks").filter(F.octet_length("tokens") > 0).mapInArrow(_packed(held, groups, cell), "part int, data binary")
+    met = packed.groupBy("part").applyInPandas(_meet(percent, few), f"{PAIR}, apart long, more boolean")
+    return own.table(met.groupBy("doc_id", "line", "d2", "l2").agg(F.min("apart").alias("apart"), F.max("more").alias("more")))
 
 
 def _wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The token sets of the wanted lines of each text."""
+    """The token sets of the wanted lines (line, d2, l2) of each text."""
     for batch in batches:
-        for at, to, data, starts in _chunks(batch.column(1)):
-            hashed, line, first_line = tokens(data, starts)
-            docs, numbers, sets = [], [], []
-            for k in range(to - at):
-                for number in batch.column(2)[at + k].as_py():
-                    lo, hi = np.searchsorted(line, [first_line[k] + number, first_line[k] + number + 1])
-                    docs.append(batch.column(0)[at + k].as_py())
-                    numbers.append(number)
-                    sets.append(np.unique(hashed[lo:hi]).view(np.int64))
-            ends = pa.array(np.cumsum([0, *map(len, sets)]).astype(np.int32))
-            yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(numbers, pa.int32()), pa.ListArray.from_arrays(ends, pa.array(np.concatenate(sets) if sets else np.empty(0, np.int64), pa.int64()))], ["doc_id", "line", "tokens"])
-
-
-def _may_match(a: str, b: str, percent: int) -> Column:
-    """The filters that no pair at the threshold fails: b earlier than a, sizes near enough, enough tokens left after
-    the common one (the first common token passes this), and bitmaps that leave room for the overlap needed."""
-    x, y = (lambda c: F.col(f"{a}.{c}")), (lambda c: F.col(f"{b}.{c}"))
-    earlier = (y("doc_id") < x("doc_id")) | ((y("doc_id") == x("doc_id")) & (y("line") < x("line")))
-    both, need = x("n") + y("n"), (x("n") + y("n")) * percent
-    left = F.least(x("n") - x("place"), y("n") - y("place"))
-    apart = F.bit_count(x("b1").bitwiseXOR(y("b1"))) + F.bit_count(x("b2").bitwiseXOR(y("b2")))
-    return earlier & (F.least(x("n"), y("n")) * 100 >= F.greatest(x("n"), y("n")) * percent) & (left * (100 + percent) >= need) & ((both - apart) * (100 + percent) >= need * 2)
+        for at in range(len(batch)):
+            text, wanted = batch.column(1)[at].as_py().encode("utf-8", "surrogatepass").split(b"\n"), batch.column(2)[at].as_py()
+            picked = [text[w["line"]] if w["line"] < len(text) else b"" for w in wanted]
+            starts = np.cumsum([0, *map(len, picked)])
+            hashed, line, first_line = tokens(np.frombuffer(b"".join(picked), np.uint8), starts[:-1])
+            ends = np.searchsorted(line, np.arange(len(picked) + 1))
+            sets = [np.unique(hashed[i:j]).view(np.int64) for i, j in zip(ends[:-1], ends[1:], strict=True)]
+            lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, sets)]).astype(np.int32)), pa.array(np.concatenate(sets), pa.int64()))
+            columns = [pa.array([w[c] for w in wanted], kind) for c, kind in (("line", pa.int32()), ("d2", pa.int64()), ("l2", pa.int32()))]
+            yield pa.RecordBatch.from_arrays([pa.array([batch.column(0)[at].as_py()] * len(wanted), pa.int64()), *columns, lists], ["doc_id", "line", "d2", "l2", "tokens"])
 
 
 def _verify(own: Scratch, docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """The lines (doc_id, line) of pairs (doc_id, line, d2, l2) whose token sets reach the threshold."""
-    needed = pairs.select("doc_id", "line").union(pairs.select("d2", "l2")).groupBy("doc_id").agg(F.sort_array(F.collect_set("line")).alias("wanted"))
-    sets = own.table(docs.join(needed, "doc_id").select("doc_id", "text", "wanted").mapInArrow(_wanted, "doc_id long, line int, tokens array<long>"))
-    other = sets.select(F.col("doc_id").alias("d2"), F.col("line").alias("l2"), F.col("tokens").alias("t2"))
-    both = pairs.join(other, ["d2", "l2"]).join(sets, ["doc_id", "line"])
+    """The lines (doc_id, line) of pairs (doc_id, line, d2, l2) whose token sets reach the threshold. The later lines'
+    sets meet those of the others, each of these once, in a join that adaptive execution splits where many ask one."""
+    few = pairs.count() <= BROADCAST_ROWS
+
+    def sets(lines: DataFrame) -> DataFrame:
+        needed = lines.groupBy("doc_id").agg(F.collect_list(F.struct("line", "d2", "l2")).alias("wanted"))
+        needed = F.broadcast(needed) if few else needed.hint("merge")
+        return docs.join(needed, "doc_id").select("doc_id", "text", "wanted").mapInArrow(_wanted, f"{PAIR}, tokens array<long>")
+
+    others = pairs.select(F.col("d2").alias("doc_id"), F.col("l2").alias("line"), "d2", "l2").distinct()
+    other = sets(others).select("d2", "l2", F.col("tokens").alias("t2"))
+    both = sets(pairs.select("doc_id", "line", "d2", "l2")).join(other, ["d2", "l2"])
     common, total = F.size(F.array_intersect("tokens", "t2")), F.size("tokens") + F.size("t2")
     return own.table(both.filter(common * 100 >= (total - common) * percent).select("doc_id", "line").distinct())
 
 
-def matched_lines(docs: DataFrame, percent: int = 75, scratch: Scratch | None = None) -> DataFrame:
+def matched_lines(docs: DataFrame, percent: int = 75, scratch: Scratch | None = None, few: int = FEW, cell: int = CELL) -> DataFrame:
     """The lines (doc_id, line) of documents (doc_id, text) that an earlier line matches: one whose token set has a
     Jaccard similarity of ``percent`` in 100 or more, earlier by doc_id and then line number (from 0).
 
     Lines without words match nothing. Lines of equal sets form a class that stands at its earliest line; its other
-    lines are matched. Classes meet over the tokens of their prefixes, rarest first, in two rounds: first each with one of the
-    earliest classes that hold its tokens, that of the nearest bitmap; then those not yet matched with all earlier ones. So a large group of near
-    copies costs a pair each and not one for each two of them. Candidates are verified on their full token sets.
-    Rows of one doc_id count as one place, null doc_ids are left out, and only doc_id and text are read.
+    lines are matched. Classes meet over the tokens of their prefixes, rarest first. A class first asks the earlier one of
+    the nearest bitmap, then, if that fails, the others found near it, and classes that met more than were named ask
+    again for FAR times as many until none is left. So a large group of near copies costs a few pairs each and not one
+    for each two of them. Candidates are verified on their full token sets. Rows of one doc_id count as one place, null
+    texts and null doc_ids are left out, and only doc_id and text are read. An empty table gives an empty result.
     """
     own = scratch or Scratch(docs.sparkSession, "line-dedup")
+    context = docs.sparkSession.sparkContext
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id IS NOT NULL AND text IS NOT NULL")
-    levels = docs.sparkSession.sparkContext.broadcast(rarity(docs))
+    levels = context.broadcast(sketch(docs.select("text"), _count_words))
     lines = own.table(docs.mapInArrow(_lines(levels, percent), LINE))
-    shared_at = docs.sparkSession.sparkContext.broadcast(shared_buckets(lines))
     firsts = [F.first(c).alias(c) for c in ("b1", "b2", "tokens", "places")]
-    sets = lines.mapInArrow(_thinned(shared_at), LINE).groupBy("s1", "s2", "n").agg(F.min(F.struct("doc_id", "line")).alias("at"), F.count(F.lit(1)).alias("lines"), *firsts)
+    sets = lines.groupBy("s1", "s2", "n").agg(F.min(F.struct("doc_id", "line")).alias("at"), F.count(F.lit(1)).alias("lines"), *firsts)
     classes = own.table(sets.select("s1", "s2", "n", "at.doc_id", "at.line", "lines", "b1", "b2", "tokens", "places"))
-    slim = own.table(lines.select("doc_id", "line", "s1", "s2", "n"))
-    own.drop(lines)
-
-    postings = classes.select("doc_id", "line", "n", "b1", "b2", F.explode(F.arrays_zip("tokens", "places")).alias("t")).select(F.col("t.tokens").alias("token"), "doc_id", "line", "n", F.col("t.places").alias("place"), "b1", "b2")
-    heads = postings.groupBy("token").agg(F.min(F.struct("doc_id", "line", "n", "place", "b1", "b2")).alias("head"), F.count(F.lit(1)).alias("holders")).filter("holders > 1").select("token", "head.*")
-    heads = own.table(heads)
-    pairs = postings.alias("x").join(heads.alias("y"), (F.col("x.token") == F.col("y.token")) & _may_match("x", "y", percent))
-    apart = F.bit_count(F.col("x.b1").bitwiseXOR(F.col("y.b1"))) + F.bit_count(F.col("x.b2").bitwiseXOR(F.col("y.b2")))
-    pairs = pairs.select("x.doc_id", "x.line", F.struct(apart.alias("apart"), F.col("y.doc_id").alias("d2"), F.col("y.line").alias("l2")).alias("head"))
-    pairs = own.table(pairs.groupBy("doc_id", "line").agg(F.min("head").alias("head")).select("doc_id", "line", "head.d2", "head.l2"))
-    found = _verify(own, docs, pairs, percent)
-
-    shared = postings.join(heads.select("token"), "token", "left_semi")
-    shared = own.table(shared)
-    open_ = shared.join(found, ["doc_id", "line"], "left_anti")
-    more = open_.alias("x").join(shared.alias("y"), (F.col("x.token") == F.col("y.token")) & _may_match("x", "y", percent))
-    more = more.select("x.doc_id", "x.line", F.col("y.doc_id").alias("d2"), F.col("y.line").alias("l2")).distinct()
-    more = own.table(more.join(pairs, ["doc_id", "line", "d2", "l2"], "left_anti"))
-    found = found.union(_verify(own, docs, more, percent))
 
     # Copies: the lines of a class other than its first.
     repeated = classes.filter("lines > 1").select("s1", "s2", "n", F.col("doc_id").alias("d"), F.col("line").alias("l"))
-    copies = slim.join(repeated, ["s1", "s2", "n"]).filter("doc_id <> d OR line <> l").select("doc_id", "line")
+    copies = own.table(lines.select("doc_id", "line", "s1", "s2", "n").join(repeated, ["s1", "s2", "n"]).filter("doc_id <> d OR line <> l").select("doc_id", "line"))
+    own.drop(lines)
+
+    held = context.broadcast(sketch(classes.select("tokens"), _count_postings))
+    postings = classes.agg(F.sum(F.octet_length("places"))).first()[0] or 0
+    at = ["doc_id", "line"]
+    asking, found, tried = classes.withColumn("asks", F.lit(True)), None, None
+    while True:
+        pairs = _candidates(own, asking, held, postings, percent, few, cell)
+        near = pairs.groupBy(*at).agg(F.min(F.struct("apart", "d2", "l2")).alias("near")).select(*at, "near.d2", "near.l2")
+        new = pairs if tried is None else pairs.join(tried.hint("merge"), [*at, "d2", "l2"], "left_anti")
+        first = own.table(near if tried is None else near.join(tried.hint("merge"), [*at, "d2", "l2"], "left_anti"))
+        hit = _verify(own, docs, first, percent)
+        rest = own.table(new.join(hit, at, "left_anti").join(first, [*at, "d2", "l2"], "left_anti").select(*at, "d2", "l2"))
+        hit = hit.union(_verify(own, docs, rest, percent))
+        found = hit if found is None else found.union(hit)
+        open_ = own.table(pairs.filter("more").select(*at).distinct().join(hit, at, "left_anti").withColumn("asks", F.lit(True)))
+        if not open_.limit(1).count():
+            break
+        tried, few = pairs.select(*at, "d2", "l2"), few * FAR
+        asking = classes.join(open_, at, "left").withColumn("asks", F.coalesce("asks", F.lit(False)))
+
     result = own.keep(copies.union(found).distinct())
     own.clear()
     return result
@@ -319,9 +407,10 @@ def dedup_report(docs: DataFrame, percent: int = 75) -> DataFrame:
 
 
 def dedup_lines(docs: DataFrame, percent: int = 75) -> DataFrame:
-    """The documents, all columns, without the lines that earlier ones match."""
-    removed = matched_lines(docs, percent).groupBy(F.col("doc_id").alias("__id")).agg(F.collect_set("line").alias("__lines"))
-    joined = docs.join(removed, docs["doc_id"] == F.col("__id"), "left")
-    kept = F.filter(F.split(docs["text"], "\n"), lambda _, i: ~F.array_contains(F.col("__lines"), i))
-    text = F.when(F.col("__lines").isNull(), docs["text"]).otherwise(F.array_join(kept, "\n"))
-    return joined.select(*[text.alias(c) if c == "text" else docs[c] for c in docs.columns])
+    """The documents, all columns, without the lines that earlier ones match. Null texts and rows without a doc_id stay
+    as they are; columns may have any name."""
+    removed = matched_lines(docs, percent).groupBy("doc_id").agg(F.collect_set("line").alias("lines"))
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text").join(removed.hint("merge"), "doc_id", "left")
+    kept = F.filter(F.split("text", "\n"), lambda _, i: ~F.array_contains(F.col("lines"), i))
+    text = F.when(F.col("lines").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
+    return rows.select(*[text.alias(c) if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns])

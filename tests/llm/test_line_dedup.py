@@ -54,6 +54,19 @@ def test_matches_brute_force(spark):
         assert r.text == (t if t is None else "\n".join(x for k, x in enumerate(t.split("\n")) if (r.doc_id, k) not in want))
 
 
+def test_large_groups_go_through_blocks_and_rounds(spark):
+    rng = random.Random(3)
+    base = [f"v{k}" for k in range(20)]
+    rows = []
+    for i in range(150):
+        line = list(base)
+        for k in rng.sample(range(20), rng.choice([2, 3, 4])):
+            line[k] = f"x{rng.randrange(12)}"
+        rows.append((i, " ".join(line)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert {(r.doc_id, r.line) for r in matched_lines(docs, few=1, cell=16).collect()} == brute(rows)
+
+
 def test_repeated_and_null_ids(spark):
     docs = spark.createDataFrame([(1, "a b"), (1, "a b"), (None, "a b"), (2, "b a")], "doc_id long, text string")
     assert {(r.doc_id, r.line) for r in matched_lines(docs).collect()} == {(2, 0)}
