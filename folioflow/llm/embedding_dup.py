@@ -15,12 +15,19 @@ from pyspark.sql import functions as F
 from folioflow.llm.common import Scratch, components
 from folioflow.llm.hnsw import Graph
 
-#: Vectors of a shard's graph at most, but for the unevenness of hashing.
-SHARD_ROWS = 2048
-FIRST_BEAM, LAST_BEAM = 64, 256
-AUDITED, RECALL = 64, 0.999
+#: Bytes of the single-precision vectors of a shard's graph, but for the unevenness of hashing: memory decides how many
+#: shards there are (131,072 vectors of 64 components each).
+SHARD_BYTES = 1 << 25
+#: Blocks in which the vectors of a shard ask.
+BLOCKS = 4
+FIRST_BEAM, LAST_BEAM = 16, 256
+#: An audit compares this many queries with brute force: all links, and this many nearest points of each.
+AUDITED, NEAREST = 64, 8
+LINK_RECALL, NEAREST_RECALL = 0.999, 0.9
 #: Single-precision similarities this far under the threshold are still verified in double precision.
 SLACK = 1e-4
+#: Similarities computed at once by brute force.
+TILE = 1 << 22
 
 
 def _prepare(single: bool):
@@ -45,27 +52,29 @@ def _prepare(single: bool):
     return prepare
 
 
-def _unit(raw: list[bytes], kind) -> np.ndarray:
+def _unit(raw: np.ndarray) -> np.ndarray:
     """Unit vectors in double precision; scaled first so that no square overflows."""
-    x = np.stack([np.frombuffer(r, kind) for r in raw]).astype(np.float64)
+    x = raw.astype(np.float64)
     x /= np.abs(x).max(axis=1, keepdims=True)
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
+def _stack(column: pd.Series, kind) -> np.ndarray:
+    return np.frombuffer(b"".join(column), kind).reshape(len(column), -1)
+
+
 def _build(kind):
     def build(part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values("cls", kind="stable")
-        order = np.random.default_rng(8).permutation(len(part))
-        part = part.iloc[order]
-        x = _unit(part["vec"].to_list(), kind)
-        graph = Graph(x)
-        out = io.BytesIO()
-        layers, layer = [], graph.bottom
+        part = part.iloc[np.random.default_rng(8).permutation(len(part))]
+        raw = _stack(part["vec"], kind)
+        layers, layer = [], Graph(_unit(raw)).bottom
         while layer is not None:
             layers.append(layer.links)
             layer = layer.upper
-        np.savez(out, x=x, keys=np.stack([np.frombuffer(k, np.uint8) for k in part["cls"]]), copies=part["copies"].to_numpy(np.int64), **{f"links{i}": a for i, a in enumerate(layers)})
-        return pd.DataFrame({"grp": [part["grp"].iloc[0]], "shard": [part["shard"].iloc[0]], "shards": [part["shards"].iloc[0]], "graph": [out.getvalue()]})
+        out = io.BytesIO()
+        np.savez(out, raw=raw, keys=_stack(part["cls"], np.uint8), copies=part["copies"].to_numpy(np.int64), **{f"links{i}": a for i, a in enumerate(layers)})
+        return pd.DataFrame({"grp": [part["grp"].iloc[0]], "shard": [part["shard"].iloc[0]], "graph": [out.getvalue()]})
 
     return build
 
@@ -73,109 +82,122 @@ def _build(kind):
 def _load(raw: bytes):
     data = np.load(io.BytesIO(raw))
     links = [data[f"links{i}"] for i in range(sum(n.startswith("links") for n in data.files))]
-    return Graph.restored(data["x"], links), data["x"], data["keys"], data["copies"]
+    x = _unit(data["raw"])
+    return Graph.restored(x, links), x, data["keys"], data["copies"]
 
 
-def links_of(graph: Graph, x: np.ndarray, q: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """All (query, point) pairs found with a cosine of ``threshold`` or more in double precision.
+def links_of(graph: Graph, x: np.ndarray, q: np.ndarray, threshold: float, served: dict | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The (query, point) pairs found with a cosine of ``threshold`` or more in double precision, part by part, so that
+    a dense group's pairs are never held together.
 
-    The beam starts at FIRST_BEAM and doubles until an audit, brute force over some of the queries, finds RECALL of the
-    true links; a query whose beam holds nothing but links is asked again with a wider one. Beyond LAST_BEAM a query
-    is compared with the whole shard, which bounds its cost and is exact.
+    The beam starts at FIRST_BEAM and doubles until an audit passes: brute force over some of the queries, of whose links
+    the graph must find LINK_RECALL and of whose NEAREST points, however far, NEAREST_RECALL. A query whose beam holds
+    nothing but links is asked again with a wider one. Beyond LAST_BEAM a query is compared with the whole shard, which
+    bounds its cost and is exact. ``served`` counts the queries answered by graph and by scan.
     """
     low = np.float32(threshold - SLACK)
+    served = {} if served is None else served
+
+    def scan(rows: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        served["scan"] = served.get("scan", 0) + len(rows)
+        step = max(1, TILE // len(x))
+        for i in range(0, len(rows), step):
+            r, c = np.nonzero(q[rows[i : i + step]] @ x.T >= threshold)
+            yield rows[i : i + step][r], c
+
+    def passes(rows: np.ndarray, beam: int) -> bool:
+        links, found, near, reached = 0, 0, 0, 0
+        k, step = min(NEAREST, len(x)), max(1, TILE // len(x))
+        for i in range(0, len(rows), step):
+            at = rows[i : i + step]
+            exact = q[at] @ x.T
+            ids, sims = graph.search(q[at], beam)
+            got = np.where(ids >= 0, np.take_along_axis(exact, np.maximum(ids, 0), 1), -np.inf)
+            full = ((ids >= 0) & (sims >= low)).all(1)  # these will be asked again whatever the beam
+            true = (exact >= threshold).sum(1)
+            links, found = links + int(true.sum()), found + int(np.where(full, true, (got >= threshold).sum(1)).sum())
+            least = np.partition(exact, len(x) - k, axis=1)[:, len(x) - k, None]
+            near, reached = near + k * len(at), reached + int(np.minimum(k, (got >= least).sum(1)).sum())
+        return found >= LINK_RECALL * links and reached >= NEAREST_RECALL * near
 
-    def scan(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        a, b = [], []
-        for i in range(0, len(rows), 256):
-            r, c = np.nonzero(q[rows[i : i + 256]] @ x.T >= threshold)
-            a.append(rows[i : i + 256][r])
-            b.append(c)
-        return np.concatenate([np.empty(0, np.int64), *a]), np.concatenate([np.empty(0, np.int64), *b])
-
-    def ask(rows: np.ndarray, beam: int):
-        a, b, full = [], [], []
-        for i in range(0, len(rows), 256):
-            at = rows[i : i + 256]
+    everyone = np.arange(len(q))
+    audited, beam = everyone[:: max(1, len(q) // AUDITED)], FIRST_BEAM
+    while beam <= LAST_BEAM and beam < len(x) and not passes(audited, beam):
+        beam *= 2
+    while len(everyone) and beam <= LAST_BEAM and beam < len(x):
+        again = []
+        for i in range(0, len(everyone), 256):
+            at = everyone[i : i + 256]
             ids, sims = graph.search(q[at], beam)
             near = (ids >= 0) & (sims >= low)
-            full.append(at[near.all(1)])
-            r, c = np.nonzero(near)
+            full = near.all(1)
+            again.append(at[full])
+            r, c = np.nonzero(near & ~full[:, None])
             r, c = at[r], ids[r, c]
             true = np.einsum("nd,nd->n", q[r], x[c]) >= threshold
-            a.append(r[true])
-            b.append(c[true])
-        return np.concatenate([np.empty(0, np.int64), *a]), np.concatenate([np.empty(0, np.int64), *b]), np.concatenate([np.empty(0, np.int64), *full])
+            yield r[true], c[true]
+        served["graph"] = served.get("graph", 0) + len(everyone) - sum(map(len, again))
+        everyone, beam = np.concatenate(again), beam * 2
+    yield from scan(everyone)
 
-    everyone = np.arange(len(q))
-    audited = everyone[:: max(1, len(q) // AUDITED)]
-    true = set(zip(*map(np.ndarray.tolist, scan(audited)), strict=True))
-    beam = FIRST_BEAM
-    while beam <= LAST_BEAM and beam < len(x):
-        a, b, full = ask(audited, beam)
-        held = set(full.tolist())  # these will be asked again whatever the beam
-        missing = sum(1 for i, j in true.difference(zip(a.tolist(), b.tolist(), strict=True)) if i not in held)
-        if missing <= (1 - RECALL) * len(true):
-            break
-        beam *= 2
-    if beam > LAST_BEAM or beam >= len(x):
-        return scan(everyone)
-    found_a, found_b, rows = [], [], everyone
-    while len(rows) and beam <= LAST_BEAM and beam < len(x):
-        a, b, full = ask(rows, beam)
-        keep = ~np.isin(a, full)
-        found_a.append(a[keep])
-        found_b.append(b[keep])
-        rows, beam = full, beam * 2
-    a, b = scan(rows)
-    return np.concatenate([*found_a, a]), np.concatenate([*found_b, b])
-
-
-def forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """The smallest node reachable from each of n nodes over the edges a - b."""
-    root = np.arange(n)
+
+def joined(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``root`` (the smallest node that each node reaches) after adding the edges a - b."""
     while True:
-        was = root.copy()
-        np.minimum.at(root, a, root[b])
-        np.minimum.at(root, b, root[a])
-        root = root[root]
-        if (root == was).all():
+        low, high = np.minimum(root[a], root[b]), np.maximum(root[a], root[b])
+        apart = low < high
+        if not apart.any():
             return root
+        a, b, low, high = a[apart], b[apart], low[apart], high[apart]
+        np.minimum.at(root, high, low)
+        while (root[root] != root).any():
+            root = root[root]
 
 
 def _search(kind, threshold: float):
     def search(queries: pd.DataFrame, graphs: pd.DataFrame) -> pd.DataFrame:
-        none = pd.DataFrame({"a": [], "b": [], "n": []})
         if not len(queries) or not len(graphs):
-            return none
+            return pd.DataFrame({"a": [], "b": [], "n": []})
         graph, x, keys, copies = _load(graphs["graph"].iloc[0])
         points = [k.tobytes() for k in keys]
         place = {k: i for i, k in enumerate(points)}
         own = queries["cls"].to_list()
-        a, b = links_of(graph, x, _unit(queries["vec"].to_list(), kind), threshold)
+        inside = queries["shard"].iloc[0] == queries["from"].iloc[0]
         node = np.array([place.get(k, len(points) + i) for i, k in enumerate(own)], np.int64)
-        other = node[a] != b
-        a, b = a[other], b[other]
-        total = np.bincount(a, copies[b], len(own)).astype(np.int64)
-        root = forest(len(points) + len(own), node[a], b)
-        name = dict(enumerate(points)) | {int(i): k for i, k in zip(node, own, strict=True)}
-        joined = np.flatnonzero(root != np.arange(len(root)))
-        return pd.DataFrame({"a": [*own, *(name[i] for i in joined)], "b": [None] * len(own) + [name[i] for i in root[joined]], "n": np.concatenate([total, np.zeros(len(joined), np.int64)])})
+        name = points + own
+        weight = queries["copies"].to_numpy(np.int64)
+        root = np.arange(len(name))
+        asked, met = np.zeros(len(own), np.int64), np.zeros(len(points), np.int64)
+        for a, b in links_of(graph, x, _unit(_stack(queries["vec"], kind)), threshold):
+            other = node[a] != b
+            a, b = a[other], b[other]
+            np.add.at(asked, a, copies[b])
+            if not inside:  # inside a shard each side asks for itself
+                np.add.at(met, b, weight[a])
+            root = joined(root, node[a], b)
+        edge, met_at = np.flatnonzero(root != np.arange(len(root))), np.flatnonzero(met)
+        # A query that is a point has that point's node; name[node] and own are the same class.
+        return pd.DataFrame({
+            "a": [*own, *(points[i] for i in met_at), *(name[i] for i in edge)],
+            "b": [None] * (len(own) + len(met_at)) + [name[i] for i in root[edge]],
+            "n": np.concatenate([asked, met[met_at], np.zeros(len(edge), np.int64)]),
+        })
 
     return search
 
 
-def near_duplicates(vectors: DataFrame, threshold: float = 0.98, shard_rows: int = SHARD_ROWS, scratch: Scratch | None = None) -> DataFrame:
+def near_duplicates(vectors: DataFrame, threshold: float = 0.98, shard_bytes: int = SHARD_BYTES, scratch: Scratch | None = None) -> DataFrame:
     """Links vectors (vec_id, embedding, label) of equal non-null label with a cosine of ``threshold`` or more.
 
     Returns per row vec_id, n_links (other vectors linked directly), component_id (the smallest vec_id reachable) and
     kept. Null, empty and zero vectors, those with null or non-finite components and those without a label link with
     nothing; vectors of unlike lengths don't either. Repeated rows link with each other. Rows of one vec_id with unlike
-    vectors count as vectors of their own. Other columns are not read; an empty table gives an empty result.
+    vectors count as vectors of their own; a null vec_id links others and has its own count, its component is that of the
+    ids it reaches and it counts as kept. Other columns are not read; an empty table gives an empty result.
 
-    Equal vectors form a class and go on as one with a count. Each label's classes are dealt to shards of about
-    ``shard_rows`` by hash; a task builds a shard's graph, and every class asks every shard of its label, in blocks of
-    queries. A task returns a count for each query and a spanning forest of the links it found, never the pairs, so
+    Equal vectors form a class and go on as one with a count. Each label's classes are dealt by hash to shards of about
+    ``shard_bytes`` of single-precision components; a task builds a shard's graph. The classes of a shard ask its own
+    graph and those of the shards after it, in BLOCKS blocks, so that every two shards meet once. A task returns a count for each query and a spanning forest of the links it found, never the pairs, so
     that a dense group gives as many rows as it has vectors. Every shard searches with a beam widened by audits
     (``links_of``); all links returned are verified in double precision.
     """
@@ -187,16 +209,15 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98, shard_rows: int
     rows = own.table(vectors.select("vec_id", "embedding", "label").mapInArrow(_prepare(single), f"vec_id {id_type}, cls binary, grp string, vec binary"))
     classes = rows.filter("cls IS NOT NULL").groupBy("cls").agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("copies"), F.first("grp").alias("grp"), F.first("vec").alias("vec"))
     classes = own.table(classes)
-    sizes = own.table(classes.groupBy("grp").agg(F.ceil(F.count(F.lit(1)) / F.lit(shard_rows)).cast("int").alias("shards")))
-    hashed = lambda salt: F.pmod(F.xxhash64(F.lit(salt), "cls"), F.col("shards")).cast("int")
-    placed = own.table(classes.join(sizes, "grp").select("cls", "copies", "grp", "shards", "vec", hashed(1).alias("shard"), hashed(2).alias("block")))
-
-    graphs = placed.groupBy("grp", "shard").applyInPandas(_build(kind), "grp string, shard int, shards int, graph binary")
-    graphs = own.table(graphs)
-    every = F.explode(F.sequence(F.lit(0), F.col("shards") - 1))
-    asked = placed.select("grp", "block", "cls", "vec", every.alias("shard"))
-    served = graphs.select("grp", "shard", "graph", every.alias("block"))
-    by = ("grp", "shard", "block")
+    bytes_ = F.octet_length(F.first("vec")) * F.lit(4 / np.dtype(kind).itemsize) * F.count(F.lit(1))
+    sizes = own.table(classes.groupBy("grp").agg(F.ceil(bytes_ / F.lit(shard_bytes)).cast("int").alias("shards")))
+    hashed = lambda salt, n: F.pmod(F.xxhash64(F.lit(salt), "cls"), n).cast("int")
+    placed = own.table(classes.join(sizes, "grp").select("cls", "copies", "grp", "shards", "vec", hashed(1, F.col("shards")).alias("shard"), hashed(2, F.lit(BLOCKS)).alias("block")))
+
+    graphs = own.table(placed.groupBy("grp", "shard").applyInPandas(_build(kind), "grp string, shard int, graph binary"))
+    asked = placed.select("grp", F.col("shard").alias("from"), "block", "cls", "copies", "vec", F.explode(F.sequence(F.col("shard"), F.col("shards") - 1)).alias("shard"))
+    served = graphs.select("grp", "shard", "graph", F.explode(F.sequence(F.lit(0), F.col("shard"))).alias("from")).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(BLOCKS - 1))))
+    by = ("grp", "from", "block", "shard")
     found = own.table(asked.groupBy(*by).cogroup(served.groupBy(*by)).applyInPandas(_search(kind, threshold), "a binary, b binary, n long"))
 
     counts = found.filter("b IS NULL").groupBy(F.col("a").alias("cls")).agg(F.sum("n").alias("others"))

@@ -24,7 +24,7 @@ GROUP_POSTINGS, PACKED = 1 << 19, 1 << 20
 #: Nearest partners that a posting names in a round; every further round asks for FAR times as many.
 FEW, FAR = 4, 16
 #: Texts are worked on together up to about this many bytes; a longer text alone.
-WORK_BYTES = 1 << 21
+WORK_BYTES = 1 << 17
 LINE = "doc_id long, line int, s1 long, s2 long, n int, b1 long, b2 long, tokens binary, places binary"
 PAIR = "doc_id long, line int, d2 long, l2 int"
 #: A posting: a set's line, size and bitmap under one of its prefix tokens, with the token's place in the set.
@@ -128,9 +128,9 @@ def _add(part: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"task": [part["task"].iloc[0]], "slice": [part["slice"].iloc[0]], "at": [at.astype(np.int32).tobytes()], "n": [n.tobytes()]})
 
 
-def sketch(df: DataFrame, count) -> np.ndarray:
-    """A level for each bucket of token hashes, from counts over all rows of ``df``: 0 for buckets counted once or
-    never, then by eighths of powers of two. Tasks' counts are added up in a tree, FAN of a slice at a time, so that no
+def sketch(df: DataFrame, count, least: int = 2) -> np.ndarray:
+    """A level for each bucket of token hashes, from counts over all rows of ``df``: 0 for buckets counted less than
+    ``least`` times, then by eighths of powers of two (1 at least). Tasks' counts are added up in a tree, FAN of a slice at a time, so that no
     group grows with the number of tasks. Levels take 8 MB at any corpus size."""
     tasks = df.rdd.getNumPartitions()
     counted = df.mapInArrow(count, "slice int, at binary, n binary").select(F.spark_partition_id().alias("task"), "slice", "at", "n")
@@ -142,7 +142,7 @@ def sketch(df: DataFrame, count) -> np.ndarray:
     levels, width = np.zeros(1 << SKETCH_BITS, np.uint8), (1 << SKETCH_BITS) // SLICES
     for r in counted.collect():  # SLICES rows
         n = np.frombuffer(r.n, np.uint32)
-        levels[r.slice * width + np.frombuffer(r.at, np.int32)] = np.where(n < 2, 0, np.minimum(255, np.log2(np.maximum(n, 2)) * 8))
+        levels[r.slice * width + np.frombuffer(r.at, np.int32)] = np.where(n < least, 0, np.minimum(255, np.log2(np.maximum(n, 2)) * 8))
     return levels
 
 
@@ -209,7 +209,7 @@ def _lines(levels, percent: int):
     return lines
 
 
-def _packed(held, groups: int, cell: int):
+def _packed(held, asked, groups: int, cell: int):
     """Postings of classes (doc_id, line, n, b1, b2, tokens, places, asks), packed by group. Tokens that a single class
     holds join nothing and are dropped. A token with more than ``cell`` postings has its classes dealt to blocks, and a class
     goes to each pair of blocks with its own in it."""
@@ -231,6 +231,8 @@ def _packed(held, groups: int, cell: int):
             owner = np.repeat(np.arange(len(counts)), counts)
             place = _flat(batch.column(6), np.uint8)[0]
             shared = level > 0
+            if asked is not None:
+                shared &= asked.value[token >> np.uint32(32 - SKETCH_BITS)] > 0
             token, owner, place = token[shared], owner[shared], place[shared]
             cells = np.ceil(np.exp2((level[shared].astype(np.float64) + 1) / 8) / cell).astype(np.int64)
             doc, line = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
@@ -270,13 +272,17 @@ def _meet(percent: int, few: int):
         n = n.astype(np.int64)
         rest = n - rec["place"]
         doc, line, asks = np.ascontiguousarray(rec["doc_id"]), np.ascontiguousarray(rec["line"]), rec["asks"] != 0
-        more = np.zeros(len(rec), bool)
+        more, place = np.zeros(len(rec), bool), np.empty(len(rec), np.int64)
+        place[np.lexsort((line, doc))] = np.arange(len(rec))
         kept = np.empty((3, 0), np.int64)
         found, waiting = [], 0
 
         def nearest(pairs: np.ndarray) -> np.ndarray:
             asker, other, apart = pairs
-            order = np.lexsort((line[other], doc[other], apart, asker))
+            if len(rec) < 1 << 24:
+                order = np.argsort((asker << 40) | (apart << 32) | place[other])
+            else:
+                order = np.lexsort((place[other], apart, asker))
             asker = asker[order]
             rank = np.arange(len(asker)) - np.searchsorted(asker, asker)
             more[asker[rank >= few]] = True
@@ -294,7 +300,7 @@ def _meet(percent: int, few: int):
             hit = ((both - apart) * (100 + percent) >= 2 * both * percent) & (np.minimum(rest[x], rest[y]) * (100 + percent) >= both * percent)
             if hit.any():
                 a, b, apart = x[hit], y[hit], apart[hit]
-                later = (doc[a] > doc[b]) | ((doc[a] == doc[b]) & (line[a] > line[b]))
+                later = place[a] > place[b]
                 asker, other = np.where(later, a, b), np.where(later, b, a)
                 ok = asks[asker] & ((doc[a] != doc[b]) | (line[a] != line[b]))
                 found.append(np.stack([asker[ok], other[ok], apart[ok]]))
@@ -307,10 +313,10 @@ def _meet(percent: int, few: int):
     return meet
 
 
-def _candidates(own: Scratch, classes: DataFrame, held, postings: int, percent: int, few: int, cell: int) -> DataFrame:
+def _candidates(own: Scratch, classes: DataFrame, held, asked, postings: int, percent: int, few: int, cell: int) -> DataFrame:
     """Pairs (doc_id, line, d2, l2, apart, more) that may match, each once: an asking class and an earlier one."""
     groups = max(2 * classes.sparkSession.sparkContext.defaultParallelism, -(-postings // GROUP_POSTINGS))
-    packed = classes.select("doc_id", "line", "n", "b1", "b2", "tokens", "places", "asks").filter(F.octet_length("tokens") > 0).mapInArrow(_packed(held, groups, cell), "part int, data binary")
+    packed = classes.select("doc_id", "line", "n", "b1", "b2", "tokens", "places", "asks").filter(F.octet_length("tokens") > 0).mapInArrow(_packed(held, asked, groups, cell), "part int, data binary")
     met = packed.groupBy("part").applyInPandas(_meet(percent, few), f"{PAIR}, apart long, more boolean")
     return own.table(met.groupBy("doc_id", "line", "d2", "l2").agg(F.min("apart").alias("apart"), F.max("more").alias("more")))
 
@@ -318,16 +324,28 @@ def _candidates(own: Scratch, classes: DataFrame, held, postings: int, percent:
 def _wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The token sets of the wanted lines (line, d2, l2) of each text."""
     for batch in batches:
-        for at in range(len(batch)):
-            text, wanted = batch.column(1)[at].as_py().encode("utf-8", "surrogatepass").split(b"\n"), batch.column(2)[at].as_py()
-            picked = [text[w["line"]] if w["line"] < len(text) else b"" for w in wanted]
-            starts = np.cumsum([0, *map(len, picked)])
-            hashed, line, first_line = tokens(np.frombuffer(b"".join(picked), np.uint8), starts[:-1])
-            ends = np.searchsorted(line, np.arange(len(picked) + 1))
-            sets = [np.unique(hashed[i:j]).view(np.int64) for i, j in zip(ends[:-1], ends[1:], strict=True)]
-            lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, sets)]).astype(np.int32)), pa.array(np.concatenate(sets), pa.int64()))
-            columns = [pa.array([w[c] for w in wanted], kind) for c, kind in (("line", pa.int32()), ("d2", pa.int64()), ("l2", pa.int32()))]
-            yield pa.RecordBatch.from_arrays([pa.array([batch.column(0)[at].as_py()] * len(wanted), pa.int64()), *columns, lists], ["doc_id", "line", "d2", "l2", "tokens"])
+        wanted = batch.column(2).flatten()
+        counts = np.diff(batch.column(2).offsets.to_numpy())
+        number, picked, at = wanted.field("line").to_pylist(), [], 0
+        for text, n in zip(batch.column(1), counts.tolist(), strict=True):
+            lines = text.as_py().encode("utf-8", "surrogatepass").split(b"\n")
+            picked += [lines[k] if k < len(lines) else b"" for k in number[at : at + n]]
+            at += n
+        starts = np.cumsum([0, *map(len, picked)])
+        cut = 0
+        ends, parts = [0], []
+        while cut < len(picked):  # about WORK_BYTES at a time
+            to = max(cut + 1, int(np.searchsorted(starts, starts[cut] + WORK_BYTES, side="right")) - 1)
+            hashed, line, _ = tokens(np.frombuffer(b"".join(picked[cut:to]), np.uint8), starts[cut:to] - starts[cut])
+            order = np.lexsort((hashed, line))
+            hashed, line = hashed[order], line[order]
+            once = np.r_[True, (hashed[1:] != hashed[:-1]) | (line[1:] != line[:-1])][: len(hashed)]
+            parts.append(hashed[once].view(np.int64))
+            ends += (ends[-1] + np.searchsorted(line[once], np.arange(1, to - cut + 1))).tolist()
+            cut = to
+        sets = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.empty(0, np.int64), *parts]), pa.int64()))
+        ids = batch.column(0).take(pa.array(np.repeat(np.arange(len(counts)), counts)))
+        yield pa.RecordBatch.from_arrays([ids, *(wanted.field(c) for c in ("line", "d2", "l2")), sets], ["doc_id", "line", "d2", "l2", "tokens"])
 
 
 def _verify(own: Scratch, docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
@@ -375,9 +393,9 @@ def matched_lines(docs: DataFrame, percent: int = 75, scratch: Scratch | None =
     held = context.broadcast(sketch(classes.select("tokens"), _count_postings))
     postings = classes.agg(F.sum(F.octet_length("places"))).first()[0] or 0
     at = ["doc_id", "line"]
-    asking, found, tried = classes.withColumn("asks", F.lit(True)), None, None
+    asking, asked, found, tried = classes.withColumn("asks", F.lit(True)), None, None, None
     while True:
-        pairs = _candidates(own, asking, held, postings, percent, few, cell)
+        pairs = _candidates(own, asking, held, asked, postings, percent, few, cell)
         near = pairs.groupBy(*at).agg(F.min(F.struct("apart", "d2", "l2")).alias("near")).select(*at, "near.d2", "near.l2")
         new = pairs if tried is None else pairs.join(tried.hint("merge"), [*at, "d2", "l2"], "left_anti")
         first = own.table(near if tried is None else near.join(tried.hint("merge"), [*at, "d2", "l2"], "left_anti"))
@@ -389,7 +407,8 @@ def matched_lines(docs: DataFrame, percent: int = 75, scratch: Scratch | None =
         if not open_.limit(1).count():
             break
         tried, few = pairs.select(*at, "d2", "l2"), few * FAR
-        asking = classes.join(open_, at, "left").withColumn("asks", F.coalesce("asks", F.lit(False)))
+        asking = own.table(classes.join(open_, at, "left").withColumn("asks", F.coalesce("asks", F.lit(False))))
+        asked = context.broadcast(sketch(asking.filter("asks").select("tokens"), _count_postings, least=1))
 
     result = own.keep(copies.union(found).distinct())
     own.clear()

@@ -15,7 +15,7 @@ def test_token_counts(spark):
     texts = ODD + ["".join(rng.choice("ab c'\n.é!日՘ 12") for _ in range(rng.randint(1, 300))) for _ in range(300)] + ["same text"] * 3
     docs = spark.createDataFrame([(i, t, 5) for i, t in enumerate(texts)], "doc_id long, text string, n_tokens int")
     exact = Tokenizer.from_file(PATH)
-    got = {r.doc_id: r for r in token_counts.count_tokens(docs, PATH, sample_rows=20, entries=50).collect()}
+    got = {r.doc_id: r for r in token_counts.count_tokens(docs, PATH, share=2, entries=50).collect()}
     for i, t in enumerate(texts):
         n = len(exact.encode(t or "", add_special_tokens=False).ids)
         assert (got[i].n_bytes, got[i].n_tokens, got[i].over_limit) == (len((t or "").encode()), n, n > 512), repr(t)[:80]
