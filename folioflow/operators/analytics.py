@@ -107,13 +107,13 @@ def version_coverage(docs: DataFrame, versions: DataFrame) -> DataFrame:
 
 
 def version_presence(docs: DataFrame, versions: DataFrame, grain: str = "document") -> DataFrame:
-    """By source, rows with and without a version. Grain "version" counts a document once for each of its versions, as
+    """By source, rows with and without a version, and the share without one in percent. Grain "version" counts a document once for each of its versions, as
     a plain left join does."""
     joined = docs.select("id", "source_type").join(_version_counts(versions), "id", "left")
     weight = F.greatest(F.coalesce("versions", F.lit(1)), F.lit(1)) if grain == "version" else F.lit(1)
     some = F.col("versions").isNotNull()
     out = joined.groupBy("source_type").agg(F.sum(weight).alias("total"), F.coalesce(F.sum(F.when(some, weight)), F.lit(0)).alias("with_version"), F.count_if(~some).alias("without_version"))
-    return out.withColumn("rate", percent(F.col("with_version"), F.col("total")))
+    return out.withColumn("rate", percent(F.col("without_version"), F.col("total")))
 
 
 def version_stats(docs: DataFrame, versions: DataFrame, grain: str = "document") -> DataFrame:

@@ -82,10 +82,15 @@ def allocate_budget(sources: DataFrame, limit: int, mode: str) -> DataFrame:
 
 def select_within_budget(listing: DataFrame, budgets: DataFrame, limit: int | None = None) -> DataFrame:
     """Of a listing (source_type, pos, source_url), each source's first rows up to its budget, then the first ``limit``
-    in source order. The budgets are a row per source and so are broadcast by size."""
+    in source order. Where every source has a budget, the greatest one is a limit that Spark applies to each task's rows
+    of a source before any are shuffled, so that a source may hold any share of the listing."""
     own = Window.partitionBy("source_type").orderBy("pos", "source_url")
     b = budgets.select("source_type", F.col("pos").alias("source_pos"), "budget")
-    chosen = listing.join(b, "source_type").withColumn("n", F.row_number().over(own)).filter("budget IS NULL OR n <= budget")
+    chosen = listing.join(b, "source_type").withColumn("n", F.row_number().over(own))
+    most = b.agg(F.max("budget").alias("most"), F.count_if(F.col("budget").isNull()).alias("open")).first()
+    if most.most is not None and not most.open:
+        chosen = chosen.filter(F.col("n") <= most.most)
+    chosen = chosen.filter("budget IS NULL OR n <= budget")
     chosen = chosen.select("source_type", "source_pos", "n", "pos", "source_url")
     return chosen.orderBy("source_pos", "n").limit(limit) if limit else chosen
 

@@ -321,11 +321,17 @@ def normalize_statutes_json(raw: DataFrame, base: str = "https://www.canlii.org"
     return _listing(raw, absolute(blank("path"), base), blank("title"), blank("citation"), F.lit(None).cast("string"), F.lit(False), active)
 
 
+#: Fixed value: what the url of a law holds.
+LAW_LINK = r"(?:/[a-z]{2})?/[a-z]{2}/laws/(?:stat|astat|regu|aregu|const)/"
+
+
 def normalize_statute_rows(raw: DataFrame, base: str = "https://www.canlii.org") -> DataFrame:
-    """Row fragments (pos, html): the citation in the first cell, a link, and a status span for inactive ones."""
+    """Row fragments (pos, html): the citation in the first cell, the first link to a law, and a status span for inactive
+    ones. Rows without such a link go."""
     cell = squeeze(F.regexp_replace(F.regexp_extract("html", r"(?is)<td[^>]*>(.*?)</td>", 1), r"<[^>]+>", " "))
-    href = extract(F.col("html"), r"(?is)<a[^>]*href=\"([^\"]*)\"")
-    title = squeeze(F.regexp_replace(F.regexp_extract("html", r"(?is)<a[^>]*>(.*?)</a>", 1), r"<[^>]+>", " "))
+    link = rf"(?s)<[aA]\b[^>]*href=\"([^\"]*{LAW_LINK}[^\"]*)\"[^>]*>(.*?)</[aA]>"
+    href = extract(F.col("html"), link)
+    title = squeeze(F.regexp_replace(F.regexp_extract("html", link, 2), r"<[^>]+>", " "))
     gone = F.col("html").rlike(r"(?is)<span[^>]*>[^<]*(?:Repealed|spent|not in force)[^<]*</span>")
     return _listing(raw.filter(href.isNotNull()), absolute(href, base), title, cell, F.lit(None).cast("string"), F.lit(False), ~gone)
 

@@ -20,9 +20,10 @@ def run_counters(outcomes: DataFrame) -> DataFrame:
 
 
 def run_summary(outcomes: DataFrame) -> DataFrame:
-    """Totals of a run and its success rate in percent (0 without rows)."""
+    """Totals of a run and its success rate in percent of all rows discovered, skipped ones included (0 without rows)."""
     ok, bad = F.count_if(F.col("outcome").isin("new", "updated", "unchanged")), F.count_if(F.col("outcome") == "failed")
-    rate = F.when(ok + bad > 0, F.round(ok * 100.0 / (ok + bad), 1)).otherwise(F.lit(0.0))
+    n = F.count(F.lit(1))
+    rate = F.when(n > 0, F.bround(ok * 100.0 / n, 1)).otherwise(F.lit(0.0))
     return outcomes.agg(ok.alias("succeeded"), bad.alias("failed"), F.count_if(F.col("outcome") == "skipped_fresh").alias("skipped"), rate.alias("success_rate"))
 
 

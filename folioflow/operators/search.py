@@ -10,8 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folioflow.functions.stemmer import STOP_WORDS, stem
-from folioflow.operators.browse import page_facts
-from folioflow.operators.joins import filter_documents, latest_of, with_has_content
+from folioflow.operators.browse import MOST_PER_PAGE, browse, page_facts
+from folioflow.operators.joins import filter_documents, latest_of
 
 WORD = r"[\p{L}\p{N}]+"
 #: Weights of title and citation, and of the labels from the weakest to the strongest.
@@ -162,12 +162,23 @@ def headline(page: DataFrame, terms: Sequence[str], analyzer: str = "simple") ->
 
 def search(docs: DataFrame, versions: DataFrame, title_index: DataFrame, content_index: DataFrame, text: str, page: int = 1, per_page: int = 20, analyzer: str = "simple", **filters) -> tuple[DataFrame, DataFrame]:
     """(page, facts): best first, ties by id. Texts are read for the page's rows alone, after the limit."""
-    terms = parse_query(text, analyzer)
+    terms, per_page = parse_query(text, analyzer), min(per_page, MOST_PER_PAGE)
     found = ranked_matches(docs, title_index, content_index, terms, **filters)
     rows = found.orderBy(F.desc("relevance"), "id").offset((page - 1) * per_page).limit(per_page)
-    texts = latest_of(versions).select(F.col("document_id").alias("id"), "content_text")
-    shown = headline(rows.join(texts, "id", "left"), terms, analyzer)
-    return with_has_content(shown.join(docs.select("id", "title", "citation", "source_url"), "id"), versions), page_facts(found, per_page)
+    # A page has MOST_PER_PAGE rows at most. They go to the texts, and no text is shuffled but the page's own.
+    page_rows = F.broadcast(docs.sparkSession.createDataFrame(rows.collect(), rows.schema))
+    texts = latest_of(versions).select(F.col("document_id").alias("id"), "content_text").join(page_rows.select("id"), "id")
+    texts = texts.groupBy("id").agg(F.first("content_text").alias("content_text"))
+    shown = docs.select("id", "title", "citation", "source_url").join(page_rows, "id").join(texts, "id", "left")
+    shown = shown.withColumn("has_content", F.coalesce(F.col("content_text") != "", F.lit(False)))
+    return headline(shown, terms, analyzer), page_facts(found, per_page)
+
+
+def browse_or_search(docs: DataFrame, versions: DataFrame, title_index: DataFrame, content_index: DataFrame, text: str | None, page: int = 1, per_page: int = 20, analyzer: str = "simple", **filters) -> tuple[DataFrame, DataFrame]:
+    """(page, facts): a blank text browses, any other searches."""
+    if not (text or "").strip():
+        return browse(docs, versions, page, per_page, **filters)
+    return search(docs, versions, title_index, content_index, text, page, per_page, analyzer, **filters)
 
 
 def search_many(index: DataFrame, queries: DataFrame) -> DataFrame:

@@ -47,7 +47,7 @@ class Model:
         )
         category = F.when(F.col("document_type") == "case_law", "Case Law").when(F.col("document_type") == "regulation", "Regulation").otherwise("Legislation")
         court = F.when(F.col("document_type") == "case_law", F.create_map(F.lit("court"), F.upper("source_type"))).otherwise(F.create_map().cast("map<string,string>"))
-        html = F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit("<p>"), F.left("content_text", F.lit(40)), F.lit("</p>"))).otherwise(F.lit(""))
+        html = F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit("<p>"), "content_text", F.lit("</p>"))).otherwise(F.lit(""))
         return d.withColumns({"category": category, "metadata": court, "content_html": html})
 
     @cached_property
@@ -144,7 +144,7 @@ WITH corpus AS (
   SELECT d.doc_id, 'https://corpus.example.org/' || source || '/' || d.doc_id AS source_url, left(split_part(text, chr(10), 1), 80) AS title, upper(source) || ' ' || d.doc_id AS citation,
     CASE lang WHEN 'en' THEN 'ca' WHEN 'fr' THEN 'qc' WHEN 'de' THEN 'ab' WHEN 'es' THEN 'bc' END AS jurisdiction_code, source AS source_type,
     CASE WHEN quality IS NULL THEN 'regulation' WHEN quality = 1 THEN 'legislation' ELSE 'case_law' END AS document_type, toxic IS DISTINCT FROM 1 AS is_active, text AS content_text,
-    CASE WHEN d.doc_id % 2 = 0 THEN '<p>' || left(text, 40) || '</p>' ELSE '' END AS content_html
+    CASE WHEN d.doc_id % 2 = 0 THEN '<p>' || text || '</p>' ELSE '' END AS content_html
   FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id),
 checked AS (SELECT event_id // 10 AS doc_id, ts AS last_checked_at FROM events WHERE event_id % 10 = 0 AND event_id % 100 <> 0),
 docs AS (

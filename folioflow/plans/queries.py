@@ -148,7 +148,7 @@ def classified_outcomes(m: Model) -> DataFrame:
     return _classified(m)
 
 
-@query(f"""SELECT count(*) FILTER (WHERE NOT f) AS succeeded, 0::BIGINT AS failed, count(*) FILTER (WHERE f) AS skipped, 100.0::DOUBLE AS success_rate
+@query(f"""SELECT count(*) FILTER (WHERE NOT f) AS succeeded, 0::BIGINT AS failed, count(*) FILTER (WHERE f) AS skipped, round_even(count(*) FILTER (WHERE NOT f) * 100.0::DOUBLE / count(*), 1)::DOUBLE AS success_rate
   FROM (SELECT coalesce(last_checked_at > {T} - INTERVAL 7 DAY, false) AS f FROM docs)""")
 def run_summary(m: Model) -> DataFrame:
     return runs.run_summary(_classified(m))
@@ -350,9 +350,9 @@ _FRESH = f"""SELECT source_type, count(*) AS total, count(*) FILTER (WHERE last_
   count(*) FILTER (WHERE last_checked_at IS NULL) AS never_checked, strftime(min(last_checked_at), '{DAY}') AS oldest, strftime(max(last_checked_at), '{DAY}') AS newest FROM docs GROUP BY source_type"""
 
 
-@query(_FRESH)
+@query(f", f AS ({_FRESH}) SELECT *, round_even(within_24h * 100.0::DOUBLE / total, 1)::DOUBLE AS percent_24h FROM f")
 def freshness_summary(m: Model) -> DataFrame:
-    return analytics.freshness_summary(m.docs, as_of()).drop("percent_24h").withColumns({"oldest": wall("oldest"), "newest": wall("newest")})
+    return analytics.freshness_summary(m.docs, as_of()).withColumns({"oldest": wall("oldest"), "newest": wall("newest")})
 
 
 @query(f"SELECT source_type, arg_max(id, (started_at, id)) AS id, strftime(max(started_at), '{DAY}') AS started FROM sync_log WHERE finished_at IS NOT NULL GROUP BY source_type")
@@ -389,20 +389,20 @@ def stored_megabytes(m: Model) -> DataFrame:
     return analytics.stored_megabytes(m.versions).withColumn("text_mb", F.col("text_mb").cast("double"))
 
 
-@query("""SELECT source_type, documents, versions, CASE WHEN versions * 100.0 / documents > 90 THEN 'ok' WHEN versions > 0 THEN 'warn' ELSE 'bad' END AS verdict
+@query("""SELECT source_type, documents, versions, round_even(versions * 100.0::DOUBLE / documents, 1)::DOUBLE AS rate, CASE WHEN versions * 100.0 / documents > 90 THEN 'ok' WHEN versions > 0 THEN 'warn' ELSE 'bad' END AS verdict
   FROM (SELECT source_type, count(DISTINCT d.doc_id) AS documents, count(v.id) AS versions FROM docs d LEFT JOIN some_versions v ON d.doc_id = v.doc_id GROUP BY source_type)""")
 def version_coverage(m: Model) -> DataFrame:
-    return analytics.version_coverage(m.docs, m.some_versions).drop("rate")
+    return analytics.version_coverage(m.docs, m.some_versions)
 
 
-@query("""SELECT source_type, count(*) AS total, count(v.doc_id) AS with_version, count(*) - count(v.doc_id) AS without_version FROM docs d LEFT JOIN (SELECT DISTINCT doc_id FROM some_versions) v ON d.doc_id = v.doc_id GROUP BY source_type""")
+@query("""SELECT source_type, count(*) AS total, count(v.doc_id) AS with_version, count(*) - count(v.doc_id) AS without_version, round_even((count(*) - count(v.doc_id)) * 100.0::DOUBLE / count(*), 1)::DOUBLE AS rate FROM docs d LEFT JOIN (SELECT DISTINCT doc_id FROM some_versions) v ON d.doc_id = v.doc_id GROUP BY source_type""")
 def version_presence(m: Model) -> DataFrame:
-    return analytics.version_presence(m.docs, m.some_versions).drop("rate").withColumn("total", F.col("total").cast("long"))
+    return analytics.version_presence(m.docs, m.some_versions).withColumn("total", F.col("total").cast("long"))
 
 
-@query("""SELECT source_type, count(*) AS total, count(v.id) AS with_version, count(*) FILTER (WHERE v.id IS NULL) AS without_version FROM docs d LEFT JOIN some_versions v ON d.doc_id = v.doc_id GROUP BY source_type""")
+@query("""SELECT source_type, count(*) AS total, count(v.id) AS with_version, count(*) FILTER (WHERE v.id IS NULL) AS without_version, round_even(count(*) FILTER (WHERE v.id IS NULL) * 100.0::DOUBLE / count(*), 1)::DOUBLE AS rate FROM docs d LEFT JOIN some_versions v ON d.doc_id = v.doc_id GROUP BY source_type""")
 def version_presence_by_version(m: Model) -> DataFrame:
-    return analytics.version_presence(m.docs, m.some_versions, "version").drop("rate")
+    return analytics.version_presence(m.docs, m.some_versions, "version")
 
 
 @query("""SELECT source_type, count(*) AS versions, count(*) FILTER (WHERE length(v.content_html) = 0) AS no_html, count(*) FILTER (WHERE length(v.content_text) = 0) AS no_text FROM versions v JOIN docs d ON d.doc_id = v.doc_id GROUP BY source_type""")
@@ -425,9 +425,9 @@ def classify_hosts(m: Model) -> DataFrame:
     return analytics.classify_hosts(m.keys, (("one", ("/src1/",)), ("ten_to_nineteen", ("/src1",))))
 
 
-@query(f"SELECT count(*) AS scraped, 0::BIGINT AS remaining, strftime(min(scraped_at), '{DAY}') AS first_at, strftime(max(scraped_at), '{DAY}') AS last_at FROM keys")
+@query(f"SELECT count(*) AS scraped, greatest(0, 100000 - count(*)) AS remaining, round(count(*) * 100.0 / 100000, 2)::DOUBLE AS percentage, strftime(min(scraped_at), '{DAY}') AS first_at, strftime(max(scraped_at), '{DAY}') AS last_at FROM keys")
 def key_progress(m: Model) -> DataFrame:
-    return analytics.key_progress(m.keys, 100).drop("percentage").withColumns({c: wall(c) for c in ("first_at", "last_at")})
+    return analytics.key_progress(m.keys, 100_000).withColumns({c: wall(c) for c in ("first_at", "last_at")})
 
 
 @query(f"{_SRC} SELECT s.source_type, n AS documents, estimate, least(100.0, round(n * 100.0 / estimate, 1))::DOUBLE AS coverage FROM src s JOIN (SELECT source_type, count(*) AS n FROM docs GROUP BY source_type) d ON s.source_type = d.source_type")
@@ -662,9 +662,11 @@ def _all(table: str, *terms: str) -> str:
     return f"SELECT doc FROM {table} WHERE term IN ({', '.join(repr(t) for t in terms)}) GROUP BY doc HAVING count(*) = {len(terms)}"
 
 
-@query(f"{_TOK} SELECT term, doc, count(*) AS holders FROM words GROUP BY term, doc")
+@query(r", tc AS (SELECT id AS doc, regexp_extract_all(lower(title), '[\p{L}\p{N}]+') AS t, regexp_extract_all(lower(citation), '[\p{L}\p{N}]+') AS c FROM docs), pos AS (SELECT doc, generate_subscripts(t || c, 1) AS p, unnest(t || c) AS term, len(t) AS n FROM tc) SELECT term, doc, CASE WHEN p <= n THEN 'A' ELSE 'B' END AS weight, count(*) AS holders, string_agg((p - 1)::VARCHAR, ',' ORDER BY p) AS places FROM pos GROUP BY term, doc, weight")
 def title_index(m: Model) -> DataFrame:
-    return search.build_title_index(m.docs).select("term", "doc").distinct().withColumn("holders", F.lit(1).cast("long"))
+    index = search.build_title_index(m.docs).select("term", "doc", "weight", F.explode("positions").alias("p"))
+    start = index.agg(F.min("p").alias("start"))
+    return index.join(start).groupBy("term", "doc", "weight").agg(F.count(F.lit(1)).alias("holders"), F.array_join(F.sort_array(F.collect_list(F.col("p") - F.col("start"))), ",").alias("places"))
 
 
 @query(", t AS (SELECT document_id AS doc, unnest(regexp_extract_all(lower(content_text), '[\\\\p{L}\\\\p{N}]+')) AS term FROM versions WHERE is_latest AND content_text <> '') SELECT term, count(DISTINCT doc) AS documents, count(*) AS occurrences FROM t GROUP BY term".replace("\\\\", "\\"))
@@ -689,9 +691,21 @@ def search_matches(m: Model) -> DataFrame:
     return found.join(found.agg(F.count(F.lit(1)).alias("total")))
 
 
-@query()
+#: Of two terms each two neighbouring entries of unlike terms are a shortest cover.
+_RANK = r""", tc AS (SELECT id AS doc, regexp_extract_all(lower(title), '[\p{L}\p{N}]+') AS t, regexp_extract_all(lower(citation), '[\p{L}\p{N}]+') AS c FROM docs),
+  pos AS (SELECT doc, generate_subscripts(t || c, 1) AS p, unnest(t || c) AS term, len(t) AS n FROM tc), e AS (SELECT doc, p, term, CASE WHEN p <= n THEN 1.0::DOUBLE ELSE 0.4::DOUBLE END AS w FROM pos WHERE term IN ('the', 'and')),
+  pairs AS (SELECT doc, p, term, w, lag(p) OVER x AS p0, lag(term) OVER x AS term0, lag(w) OVER x AS w0 FROM e WINDOW x AS (PARTITION BY doc ORDER BY p)),
+  density AS (SELECT doc, sum(2.0::DOUBLE / (1.0::DOUBLE / w + 1.0::DOUBLE / w0) / (p - p0)) AS rank FROM pairs WHERE term <> term0 GROUP BY doc)"""
+
+
+@query(f"""{_TOK}{_RANK}, inside AS ({_all('texts', 'the', 'and')}), titled AS ({_all('words', 'the', 'and')}),
+  f AS (SELECT d.id, d.title, d.citation, d.source_url, coalesce(4 * rank, 0) + CASE WHEN i.doc IS NOT NULL THEN 0.1 ELSE 0 END AS relevance, i.doc IS NOT NULL AS in_content FROM docs d LEFT JOIN inside i ON d.id = i.doc LEFT JOIN titled t ON d.id = t.doc LEFT JOIN density r ON d.id = r.doc AND t.doc IS NOT NULL
+    WHERE document_type = 'regulation' AND (i.doc IS NOT NULL OR t.doc IS NOT NULL))
+  SELECT f.id, f.title, f.citation, f.source_url, round(relevance, 6)::DOUBLE AS relevance, in_content, in_content AS marked, EXISTS (SELECT 1 FROM versions v WHERE v.document_id = f.id AND is_latest AND content_text <> '') AS has_content, (SELECT count(*) FROM f) AS total, greatest(1, ceil((SELECT count(*) FROM f) / 20.0))::BIGINT AS total_pages
+  FROM f ORDER BY f.relevance DESC, f.id LIMIT 20""")
 def search_page(m: Model) -> DataFrame:
-    rows, facts = search.search(m.docs, m.versions, m.title_index, m.content_index, "the and", per_page=20, document_type="regulation")
+    rows, facts = search.browse_or_search(m.docs, m.versions, m.title_index, m.content_index, "the and", per_page=20, document_type="regulation")
+    rows = rows.withColumns({"marked": F.coalesce(F.col("snippet").contains("<mark>"), F.lit(False)), "relevance": F.round("relevance", 6)}).drop("snippet")
     return rows.join(facts)
 
 
@@ -701,10 +715,10 @@ def search_english(m: Model) -> DataFrame:
     return rows.join(facts)
 
 
-@query(f"""{_TOK}, q AS (SELECT item_id AS query_id, unnest(list_distinct(list_slice(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+'), 1, 3))) AS term FROM benchmark), n AS (SELECT query_id, count(*) AS n FROM q GROUP BY query_id),
+@query(f"""{_TOK}, q AS (SELECT item_id AS query_id, unnest(list_distinct(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+'))) AS term FROM benchmark), n AS (SELECT query_id, count(*) AS n FROM q GROUP BY query_id),
   h AS (SELECT query_id, doc, count(*) AS n FROM q JOIN texts ON q.term = texts.term GROUP BY query_id, doc) SELECT h.query_id, doc FROM h JOIN n ON h.query_id = n.query_id AND h.n = n.n""")
 def search_many(m: Model) -> DataFrame:
-    queries = m.raw("benchmark").select(F.col("item_id").alias("query_id"), F.array_join(F.slice(search.tokens(F.col("text")), 1, 3), " ").alias("text"))
+    queries = m.raw("benchmark").select(F.col("item_id").alias("query_id"), "text")
     return search.search_many(search.build_content_index(m.versions), queries)
 
 
@@ -747,10 +761,12 @@ def choose_content(m: Model) -> DataFrame:
     return extract.choose_content(m.corpus.select(F.sha2("source_url", 256).alias("id"), "title", F.col("content_text").alias("body")), ["title", "body"]).select("id", "content_text")
 
 
-@query("SELECT id, coalesce(CASE WHEN document_type = 'case_law' THEN 'new' END, 'new') AS court, source_type AS source FROM docs")
+@query("SELECT id, 'new ' || doc_id AS court, source_type AS source, CASE WHEN document_type = 'case_law' THEN 'kept' END AS other FROM docs")
 def enrich_metadata(m: Model) -> DataFrame:
-    out = extract.enrich_metadata(m.docs, {"court": "new", "source": F.col("source_type")})
-    return out.select("id", F.try_element_at("metadata", F.lit("court")).alias("court"), F.try_element_at("metadata", F.lit("source")).alias("source"))
+    other = F.when(F.col("document_type") == "case_law", F.map_concat("metadata", F.create_map(F.lit("other"), F.lit("kept")))).otherwise(F.col("metadata"))
+    rows = m.docs.join(m.corpus.select("doc_id", "source_url"), "source_url").withColumn("metadata", other)
+    out = extract.enrich_metadata(rows, {"court": F.concat(F.lit("new "), F.col("doc_id").cast("string")), "source": F.col("source_type")})
+    return out.select("id", F.try_element_at("metadata", F.lit("other")).alias("other"), F.try_element_at("metadata", F.lit("court")).alias("court"), F.try_element_at("metadata", F.lit("source")).alias("source"))
 
 
 # --- normalisation: raw listing tables derived from the documents, in each source's layout

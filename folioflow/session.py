@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -23,3 +26,14 @@ def local_session(cores: str | int = 8, shuffle_partitions: int = 8, app: str =
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given parquet tables."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder below the one that driver and executors share (spark.checkpoint.dir; in local mode one of our own)."""
+    conf = spark.sparkContext.getConf()
+    found = conf.get("spark.checkpoint.dir")
+    if not found:
+        if not conf.get("spark.master", "").startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
+        found = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
+    return f"{found.rstrip('/')}/{name}-{uuid.uuid4().hex}"

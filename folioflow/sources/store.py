@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,8 +17,10 @@ POINTER = "CURRENT"
 class Store:
     """A folder of numbered snapshots and a pointer to the current one.
 
-    Both tables are written below a new number and the pointer file moves last, so a reader sees either snapshot and
-    never a half. Versions are parted by is_latest. A batch id that the current snapshot has is not written again.
+    Both tables are written below a new number; then a pointer CURRENT.<number> is made by one rename to a name that
+    doesn't exist yet. The pointer of the greatest number counts and none is ever deleted or overwritten, so a reader sees
+    either snapshot and never a half or nothing, and a writer that dies in between leaves the former one current.
+    Versions are parted by is_latest. A batch id that the current snapshot has is not written again.
     """
 
     def __init__(self, spark: SparkSession, path: str):
@@ -27,10 +30,11 @@ class Store:
         self._fs = self._path(self.path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
     def current(self) -> dict | None:
-        where = self._path(f"{self.path}/{POINTER}")
-        if not self._fs.exists(where):
+        found = self._fs.globStatus(self._path(f"{self.path}/{POINTER}.*")) or []
+        numbers = [int(f.getPath().getName().rsplit(".", 1)[1]) for f in found]
+        if not numbers:
             return None
-        return json.loads(self.spark.read.text(f"{self.path}/{POINTER}", wholetext=True).first()[0])
+        return json.loads(self.spark.read.text(f"{self.path}/{POINTER}.{max(numbers)}", wholetext=True).first()[0])
 
     def read(self) -> tuple[DataFrame, DataFrame]:
         now = self.current()
@@ -48,13 +52,12 @@ class Store:
         conform(docs, DOCUMENTS).write.mode("overwrite").parquet(f"{at}/documents")
         conform(versions, VERSIONS).write.mode("overwrite").partitionBy("is_latest").parquet(f"{at}/versions")
         body = json.dumps({"snapshot": number, "batch_id": batch_id if batch_id is not None else now["batch_id"]})
-        new = self._path(f"{self.path}/{POINTER}.{number}")
+        new = self._path(f"{self.path}/_{POINTER}.{uuid.uuid4().hex}")
         out = self._fs.create(new, True)
         out.write(bytearray(body.encode()))
         out.close()
-        old = self._path(f"{self.path}/{POINTER}")
-        self._fs.delete(old, False)
-        self._fs.rename(new, old)
+        if not self._fs.rename(new, self._path(f"{self.path}/{POINTER}.{number}")):
+            raise OSError(f"snapshot {number} of {self.path} has another writer")
         return True
 
 

@@ -122,9 +122,9 @@ def test_statute_lists(spark):
     raw = rows(spark, [(1, "T", "C", "/ab/laws/x", ""), (2, None, None, "http://y", "REPEALED 2001"), (3, "Z", "", "", None)], "pos long, title string, citation string, path string, status string")
     got = {r.pos: (r.source_url, r.is_active) for r in N.normalize_statutes_json(raw).collect()}
     assert got == {1: ("https://www.canlii.org/ab/laws/x", True), 2: ("http://y", False), 3: ("", True)}
-    html = rows(spark, [(1, '<tr><td> RSA 2000 </td><td><a href="/ab/x">An <b>Act</b></a> <span>[Repealed]</span></td></tr>'), (2, "<tr><td>x</td></tr>")], "pos long, html string")
+    html = rows(spark, [(1, '<tr><td> RSA 2000 </td><td><a href="/info/x">no</a> <a href="/ab/laws/stat/x">An <b>Act</b></a> <span>[Repealed]</span></td></tr>'), (2, "<tr><td>x</td></tr>"), (3, '<tr><td>x</td><td><a href="/en/help">Help</a></td></tr>')], "pos long, html string")
     r = one(N.normalize_statute_rows(html))
-    assert (r.source_url, r.title, r.citation, r.is_active) == ("https://www.canlii.org/ab/x", "An Act", "RSA 2000", False)
+    assert (r.source_url, r.title, r.citation, r.is_active) == ("https://www.canlii.org/ab/laws/stat/x", "An Act", "RSA 2000", False)
     urls = rows(spark, [("https://c/ab/laws/stat/rsa-2000-c-a-1/latest/",), ("https://c/x",)], "u string")
     assert [r.c for r in urls.select(N.citation_from_url(F.col("u")).alias("c")).collect()] == ["RSA 2000, c A 1", ""]
     page = rows(spark, [("ab", 1, "h2", "Législation (3)", None), ("ab", 2, "a", "Statutes", "/en/ab/laws/stat/"), ("ab", 3, "h2", "News", None), ("ab", 4, "a", "Deep", "/ab/laws/stat/x/y/z"), ("ab", 5, "a", "Courts", "/ab/abca/"), ("ab", 6, "a", "Out", "http://x/ab/"), ("ab", 7, "a", "Other", "/bc/x")], "list string, pos long, tag string, text string, href string")

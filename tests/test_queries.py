@@ -1,7 +1,7 @@
 import duck
 import pytest
 
-from folioflow.plans.queries import ORACLE, QUERIES
+from folioflow.plans.listings import ORACLE, QUERIES
 
 
 @pytest.fixture(scope="module")

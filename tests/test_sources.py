@@ -1,6 +1,7 @@
 import datetime as dt
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from folioflow.operators.upsert import upsert
@@ -91,3 +92,26 @@ def test_loads_and_backfills(spark, tmp_path):
 def test_profiles(spark):
     profiles.register_profile("x", {"gate": 1}, lambda df: df.limit(1))
     assert profiles.profile("x") == {"gate": 1} and "x" in profiles.names() and profiles.normalize("x", spark.range(5)).count() == 1
+
+
+def test_a_writer_that_dies_leaves_the_former_snapshot(spark, tmp_path):
+    from folioflow.schemas import DOCUMENTS, VERSIONS
+    from folioflow.sources.store import Store
+
+    docs, versions = spark.createDataFrame([], DOCUMENTS), spark.createDataFrame([], VERSIONS)
+    own = Store(spark, str(tmp_path / "s"))
+    assert own.write(docs, versions, 0) and own.current()["snapshot"] == 1
+
+    class Dies:
+        def __getattr__(self, name):
+            if name == "rename":
+                raise RuntimeError("dies before the pointer moves")
+            return getattr(own._fs, name)
+
+    half = Store(spark, own.path)
+    half._fs = Dies()
+    with pytest.raises(RuntimeError):
+        half.write(docs, versions, 1)
+    assert own.current() == {"snapshot": 1, "batch_id": 0}
+    assert own.write(docs, versions, 1) and own.current() == {"snapshot": 2, "batch_id": 1}
+    assert not own.write(docs, versions, 1) and own.read()[0].count() == 0
