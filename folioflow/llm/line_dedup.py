@@ -22,7 +22,7 @@ CELL = 4096
 #: Postings of a group, and those that a task packs together.
 GROUP_POSTINGS, PACKED = 1 << 19, 1 << 20
 #: Nearest partners that a posting names in a round; every further round asks for FAR times as many.
-FEW, FAR = 4, 16
+FEW, FAR = 4, 128
 #: Texts are worked on together up to about this many bytes; a longer text alone.
 WORK_BYTES = 1 << 17
 LINE = "doc_id long, line int, s1 long, s2 long, n int, b1 long, b2 long, tokens binary, places binary"
