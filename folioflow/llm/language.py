@@ -99,8 +99,10 @@ class Classifier:
 def identify(docs: DataFrame, dictionaries: dict[str, bytes], min_margin: float = 0.02) -> DataFrame:
     """Adds to documents (doc_id, text): lang_best (the learned language of the smallest encoding; 'und' for null and
     texts without letters), score (how much smaller than the next, 0 to 1) and lang (lang_best, or 'und' where the
-    score is under ``min_margin``). Whole texts are read, by the text alone; map-side, no shuffle. Columns of these
-    names are replaced."""
+    score is under ``min_margin``). Whole texts are read, by the text alone; map-side, no shuffle. Where two languages'
+    encodings are of one size, the one with more rows to learn from is best, with a score of 0. Repeated rows each get
+    their row and equal texts equal answers. Without dictionaries all are 'und'; an empty table gives an empty one. Columns
+    of these names are replaced."""
 
     @F.pandas_udf("lang string, score double")
     def guess(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folioflow.llm.common import Scratch
@@ -203,20 +203,26 @@ def train(docs: DataFrame, labels: DataFrame, most_rows: int = 20_000) -> Model:
         known = own.table(known.filter(F.pmod(F.xxhash64(F.lit("quality"), "doc_id"), F.lit(n)) < most_rows))
     rows = docs.select("doc_id", "text").join(known, "doc_id").select("y", "text").mapInArrow(_measure, "y double, x array<double>").toPandas()
     own.clear()
-    rows = rows.sort_values("y", kind="stable")
-    return fit(np.stack(rows["x"].to_list()) if len(rows) else np.zeros((0, len(NAMES))), rows["y"].to_numpy(float))
+    x, y = np.stack(rows["x"].to_list()) if len(rows) else np.zeros((0, len(NAMES))), rows["y"].to_numpy(float)
+    order = np.lexsort((*x.T[::-1], y))  # tasks end in any order; float sums shall not depend on it
+    return fit(x[order], y[order])
 
 
-def with_score(docs: DataFrame, model: Model, column: str = "score") -> DataFrame:
-    """Adds the score of each whole text, 0 to 1; null texts score as empty ones. Map-side; a column of that name is
-    replaced."""
+def score_of(text: Column, model: Model) -> Column:
+    """The score of each whole text, 0 to 1; null texts score as empty ones."""
 
     @F.pandas_udf("double")
     def scored(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in parts:
             yield pd.Series(model.score(feature_matrix(texts.to_list())))
 
-    return docs.withColumn(column, scored(F.col("text")))
+    return scored(text)
+
+
+def with_score(docs: DataFrame, model: Model, column: str = "score") -> DataFrame:
+    """Adds ``score_of`` the text. Map-side; a column of that name is replaced, others are kept whatever they are called.
+    Rows with equal texts get equal scores; an empty table gives an empty one."""
+    return docs.withColumn(column, score_of(F.col("text"), model))
 
 
 def assess(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
@@ -227,5 +233,6 @@ def assess(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
-    """The documents, all columns, that the classifier predicts as label 1."""
-    return with_score(docs, train(docs, labels, **options), "__score").filter("__score >= 0.5").select(*[docs[c] for c in docs.columns])
+    """The documents, all columns, that the classifier predicts as label 1: a score of 0.5 stays. Null texts are judged as
+    empty ones; of repeated rows all go or all stay; columns may have any name; an empty table gives an empty one."""
+    return docs.filter(score_of(F.col("text"), train(docs, labels, **options)) >= 0.5)

@@ -93,3 +93,34 @@ def test_quality(spark):
     none = quality.assess(docs, marks.limit(0)).collect()
     assert [r.score for r in none] == [pytest.approx(0.5)] * len(rows)
     assert quality.assess(docs.limit(0), marks).collect() == []
+
+
+def test_equal_sizes_repeated_rows_and_brute_force_sizes(spark):
+    """Ties go to the first dictionary; the sizes are those of zstandard itself, piece by piece."""
+    import zstandard
+
+    words = {"a": b"the river and the stone of the house ", "b": b"le jardin et la maison de la nuit "}
+    same = language.Classifier({"a": words["a"], "b": words["a"]})
+    assert same("the river and the house") == ("a", 0.0)
+    text = "The river and the stone. " * 2000
+    raw = language.letters(text).encode()
+    for (lang, known), size in zip(words.items(), language.Classifier(words).sizes(text), strict=True):
+        dictionary = zstandard.ZstdCompressionDict(known, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        maker = zstandard.ZstdCompressor(level=5, dict_data=dictionary, write_content_size=False, write_checksum=False, write_dict_id=False)
+        assert size == sum(len(maker.compress(raw[i : i + 16_384])) for i in range(0, len(raw), 16_384)), lang
+    docs = spark.createDataFrame([(1, "the house", "x"), (1, "the house", "x"), (2, None, "y")], "doc_id long, text string, score string")
+    got = [(r.doc_id, r.lang_best) for r in language.identify(docs, words).collect()]
+    assert sorted(got) == [(1, "a"), (1, "a"), (2, "und")]
+
+
+def test_quality_takes_long_texts_and_clashing_names(spark):
+    rng = random.Random(5)
+    rows = [(i, " ".join(rng.choice(["river", "stone", "winter", "house"]) for _ in range(40)) if i % 2 else "BUY!!! $$$ " * 20, "s") for i in range(200)]
+    rows += [(900, "river stone " * 60_000, "s"), (901, None, "s"), (901, None, "s")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, __score string")
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(200)], "doc_id long, quality int, toxic int")
+    kept = quality.keep_good(docs, labels)
+    assert kept.columns == docs.columns
+    got = sorted(r.doc_id for r in kept.collect())
+    assert {i for i in got if i < 200} == {i for i in range(200) if i % 2} and got.count(901) in (0, 2)
+    assert sorted(map(str, quality.assess(docs.repartition(7), labels).collect())) == sorted(map(str, quality.assess(docs, labels).collect()))
