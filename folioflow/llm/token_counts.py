@@ -6,6 +6,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -76,20 +77,20 @@ def frequent_lengths(docs: DataFrame, path: str, share: int = 16, entries: int =
     documents twice would be wasted. Each task sends its most frequent pre-tokens alone, 4 x ``entries`` at most; no text
     is shuffled."""
 
-    def count(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter[str] = Counter()
         own = Counted(path, {})
-        for part in parts:
-            for text in part["text"]:
-                if own.plain(text or ""):
-                    seen.update(PATTERN.findall(text or ""))
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                if text and own.plain(text):
+                    seen.update(PATTERN.findall(text))
             if len(seen) > 40 * entries:
                 seen = Counter(dict(seen.most_common(20 * entries)))
         top = seen.most_common(4 * entries)
-        yield pd.DataFrame({"token": [t for t, _ in top], "n": [n for _, n in top]})
+        yield pa.RecordBatch.from_arrays([pa.array([t for t, _ in top], pa.string()), pa.array([n for _, n in top], pa.int64())], ["token", "n"])
 
     chosen = docs.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(share)) == 0).select("text")
-    counted = chosen.mapInPandas(count, "token string, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    counted = chosen.mapInArrow(count, "token string, n long").groupBy("token").agg(F.sum("n").alias("n"))
     top = [r.token for r in counted.orderBy(F.desc("n"), "token").limit(entries).collect()]
     return dict(zip(top, Counted(path, {}).encoded(top), strict=True)) if top else {}
 
