@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Estimates of listing sizes by source, and that of others.
 ESTIMATES = {"justice_canada_xml": 5795, "bc_laws_api": 882, "alberta_kings_printer": 1415, "a2aj_case_law": 184565, "canlii_legacy": 1000}
@@ -95,10 +96,26 @@ def select_within_budget(listing: DataFrame, budgets: DataFrame, limit: int | No
     return chosen.orderBy("source_pos", "n").limit(limit) if limit else chosen
 
 
-def carry_forward(df: DataFrame, value: str, by: list[str], order: str, out: str) -> DataFrame:
-    """The nearest non-null value at or before each row in listing order."""
-    at = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumn(out, F.last(value, ignorenulls=True).over(at))
+def carry_forward(df: DataFrame, value: str, by: list[str], order: str, out: str, width: int = 65_536) -> DataFrame:
+    """The nearest non-null value at or before each row in listing order.
+
+    A listing numbered by a whole ``order`` is cut into ranges of ``width`` numbers, so that one of any length is ordered
+    by many tasks: one small row a range says what is carried into it, and rows before the first value of their range
+    take that."""
+    to_here = Window.unboundedPreceding, 0
+    if not isinstance(df.schema[order].dataType, T.IntegralType):
+        return df.withColumn(out, F.last(value, ignorenulls=True).over(Window.partitionBy(*by).orderBy(order).rowsBetween(*to_here)))
+    # Rows without a number come first.
+    place = F.coalesce(F.col(order).cast("long"), F.lit(-(2**63)))
+    cut = df.withColumn("_range", F.floor(place / F.lit(width)).cast("long"))
+    ends = cut.groupBy(*by, "_range").agg(F.max_by(value, F.when(F.col(value).isNotNull(), place)).alias("_end"))
+    before = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    names = [f"_by{i}" for i in range(len(by))]
+    carried = ends.select(*[F.col(c).alias(n) for c, n in zip(by, names, strict=True)], F.col("_range").alias("_at"), F.last("_end", ignorenulls=True).over(before).alias("_carried"))
+    within = cut.withColumn(out, F.last(value, ignorenulls=True).over(Window.partitionBy(*by, "_range").orderBy(order).rowsBetween(*to_here)))
+    same = [F.col(n).eqNullSafe(F.col(c)) for c, n in zip(by, names, strict=True)]
+    found = within.join(carried, [*same, F.col("_range") == F.col("_at")], "left")
+    return found.select(*[c for c in df.columns if c != out], F.coalesce(out, "_carried").alias(out))
 
 
 def first_wins(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:

@@ -116,12 +116,11 @@ def matches(title_index: DataFrame, content_index: DataFrame, terms: Sequence[st
 
 
 def ranked_matches(docs: DataFrame, title_index: DataFrame, content_index: DataFrame, terms: Sequence[str], **filters) -> DataFrame:
-    """(id, relevance): four times the title's density, and a tenth for a match in the text."""
+    """(id, relevance, in_content): four times the title's density, and a tenth for a match in the text."""
     titles = cover_density(title_index, terms).withColumnRenamed("doc", "id")
     texts = match(content_index, terms).select(F.col("doc").alias("id"), F.lit(0.1).alias("bonus"))
-    found = filter_documents(docs, **filters).select("id").join(matches(title_index, content_index, terms).withColumnRenamed("doc", "id"), "id")
-    both = found.join(titles, "id", "left").join(texts, "id", "left")
-    return both.select("id", (F.coalesce("rank", F.lit(0.0)) * 4.0 + F.coalesce("bonus", F.lit(0.0))).alias("relevance"), F.col("bonus").isNotNull().alias("in_content"))
+    found = filter_documents(docs, **filters).select("id").join(titles.join(texts, "id", "full"), "id")
+    return found.select("id", (F.coalesce("rank", F.lit(0.0)) * 4.0 + F.coalesce("bonus", F.lit(0.0))).alias("relevance"), F.col("bonus").isNotNull().alias("in_content"))
 
 
 def _fragments(text: str, terms: set[str], analyzer: str, most: int = 35, least: int = 15, fragments: int = 2) -> str:
@@ -171,7 +170,9 @@ def search(docs: DataFrame, versions: DataFrame, title_index: DataFrame, content
     texts = texts.groupBy("id").agg(F.first("content_text").alias("content_text"))
     shown = docs.select("id", "title", "citation", "source_url").join(page_rows, "id").join(texts, "id", "left")
     shown = shown.withColumn("has_content", F.coalesce(F.col("content_text") != "", F.lit(False)))
-    return headline(shown, terms, analyzer), page_facts(found, per_page)
+    # The total needs no ranks.
+    hits = filter_documents(docs, **filters).select("id").join(matches(title_index, content_index, terms).withColumnRenamed("doc", "id"), "id", "left_semi")
+    return headline(shown, terms, analyzer), page_facts(hits, per_page)
 
 
 def browse_or_search(docs: DataFrame, versions: DataFrame, title_index: DataFrame, content_index: DataFrame, text: str | None, page: int = 1, per_page: int = 20, analyzer: str = "simple", **filters) -> tuple[DataFrame, DataFrame]:

@@ -1,7 +1,10 @@
 import datetime as dt
+import random
 
+import pytest
 from pyspark.sql import functions as F
 
+from folioflow.operators import incremental
 from folioflow.operators.incremental import allocate_budget, select_within_budget
 from folioflow.operators.repair import normalize_urls, url_changes
 from folioflow.operators.upsert import ensure_jurisdictions, upsert
@@ -99,3 +102,16 @@ def test_url_collisions(spark):
     changes = {r.id: (r.new_url, r.applied) for r in url_changes(docs).collect()}
     assert changes["1"] == ("http://h/a%20b", False) and changes["3"] == ("http://h/c%20d", True) and changes["4"][1] and not changes["7"][1] and "2" not in changes
     assert normalize_urls(normalize_urls(docs)).filter("source_url LIKE '% %'").count() == 2
+
+
+@pytest.mark.parametrize("width", [1, 7, 1000])
+def test_carry_forward_is_the_same_in_ranges(spark, width):
+    rng = random.Random(width)
+    rows = [(rng.choice(["a", "b", None]), pos, rng.choice([None, None, None, f"v{pos}"])) for pos in rng.sample(range(-60, 200), 150)] + [("a", None, "first"), ("c", 5, None)]
+    df = spark.createDataFrame(rows, "list string, pos int, value string")
+    got = {(r.list, r.pos): r.carried for r in incremental.carry_forward(df, "value", ["list"], "pos", "carried", width).collect()}
+    last: dict = {}
+    for name, pos, value in sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0)):
+        last[name] = value or last.get(name)
+        assert got[name, pos] == last[name]
+    assert len(got) == len(rows)
