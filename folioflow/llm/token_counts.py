@@ -71,26 +71,46 @@ def worker(path: str, frequent: dict[str, int]) -> Counted:
     return _workers[path]
 
 
-def frequent_lengths(docs: DataFrame, path: str, share: int = 16, entries: int = 16_384) -> dict[str, int]:
-    """Token counts of the ``entries`` most frequent pre-tokens of one in ``share`` documents, chosen by a hash of
-    doc_id and text at every size. It only seeds the workers' caches; no count depends on it, so that counting all
-    documents twice would be wasted. Each task sends its most frequent pre-tokens alone, 4 x ``entries`` at most; no text
-    is shuffled."""
+def frequent_lengths(docs: DataFrame, path: str, entries: int = 16_384, longest: int = 64) -> dict[str, int]:
+    """Token counts of the ``entries`` most frequent pre-tokens of all documents.
+
+    Each task counts the pieces between blanks of its whole texts, cuts each distinct piece into pre-tokens once, and
+    sends its most frequent ones, 4 x ``entries`` at most; they are added up by pre-token, and no text is shuffled.
+    Pieces above ``longest`` characters are cut where they stand. A task holds 60 x ``entries`` pieces and as many
+    pre-tokens at most and forgets the rarest ones beyond that, so a count may fall short of the true one, as it does
+    where blanks follow each other. It only says what is looked up first: no result depends on it."""
+    most = 20 * entries
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces: Counter[str] = Counter()
         seen: Counter[str] = Counter()
-        own = Counted(path, {})
+
+        def settle() -> None:
+            for piece, n in pieces.items():
+                for token in PATTERN.findall(piece):
+                    seen[token] += n
+            pieces.clear()
+            if len(seen) > 3 * most:
+                kept = seen.most_common(most)
+                seen.clear()
+                seen.update(dict(kept))
+
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                if text and own.plain(text):
-                    seen.update(PATTERN.findall(text))
-            if len(seen) > 40 * entries:
-                seen = Counter(dict(seen.most_common(20 * entries)))
+                if text:
+                    first, *others = text.split(" ")
+                    seen.update(PATTERN.findall(first))
+                    pieces.update([" " + p for p in others if len(p) < longest])
+                    for piece in others:
+                        if len(piece) >= longest:
+                            seen.update(PATTERN.findall(" " + piece))
+                if len(pieces) > most or len(seen) > 3 * most:
+                    settle()
+        settle()
         top = seen.most_common(4 * entries)
         yield pa.RecordBatch.from_arrays([pa.array([t for t, _ in top], pa.string()), pa.array([n for _, n in top], pa.int64())], ["token", "n"])
 
-    chosen = docs.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(share)) == 0).select("text")
-    counted = chosen.mapInArrow(count, "token string, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    counted = docs.select("text").mapInArrow(count, "token string, n long").groupBy("token").agg(F.sum("n").alias("n"))
     top = [r.token for r in counted.orderBy(F.desc("n"), "token").limit(entries).collect()]
     return dict(zip(top, Counted(path, {}).encoded(top), strict=True)) if top else {}
 

@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 import public_tokenizers
 import pytest
@@ -15,13 +16,25 @@ def test_token_counts(spark):
     texts = ODD + ["".join(rng.choice("ab c'\n.é!日՘ 12") for _ in range(rng.randint(1, 300))) for _ in range(300)] + ["same text"] * 3
     docs = spark.createDataFrame([(i, t, 5) for i, t in enumerate(texts)], "doc_id long, text string, n_tokens int")
     exact = Tokenizer.from_file(PATH)
-    got = {r.doc_id: r for r in token_counts.count_tokens(docs, PATH, share=2, entries=50).collect()}
+    got = {r.doc_id: r for r in token_counts.count_tokens(docs, PATH, entries=50).collect()}
     for i, t in enumerate(texts):
         n = len(exact.encode(t or "", add_special_tokens=False).ids)
         assert (got[i].n_bytes, got[i].n_tokens, got[i].over_limit) == (len((t or "").encode()), n, n > 512), repr(t)[:80]
     assert token_counts.count_tokens(docs.limit(0), PATH).collect() == []
 
 
+def test_first_tier_counts_all_documents(spark):
+    rng = random.Random(5)
+    words = [f"w{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(200)]
+    texts = [" ".join(rng.choices(words, weights=range(200, 0, -1), k=rng.randint(1, 400))) for _ in range(300)] + ["x" * 500 + " last" * 3000, None, ""]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(7)
+    n = Counter(p for t in texts for p in token_counts.PATTERN.findall(t or ""))
+    want = sorted(n, key=lambda p: (-n[p], p))[:40]
+    exact = Tokenizer.from_file(PATH)
+    assert token_counts.frequent_lengths(docs, PATH, entries=40) == {p: len(exact.encode(p, add_special_tokens=False).ids) for p in want}
+    assert token_counts.frequent_lengths(docs.limit(0), PATH) == {}
+
+
 def test_cache_stays_bounded():
     own = token_counts.Counted(PATH, {"the": 1}, most=10)
     exact = Tokenizer.from_file(PATH)
