@@ -433,3 +433,22 @@ def dedup_lines(docs: DataFrame, percent: int = 75) -> DataFrame:
     kept = F.filter(F.split("text", "\n"), lambda _, i: ~F.array_contains(F.col("lines"), i))
     text = F.when(F.col("lines").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
     return rows.select(*[text.alias(c) if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns])
+
+
+#: The same join over distinct word sets: two sets as alike share a word among the rarest n - ceil(3 n / 4) + 1 of each.
+ORACLE = r"""WITH split AS (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents),
+  lines AS (SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) - 1 AS i FROM split WHERE doc_id IS NOT NULL),
+  sets AS (SELECT doc_id, i, list_sort(list_distinct(regexp_extract_all(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'))) AS words FROM lines),
+  classes AS (SELECT words, min(doc_id::HUGEINT * 4294967296 + i) AS head, row_number() OVER () AS c FROM sets WHERE len(words) > 0 GROUP BY words),
+  members AS (SELECT c, unnest(words) AS word, len(words) AS n FROM classes),
+  rarity AS (SELECT word, count(*) AS holders FROM members GROUP BY word),
+  ranked AS (SELECT c, word, n, row_number() OVER (PARTITION BY c ORDER BY holders, word) AS rank FROM members JOIN rarity USING (word)),
+  prefixes AS (SELECT c, word, n FROM ranked WHERE rank <= n - ceil(3 * n / 4.0) + 1),
+  candidates AS (SELECT DISTINCT a.c AS a, b.c AS b FROM prefixes a JOIN prefixes b ON a.word = b.word AND a.c < b.c AND 4 * least(a.n, b.n) >= 3 * greatest(a.n, b.n)),
+  compared AS (SELECT a, b, len(list_intersect(x.words, y.words)) AS same, len(x.words) + len(y.words) AS total FROM candidates JOIN classes x ON x.c = a JOIN classes y ON y.c = b),
+  links AS (SELECT a, b FROM compared WHERE 100 * same >= 75 * (total - same)),
+  ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links UNION ALL SELECT c, c FROM classes),
+  firsts AS (SELECT a AS c, min(head) AS first FROM ways JOIN classes ON c = b GROUP BY a),
+  removed AS (SELECT doc_id, count(*) AS n, string_agg(i::VARCHAR, ',' ORDER BY i) AS gone FROM sets JOIN classes USING (words) JOIN firsts USING (c) WHERE first < doc_id::HUGEINT * 4294967296 + i GROUP BY doc_id)
+SELECT d.doc_id, coalesce(len(string_split(text, chr(10))), 0)::BIGINT AS n_lines, coalesce(n, 0)::BIGINT AS n_removed, (coalesce(len(string_split(text, chr(10))), 0) - coalesce(n, 0))::BIGINT AS n_kept, coalesce(gone, '') AS removed_lines
+FROM documents d LEFT JOIN removed r ON r.doc_id = d.doc_id"""

@@ -324,3 +324,16 @@ def keep_one(docs: DataFrame, percent: int = 75) -> DataFrame:
         first = kept.join(several, ["key", "hash"], "left_semi").groupBy("key", "hash").agg(F.min_by("row", F.xxhash64(F.to_json("row"))).alias("row"))
         kept = kept.join(several, ["key", "hash"], "left_anti").select("row").unionByName(first.select("row"))
     return kept.select("row").unionByName(rows.filter("NOT words").select("row")).select("row.*")
+
+
+#: Every two documents with a shingle in common are compared, and links are followed from every document.
+ORACLE = r"""WITH RECURSIVE words AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+  sets AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, greatest(len(w) - 3, 2)), lambda i: array_to_string(w[i:i + 4], ' '))) AS shingle FROM words WHERE len(w) > 0),
+  sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+  pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both FROM sets a JOIN sets b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL),
+  links AS (SELECT a, b FROM pairs JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * pairs.both >= 75 * (x.n + y.n - pairs.both)),
+  ways AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+  reach AS (SELECT doc_id AS start, doc_id AS reached FROM sizes UNION SELECT start, b FROM reach JOIN ways ON reached = a),
+  groups AS (SELECT start, min(reached) AS component FROM reach GROUP BY start)
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, coalesce(component, d.doc_id) AS component_id, coalesce(component, d.doc_id) = d.doc_id AS kept
+FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id LEFT JOIN groups g ON g.start = d.doc_id"""

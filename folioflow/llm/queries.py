@@ -62,4 +62,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_chat": chat.ORACLE, "op8_embedding_dup": embedding_dup.ORACLE, "op9_decontamination": decontamination.ORACLE}
+    return {"op1_line_dedup": line_dedup.ORACLE, "op5_near_dup": near_dup.ORACLE, "op6_chat": chat.ORACLE, "op8_embedding_dup": embedding_dup.ORACLE, "op9_decontamination": decontamination.ORACLE}
