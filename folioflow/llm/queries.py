@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioflow.llm import chat, decontamination, embedding_dup, language, line_dedup, merkle, mixing, near_dup, quality, sharding, token_counts
+from folioflow.llm import chat, decontamination, embedding_dup, language, line_dedup, merkle, mixing, near_dup, quality, sharding, token_counts, warc
 from folioflow.session import table
 
 
@@ -57,13 +57,17 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_pages(table(spark, sf_dir, "pages"))
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.tampered(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_line_dedup, op2_sharding, op3_language, op4_token_counts, op5_near_dup, op6_chat, op7_quality, op8_embedding_dup, op9_decontamination, op10_mixing, op13_merkle)}
+    return {f.__name__: f for f in (op1_line_dedup, op2_sharding, op3_language, op4_token_counts, op5_near_dup, op6_chat, op7_quality, op8_embedding_dup, op9_decontamination, op10_mixing, op11_warc, op13_merkle)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_dedup": line_dedup.ORACLE, "op5_near_dup": near_dup.ORACLE, "op6_chat": chat.ORACLE, "op8_embedding_dup": embedding_dup.ORACLE, "op9_decontamination": decontamination.ORACLE, "op13_merkle": merkle.ORACLE}
+    return {"op1_line_dedup": line_dedup.ORACLE, "op5_near_dup": near_dup.ORACLE, "op6_chat": chat.ORACLE, "op8_embedding_dup": embedding_dup.ORACLE, "op9_decontamination": decontamination.ORACLE, "op11_warc": warc.ORACLE, "op13_merkle": merkle.ORACLE}
