@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioflow.llm import chat, decontamination, embedding_dup, language, line_dedup, merkle, mixing, near_dup, quality, sharding, token_counts, warc
+from folioflow.llm import chat, decontamination, embedding_dup, language, line_dedup, merkle, mixing, near_dup, quality, sharding, token_counts, warc, whitening
 from folioflow.session import table
 
 
@@ -61,12 +61,16 @@ def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_pages(table(spark, sf_dir, "pages"))
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.tampered(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_line_dedup, op2_sharding, op3_language, op4_token_counts, op5_near_dup, op6_chat, op7_quality, op8_embedding_dup, op9_decontamination, op10_mixing, op11_warc, op13_merkle)}
+    return {f.__name__: f for f in (op1_line_dedup, op2_sharding, op3_language, op4_token_counts, op5_near_dup, op6_chat, op7_quality, op8_embedding_dup, op9_decontamination, op10_mixing, op11_warc, op12_whitening, op13_merkle)}
 
 
 def oracle_sql() -> dict[str, str]:
