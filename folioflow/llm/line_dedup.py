@@ -7,16 +7,18 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from folioflow.llm.common import BROADCAST_ROWS, Scratch
+from folioflow.llm.common import Scratch, repeated
 
 #: Counts by token hash are kept in 2^SKETCH_BITS buckets: a fixed size whatever the vocabulary.
 SKETCH_BITS = 23
 #: A sketch travels in SLICES parts; the tasks' parts are added up FAN at a time.
 SLICES, FAN = 64, 64
 MOST = 2**32 - 1
+#: What a null doc_id counts as: it comes last.
+NO_ID = 2**63 - 1
 #: Postings of a token that meet in one place; those of more frequent ones are dealt to blocks of this size.
 CELL = 4096
 #: Postings of a group, and those that a task packs together.
@@ -25,10 +27,12 @@ GROUP_POSTINGS, PACKED = 1 << 19, 1 << 20
 FEW, FAR = 4, 128
 #: Texts are worked on together up to about this many bytes; a longer text alone.
 WORK_BYTES = 1 << 17
-LINE = "doc_id long, line int, s1 long, s2 long, n int, b1 long, b2 long, tokens binary, places binary"
-PAIR = "doc_id long, line int, d2 long, l2 int"
+LINE = "doc_id long, hash long, line int, s1 long, s2 long, n int, b1 long, b2 long, tokens binary, places binary"
+PAIR = "doc_id long, hash long, line int, d2 long, h2 long, l2 int"
+#: A line's place: rows are ordered by doc_id, rows of one doc_id by their text's hash.
+PLACE, OTHER = ["doc_id", "hash", "line"], ["d2", "h2", "l2"]
 #: A posting: a set's line, size and bitmap under one of its prefix tokens, with the token's place in the set.
-POSTING = np.dtype([("key", "<u4"), ("n", "<u2"), ("place", "u1"), ("asks", "u1"), ("doc_id", "<i8"), ("line", "<i4"), ("b1", "<u8"), ("b2", "<u8")])
+POSTING = np.dtype([("key", "<u4"), ("n", "<u2"), ("place", "u1"), ("asks", "u1"), ("doc_id", "<i8"), ("hash", "<i8"), ("line", "<i4"), ("b1", "<u8"), ("b2", "<u8")])
 
 _R = np.uint64(0x9E3779B97F4A7C15)
 _R_INVERSE = np.uint64(pow(int(_R), -1, 2**64))
@@ -178,7 +182,7 @@ def _lines(levels, percent: int):
     def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         level_of = levels.value
         for batch in batches:
-            for at, to, data, starts in _chunks(batch.column(1)):
+            for at, to, data, starts in _chunks(batch.column(2)):
                 hashed, line, first_line = tokens(data, starts)
                 level = level_of[(hashed >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
                 order = _ordered(hashed, line, level)
@@ -199,18 +203,18 @@ def _lines(levels, percent: int):
                 text = np.searchsorted(first_line, own, side="right") - 1
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0).slice(at, to - at).take(pa.array(text)), pa.array((own - first_line[text]).astype(np.int32)),
+                        *(batch.column(i).slice(at, to - at).take(pa.array(text)) for i in (0, 1)), pa.array((own - first_line[text]).astype(np.int32)),
                         pa.array(np.add.reduceat(_mix(hashed, 0xD6E8FEB86659FD93), begin).view(np.int64)), pa.array(np.add.reduceat(_mix(hashed, 0xA0761D6478BD642F), begin).view(np.int64)), pa.array(size.astype(np.int32)),
                         *map(pa.array, bits), _binary((hashed[keep] >> np.uint64(32)).astype(np.uint32), counts), _binary(np.minimum(place[keep], 255).astype(np.uint8), counts),
                     ],
-                    ["doc_id", "line", "s1", "s2", "n", "b1", "b2", "tokens", "places"],
+                    ["doc_id", "hash", "line", "s1", "s2", "n", "b1", "b2", "tokens", "places"],
                 )
 
     return lines
 
 
 def _packed(held, asked, groups: int, cell: int):
-    """Postings of classes (doc_id, line, n, b1, b2, tokens, places, asks), packed by group. Tokens that a single class
+    """Postings of classes (doc_id, hash, line, n, b1, b2, tokens, places, asks), packed by group. Tokens that a single class
     holds join nothing and are dropped. A token with more than ``cell`` postings has its classes dealt to blocks, and a class
     goes to each pair of blocks with its own in it."""
 
@@ -226,28 +230,28 @@ def _packed(held, asked, groups: int, cell: int):
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, waiting = [], 0
         for batch in batches:
-            token, counts = _flat(batch.column(5), np.uint32)
+            token, counts = _flat(batch.column(6), np.uint32)
             level = held.value[token >> np.uint32(32 - SKETCH_BITS)]
             owner = np.repeat(np.arange(len(counts)), counts)
-            place = _flat(batch.column(6), np.uint8)[0]
+            place = _flat(batch.column(7), np.uint8)[0]
             shared = level > 0
             if asked is not None:
                 shared &= asked.value[token >> np.uint32(32 - SKETCH_BITS)] > 0
             token, owner, place = token[shared], owner[shared], place[shared]
             cells = np.ceil(np.exp2((level[shared].astype(np.float64) + 1) / 8) / cell).astype(np.int64)
-            doc, line = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            doc, text, line = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1, 2))
             many = np.repeat(np.arange(len(token)), cells)
             token, owner, place, cells = token[many], owner[many], place[many], cells[many]
             other = np.arange(len(many)) - np.searchsorted(many, many)
-            block = (_mix(doc[owner].view(np.uint64) * _R + line[owner].astype(np.uint64), 0xBF58476D1CE4E5B9) % cells.astype(np.uint64)).astype(np.int64)
+            block = (_mix((doc[owner] ^ text[owner]).view(np.uint64) * _R + line[owner].astype(np.uint64), 0xBF58476D1CE4E5B9) % cells.astype(np.uint64)).astype(np.int64)
             pair = np.minimum(block, other).astype(np.uint64) * np.uint64(0x9E3779B1) + np.maximum(block, other).astype(np.uint64)
             name = _mix((token.astype(np.uint64) << np.uint64(32)) ^ _mix(pair, 0x94D049BB133111EB), 0xBF58476D1CE4E5B9)
             rec = np.empty(len(many), POSTING)
             rec["key"], rec["place"] = name >> np.uint64(32), place
-            rec["n"] = np.minimum(batch.column(2).to_numpy(zero_copy_only=False), 65535)[owner]
-            rec["doc_id"], rec["line"] = doc[owner], line[owner]
-            rec["b1"], rec["b2"] = (batch.column(i).to_numpy(zero_copy_only=False).view(np.uint64)[owner] for i in (3, 4))
-            rec["asks"] = batch.column(7).to_numpy(zero_copy_only=False)[owner]
+            rec["n"] = np.minimum(batch.column(3).to_numpy(zero_copy_only=False), 65535)[owner]
+            rec["doc_id"], rec["hash"], rec["line"] = doc[owner], text[owner], line[owner]
+            rec["b1"], rec["b2"] = (batch.column(i).to_numpy(zero_copy_only=False).view(np.uint64)[owner] for i in (4, 5))
+            rec["asks"] = batch.column(8).to_numpy(zero_copy_only=False)[owner]
             rows.append((rec, (name & np.uint64(0xFFFFFFFF)) % np.uint64(groups)))
             waiting += len(rec)
             if waiting >= PACKED:
@@ -271,9 +275,10 @@ def _meet(percent: int, few: int):
         key, n, b1, b2 = (np.ascontiguousarray(rec[c]) for c in ("key", "n", "b1", "b2"))
         n = n.astype(np.int64)
         rest = n - rec["place"]
-        doc, line, asks = np.ascontiguousarray(rec["doc_id"]), np.ascontiguousarray(rec["line"]), rec["asks"] != 0
+        doc, text, line = (np.ascontiguousarray(rec[c]) for c in PLACE)
+        asks = rec["asks"] != 0
         more, place = np.zeros(len(rec), bool), np.empty(len(rec), np.int64)
-        place[np.lexsort((line, doc))] = np.arange(len(rec))
+        place[np.lexsort((line, text, doc))] = np.arange(len(rec))
         kept = np.empty((3, 0), np.int64)
         found, waiting = [], 0
 
@@ -302,32 +307,32 @@ def _meet(percent: int, few: int):
                 a, b, apart = x[hit], y[hit], apart[hit]
                 later = place[a] > place[b]
                 asker, other = np.where(later, a, b), np.where(later, b, a)
-                ok = asks[asker] & ((doc[a] != doc[b]) | (line[a] != line[b]))
+                ok = asks[asker] & ((doc[a] != doc[b]) | (text[a] != text[b]) | (line[a] != line[b]))
                 found.append(np.stack([asker[ok], other[ok], apart[ok]]))
                 waiting += len(asker)
                 if waiting > PACKED:
                     kept, found, waiting = nearest(np.concatenate([kept, *found], 1)), [], 0
         asker, other, apart = nearest(np.concatenate([kept, *found], 1))
-        return pd.DataFrame({"doc_id": doc[asker], "line": line[asker], "d2": doc[other], "l2": line[other], "apart": apart, "more": more[asker]})
+        return pd.DataFrame({"doc_id": doc[asker], "hash": text[asker], "line": line[asker], "d2": doc[other], "h2": text[other], "l2": line[other], "apart": apart, "more": more[asker]})
 
     return meet
 
 
 def _candidates(own: Scratch, classes: DataFrame, held, asked, postings: int, percent: int, few: int, cell: int) -> DataFrame:
-    """Pairs (doc_id, line, d2, l2, apart, more) that may match, each once: an asking class and an earlier one."""
+    """Pairs (doc_id, hash, line, d2, h2, l2, apart, more) that may match, each once: an asking class and an earlier one."""
     groups = max(2 * classes.sparkSession.sparkContext.defaultParallelism, -(-postings // GROUP_POSTINGS))
-    packed = classes.select("doc_id", "line", "n", "b1", "b2", "tokens", "places", "asks").filter(F.octet_length("tokens") > 0).mapInArrow(_packed(held, asked, groups, cell), "part int, data binary")
+    packed = classes.select(*PLACE, "n", "b1", "b2", "tokens", "places", "asks").filter(F.octet_length("tokens") > 0).mapInArrow(_packed(held, asked, groups, cell), "part int, data binary")
     met = packed.groupBy("part").applyInPandas(_meet(percent, few), f"{PAIR}, apart long, more boolean")
-    return own.table(met.groupBy("doc_id", "line", "d2", "l2").agg(F.min("apart").alias("apart"), F.max("more").alias("more")))
+    return own.table(met.groupBy(*PLACE, *OTHER).agg(F.min("apart").alias("apart"), F.max("more").alias("more")))
 
 
 def _wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The token sets of the wanted lines (line, d2, l2) of each text."""
+    """The token sets of the wanted lines (line, d2, h2, l2) of each text (doc_id, hash, text, wanted)."""
     for batch in batches:
-        wanted = batch.column(2).flatten()
-        counts = np.diff(batch.column(2).offsets.to_numpy())
+        wanted = batch.column(3).flatten()
+        counts = np.diff(batch.column(3).offsets.to_numpy())
         number, picked, at = wanted.field("line").to_pylist(), [], 0
-        for text, n in zip(batch.column(1), counts.tolist(), strict=True):
+        for text, n in zip(batch.column(2), counts.tolist(), strict=True):
             lines = text.as_py().encode("utf-8", "surrogatepass").split(b"\n")
             picked += [lines[k] if k < len(lines) else b"" for k in number[at : at + n]]
             at += n
@@ -344,70 +349,78 @@ def _wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ends += (ends[-1] + np.searchsorted(line[once], np.arange(1, to - cut + 1))).tolist()
             cut = to
         sets = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.empty(0, np.int64), *parts]), pa.int64()))
-        ids = batch.column(0).take(pa.array(np.repeat(np.arange(len(counts)), counts)))
-        yield pa.RecordBatch.from_arrays([ids, *(wanted.field(c) for c in ("line", "d2", "l2")), sets], ["doc_id", "line", "d2", "l2", "tokens"])
+        owner = pa.array(np.repeat(np.arange(len(counts)), counts))
+        yield pa.RecordBatch.from_arrays([*(batch.column(i).take(owner) for i in (0, 1)), *(wanted.field(c) for c in ("line", *OTHER)), sets], [*PLACE, *OTHER, "tokens"])
 
 
 def _verify(own: Scratch, docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """The lines (doc_id, line) of pairs (doc_id, line, d2, l2) whose token sets reach the threshold. The later lines'
-    sets meet those of the others, each of these once, in a join that adaptive execution splits where many ask one."""
-    few = pairs.count() <= BROADCAST_ROWS
+    """The lines (doc_id, hash, line) of pairs whose token sets reach the threshold. The later lines' sets meet those of
+    the others, each of these once, in a join that adaptive execution splits where many ask one. Texts (doc_id, hash,
+    text) meet the lists of their lines by shuffle at every size."""
 
     def sets(lines: DataFrame) -> DataFrame:
-        needed = lines.groupBy("doc_id").agg(F.collect_list(F.struct("line", "d2", "l2")).alias("wanted"))
-        needed = F.broadcast(needed) if few else needed.hint("merge")
-        return docs.join(needed, "doc_id").select("doc_id", "text", "wanted").mapInArrow(_wanted, f"{PAIR}, tokens array<long>")
+        needed = lines.groupBy("doc_id", "hash").agg(F.collect_list(F.struct("line", *OTHER)).alias("wanted"))
+        return docs.join(needed.hint("merge"), ["doc_id", "hash"]).select("doc_id", "hash", "text", "wanted").mapInArrow(_wanted, f"{PAIR}, tokens array<long>")
 
-    others = pairs.select(F.col("d2").alias("doc_id"), F.col("l2").alias("line"), "d2", "l2").distinct()
-    other = sets(others).select("d2", "l2", F.col("tokens").alias("t2"))
-    both = sets(pairs.select("doc_id", "line", "d2", "l2")).join(other, ["d2", "l2"])
+    others = pairs.select(*[F.col(o).alias(p) for o, p in zip(OTHER, PLACE, strict=True)], *OTHER).distinct()
+    other = sets(others).select(*OTHER, F.col("tokens").alias("t2"))
+    both = sets(pairs.select(*PLACE, *OTHER)).join(other, OTHER)
     common, total = F.size(F.array_intersect("tokens", "t2")), F.size("tokens") + F.size("t2")
-    return own.table(both.filter(common * 100 >= (total - common) * percent).select("doc_id", "line").distinct())
+    return own.table(both.filter(common * 100 >= (total - common) * percent).select(*PLACE).distinct())
+
+
+def _texts(docs: DataFrame, *more: str) -> DataFrame:
+    """(doc_id, hash, text, more columns) of documents with a text: null ids count as the greatest, and their hashes differ from those
+    of rows with an id."""
+    id_ = F.col("doc_id").cast("long")
+    hashed = F.when(id_.isNull(), F.xxhash64("text", F.lit("no id"))).otherwise(F.xxhash64("text"))
+    return docs.filter("text IS NOT NULL").select(F.coalesce(id_, F.lit(NO_ID)).alias("doc_id"), hashed.alias("hash"), "text", *more)
 
 
 def matched_lines(docs: DataFrame, percent: int = 75, scratch: Scratch | None = None, few: int = FEW, cell: int = CELL) -> DataFrame:
-    """The lines (doc_id, line) of documents (doc_id, text) that an earlier line matches: one whose token set has a
-    Jaccard similarity of ``percent`` in 100 or more, earlier by doc_id and then line number (from 0).
+    """The lines (doc_id, hash, line) of documents (doc_id, text) that an earlier line matches: one whose token set has a
+    Jaccard similarity of ``percent`` in 100 or more, earlier by doc_id (null last), the hash of its text and then line
+    number (from 0).
 
     Lines without words match nothing. Lines of equal sets form a class that stands at its earliest line; its other
     lines are matched. Classes meet over the tokens of their prefixes, rarest first. A class first asks the earlier one of
     the nearest bitmap, then, if that fails, the others found near it, and classes that met more than were named ask
     again for FAR times as many until none is left. So a large group of near copies costs a few pairs each and not one
-    for each two of them. Candidates are verified on their full token sets. Rows of one doc_id count as one place, null
-    texts and null doc_ids are left out, and only doc_id and text are read. An empty table gives an empty result.
+    for each two of them. Candidates are verified on their full token sets. Rows alike in doc_id and text count as one
+    place, unlike texts of one doc_id (or of none) as places of their own; null texts are left out, and only doc_id and
+    text are read. ``hash`` tells the texts of one doc_id apart, see ``_texts``. An empty table gives an empty result.
     """
     own = scratch or Scratch(docs.sparkSession, "line-dedup")
     context = docs.sparkSession.sparkContext
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id IS NOT NULL AND text IS NOT NULL")
+    docs = _texts(docs)
     levels = context.broadcast(sketch(docs.select("text"), _count_words))
     lines = own.table(docs.mapInArrow(_lines(levels, percent), LINE))
     firsts = [F.first(c).alias(c) for c in ("b1", "b2", "tokens", "places")]
-    sets = lines.groupBy("s1", "s2", "n").agg(F.min(F.struct("doc_id", "line")).alias("at"), F.count(F.lit(1)).alias("lines"), *firsts)
-    classes = own.table(sets.select("s1", "s2", "n", "at.doc_id", "at.line", "lines", "b1", "b2", "tokens", "places"))
+    sets = lines.groupBy("s1", "s2", "n").agg(F.min(F.struct(*PLACE)).alias("at"), F.count(F.lit(1)).alias("lines"), *firsts)
+    classes = own.table(sets.select("s1", "s2", "n", "at.*", "lines", "b1", "b2", "tokens", "places"))
 
     # Copies: the lines of a class other than its first.
-    repeated = classes.filter("lines > 1").select("s1", "s2", "n", F.col("doc_id").alias("d"), F.col("line").alias("l"))
-    copies = own.table(lines.select("doc_id", "line", "s1", "s2", "n").join(repeated, ["s1", "s2", "n"]).filter("doc_id <> d OR line <> l").select("doc_id", "line"))
+    repeated = classes.filter("lines > 1").select("s1", "s2", "n", F.col("doc_id").alias("d"), F.col("hash").alias("h"), F.col("line").alias("l"))
+    copies = own.table(lines.select(*PLACE, "s1", "s2", "n").join(repeated, ["s1", "s2", "n"]).filter("doc_id <> d OR hash <> h OR line <> l").select(*PLACE))
     own.drop(lines)
 
     held = context.broadcast(sketch(classes.select("tokens"), _count_postings))
     postings = classes.agg(F.sum(F.octet_length("places"))).first()[0] or 0
-    at = ["doc_id", "line"]
     asking, asked, found, tried = classes.withColumn("asks", F.lit(True)), None, None, None
     while True:
         pairs = _candidates(own, asking, held, asked, postings, percent, few, cell)
-        near = pairs.groupBy(*at).agg(F.min(F.struct("apart", "d2", "l2")).alias("near")).select(*at, "near.d2", "near.l2")
-        new = pairs if tried is None else pairs.join(tried.hint("merge"), [*at, "d2", "l2"], "left_anti")
-        first = own.table(near if tried is None else near.join(tried.hint("merge"), [*at, "d2", "l2"], "left_anti"))
+        near = pairs.groupBy(*PLACE).agg(F.min(F.struct("apart", *OTHER)).alias("near")).select(*PLACE, *[f"near.{c}" for c in OTHER])
+        new = pairs if tried is None else pairs.join(tried.hint("merge"), [*PLACE, *OTHER], "left_anti")
+        first = own.table(near if tried is None else near.join(tried.hint("merge"), [*PLACE, *OTHER], "left_anti"))
         hit = _verify(own, docs, first, percent)
-        rest = own.table(new.join(hit, at, "left_anti").join(first, [*at, "d2", "l2"], "left_anti").select(*at, "d2", "l2"))
+        rest = own.table(new.join(hit, PLACE, "left_anti").join(first, [*PLACE, *OTHER], "left_anti").select(*PLACE, *OTHER))
         hit = hit.union(_verify(own, docs, rest, percent))
         found = hit if found is None else found.union(hit)
-        open_ = own.table(pairs.filter("more").select(*at).distinct().join(hit, at, "left_anti").withColumn("asks", F.lit(True)))
+        open_ = own.table(pairs.filter("more").select(*PLACE).distinct().join(hit, PLACE, "left_anti").withColumn("asks", F.lit(True)))
         if not open_.limit(1).count():
             break
-        tried, few = pairs.select(*at, "d2", "l2"), few * FAR
-        asking = own.table(classes.join(open_, at, "left").withColumn("asks", F.coalesce("asks", F.lit(False))))
+        tried, few = pairs.select(*PLACE, *OTHER), few * FAR
+        asking = own.table(classes.join(open_, PLACE, "left").withColumn("asks", F.coalesce("asks", F.lit(False))))
         asked = context.broadcast(sketch(asking.filter("asks").select("tokens"), _count_postings, least=1))
 
     result = own.keep(copies.union(found).distinct())
@@ -415,24 +428,46 @@ def matched_lines(docs: DataFrame, percent: int = 75, scratch: Scratch | None =
     return result
 
 
+def _worded(text: str) -> Column:
+    """The numbers of a text's lines that hold words."""
+    return F.filter(F.transform(F.split(text, "\n"), lambda line, i: F.when(line.rlike(r"[^\x20\x09-\x0D]"), i)), lambda i: i.isNotNull())
+
+
 def dedup_report(docs: DataFrame, percent: int = 75) -> DataFrame:
-    """Per doc_id: n_lines (0 for null texts), n_removed, n_kept and removed_lines, the numbers joined by commas. Rows
-    of one doc_id with unlike texts are one document with the lines of the longest; null doc_ids keep all lines."""
-    found = matched_lines(docs, percent)
-    removed = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_removed"), F.array_join(F.sort_array(F.collect_set("line")), ",").alias("removed_lines"))
-    sized = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n"))).cast("long").alias("n_lines")).groupBy("doc_id").agg(F.max("n_lines").alias("n_lines"))
-    n = F.coalesce("n_removed", F.lit(0).cast("long"))
-    return sized.join(removed, "doc_id", "left").select("doc_id", "n_lines", n.alias("n_removed"), (F.col("n_lines") - n).alias("n_kept"), F.coalesce("removed_lines", F.lit("")).alias("removed_lines"))
+    """Per row of documents: doc_id, n_lines (0 for null texts), n_removed, n_kept and removed_lines, the numbers joined by
+    commas. Rows alike in doc_id and text have alike reports, but of rows without a doc_id each is a document of its
+    own: the first of equal texts keeps what no earlier line matches, the others lose all lines with words."""
+    found = matched_lines(docs, percent).groupBy("doc_id", "hash").agg(F.sort_array(F.collect_set("line")).alias("lines"))
+    texts = _texts(docs)
+    worded = F.when(F.col("doc_id") == NO_ID, _worded("text"))
+    places = texts.select("doc_id", "hash", F.size(F.split("text", "\n")).cast("long").alias("n_lines"), worded.alias("worded")).groupBy("doc_id", "hash").agg(F.first("n_lines").alias("n_lines"), F.first("worded").alias("worded"), F.count(F.lit(1)).alias("copies"))
+    rows = repeated(places.join(found, ["doc_id", "hash"], "left"), "copies", "copy")
+    lines = F.when((F.col("copy") > 0) & (F.col("doc_id") == NO_ID), F.col("worded")).otherwise(F.coalesce("lines", F.array().cast("array<int>")))
+    rows = rows.select(F.when(F.col("doc_id") != NO_ID, F.col("doc_id")).alias("doc_id"), "n_lines", lines.alias("lines"))
+    empty = docs.filter("text IS NULL").select(F.col("doc_id").cast("long").alias("doc_id"), F.lit(0).cast("long").alias("n_lines"), F.array().cast("array<int>").alias("lines"))
+    n = F.size("lines").cast("long")
+    return rows.unionByName(empty).select("doc_id", "n_lines", n.alias("n_removed"), (F.col("n_lines") - n).alias("n_kept"), F.array_join("lines", ",").alias("removed_lines"))
 
 
 def dedup_lines(docs: DataFrame, percent: int = 75) -> DataFrame:
-    """The documents, all columns, without the lines that earlier ones match. Null texts and rows without a doc_id stay
-    as they are; columns may have any name."""
-    removed = matched_lines(docs, percent).groupBy("doc_id").agg(F.collect_set("line").alias("lines"))
-    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text").join(removed.hint("merge"), "doc_id", "left")
-    kept = F.filter(F.split("text", "\n"), lambda _, i: ~F.array_contains(F.col("lines"), i))
-    text = F.when(F.col("lines").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
-    return rows.select(*[text.alias(c) if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns])
+    """The documents, all columns, without the lines that earlier ones match. Null texts stay as they are, and rows alike in
+    doc_id and text lose the same lines. Rows without a doc_id are documents of their own: of equal texts the first keeps
+    what no earlier line matches, the others lose all lines with words. Columns may have any name."""
+    removed = matched_lines(docs, percent).groupBy("doc_id", "hash").agg(F.collect_set("line").alias("lines"))
+    rows = docs.select(F.struct("*").alias("row"), "doc_id", "text")
+    texts = _texts(rows, "row")
+    named = texts.filter(F.col("doc_id") != NO_ID).select("*", F.lit(False).alias("again"))
+    # Rows alike in all columns are counted before any shuffle; of the others with one text that of the smallest hash is first.
+    alike = texts.filter(F.col("doc_id") == NO_ID).groupBy("doc_id", "hash", F.xxhash64(F.to_json("row")).alias("whole")).agg(F.first("text").alias("text"), F.first("row").alias("row"), F.count(F.lit(1)).alias("copies"))
+    first = alike.groupBy("hash").agg(F.min("whole").alias("least"))
+    nameless = repeated(alike.join(first, "hash"), "copies", "copy").select("doc_id", "hash", "text", "row", ((F.col("whole") != F.col("least")) | (F.col("copy") > 0)).alias("again"))
+    met = named.unionByName(nameless).join(removed.hint("merge"), ["doc_id", "hash"], "left")
+    gone = F.when(F.col("again"), _worded("text")).otherwise(F.coalesce("lines", F.array().cast("array<int>")))
+    split = met.select("row", F.split("text", "\n").alias("parts"), gone.alias("gone"))
+    stay = F.array_except(F.sequence(F.lit(0), F.size("parts") - 1), F.col("gone"))
+    left = split.select("row", F.array_join(F.transform(stay, lambda i: F.col("parts")[i]), "\n").alias("text"))
+    columns = [F.col("text").alias(c) if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns]
+    return left.select(*columns).unionByName(rows.filter("text IS NULL").select("row.*"))
 
 
 #: The same join over distinct word sets: two sets as alike share a word among the rarest n - ceil(3 n / 4) + 1 of each.

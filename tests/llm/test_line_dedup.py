@@ -69,8 +69,27 @@ def test_large_groups_go_through_blocks_and_rounds(spark):
 
 def test_repeated_and_null_ids(spark):
     docs = spark.createDataFrame([(1, "a b"), (1, "a b"), (None, "a b"), (2, "b a")], "doc_id long, text string")
-    assert {(r.doc_id, r.line) for r in matched_lines(docs).collect()} == {(2, 0)}
-    assert matched_lines(docs.limit(0)).collect() == [] and len(dedup_lines(docs).collect()) == 4
+    assert {(r.doc_id, r.line) for r in matched_lines(docs).collect()} == {(2, 0), (2**63 - 1, 0)}
+    assert matched_lines(docs.limit(0)).collect() == [] and dedup_lines(docs.limit(0)).collect() == [] and dedup_report(docs.limit(0)).collect() == []
+    assert sorted((str(r.doc_id), r.text) for r in dedup_lines(docs).collect()) == [("1", "a b"), ("1", "a b"), ("2", ""), ("None", "")]
+
+
+def test_unlike_texts_of_one_id_lose_only_what_is_matched(spark):
+    rows = [(0, "the x y z w", 1), (1, "the x y z w", 2), (1, "other words stand here now", 3), (1, "other words stand here now\n\nmore of it", 4), (1, None, 5)]
+    left = {r.row: (r.doc_id, r.text) for r in dedup_lines(spark.createDataFrame(rows, "doc_id long, text string, row int").repartition(3)).collect()}
+    assert left[1] == (0, "the x y z w") and left[2] == (1, "") and left[5] == (1, None)
+    assert sorted([left[3][1], left[4][1]]) in (["", "other words stand here now\n\nmore of it"], ["\nmore of it", "other words stand here now"])
+    report = sorted((r.doc_id, r.n_lines, r.n_removed, r.n_kept) for r in dedup_report(spark.createDataFrame(rows, "doc_id long, text string, row int")).collect())
+    assert report in ([(0, 1, 0, 1), (1, 0, 0, 0), (1, 1, 0, 1), (1, 1, 1, 0), (1, 3, 1, 2)], [(0, 1, 0, 1), (1, 0, 0, 0), (1, 1, 1, 0), (1, 1, 1, 0), (1, 3, 0, 3)])
+
+
+def test_rows_without_an_id(spark):
+    rows = [(5, "one two three", "x")] + [(None, "four five six\n \none two three", "x")] * 3 + [(None, "four five six\n \none two three", "y"), (None, "lone line here", None), (None, None, "z")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, row string").repartition(4)
+    left = [(r.doc_id, r.text) for r in dedup_lines(docs).collect()]
+    assert sorted(left, key=str) == sorted([(5, "one two three"), (None, "lone line here"), (None, None), (None, "four five six\n ")] + [(None, " ")] * 3, key=str)
+    report = sorted((str(r.doc_id), r.n_lines, r.n_removed, r.removed_lines) for r in dedup_report(docs).collect())
+    assert report == sorted([("5", 1, 0, ""), ("None", 3, 1, "2"), ("None", 1, 0, ""), ("None", 0, 0, "")] + [("None", 3, 2, "0,2")] * 3)
 
 
 def test_token_hashes():
