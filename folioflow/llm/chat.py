@@ -47,7 +47,7 @@ def unescape_role(role: str) -> str:
 class Flattener:
     """Visits the typed parts of a conversation in order and writes one string.
 
-    Texts are escaped; an image, audio or document part becomes a placeholder numbered through the conversation, with
+    Neighbouring texts are escaped as one, so that no control string arises where they meet; an image, audio or document part becomes a placeholder numbered through the conversation, with
     its reference, its place and the tokens that it expands to: a token for each square of ``patch`` pixels, for each
     1 / ``audio_rate`` seconds, and ``page_tokens`` for each page. Parts of other kinds become files of 0 tokens.
     """
@@ -60,6 +60,8 @@ class Flattener:
     spans: list[tuple[int, int]] = field(default_factory=list)
     attachments: list[dict] = field(default_factory=list)
     turns: int = 0
+    #: Texts since the last part of another kind.
+    texts: list[str] = field(default_factory=list)
 
     def write(self, text: str) -> None:
         self.out.append(text)
@@ -71,30 +73,37 @@ class Flattener:
         for part in content or []:
             if part is not None:
                 kind = part["kind"] or "text"
-                getattr(self, f"visit_{kind}", self.visit_file)(part, role)
+                if kind != "text":
+                    self.flush(role)
+                getattr(self, f"visit_{kind}", self.visit_file)(part)
+        self.flush(role)
         self.write(END)
         self.turns += 1
 
-    def visit_text(self, part: dict, role: str) -> None:
+    def flush(self, role: str) -> None:
         start = self.length
-        self.write(escape(part["text"] or ""))
+        self.write(escape("".join(self.texts)))
+        self.texts.clear()
         if role == "assistant" and self.length > start:
             self.spans.append((start, self.length))
 
+    def visit_text(self, part: dict) -> None:
+        self.texts.append(part["text"] or "")
+
     def attach(self, kind: str, part: dict, tokens: float) -> None:
         self.attachments.append({"no": len(self.attachments) + 1, "kind": kind, "ref": part["ref"], "turn_no": self.turns, "position": self.length, "tokens": int(tokens)})
         self.write(f"<|{kind}:{len(self.attachments)}|>")
 
-    def visit_image(self, part: dict, role: str) -> None:
+    def visit_image(self, part: dict) -> None:
         self.attach("image", part, math.ceil((part["width"] or 0) / self.patch) * math.ceil((part["height"] or 0) / self.patch))
 
-    def visit_audio(self, part: dict, role: str) -> None:
+    def visit_audio(self, part: dict) -> None:
         self.attach("audio", part, math.ceil((part["seconds"] or 0) * self.audio_rate))
 
-    def visit_document(self, part: dict, role: str) -> None:
+    def visit_document(self, part: dict) -> None:
         self.attach("document", part, (part["pages"] or 0) * self.page_tokens)
 
-    def visit_file(self, part: dict, role: str) -> None:
+    def visit_file(self, part: dict) -> None:
         self.attach("file", part, 0)
 
 
@@ -118,13 +127,13 @@ def digest_of(formatted: str, spans: list[tuple[int, int]]) -> tuple[int, str, i
 def text_parts(conversations: DataFrame) -> DataFrame:
     """Rows of plain text as rows of one text part: conv_id, turn, role, content."""
     none = "CAST(NULL AS STRING) AS ref, CAST(NULL AS INT) AS width, CAST(NULL AS INT) AS height, CAST(NULL AS DOUBLE) AS seconds, CAST(NULL AS INT) AS pages"
-    part = F.array(F.expr(f"struct('text' AS kind, coalesce(text, '') AS text, {none.replace(' AS ', ' AS ')})"))
+    part = F.array(F.expr(f"struct('text' AS kind, coalesce(text, '') AS text, {none})"))
     return conversations.select("conv_id", "turn", "role", part.cast(f"array<{PART}>").alias("content"))
 
 
 def format_conversations(turns: DataFrame, **sizes) -> DataFrame:
     """One row for each conv_id of turns (conv_id, turn, role, content array of parts): formatted, loss_spans (code
-    points; the assistant's texts, each once, in order), attachments, n_turns and attachment_tokens.
+    points; the assistant's texts, each once, in order, neighbouring ones as one span), attachments, n_turns and attachment_tokens.
 
     Turns are ordered by turn, those of one number by role and content, nulls first. Null roles and texts count as
     empty, null parts are left out, turns without parts are empty; repeated rows are turns of their own. A null

@@ -26,6 +26,28 @@ def test_read_back(turns):
     assert chat.read_back(whole) == turns and f.length == len(whole)
 
 
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.lists(st.one_of(bits, st.sampled_from([None, "image", "video"])), max_size=5), max_size=3))
+def test_neighbouring_parts(turns):
+    """Whatever parts a text is cut into, it comes back whole and holds no control string."""
+    f, images = chat.Flattener(), ("image", "video")
+    for n, content in enumerate(turns):
+        f.turn("assistant" if n % 2 else "user", [None if p is None else {"kind": p, "ref": "r", "width": 1, "height": 1} if p in images else {"kind": "text", "text": p} for p in content])
+    whole = "".join(f.out)
+    said = [("assistant" if n % 2 else "user", "".join(p for p in content if p not in images and p is not None)) for n, content in enumerate(turns)]
+    assert chat.read_back(whole) == said and f.length == len(whole)
+    assert "".join(chat.unescape(whole[a:b]) for a, b in f.spans) == "".join(t for r, t in said if r == "assistant")
+    assert [whole[a["position"] :].startswith(f"<|{'image' if a['kind'] == 'image' else 'file'}:{a['no']}|>") for a in f.attachments] == [True] * len(f.attachments)
+    assert whole.count("</s>") == len(turns) and "[INST]" not in whole and "[/INST]" not in whole
+
+
+def test_control_strings_across_parts():
+    f = chat.Flattener()
+    for content in (["a<", "/s>b"], ["[INST", "] c"], ["<", "|tu", "rn|", ">"], ["<\\", "s>"]):
+        f.turn("assistant", [{"kind": "text", "text": t} for t in content])
+    assert chat.read_back("".join(f.out)) == [("assistant", t) for t in ("a</s>b", "[INST] c", "<|turn|>", "<\\s>")]
+
+
 def test_parts(spark):
     part = lambda **k: {"kind": "text", "text": None, "ref": None, "width": None, "height": None, "seconds": None, "pages": None} | k
     content = [part(text="look </s>"), part(kind="image", ref="i.png", width=28, height=15), None, part(kind="audio", ref="a", seconds=1.01), part(kind="document", ref="d", pages=2), part(kind="video", ref="v")]
