@@ -67,6 +67,12 @@ def upsert(docs: DataFrame, versions: DataFrame, batch: DataFrame, as_of: Column
     are. The batch's text is hashed once and only versions carry it on.
     """
     found = outcomes(docs, versions, batch)
+    return *apply_outcomes(docs, versions, found, as_of), found
+
+
+def apply_outcomes(docs: DataFrame, versions: DataFrame, found: DataFrame, as_of: Column) -> tuple[DataFrame, DataFrame]:
+    """(documents, versions) after a batch whose rows have their outcomes. Documents without a row in it stay, and so do
+    versions; parts of the tables that hold all of the batch's documents do as well as whole ones."""
     good = found.filter("outcome <> 'failed'")
     keep = {"id", "target_id", "created_at", "source_url"}
     last = good.filter("last_row").select(*[F.col("document_id" if f.name == "id" else f.name).alias(f"new_{f.name}") for f in DOCUMENTS.fields if f.name not in {"created_at", "updated_at", "last_checked_at"}])
@@ -92,7 +98,7 @@ def upsert(docs: DataFrame, versions: DataFrame, batch: DataFrame, as_of: Column
     )
     touched = made.filter("version_number = top").select(F.col("document_id").alias("touched"))
     flipped = versions.join(touched, versions["document_id"] == F.col("touched"), "left").withColumn("is_latest", F.col("is_latest") & F.col("touched").isNull()).select(*VERSIONS.names)
-    return next_docs, flipped.unionByName(added), found
+    return next_docs, flipped.unionByName(added)
 
 
 def ensure_jurisdictions(dim: DataFrame, codes: DataFrame) -> DataFrame:

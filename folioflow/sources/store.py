@@ -5,61 +5,199 @@ from __future__ import annotations
 import json
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from folioflow.operators import upsert as upserts
 from folioflow.operators.joins import latest_of
 from folioflow.schemas import DOCUMENTS, VERSIONS, conform, document_id, version_id
 
 POINTER = "CURRENT"
+#: Buckets of a new store; a store keeps the number it was made with.
+BUCKETS = 64
+TABLES = {"documents": DOCUMENTS, "versions": VERSIONS}
 
 
-class Store:
-    """A folder of numbered snapshots and a pointer to the current one.
+class Conflict(OSError):
+    """Another writer committed a snapshot that this one's rows don't follow from."""
+
+
+def bucket_of(key: Column, buckets: int) -> Column:
+    """The bucket of a key: 32 bits of its SHA-256, so that any engine finds the same one."""
+    return F.pmod(F.conv(F.left(F.sha2(key, 256), F.lit(8)), 16, 10).cast("long"), F.lit(buckets)).cast("int")
 
-    Both tables are written below a new number; then a pointer CURRENT.<number> is made by one rename to a name that
-    doesn't exist yet. The pointer of the greatest number counts and none is ever deleted or overwritten, so a reader sees
-    either snapshot and never a half or nothing, and a writer that dies in between leaves the former one current.
-    Versions are parted by is_latest. A batch id that the current snapshot has is not written again.
+
+class Store:
+    """A folder of snapshots of documents and versions in buckets, and a pointer to the current one.
+
+    Documents lie in buckets of their url and versions in buckets of their document, parted by is_latest within it. Every
+    commit writes its buckets below a new folder of its own name and a manifest that names a folder for each bucket;
+    ``upsert`` rewrites the buckets that the batch touches and takes all other folders over from the snapshot before.
+
+    A snapshot counts once its pointer CURRENT.<number> exists, which is made with its whole content in one step that fails
+    where there is one already. So of two writers that start from one snapshot a single one gets the next number. The
+    other, if it has read and written buckets that the winner left alone, takes the winner's folders over and goes on to
+    the number after; else it raises Conflict. No folder, manifest or pointer is ever overwritten: a reader sees one
+    snapshot whole, the winner's rows stay, and what a dead writer leaves is named nowhere. A batch id that the current
+    snapshot has is not applied again.
     """
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
-        jvm = spark.sparkContext._jvm
-        self._path = jvm.org.apache.hadoop.fs.Path
-        self._fs = self._path(self.path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    def __init__(self, spark: SparkSession, path: str, buckets: int = BUCKETS):
+        self.spark, self.buckets = spark, buckets
+        self._jvm = spark.sparkContext._jvm
+        self._path = self._jvm.org.apache.hadoop.fs.Path
+        where = self._path(path.rstrip("/"))
+        self._fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        self.path = self._fs.makeQualified(where).toString()
 
-    def current(self) -> dict | None:
+    # --- snapshots
+
+    def numbers(self) -> list[int]:
         found = self._fs.globStatus(self._path(f"{self.path}/{POINTER}.*")) or []
-        numbers = [int(f.getPath().getName().rsplit(".", 1)[1]) for f in found]
+        return sorted(int(f.getPath().getName().rsplit(".", 1)[1]) for f in found)
+
+    def manifest(self, number: int | None = None) -> dict | None:
+        """The manifest of a snapshot, by default of the current one: snapshot, batch_id, buckets, written (the folder of
+        this commit) and, by table, the folder of each bucket that has rows."""
+        numbers = self.numbers()
         if not numbers:
             return None
-        return json.loads(self.spark.read.text(f"{self.path}/{POINTER}.{max(numbers)}", wholetext=True).first()[0])
-
-    def read(self) -> tuple[DataFrame, DataFrame]:
-        now = self.current()
-        if now is None:
-            return self.spark.createDataFrame([], DOCUMENTS), self.spark.createDataFrame([], VERSIONS)
-        at = f"{self.path}/{now['snapshot']}"
-        return self.spark.read.schema(DOCUMENTS).parquet(f"{at}/documents"), self.spark.read.schema(VERSIONS).parquet(f"{at}/versions").select(*VERSIONS.names)
+        return json.loads(self.spark.read.text(f"{self.path}/{POINTER}.{number or numbers[-1]}", wholetext=True).first()[0])
 
-    def write(self, docs: DataFrame, versions: DataFrame, batch_id: int | None = None) -> bool:
-        now = self.current() or {"snapshot": 0, "batch_id": None}
-        if batch_id is not None and now["batch_id"] is not None and batch_id <= now["batch_id"]:
-            return False
-        number = now["snapshot"] + 1
-        at = f"{self.path}/{number}"
-        conform(docs, DOCUMENTS).write.mode("overwrite").parquet(f"{at}/documents")
-        conform(versions, VERSIONS).write.mode("overwrite").partitionBy("is_latest").parquet(f"{at}/versions")
-        body = json.dumps({"snapshot": number, "batch_id": batch_id if batch_id is not None else now["batch_id"]})
-        new = self._path(f"{self.path}/_{POINTER}.{uuid.uuid4().hex}")
-        out = self._fs.create(new, True)
+    def current(self) -> dict | None:
+        """Number and batch id of the current snapshot."""
+        now = self.manifest()
+        return now and {"snapshot": now["snapshot"], "batch_id": now["batch_id"]}
+
+    def _start(self) -> dict:
+        return self.manifest() or {"snapshot": 0, "batch_id": None, "buckets": self.buckets, "documents": {}, "versions": {}}
+
+    def _table(self, manifest: dict, name: str, buckets: set[int] | None = None) -> DataFrame:
+        schema = TABLES[name]
+        folders = [f"{self.path}/{f}" for b, f in sorted(manifest[name].items()) if buckets is None or int(b) in buckets]
+        if not folders:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).option("basePath", f"{self.path}/data").parquet(*folders).select(*schema.names)
+
+    def read(self, number: int | None = None) -> tuple[DataFrame, DataFrame]:
+        """Documents and versions of a snapshot, by default of the current one."""
+        now = self.manifest(number) or self._start()
+        return self._table(now, "documents"), self._table(now, "versions")
+
+    def outcomes(self, number: int | None = None) -> DataFrame:
+        """The batch of an upsert's snapshot with the outcome of each row."""
+        now = self.manifest(number)
+        return self.spark.read.parquet(f"{self.path}/{now['written']}/outcomes")
+
+    def folders(self, number: int | None = None) -> DataFrame:
+        """A row for each table and bucket of a snapshot: the folder that holds it and the snapshot that wrote it."""
+        kept, out = self.numbers(), {}
+        for k in kept:
+            m = self.manifest(k)
+            for table in TABLES:
+                for b, f in m[table].items():
+                    out.setdefault((table, int(b), f), k)
+        now = self.manifest(number) or self._start()
+        rows = [(t, int(b), f, out[t, int(b), f]) for t in TABLES for b, f in now[t].items()]
+        return self.spark.createDataFrame(rows, "table_name string, bucket int, folder string, since int")
+
+    # --- commits
+
+    def _write(self, df: DataFrame, folder: str, name: str, key: str, buckets: int) -> dict[str, str]:
+        """Writes rows by bucket and names the folders that came to be."""
+        at = f"{folder}/table={name}"
+        rows = conform(df, TABLES[name]).withColumn("bucket", bucket_of(F.col(key), buckets))
+        rows.repartition("bucket", F.pmod(F.xxhash64(key), F.lit(4))).write.partitionBy("bucket", *(["is_latest"] if name == "versions" else [])).parquet(f"{self.path}/{at}")
+        found = self._fs.globStatus(self._path(f"{self.path}/{at}/bucket=*")) or []
+        return {f.getPath().getName().rsplit("=", 1)[1]: f"{at}/{f.getPath().getName()}" for f in found}
+
+    def _publish(self, number: int, manifest: dict) -> bool:
+        """Makes the pointer with its content; False where there is one. On local disks by a hard link to a finished file,
+        elsewhere by a rename that doesn't replace, which HDFS does in one step. A store without either needs a lock."""
+        body = json.dumps(manifest | {"snapshot": number})
+        new, final = self._path(f"{self.path}/_{POINTER}.{uuid.uuid4().hex}"), self._path(f"{self.path}/{POINTER}.{number}")
+        out = self._fs.create(new, False)
         out.write(bytearray(body.encode()))
         out.close()
-        if not self._fs.rename(new, self._path(f"{self.path}/{POINTER}.{number}")):
-            raise OSError(f"snapshot {number} of {self.path} has another writer")
+        try:
+            if self._fs.getUri().getScheme() == "file":
+                files, paths = self._jvm.java.nio.file.Files, self._jvm.java.nio.file.Paths
+                files.createLink(paths.get(final.toUri()), paths.get(new.toUri()))
+            else:
+                context = self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(final.toUri(), self.spark.sparkContext._jsc.hadoopConfiguration())
+                none = self.spark.sparkContext._gateway.new_array(getattr(self._jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+                context.rename(new, final, none)
+        except Py4JJavaError as failed:
+            if "AlreadyExists" in failed.java_exception.getClass().getName():
+                return False
+            raise
+        finally:
+            self._fs.delete(new, False)
         return True
 
+    def _commit(self, base: dict, changes: dict[str, dict[str, str | None]], used: dict[str, set[str]], batch_id: int | None, written: str) -> bool:
+        """Publishes ``base`` with the changed folders (None: a bucket without rows). ``used`` names the buckets that the
+        changes follow from; they must be the same in every snapshot that came in between."""
+        now = base
+        while True:
+            if batch_id is not None and now["batch_id"] is not None and batch_id <= now["batch_id"]:
+                return False
+            tables = {t: {b: f for b, f in (now[t] | changes[t]).items() if f} for t in TABLES}
+            body = {"batch_id": batch_id if batch_id is not None else now["batch_id"], "buckets": now["buckets"], "written": written, **tables}
+            if self._publish(now["snapshot"] + 1, body):
+                return True
+            now = self.manifest()
+            if now["buckets"] != base["buckets"] or any(now[t].get(b) != base[t].get(b) for t in TABLES for b in used[t]):
+                raise Conflict(f"snapshot {now['snapshot']} of {self.path} was committed meanwhile")
+
+    def write(self, docs: DataFrame, versions: DataFrame, batch_id: int | None = None) -> bool:
+        """Commits whole tables: every bucket is replaced, so any other commit meanwhile is a conflict."""
+        base = self._start()
+        if batch_id is not None and base["batch_id"] is not None and batch_id <= base["batch_id"]:
+            return False
+        written, every = f"data/commit={uuid.uuid4().hex}", [str(b) for b in range(base["buckets"])]
+        changes = {}
+        for name, df, key in (("documents", docs, "source_url"), ("versions", versions, "document_id")):
+            changes[name] = dict.fromkeys(every) | self._write(df, written, name, key, base["buckets"])
+        return self._commit(base, changes, {t: set(every) for t in TABLES}, batch_id, written)
+
+    def upsert(self, batch: DataFrame, as_of: Column, batch_id: int | None = None) -> bool:
+        """Commits the current tables after a batch and rewrites the buckets that it touches alone: documents where the
+        batch has a url, versions where a text changed. Its rows with their outcomes are written first and tell which
+        these are; ``outcomes`` reads them. At most a number for each bucket reaches the driver."""
+        base = self._start()
+        if batch_id is not None and base["batch_id"] is not None and batch_id <= base["batch_id"]:
+            return False
+        n, written = base["buckets"], f"data/commit={uuid.uuid4().hex}"
+
+        def buckets(df: DataFrame, key: str) -> set[int]:
+            return {r[0] for r in df.select(bucket_of(F.col(key), n)).distinct().collect()}
+
+        by_url = buckets(batch.filter("source_url IS NOT NULL"), "source_url")
+        docs = self._table(base, "documents", by_url)
+        ids = batch.select("source_url").distinct().join(docs.select("source_url", "id"), "source_url", "left").select(F.coalesce("id", document_id(F.col("source_url"))).alias("id"))
+        by_id = buckets(ids.filter("id IS NOT NULL"), "id")
+        at = f"{self.path}/{written}/outcomes"
+        upserts.outcomes(docs, self._table(base, "versions", by_id), batch).write.parquet(at)
+        found = self.spark.read.parquet(at)
+        changed = buckets(found.filter("changed"), "document_id")
+        next_docs, next_versions = upserts.apply_outcomes(docs, self._table(base, "versions", changed), found, as_of)
+        changes = {"documents": self._write(next_docs, written, "documents", "source_url", n) if by_url else {}, "versions": self._write(next_versions, written, "versions", "document_id", n) if changed else {}}
+        used = {"documents": {str(b) for b in by_url}, "versions": {str(b) for b in by_id}}
+        return self._commit(base, changes, used, batch_id, written)
+
+    def expire(self, keep: int = 2) -> int:
+        """Deletes pointers but the last ``keep`` and the folders that none of those names; how many folders went. A folder
+        that no pointer names yet may be a running writer's and stays."""
+        numbers = self.numbers()
+        named = lambda ks: {f for k in ks for m in [self.manifest(k)] for f in [*m["documents"].values(), *m["versions"].values(), f"{m['written']}/outcomes"]}
+        old, stay = numbers[:-keep], named(numbers[-keep:])
+        gone = named(old) - stay
+        for k in old:
+            self._fs.delete(self._path(f"{self.path}/{POINTER}.{k}"), False)
+        return sum(bool(self._fs.delete(self._path(f"{self.path}/{f}"), True)) for f in sorted(gone))
+
 
 def write_snapshot(docs: DataFrame, versions: DataFrame, path: str) -> bool:
     return Store(docs.sparkSession, path).write(docs, versions)

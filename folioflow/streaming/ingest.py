@@ -10,7 +10,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from folioflow.operators.incremental import add_keys, not_in_keys, stale_queue
 from folioflow.operators.runs import run_counters
-from folioflow.operators.upsert import upsert
 from folioflow.sources.store import Store
 
 
@@ -28,11 +27,8 @@ def stream_upsert(stream: DataFrame, store: Store, as_of: Column, checkpoint: st
     the snapshot knows its number; a restart goes on from the checkpoint."""
 
     def apply(batch: DataFrame, number: int) -> None:
-        docs, versions = store.read()
-        next_docs, next_versions, outcomes = upsert(docs, versions, batch, as_of)
-        store.write(next_docs, next_versions, number)
-        if report:
-            report(number, batch_progress(outcomes))
+        if store.upsert(batch, as_of, number) and report:
+            report(number, batch_progress(store.outcomes()))
 
     return stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

@@ -94,24 +94,91 @@ def test_profiles(spark):
     assert profiles.profile("x") == {"gate": 1} and "x" in profiles.names() and profiles.normalize("x", spark.range(5)).count() == 1
 
 
-def test_a_writer_that_dies_leaves_the_former_snapshot(spark, tmp_path):
-    from folioflow.schemas import DOCUMENTS, VERSIONS
-    from folioflow.sources.store import Store
-
+def test_a_writer_that_dies_leaves_the_former_snapshot(spark, tmp_path, monkeypatch):
     docs, versions = spark.createDataFrame([], DOCUMENTS), spark.createDataFrame([], VERSIONS)
-    own = Store(spark, str(tmp_path / "s"))
+    own = store.Store(spark, str(tmp_path / "s"))
     assert own.write(docs, versions, 0) and own.current()["snapshot"] == 1
+    half = store.Store(spark, own.path)
 
-    class Dies:
-        def __getattr__(self, name):
-            if name == "rename":
-                raise RuntimeError("dies before the pointer moves")
-            return getattr(own._fs, name)
+    def dies(*_):
+        raise RuntimeError("dies before the pointer is made")
 
-    half = Store(spark, own.path)
-    half._fs = Dies()
+    monkeypatch.setattr(half, "_publish", dies)
     with pytest.raises(RuntimeError):
         half.write(docs, versions, 1)
     assert own.current() == {"snapshot": 1, "batch_id": 0}
     assert own.write(docs, versions, 1) and own.current() == {"snapshot": 2, "batch_id": 1}
     assert not own.write(docs, versions, 1) and own.read()[0].count() == 0
+
+
+def state(own, number=None):
+    docs, versions = own.read(number)
+    return sorted((r.id, r.title) for r in docs.collect()), sorted((r.document_id, r.version_number, r.is_latest, r.content_text) for r in versions.collect())
+
+
+def test_of_two_writers_the_second_raises_and_the_first_ones_rows_stay(spark, tmp_path, monkeypatch):
+    now = F.lit(AT)
+    own = store.Store(spark, str(tmp_path / "s"), buckets=8)
+    own.upsert(small(spark, 6), now)
+    slow, first, seen = store.Store(spark, own.path), store.Store(spark, own.path), own.manifest()
+    monkeypatch.setattr(slow, "_start", lambda: seen)  # it has looked before the other commits
+    first.upsert(small(spark, 6, "first"), now)
+    after = state(own)
+    for late in (lambda: slow.upsert(small(spark, 2, "late"), now), lambda: slow.write(*own.read(1))):
+        with pytest.raises(store.Conflict):
+            late()
+    assert own.current()["snapshot"] == 2 and state(own) == after
+    assert all(t.startswith("first") for _, _, latest, t in after[1] if latest) and len(after[1]) == 12
+
+
+def test_writers_of_other_buckets_both_commit(spark, tmp_path, monkeypatch):
+    now = F.lit(AT)
+    own = store.Store(spark, str(tmp_path / "s"), buckets=64)
+    own.upsert(small(spark, 4), now)
+    other = store.Store(spark, own.path)
+    seen = own.manifest()
+    monkeypatch.setattr(other, "_start", lambda: seen)
+    own.upsert(small(spark, 1, "mine"), now)
+    other.upsert(small(spark, 2, "theirs").filter("seq = 1"), now)
+    assert own.current()["snapshot"] == 3
+    assert {t for _, _, latest, t in state(own)[1] if latest} == {"mine0", "theirs1", "x2", "x3"}
+    assert len(state(own, 1)[1]) == 4
+
+
+def test_a_batch_rewrites_only_the_buckets_it_touches(spark, tmp_path):
+    import os
+
+    now = F.lit(AT)
+    own = store.Store(spark, str(tmp_path / "s"), buckets=32)
+    own.upsert(small(spark, 60), now, 1)
+    before = {(r.table_name, r.bucket): r.folder for r in own.folders().collect()}
+    batch = small(spark, 2, "new").unionByName(small(spark, 5).filter("seq = 4"))
+    assert own.upsert(batch, now, 2) and not own.upsert(batch, now, 2)
+    after = {(r.table_name, r.bucket): (r.folder, r.since) for r in own.folders().collect()}
+    moved = {k for k, (f, since) in after.items() if before.get(k) != f}
+    assert {t for t, _ in moved} == {"documents", "versions"} and len([k for k in moved if k[0] == "versions"]) <= 2 and len([k for k in moved if k[0] == "documents"]) <= 3
+    assert all((since == 2) == (k in moved) for k, (_, since) in after.items())
+    written = [os.path.join(d, f) for d, _, fs in os.walk(own.path.removeprefix("file:") + "/" + own.manifest()["written"]) for f in fs if f.endswith(".parquet")]
+    everything = [os.path.join(d, f) for d, _, fs in os.walk(own.path.removeprefix("file:")) for f in fs if f.endswith(".parquet")]
+    assert 0 < len(written) < len(everything) / 3
+    whole = upsert(*upsert(spark.createDataFrame([], DOCUMENTS), spark.createDataFrame([], VERSIONS), small(spark, 60), now)[:2], batch, now)
+    assert state(own)[1] == sorted((r.document_id, r.version_number, r.is_latest, r.content_text) for r in whole[1].collect())
+    assert sorted(tuple(r) for r in own.outcomes().groupBy("outcome").count().collect()) == [("unchanged", 1), ("updated", 2)]
+
+
+def test_old_snapshots_go_and_shared_folders_stay(spark, tmp_path):
+    now = F.lit(AT)
+    own = store.Store(spark, str(tmp_path / "s"), buckets=16)
+    for k in range(4):
+        own.upsert(small(spark, 30 if not k else 1, f"t{k}"), now, k)
+    want = state(own)
+    assert own.expire(keep=2) > 0 and own.numbers() == [3, 4] and state(own) == want and own.expire(keep=2) == 0
+
+
+def test_rows_that_cannot_be_written(spark, tmp_path):
+    own = store.Store(spark, str(tmp_path / "s"), buckets=4)
+    rows = [("u0", 0, "x", "T", "c"), (None, 1, "x", "T", "c"), ("u2", 2, None, "T", "c"), ("", 3, "x", "T", "c")]
+    batch = spark.createDataFrame(rows, "source_url string, seq long, content_text string, title string, category string")
+    assert own.upsert(batch.limit(0), F.lit(AT)) and own.read()[0].count() == 0
+    own.upsert(batch, F.lit(AT))
+    assert own.read()[0].count() == 1 and own.outcomes().filter("outcome = 'failed'").count() == 3
