@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -24,53 +25,53 @@ LARGEST = 2.0**63 * (1 - 1e-9)
 # --- rank-one updates
 
 
+@cache
+def _below(m: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ones where a pole stands at or below a root, and where above it."""
+    below = np.tril(np.ones((m, m)))
+    return below, 1 - below
+
+
 def secular_roots(d: np.ndarray, z2: np.ndarray, rho: float) -> tuple[np.ndarray, np.ndarray]:
     """The roots of 1 + rho * sum(z2 / (d - x)), one between each two neighbours of ``d`` (ascending, apart) and one beyond
     the last: the pole next to each, and the distance from it, so that no digits are lost near a pole.
 
-    All roots go on together: rational interpolation from both sides, or a halving of the bracket where that leaves it.
+    All roots go on together, from the middles of their intervals: rational interpolation from both sides, which doubles
+    the right digits with each step, or a halving of the bracket where that leaves it.
     """
     m = len(d)
-    gap = np.append(np.diff(d), rho * z2.sum())
-    middle = 1 + rho * (z2 / ((d - d[:, None]) - gap[:, None] / 2)).sum(1)
-    near = np.arange(m)
-    near[:-1] += middle[:-1] < 0
-    right = near > np.arange(m)
-    low, high = np.where(right, -gap / 2, 0.0), np.where(right, 0.0, gap / 2)
-    low[-1], high[-1] = 0.0, gap[-1]
-    poles = d - d[near][:, None]
-    left = np.tril(np.ones((m, m), bool))
-    own = poles[np.arange(m), np.arange(m)]
-    after = np.append(poles[np.arange(m - 1), np.arange(1, m)], np.inf)
-    x = (low + high) / 2
-    active = np.arange(m)
-    for _ in range(80):
-        away = poles[active] - x[active, None]
-        terms = rho * z2 / away
+    weights, (below, above) = rho * z2, _below(m)
+    poles = d - d[:, None]
+    gap = np.append(np.diff(d), weights.sum())
+    near, x, low, high = np.arange(m), gap / 2, np.zeros(m), gap.copy()
+    own, after = np.zeros(m), np.append(gap[:-1], 0.0)
+    for turn in range(60):
+        away = poles - x[:, None]
+        terms = weights / away
         slopes = terms / away
-        below = left[active]
-        psi, phi = np.where(below, terms, 0).sum(1), np.where(below, 0, terms).sum(1)
-        psi1, phi1 = np.where(below, slopes, 0).sum(1), np.where(below, 0, slopes).sum(1)
-        value = 1 + psi + phi
-        up = value < 0
-        low[active], high[active] = np.where(up, x[active], low[active]), np.where(up, high[active], x[active])
-        a, b = own[active], after[active]
-        a0, b0 = a - x[active], np.where(np.isfinite(b), b - x[active], 1.0)
+        psi, phi = np.einsum("ij,ij->i", terms, below), np.einsum("ij,ij->i", terms, above)
+        psi1, phi1 = np.einsum("ij,ij->i", slopes, below), np.einsum("ij,ij->i", slopes, above)
+        up = 1 + psi + phi < 0
+        low, high = np.where(up, x, low), np.where(up, high, x)
+        if not turn:  # roots of the right half are measured from the pole on their right
+            right = up.copy()
+            right[-1] = False
+            near += right
+            shift = np.where(right, gap, 0.0)
+            poles, x, low, high, own, after = poles[near], x - shift, np.where(right, -gap / 2, low), np.where(right, 0.0, high), -shift, np.where(right, 0.0, after)
+        a0, b0 = own - x, after - x
         q, s = psi1 * a0 * a0, phi1 * b0 * b0
         c = 1 + psi - psi1 * a0 + phi - phi1 * b0
-        last = active == m - 1
-        b = np.where(last, 0.0, b)
         with np.errstate(all="ignore"):
-            linear, free = c * (a + b) + q + s, c * a * b + q * b + s * a
+            linear, free = c * (own + after) + q + s, c * own * after + q * after + s * own
             root = np.sqrt(np.maximum(linear * linear - 4 * c * free, 0))
-            two = np.where(linear > 0, 2 * free / (linear + root), (linear - root) / (2 * c))
-            new = np.where(last, a + q / c, two)
-        lo, hi = low[active], high[active]
-        new = np.where((new > lo) & (new < hi), new, (lo + hi) / 2)
-        done = (np.abs(new - x[active]) <= 2 * EPS * np.abs(new)) | (hi - lo <= 2 * EPS * np.maximum(np.abs(lo), np.abs(hi)))
-        x[active] = new
-        active = active[~done]
-        if not len(active):
+            new = np.where(linear > 0, 2 * free / (linear + root), (linear - root) / (2 * c))
+            new[-1] = own[-1] + q[-1] / c[-1]
+        near_enough = np.abs(new - x) <= 1e-9 * np.abs(x)
+        new = np.where(near_enough | (new > low) & (new < high), new, (low + high) / 2)
+        done = (near_enough | (high - low <= 2 * EPS * np.abs(new))).all()
+        x = new
+        if done:
             break
     return near, x
 
@@ -104,13 +105,10 @@ def rank_one(d: np.ndarray, u: np.ndarray, v: np.ndarray, rho: float) -> tuple[n
     dk, zk = d[kept], z[kept]
     near, x = secular_roots(dk, zk * zk, rho)
     over = x[:, None] + (dk[near][:, None] - dk)  # root i less pole j
-    m = len(dk)
     apart = dk[:, None] - dk
-    i, j = np.tril_indices(m, -1)  # i > j
-    ratio = np.ones((m, m))
-    ratio[j, i] = over[j, i] / apart[j, i]  # roots below pole i, by the poles below it
-    ratio[i - 1, j] = over[i - 1, j] / apart[i, j]  # roots from pole j on but the last, by the poles above it
-    share = np.sqrt(np.abs(ratio.prod(0) * over[-1])) * np.sign(zk)
+    # Each root but the last goes with the pole next to it that isn't j.
+    beside = np.where(_below(len(dk))[1][:-1] > 0, apart[:-1], apart[1:])
+    share = np.sqrt(np.abs((over[:-1] / beside).prod(0) * over[-1])) * np.sign(zk)
     vectors = share / over
     vectors /= np.linalg.norm(vectors, axis=1)[:, None]
     d[kept] = dk[near] + x
