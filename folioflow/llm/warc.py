@@ -296,11 +296,12 @@ def read_archives(archives: DataFrame, split: int = SPLIT, payloads: bool = Fals
     Archives are cut into ranges of ``split`` bytes and a record belongs to the range in which its member begins. A range
     may begin within a member whose payload itself holds archive bytes; so first all ranges but an archive's last are
     walked for where their last member ends, and a range is read from the furthest of those before it. Members without a
-    record's header, zero bytes and anything else between members are passed over. Without ``payloads`` memory is bounded
+    record's header, zero bytes and anything else between members are passed over. Each range is a task of its own. Without ``payloads`` memory is bounded
     whatever a record's length. Archives of no bytes have no records.
     """
     ranges = archives.filter("bytes > 0").select("path", "bytes", F.explode(F.sequence(F.lit(0).cast("long"), F.col("bytes") - 1, F.lit(split).cast("long"))).alias("start"))
     ranges = ranges.withColumn("end", F.least(F.col("start") + split, F.col("bytes")))
+    tasks = archives.agg(F.sum(F.ceil(F.col("bytes") / split))).first()[0] or 1
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, object]]:
         for batch in batches:
@@ -332,10 +333,10 @@ def read_archives(archives: DataFrame, split: int = SPLIT, payloads: bool = Fals
             if rows:
                 yield made(r["path"], rows)
 
-    walked = ranges.filter("end < bytes").repartition("path", "start").mapInArrow(walk, "path string, start long, last long")
+    walked = ranges.filter("end < bytes").repartition(tasks).mapInArrow(walk, "path string, start long, last long")
     before = Window.partitionBy("path").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
     floors = ranges.join(walked, ["path", "start"], "left").withColumn("floor", F.coalesce(F.max("last").over(before), F.lit(0)))
-    dealt = floors.filter("floor < end").select("path", "bytes", "start", "end", "floor").repartition("path", "start")
+    dealt = floors.filter("floor < end").select("path", "bytes", "start", "end", "floor").repartition(tasks)
     return dealt.mapInArrow(read, RECORDS + (", payload binary" if payloads else ""))
 
 
