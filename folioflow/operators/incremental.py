@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from folioflow.operators.ordering import number_rows
 
 #: Estimates of listing sizes by source, and that of others.
 ESTIMATES = {"justice_canada_xml": 5795, "bc_laws_api": 882, "alberta_kings_printer": 1415, "a2aj_case_law": 184565, "canlii_legacy": 1000}
@@ -81,46 +82,33 @@ def allocate_budget(sources: DataFrame, limit: int, mode: str) -> DataFrame:
     return part.select("source_type", "pos", F.when(n > 1, F.when(last, rest).otherwise(F.col("part"))).cast("long").alias("budget"))
 
 
+#: Where a budget applies: to what is listed, before known urls go (a repeated run lists the same rows again), or to what
+#: is left of it.
+STAGES = ("before", "after")
+
+
 def select_within_budget(listing: DataFrame, budgets: DataFrame, limit: int | None = None) -> DataFrame:
-    """Of a listing (source_type, pos, source_url), each source's first rows up to its budget, then the first ``limit``
-    in source order. Where every source has a budget, the greatest one is a limit that Spark applies to each task's rows
-    of a source before any are shuffled, so that a source may hold any share of the listing."""
-    own = Window.partitionBy("source_type").orderBy("pos", "source_url")
+    """Of a listing (source_type, pos, source_url), each source's first rows up to its budget (null: all of them), then the
+    first ``limit`` in source order. Rows are numbered in ranges, so that a source may hold any share of the listing."""
     b = budgets.select("source_type", F.col("pos").alias("source_pos"), "budget")
-    chosen = listing.join(b, "source_type").withColumn("n", F.row_number().over(own))
-    most = b.agg(F.max("budget").alias("most"), F.count_if(F.col("budget").isNull()).alias("open")).first()
-    if most.most is not None and not most.open:
-        chosen = chosen.filter(F.col("n") <= most.most)
-    chosen = chosen.filter("budget IS NULL OR n <= budget")
-    chosen = chosen.select("source_type", "source_pos", "n", "pos", "source_url")
+    rows = number_rows(listing.select("source_type", "pos", "source_url"), ["source_type"], ["pos", "source_url"], "n")
+    chosen = rows.join(b, "source_type").filter("budget IS NULL OR n <= budget").select("source_type", "source_pos", "n", "pos", "source_url")
     return chosen.orderBy("source_pos", "n").limit(limit) if limit else chosen
 
 
-def carry_forward(df: DataFrame, value: str, by: list[str], order: str, out: str, width: int = 65_536) -> DataFrame:
-    """The nearest non-null value at or before each row in listing order.
-
-    A listing numbered by a whole ``order`` is cut into ranges of ``width`` numbers, so that one of any length is ordered
-    by many tasks: one small row a range says what is carried into it, and rows before the first value of their range
-    take that."""
-    to_here = Window.unboundedPreceding, 0
-    if not isinstance(df.schema[order].dataType, T.IntegralType):
-        return df.withColumn(out, F.last(value, ignorenulls=True).over(Window.partitionBy(*by).orderBy(order).rowsBetween(*to_here)))
-    # Rows without a number come first.
-    place = F.coalesce(F.col(order).cast("long"), F.lit(-(2**63)))
-    cut = df.withColumn("_range", F.floor(place / F.lit(width)).cast("long"))
-    ends = cut.groupBy(*by, "_range").agg(F.max_by(value, F.when(F.col(value).isNotNull(), place)).alias("_end"))
-    before = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    names = [f"_by{i}" for i in range(len(by))]
-    carried = ends.select(*[F.col(c).alias(n) for c, n in zip(by, names, strict=True)], F.col("_range").alias("_at"), F.last("_end", ignorenulls=True).over(before).alias("_carried"))
-    within = cut.withColumn(out, F.last(value, ignorenulls=True).over(Window.partitionBy(*by, "_range").orderBy(order).rowsBetween(*to_here)))
-    same = [F.col(n).eqNullSafe(F.col(c)) for c, n in zip(by, names, strict=True)]
-    found = within.join(carried, [*same, F.col("_range") == F.col("_at")], "left")
-    return found.select(*[c for c in df.columns if c != out], F.coalesce(out, "_carried").alias(out))
+def budgeted_candidates(listing: DataFrame, budgets: DataFrame, docs: DataFrame, keys: DataFrame, mode: str, max_age: Column, as_of: Column, limit: int | None = None, budget_stage: str = "after") -> DataFrame:
+    """Candidates of a listing within budgets, which apply after known or fresh urls are gone or before."""
+    if budget_stage not in STAGES:
+        raise ValueError(f"unknown stage {budget_stage!r}")
+    pick = lambda rows: select_within_budget(rows, budgets, limit)
+    left = lambda rows: select_candidates(rows, docs, keys, mode, max_age, as_of)
+    return pick(left(listing)) if budget_stage == "after" else left(pick(listing))
 
 
 def first_wins(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:
-    """One row a key, the first in order."""
-    return df.withColumn("_first", F.row_number().over(Window.partitionBy(*key).orderBy(*order))).filter("_first = 1").drop("_first")
+    """One row a key, the first in order (nulls first); tasks keep one row a key before any are shuffled."""
+    least = F.min_by(F.struct("*"), F.struct(*[F.col(c) for c in order])).alias("row")
+    return df.groupBy(*[F.col(c).alias(f"key{i}") for i, c in enumerate(key)]).agg(least).select("row.*")
 
 
 def preview(listing: DataFrame, n: int = 10) -> tuple[DataFrame, DataFrame]:

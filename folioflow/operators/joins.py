@@ -80,8 +80,9 @@ def with_jurisdiction(docs: DataFrame, dim: DataFrame) -> DataFrame:
 
 def with_has_content(docs: DataFrame, versions: DataFrame) -> DataFrame:
     """A flag for a latest version with text."""
-    filled = latest_of(versions).filter("content_text <> ''").select(F.col("document_id").alias("_filled")).distinct()
-    return docs.join(filled, docs["id"] == filled["_filled"], "left").withColumn("has_content", F.col("_filled").isNotNull()).drop("_filled")
+    filled = latest_of(versions).filter("content_text <> ''").select("document_id").distinct()
+    rows = docs.select(F.struct("*").alias("row"), "id").join(filled, F.col("id") == F.col("document_id"), "left")
+    return rows.select(*[F.col("row").getField(c).alias(c) for c in docs.columns if c != "has_content"], F.col("document_id").isNotNull().alias("has_content"))
 
 
 def docs_without_versions(docs: DataFrame, versions: DataFrame) -> DataFrame:

@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioflow.functions.text import SAFE_PATH, SAFE_PATH_COMMA, absolute, decoded, encoded, extract, filled, first_filled, fix_caps, last_segment, normalize_url, squeeze, strip, with_query
-from folioflow.operators.incremental import carry_forward, first_wins
+from folioflow.operators.incremental import first_wins
+from folioflow.operators.ordering import carry_forward
 
 #: Courts with their jurisdiction and name, in table order.
 COURTS = (

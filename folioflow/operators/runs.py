@@ -10,13 +10,17 @@ INTERRUPTED = "Interrupted: System restarted or script crashed"
 CHECKED = ("new", "updated", "unchanged", "failed")
 
 
-def run_counters(outcomes: DataFrame) -> DataFrame:
-    """Counters by source in one pass."""
+def counters() -> list[Column]:
     n = lambda *kinds: F.count_if(F.col("outcome").isin(*kinds))
-    return outcomes.groupBy("source_type").agg(
+    return [
         F.count(F.lit(1)).alias("docs_discovered"), n(*CHECKED).alias("docs_checked"), n("new").alias("docs_new"), n("updated").alias("docs_updated"),
         n("unchanged").alias("docs_unchanged"), n("failed").alias("docs_failed"), n("skipped_fresh").alias("docs_skipped_fresh"),
-    )
+    ]
+
+
+def run_counters(outcomes: DataFrame) -> DataFrame:
+    """Counters by source in one pass."""
+    return outcomes.groupBy("source_type").agg(*counters())
 
 
 def run_summary(outcomes: DataFrame) -> DataFrame:

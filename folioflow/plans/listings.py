@@ -4,6 +4,7 @@ derived from the given ones, written to the shared folder where a reader takes f
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from folioflow.operators import extract, incremental, joins, normalize, quality, repair, runs, search, upsert
@@ -380,7 +381,7 @@ def read_keys(m: Model) -> DataFrame:
 
 @query("SELECT d.id, (SELECT count(*) FROM versions v WHERE v.doc_id = d.doc_id) AS versions FROM docs d")
 def store_snapshot(m: Model) -> DataFrame:
-    own = store.Store(m.spark, scratch_folder(m.spark, "store"))
+    own = store.Store(m.spark, scratch_folder(m.spark, "store"), BUCKETS)
     own.write(m.some_docs, m.some_versions)
     own.write(m.docs, m.versions)
     docs, versions = own.read()
@@ -388,27 +389,166 @@ def store_snapshot(m: Model) -> DataFrame:
     return docs.select("id").join(counts, "id", "left").withColumn("versions", F.coalesce("versions", F.lit(0)))
 
 
-@query("SELECT document_id, id, version_number, is_latest, content_hash FROM versions")
-def stream_upsert(m: Model) -> DataFrame:
-    """The three batches arrive as files of a stream and go into a store one after the other."""
-    at = scratch_folder(m.spark, "stream")
-    landed = m.batches
+#: Buckets of the stores in these queries: tens of documents a bucket at the smallest size.
+BUCKETS = 16
+_BUCKET = f"('0x' || left(sha256({{}}), 8))::BIGINT % {BUCKETS}"
+
+
+@query(f""", was AS (SELECT DISTINCT 'documents' AS table_name, {_BUCKET.format('source_url')} AS bucket FROM docs UNION ALL SELECT DISTINCT 'versions', {_BUCKET.format('id')} FROM docs),
+  moved AS (SELECT DISTINCT 'documents' AS table_name, {_BUCKET.format('source_url')} AS bucket FROM docs WHERE source_type = 'src3' AND doc_id % 10 = 0 UNION ALL SELECT DISTINCT 'versions', {_BUCKET.format('id')} FROM docs WHERE source_type = 'src3' AND doc_id % 30 = 0)
+  SELECT table_name, bucket::INTEGER AS bucket, CASE WHEN moved.bucket IS NULL THEN 1 ELSE 2 END AS since FROM was LEFT JOIN moved USING (table_name, bucket)""")
+def store_touched_buckets(m: Model) -> DataFrame:
+    """Which snapshot wrote the folder of each bucket: a batch moves those of its urls and of its changed texts alone."""
+    own = store.Store(m.spark, scratch_folder(m.spark, "store"), BUCKETS)
+    own.upsert(m.batches.filter("seq = 1"), as_of())
+    number = F.regexp_extract("source_url", r"(\d+)$", 1).cast("long")
+    own.upsert(m.batches.filter("seq = 2 AND source_type = 'src3'").filter(number % 10 == 0), as_of())
+    return own.folders().select("table_name", "bucket", "since")
+
+
+@query("SELECT id, document_id, version_number::INTEGER AS version_number, is_latest FROM versions")
+def upsert_in_steps(m: Model) -> DataFrame:
+    """The batches one after another through a store end in the same versions as at once."""
+    own = store.Store(m.spark, scratch_folder(m.spark, "steps"), BUCKETS)
+    for k in (1, 2, 3):
+        own.upsert(m.batches.filter(F.col("seq") == k), as_of())
+    return own.read()[1].select("id", "document_id", "version_number", "is_latest")
+
+
+def _landed(rows: DataFrame, at: str, files: int = 4) -> None:
+    """Lands rows as so many files, which make one micro-batch."""
+    rows.repartition(files).write.mode("append").parquet(at)
+
+
+def _stream(m: Model, at: str, schema, files: int = 4) -> DataFrame:
+    return ingest.stream_records(m.spark, f"{at}/in", schema, files_per_trigger=files)
+
+
+class Broken(RuntimeError):
+    """A fault that a query injects."""
+
+
+def _run_with_a_fault(start) -> None:
+    """Runs a stream that breaks off once, and then goes on."""
+    try:
+        start(True).awaitTermination()
+    except StreamingQueryException as ended:
+        if Broken.__name__ not in str(ended):
+            raise
+    start(False).awaitTermination()
+
+
+def _stream_upsert(m: Model, name: str, fault: bool = False, **more) -> tuple[store.Store, object]:
+    """The three batches arrive as files of a stream and go into a store one after the other; with ``fault`` the second
+    breaks off between the store and the checkpoint."""
+    at = scratch_folder(m.spark, name)
     for seq in (1, 2, 3):
-        landed.filter(F.col("seq") == seq).coalesce(1).write.mode("append").parquet(f"{at}/in")
-    own = store.Store(m.spark, f"{at}/store")
-    stream = ingest.stream_records(m.spark, f"{at}/in", landed.schema, files_per_trigger=1)
-    ingest.stream_upsert(stream, own, as_of(), f"{at}/checkpoint").awaitTermination()
-    return own.read()[1].select("document_id", "id", "version_number", "is_latest", "content_hash")
+        _landed(m.batches.filter(F.col("seq") == seq), f"{at}/in")
+    own, ledger = store.Store(m.spark, f"{at}/store", BUCKETS), ingest.Ledger(m.spark, f"{at}/ledger")
+    log = ingest.ProgressLog()
+    m.spark.streams.addListener(log)
 
+    def breaks(number: int, _: DataFrame) -> None:
+        if number == 1:
+            raise Broken
 
-@query("SELECT source_url FROM docs")
-def stream_unseen(m: Model) -> DataFrame:
-    """Listings that repeat urls arrive as files; each url is passed on once."""
+    start = lambda fails: ingest.stream_upsert(_stream(m, at, m.batches.schema), own, as_of(), f"{at}/checkpoint", breaks if fails else None, ledger=ledger, **more)
+    if fault:
+        _run_with_a_fault(start)
+        progress = None
+    else:
+        run = start(False)
+        run.awaitTermination()
+        progress = ingest.stream_progress(log.rows(run), ledger.read())
+    m.spark.streams.removeListener(log)
+    return own, progress if progress is not None else ledger.read()
+
+
+_STREAMED = "SELECT document_id, id, version_number, is_latest, content_hash FROM versions"
+_LEDGER = """SELECT (seq - 1)::BIGINT AS batch, count(*) AS taken, count(*) FILTER (WHERE seq = 1) AS docs_new, count(*) FILTER (WHERE seq > 1 AND content_hash IS DISTINCT FROM before) AS docs_updated, count(*) FILTER (WHERE seq > 1 AND content_hash IS NOT DISTINCT FROM before) AS docs_unchanged"""
+
+
+@query(_STREAMED)
+def stream_upsert(m: Model) -> DataFrame:
+    return _stream_upsert(m, "stream")[0].read()[1].select("document_id", "id", "version_number", "is_latest", "content_hash")
+
+
+@query(f"{_LEDGER}, count(*) AS input_rows FROM hashed GROUP BY seq")
+def stream_progress(m: Model) -> DataFrame:
+    """Each micro-batch: the rows that Spark measured, and what became of them."""
+    return _stream_upsert(m, "progress")[1].select("batch", "taken", "docs_new", "docs_updated", "docs_unchanged", "input_rows")
+
+
+@query(_STREAMED)
+def stream_upsert_recovered(m: Model) -> DataFrame:
+    """The second batch breaks off after the store has it; a restart ends in the same tables."""
+    return _stream_upsert(m, "recovered", fault=True)[0].read()[1].select("document_id", "id", "version_number", "is_latest", "content_hash")
+
+
+@query(f"{_LEDGER} FROM hashed GROUP BY seq")
+def stream_ledger_recovered(m: Model) -> DataFrame:
+    """After such a fault the replayed batch still has its counters."""
+    return _stream_upsert(m, "ledger", fault=True)[1].select("batch", "taken", "docs_new", "docs_updated", "docs_unchanged")
+
+
+#: All of the first batch, a part of the second and nothing of the third.
+_SOME = "(SELECT count(*) + count(*) // 4 FROM corpus)"
+
+
+@query(f""", n AS (SELECT *, row_number() OVER (ORDER BY seq, source_url) AS place FROM batches), h AS (SELECT *, sha256(content_text) AS content_hash FROM n WHERE place <= {_SOME}),
+  c AS (SELECT *, lag(content_hash) OVER (PARTITION BY doc_id ORDER BY seq) AS before FROM h) SELECT sha256(source_url) AS document_id, row_number() OVER (PARTITION BY doc_id ORDER BY seq)::INTEGER AS version_number, content_hash FROM c WHERE content_hash IS DISTINCT FROM before""")
+def stream_limited(m: Model) -> DataFrame:
+    """A limit on the rows of a stream holds over its batches and over a restart."""
+    n = m.corpus.count()
+    return _stream_upsert(m, "limited", fault=True, limit=n + n // 4)[0].read()[1].select("document_id", "version_number", "content_hash")
+
+
+def _stream_unseen(m: Model, fault: bool = False) -> DataFrame:
+    """Listings that repeat urls arrive as files; each url is passed on once. With ``fault`` the second batch breaks off
+    between the sink and the keys."""
     at = scratch_folder(m.spark, "unseen")
     listing = m.docs.select("source_url")
-    for part in (listing, listing.unionByName(listing)):
-        part.coalesce(1).write.mode("append").parquet(f"{at}/in")
-    stream = ingest.stream_records(m.spark, f"{at}/in", listing.schema, files_per_trigger=1)
-    sink = lambda fresh, number: fresh.write.mode("overwrite").parquet(f"{at}/out/batch={number}")
-    ingest.stream_unseen(stream, f"{at}/keys", as_of(), f"{at}/checkpoint", sink).awaitTermination()
-    return m.spark.read.parquet(f"{at}/out").select("source_url")
+    for part in (listing.filter("source_url NOT LIKE '%7'"), listing.unionByName(listing)):
+        _landed(part, f"{at}/in")
+
+    def start(fails: bool):
+        def sink(fresh: DataFrame, number: int) -> None:
+            fresh.write.mode("overwrite").parquet(f"{at}/out/batch={number}")
+            if fails and number == 1:
+                raise Broken
+
+        return ingest.stream_unseen(_stream(m, at, listing.schema), f"{at}/keys", as_of(), f"{at}/checkpoint", sink)
+
+    if fault:
+        _run_with_a_fault(start)
+    else:
+        start(False).awaitTermination()
+    return m.spark.read.parquet(f"{at}/out").select("source_url", F.col("batch").cast("int").alias("batch"))
+
+
+_UNSEEN = "SELECT source_url, CASE WHEN source_url LIKE '%7' THEN 1 ELSE 0 END AS batch FROM docs"
+
+
+@query(_UNSEEN)
+def stream_unseen(m: Model) -> DataFrame:
+    return _stream_unseen(m)
+
+
+@query(_UNSEEN)
+def stream_unseen_recovered(m: Model) -> DataFrame:
+    return _stream_unseen(m, fault=True)
+
+
+@query("""SELECT source_url, 0 AS day FROM docs UNION ALL SELECT 'mark 10 ' || source_url, 10 FROM docs UNION ALL SELECT 'mark 11 ' || source_url, 11 FROM docs UNION ALL SELECT source_url, 12 FROM docs""")
+def stream_unseen_within(m: Model) -> DataFrame:
+    """Urls listed again within a day go; listed again twelve days later, when the watermark has passed, they are new."""
+    at = scratch_folder(m.spark, "within")
+    listed_at = lambda d, hours=0: F.expr(f"TIMESTAMP '2024-01-01 00:00:00' + make_interval(0, 0, 0, {d}, {hours})").alias("at")
+    urls = m.docs.select("source_url")
+    marks = lambda d: urls.select(F.concat(F.lit(f"mark {d} "), "source_url").alias("source_url"), listed_at(d))
+    first = urls.select("source_url", listed_at(0))
+    for part in (first.unionByName(first), urls.select("source_url", listed_at(0, 20)), marks(10), marks(11), urls.select("source_url", listed_at(12)).unionByName(urls.select("source_url", listed_at(12, 3)))):
+        _landed(part, f"{at}/in")
+    stream = ingest.unseen_within(_stream(m, at, first.schema), "at", "1 day")
+    ingest.append_files(stream, f"{at}/out", f"{at}/checkpoint").awaitTermination()
+    return m.spark.read.schema(first.schema).parquet(f"{at}/out").select("source_url", F.datediff("at", F.lit("2024-01-01")).alias("day"))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioflow.functions.text import clean_lines
-from folioflow.operators import analytics, browse, extract, incremental, joins, normalize, quality, repair, runs, search, upsert
+from folioflow.operators import analytics, browse, extract, incremental, joins, normalize, ordering, quality, repair, runs, search, upsert
 from folioflow.plans.model import SQL, Model, as_of, wall
 from folioflow.sources import store
 
@@ -63,15 +63,6 @@ def upsert_outcomes(m: Model) -> DataFrame:
     return m.upserted[2].select("source_url", "seq", "outcome")
 
 
-@query("SELECT id, document_id, version_number::INTEGER AS version_number, is_latest FROM versions")
-def upsert_in_steps(m: Model) -> DataFrame:
-    """The same batches one after another end in the same versions."""
-    docs, versions = m.empty(upsert.DOCUMENTS), m.empty(upsert.VERSIONS)
-    for k in (1, 2, 3):
-        docs, versions, _ = upsert.upsert(docs, versions, m.batches.filter(F.col("seq") == k), as_of())
-    return versions.select("id", "document_id", "version_number", "is_latest")
-
-
 @query("SELECT code, name FROM dim")
 def ensure_jurisdictions(m: Model) -> DataFrame:
     return m.dim
@@ -193,8 +184,41 @@ def budget_proportional(m: Model) -> DataFrame:
   SELECT source_url FROM l WHERE n <= 12 ORDER BY source_pos, n LIMIT 130""")
 def within_budget(m: Model) -> DataFrame:
     budgets = _sources(m).select("source_type", "pos", F.lit(12).cast("long").alias("budget"))
-    listing = m.docs.select("source_type", "source_url", F.regexp_extract("source_url", r"(\d+)$", 1).cast("long").alias("pos"))
-    return incremental.select_within_budget(listing, budgets, 130).select("source_url")
+    return incremental.select_within_budget(_numbered_listing(m), budgets, 130).select("source_url")
+
+
+def _numbered_listing(m: Model) -> DataFrame:
+    return m.docs.select("source_type", "source_url", F.regexp_extract("source_url", r"(\d+)$", 1).cast("long").alias("pos"))
+
+
+_OPEN = f"""{_SRC}, b AS (SELECT source_type, pos, CASE WHEN pos % 2 = 0 THEN 12 END AS budget FROM src)"""
+
+
+def _open_budgets(m: Model) -> DataFrame:
+    """Every second source has no budget of its own."""
+    return _sources(m).select("source_type", "pos", F.when(F.col("pos") % 2 == 0, 12).cast("long").alias("budget"))
+
+
+@query(f"""{_OPEN}, l AS (SELECT d.source_type, b.budget, d.source_url, row_number() OVER (PARTITION BY d.source_type ORDER BY d.doc_id, d.source_url) AS n FROM docs d JOIN b ON d.source_type = b.source_type)
+  SELECT source_url, n FROM l WHERE budget IS NULL OR n <= budget""")
+def within_open_budgets(m: Model) -> DataFrame:
+    return incremental.select_within_budget(_numbered_listing(m), _open_budgets(m)).select("source_url", "n")
+
+
+def _staged(before: bool) -> str:
+    seen = "d.source_url NOT IN (SELECT url FROM keys)"
+    return f"""{_OPEN}, l AS (SELECT b.budget, d.source_url, row_number() OVER (PARTITION BY d.source_type ORDER BY d.doc_id, d.source_url) AS n FROM docs d JOIN b ON d.source_type = b.source_type {'' if before else f'WHERE {seen}'})
+  SELECT source_url FROM l d WHERE (budget IS NULL OR n <= budget) {f'AND {seen}' if before else ''}"""
+
+
+@query(_staged(True))
+def budget_before_filter(m: Model) -> DataFrame:
+    return incremental.budgeted_candidates(_numbered_listing(m), _open_budgets(m), m.docs, m.keys, "full", days(7), as_of(), budget_stage="before").select("source_url")
+
+
+@query(_staged(False))
+def budget_after_filter(m: Model) -> DataFrame:
+    return incremental.budgeted_candidates(_numbered_listing(m), _open_budgets(m), m.docs, m.keys, "full", days(7), as_of()).select("source_url")
 
 
 @query("SELECT url, strftime(min(scraped_at), '%Y-%m-%d') AS day FROM (SELECT * FROM keys UNION ALL SELECT source_url, updated_at FROM docs WHERE source_url NOT IN (SELECT url FROM keys)) GROUP BY url")
@@ -207,7 +231,7 @@ def add_keys(m: Model) -> DataFrame:
   UNION ALL SELECT source_url, NULL FROM docs a WHERE NOT EXISTS (SELECT 1 FROM docs b WHERE a.source_type = b.source_type AND b.doc_id <= a.doc_id AND b.document_type = 'legislation')""")
 def carry_forward(m: Model) -> DataFrame:
     d = m.corpus.withColumn("act", F.when(F.col("document_type") == "legislation", F.col("title")))
-    return incremental.carry_forward(d, "act", ["source_type"], "doc_id", "carried").select("source_url", "carried")
+    return ordering.carry_forward(d, "act", ["source_type"], "doc_id", "carried").select("source_url", "carried")
 
 
 @query("SELECT arg_min(source_url, doc_id) AS source_url FROM docs GROUP BY source_type, title")

@@ -28,12 +28,32 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def scratch_folder(spark: SparkSession, name: str) -> str:
-    """A new folder below the one that driver and executors share (spark.checkpoint.dir; in local mode one of our own)."""
+#: Folders of this process below the shared one.
+_made: list[str] = []
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir; in local mode one of the session's own."""
     conf = spark.sparkContext.getConf()
     found = conf.get("spark.checkpoint.dir")
-    if not found:
-        if not conf.get("spark.master", "").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
-        found = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
-    return f"{found.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if found:
+        return found.rstrip("/")
+    if not conf.get("spark.master", "").startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
+    system = spark.sparkContext._jvm.System
+    found = system.getProperty("folioflow.shared") or "file://" + tempfile.mkdtemp(prefix="spark-shared-")
+    system.setProperty("folioflow.shared", found)
+    return found
+
+
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder below the shared one. It stays until ``release_scratch``, since results are read from it."""
+    _made.append(f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}")
+    return _made[-1]
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Deletes the folders that this process made; call it once their frames have been written or collected."""
+    while _made:
+        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_made.pop())
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)

@@ -85,10 +85,14 @@ class Store:
         now = self.manifest(number) or self._start()
         return self._table(now, "documents"), self._table(now, "versions")
 
-    def outcomes(self, number: int | None = None) -> DataFrame:
-        """The batch of an upsert's snapshot with the outcome of each row."""
-        now = self.manifest(number)
-        return self.spark.read.parquet(f"{self.path}/{now['written']}/outcomes")
+    def outcomes(self, number: int | None = None, batch_id: int | None = None) -> DataFrame:
+        """The batch of an upsert's snapshot with the outcome of each row: of the current snapshot, the one numbered so, or
+        the one that applied a batch."""
+        found = (self.manifest(k) for k in ([number] if number else reversed(self.numbers())))
+        for m in found:
+            if batch_id is None or m["batch_id"] == batch_id:
+                return self.spark.read.parquet(f"{self.path}/{m['written']}/outcomes")
+        raise KeyError(f"no snapshot of batch {batch_id}")
 
     def folders(self, number: int | None = None) -> DataFrame:
         """A row for each table and bucket of a snapshot: the folder that holds it and the snapshot that wrote it."""
@@ -170,6 +174,10 @@ class Store:
         if batch_id is not None and base["batch_id"] is not None and batch_id <= base["batch_id"]:
             return False
         n, written = base["buckets"], f"data/commit={uuid.uuid4().hex}"
+        # A batch may be dear to make or differ when made again, so it is made once.
+        landed = f"{self.path}/{written}/batch"
+        batch.write.parquet(landed)
+        batch = self.spark.read.schema(batch.schema).parquet(landed)
 
         def buckets(df: DataFrame, key: str) -> set[int]:
             return {r[0] for r in df.select(bucket_of(F.col(key), n)).distinct().collect()}
@@ -181,6 +189,7 @@ class Store:
         at = f"{self.path}/{written}/outcomes"
         upserts.outcomes(docs, self._table(base, "versions", by_id), batch).write.parquet(at)
         found = self.spark.read.parquet(at)
+        self._fs.delete(self._path(landed), True)
         changed = buckets(found.filter("changed"), "document_id")
         next_docs, next_versions = upserts.apply_outcomes(docs, self._table(base, "versions", changed), found, as_of)
         changes = {"documents": self._write(next_docs, written, "documents", "source_url", n) if by_url else {}, "versions": self._write(next_versions, written, "versions", "document_id", n) if changed else {}}

@@ -5,8 +5,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from folioflow.operators import incremental
+from folioflow.operators import ordering
 from folioflow.operators.incremental import allocate_budget, select_within_budget
 from folioflow.operators.repair import normalize_urls, url_changes
+from folioflow.sources.readers import read_act_tree
 from folioflow.operators.upsert import ensure_jurisdictions, upsert
 from folioflow.schemas import DOCUMENTS, VERSIONS
 
@@ -104,14 +106,41 @@ def test_url_collisions(spark):
     assert normalize_urls(normalize_urls(docs)).filter("source_url LIKE '% %'").count() == 2
 
 
-@pytest.mark.parametrize("width", [1, 7, 1000])
-def test_carry_forward_is_the_same_in_ranges(spark, width):
-    rng = random.Random(width)
-    rows = [(rng.choice(["a", "b", None]), pos, rng.choice([None, None, None, f"v{pos}"])) for pos in rng.sample(range(-60, 200), 150)] + [("a", None, "first"), ("c", 5, None)]
-    df = spark.createDataFrame(rows, "list string, pos int, value string")
-    got = {(r.list, r.pos): r.carried for r in incremental.carry_forward(df, "value", ["list"], "pos", "carried", width).collect()}
-    last: dict = {}
+@pytest.mark.parametrize("ranges", [1, 3, 40])
+def test_carry_forward_is_the_same_in_ranges(spark, ranges):
+    rng = random.Random(ranges)
+    rows = [(rng.choice(["a", "a", "a", "b", None]), pos, rng.choice([None, None, None, f"v{pos}"])) for pos in rng.sample(range(-60, 200), 150)] + [("a", None, "first"), ("c", 5, None)]
+    names = "list string, pos int, part string, group int, key int, row int, place int, here int, carried int, _range int"
+    df = spark.createDataFrame([(*r, 1, 2, 3, 4, 5, 6, 7) for r in rows], names)
+    was = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(ranges))
+    try:
+        plain = ordering.carry_forward(df, "part", ["list"], "pos", "carried").collect()
+        nested = df.select("*", F.struct(F.lit("f").alias("file"), F.struct("pos").alias("no")).alias("at"))
+        deep = ordering.carry_forward(nested, "part", ["list"], "at", "carried").collect()
+        numbered = ordering.number_rows(df, ["list"], ["pos"], "n").collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", was)
+    last, count = {}, {}
+    got, same, n = ({(r.list, r.pos): r for r in x} for x in (plain, deep, numbered))
     for name, pos, value in sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0)):
-        last[name] = value or last.get(name)
-        assert got[name, pos] == last[name]
-    assert len(got) == len(rows)
+        last[name], count[name] = value or last.get(name), count.get(name, 0) + 1
+        r = got[name, pos]
+        assert r.carried == same[name, pos].carried == last[name] and n[name, pos].n == count[name]
+        assert (r.part, r.group, r.key, r.row, r.place, r.here, r._range) == (value, 1, 2, 3, 4, 5, 7)
+    assert len(plain) == len(deep) == len(numbered) == len(rows)
+
+
+def test_no_listing_goes_to_one_task(spark, tmp_path):
+    (tmp_path / "acts.json").write_text('[{"act": {"productId": "1", "name": "A"}, "regulations": [{"productId": "2", "name": "R"}]}, {"act": {"productId": "3", "name": "B"}}]')
+    rows = read_act_tree(spark, str(tmp_path)).withColumn("act", F.when(~F.col("regulation"), F.col("name"))).withColumn("all", F.lit(1))
+    out = ordering.carry_forward(rows, "act", ["all"], "pos", "parent")
+    assert "SinglePartition" not in out._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r.name, r.parent) for r in out.collect()) == [("A", "A"), ("B", "B"), ("R", "A")]
+    windows = [x for x in select_within_budget(rows.select(F.lit("s").alias("source_type"), F.col("pos"), F.col("name").alias("source_url")), spark.createDataFrame([("s", 1, None)], "source_type string, pos int, budget long"))._jdf.queryExecution().executedPlan().toString().split("\n") if "Window" in x]
+    assert all("row_number" not in w for w in windows)
+
+
+def test_first_wins_keeps_columns_of_any_name(spark):
+    df = spark.createDataFrame([("a", 2, 5, "x"), ("a", 1, 6, "y"), (None, 3, 7, "z"), (None, None, 8, "w")], "k string, pos int, _first int, key0 string")
+    assert sorted(tuple(r) for r in incremental.first_wins(df, ["k"], ["pos"]).fillna("-", "k").fillna(-1, "pos").collect()) == [("-", -1, 8, "w"), ("a", 1, 6, "y")]
