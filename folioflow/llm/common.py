@@ -2,33 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from typing import ClassVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from folioflow.session import shared_folder as shared_dir
+
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ASCII_LOWER = "abcdefghijklmnopqrstuvwxyz"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a folder of our own in local mode."""
-    conf = spark.sparkContext.getConf()
-    found = conf.get("spark.checkpoint.dir")
-    if found:
-        return found.rstrip("/")
-    if not conf.get("spark.master", "").startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
-    jvm = spark.sparkContext._jvm
-    found = jvm.System.getProperty("folioflow.shared")
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
-        jvm.System.setProperty("folioflow.shared", found)
-    return found
-
-
 class Scratch:
     """Intermediate tables as Parquet in the shared folder: lineage ends there, so a lost executor costs
     only its running tasks. ``clear`` deletes them; what ``keep`` wrote stays for the caller's result until
