@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from folioflow.llm.common import Scratch, repeated
+from folioflow.llm.common import BROADCAST_ROWS, Scratch, repeated
 
 #: Counts by token hash are kept in 2^SKETCH_BITS buckets: a fixed size whatever the vocabulary.
 SKETCH_BITS = 23
@@ -22,7 +22,7 @@ NO_ID = 2**63 - 1
 #: Postings of a token that meet in one place; those of more frequent ones are dealt to blocks of this size.
 CELL = 4096
 #: Postings of a group, and those that a task packs together.
-GROUP_POSTINGS, PACKED = 1 << 19, 1 << 20
+GROUP_POSTINGS, PACKED = 1 << 18, 1 << 19
 #: Nearest partners that a posting names in a round; every further round asks for FAR times as many.
 FEW, FAR = 4, 128
 #: Texts are worked on together up to about this many bytes; a longer text alone.
@@ -355,12 +355,14 @@ def _wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _verify(own: Scratch, docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     """The lines (doc_id, hash, line) of pairs whose token sets reach the threshold. The later lines' sets meet those of
-    the others, each of these once, in a join that adaptive execution splits where many ask one. Texts (doc_id, hash,
-    text) meet the lists of their lines by shuffle at every size."""
+    the others, each of these once, in a join that adaptive execution splits where many ask one. The lists of lines are
+    counted first and broadcast to the texts (doc_id, hash, text) up to BROADCAST_ROWS pairs; beyond, texts are shuffled."""
+    few = pairs.count() <= BROADCAST_ROWS
 
     def sets(lines: DataFrame) -> DataFrame:
         needed = lines.groupBy("doc_id", "hash").agg(F.collect_list(F.struct("line", *OTHER)).alias("wanted"))
-        return docs.join(needed.hint("merge"), ["doc_id", "hash"]).select("doc_id", "hash", "text", "wanted").mapInArrow(_wanted, f"{PAIR}, tokens array<long>")
+        needed = F.broadcast(needed) if few else needed.hint("merge")
+        return docs.join(needed, ["doc_id", "hash"]).select("doc_id", "hash", "text", "wanted").mapInArrow(_wanted, f"{PAIR}, tokens array<long>")
 
     others = pairs.select(*[F.col(o).alias(p) for o, p in zip(OTHER, PLACE, strict=True)], *OTHER).distinct()
     other = sets(others).select(*OTHER, F.col("tokens").alias("t2"))
@@ -369,15 +371,22 @@ def _verify(own: Scratch, docs: DataFrame, pairs: DataFrame, percent: int) -> Da
     return own.table(both.filter(common * 100 >= (total - common) * percent).select(*PLACE).distinct())
 
 
-def _texts(docs: DataFrame, *more: str) -> DataFrame:
-    """(doc_id, hash, text, more columns) of documents with a text: null ids count as the greatest, and their hashes differ from those
-    of rows with an id."""
+def unlike_texts(docs: DataFrame) -> bool:
+    """Whether some doc_id has rows of unlike texts."""
+    hashed = F.xxhash64("text")
+    ids = docs.filter("doc_id IS NOT NULL AND text IS NOT NULL").groupBy("doc_id").agg(F.min(hashed).alias("low"), F.max(hashed).alias("high"))
+    return ids.filter("low <> high").limit(1).count() > 0
+
+
+def _texts(docs: DataFrame, unlike: bool, *more: str) -> DataFrame:
+    """(doc_id, hash, text, more columns) of documents with a text: null ids count as the greatest, and their hashes differ
+    from those of rows with an id, which are 0 where a doc_id tells its text already."""
     id_ = F.col("doc_id").cast("long")
-    hashed = F.when(id_.isNull(), F.xxhash64("text", F.lit("no id"))).otherwise(F.xxhash64("text"))
+    hashed = F.when(id_.isNull(), F.xxhash64("text", F.lit("no id"))).otherwise(F.xxhash64("text") if unlike else F.lit(0).cast("long"))
     return docs.filter("text IS NOT NULL").select(F.coalesce(id_, F.lit(NO_ID)).alias("doc_id"), hashed.alias("hash"), "text", *more)
 
 
-def matched_lines(docs: DataFrame, percent: int = 75, scratch: Scratch | None = None, few: int = FEW, cell: int = CELL) -> DataFrame:
+def matched_lines(docs: DataFrame, percent: int = 75, scratch: Scratch | None = None, few: int = FEW, cell: int = CELL, unlike: bool | None = None) -> DataFrame:
     """The lines (doc_id, hash, line) of documents (doc_id, text) that an earlier line matches: one whose token set has a
     Jaccard similarity of ``percent`` in 100 or more, earlier by doc_id (null last), the hash of its text and then line
     number (from 0).
@@ -388,11 +397,12 @@ def matched_lines(docs: DataFrame, percent: int = 75, scratch: Scratch | None =
     again for FAR times as many until none is left. So a large group of near copies costs a few pairs each and not one
     for each two of them. Candidates are verified on their full token sets. Rows alike in doc_id and text count as one
     place, unlike texts of one doc_id (or of none) as places of their own; null texts are left out, and only doc_id and
-    text are read. ``hash`` tells the texts of one doc_id apart, see ``_texts``. An empty table gives an empty result.
+    text are read. ``hash`` tells the texts of one doc_id apart, see ``_texts``; it is needed only where such texts are ``unlike``, which
+    is looked up unless given. An empty table gives an empty result.
     """
     own = scratch or Scratch(docs.sparkSession, "line-dedup")
     context = docs.sparkSession.sparkContext
-    docs = _texts(docs)
+    docs = _texts(docs, unlike_texts(docs) if unlike is None else unlike)
     levels = context.broadcast(sketch(docs.select("text"), _count_words))
     lines = own.table(docs.mapInArrow(_lines(levels, percent), LINE))
     firsts = [F.first(c).alias(c) for c in ("b1", "b2", "tokens", "places")]
@@ -437,8 +447,9 @@ def dedup_report(docs: DataFrame, percent: int = 75) -> DataFrame:
     """Per row of documents: doc_id, n_lines (0 for null texts), n_removed, n_kept and removed_lines, the numbers joined by
     commas. Rows alike in doc_id and text have alike reports, but of rows without a doc_id each is a document of its
     own: the first of equal texts keeps what no earlier line matches, the others lose all lines with words."""
-    found = matched_lines(docs, percent).groupBy("doc_id", "hash").agg(F.sort_array(F.collect_set("line")).alias("lines"))
-    texts = _texts(docs)
+    unlike = unlike_texts(docs)
+    found = matched_lines(docs, percent, unlike=unlike).groupBy("doc_id", "hash").agg(F.sort_array(F.collect_set("line")).alias("lines"))
+    texts = _texts(docs, unlike)
     worded = F.when(F.col("doc_id") == NO_ID, _worded("text"))
     places = texts.select("doc_id", "hash", F.size(F.split("text", "\n")).cast("long").alias("n_lines"), worded.alias("worded")).groupBy("doc_id", "hash").agg(F.first("n_lines").alias("n_lines"), F.first("worded").alias("worded"), F.count(F.lit(1)).alias("copies"))
     rows = repeated(places.join(found, ["doc_id", "hash"], "left"), "copies", "copy")
@@ -453,9 +464,10 @@ def dedup_lines(docs: DataFrame, percent: int = 75) -> DataFrame:
     """The documents, all columns, without the lines that earlier ones match. Null texts stay as they are, and rows alike in
     doc_id and text lose the same lines. Rows without a doc_id are documents of their own: of equal texts the first keeps
     what no earlier line matches, the others lose all lines with words. Columns may have any name."""
-    removed = matched_lines(docs, percent).groupBy("doc_id", "hash").agg(F.collect_set("line").alias("lines"))
+    unlike = unlike_texts(docs)
+    removed = matched_lines(docs, percent, unlike=unlike).groupBy("doc_id", "hash").agg(F.collect_set("line").alias("lines"))
     rows = docs.select(F.struct("*").alias("row"), "doc_id", "text")
-    texts = _texts(rows, "row")
+    texts = _texts(rows, unlike, "row")
     named = texts.filter(F.col("doc_id") != NO_ID).select("*", F.lit(False).alias("again"))
     # Rows alike in all columns are counted before any shuffle; of the others with one text that of the smallest hash is first.
     alike = texts.filter(F.col("doc_id") == NO_ID).groupBy("doc_id", "hash", F.xxhash64(F.to_json("row")).alias("whole")).agg(F.first("text").alias("text"), F.first("row").alias("row"), F.count(F.lit(1)).alias("copies"))
