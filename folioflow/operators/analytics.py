@@ -148,9 +148,10 @@ def classify_hosts(urls: DataFrame, rules=HOST_RULES, column: str = "url") -> Da
 
 
 def key_progress(keys: DataFrame, total: int) -> DataFrame:
+    """Keys against an expected total; what remains is negative where there are more."""
     n = F.count(F.lit(1))
     rate = F.when(F.lit(total) > 0, F.round(n * 100.0 / F.lit(max(total, 1)), 2)).otherwise(F.lit(0.0))
-    return keys.agg(n.alias("scraped"), F.greatest(F.lit(0), F.lit(total) - n).alias("remaining"), rate.alias("percentage"), F.min("scraped_at").alias("first_at"), F.max("scraped_at").alias("last_at"))
+    return keys.agg(n.alias("scraped"), (F.lit(total) - n).alias("remaining"), rate.alias("percentage"), F.min("scraped_at").alias("first_at"), F.max("scraped_at").alias("last_at"))
 
 
 def coverage(docs: DataFrame, estimates: DataFrame) -> DataFrame:

@@ -143,3 +143,8 @@ def quality_snapshot(docs: DataFrame, versions: DataFrame, jobs: DataFrame, chec
     count = lambda df, name: df.agg(F.count(F.lit(1)).alias(name))
     parts = [count(docs, "total_documents"), count(versions, "total_versions"), count(jobs, "total_jobs"), by_source, found]
     return reduce(DataFrame.join, parts).withColumn("taken_at", as_of)
+
+
+def write_snapshot(snapshot: DataFrame, path: str) -> None:
+    """A snapshot's row as a file of one JSON object, times in ISO form; a later snapshot adds a file of its own."""
+    snapshot.write.mode("append").option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ssXXX").json(path)

@@ -1,4 +1,4 @@
-"""Ranked full-text search over postings (term, doc, weight, positions)."""
+"""Ranked full-text search over postings (term, doc, weight, positions), for one query or many at once."""
 
 from __future__ import annotations
 
@@ -6,17 +6,20 @@ import re
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from folioflow.functions.stemmer import STOP_WORDS, stem
-from folioflow.operators.browse import MOST_PER_PAGE, browse, page_facts
+from folioflow.operators.browse import MOST_PER_PAGE, browse
 from folioflow.operators.joins import filter_documents, latest_of
+from folioflow.session import scratch_folder
 
 WORD = r"[\p{L}\p{N}]+"
 #: Weights of title and citation, and of the labels from the weakest to the strongest.
 LABELS = {"D": 0.1, "C": 0.2, "B": 0.4, "A": 1.0}
 _WORD = re.compile(r"[^\W_]+")
+#: Words of a snippet's fragments, and how many fragments it has.
+MOST_WORDS, LEAST_WORDS, FRAGMENTS = 35, 15, 2
 
 
 def tokens(text: Column) -> Column:
@@ -68,6 +71,34 @@ def refresh_index(index: DataFrame, changed: DataFrame, rebuilt: DataFrame) -> D
     return index.join(changed.select("doc").distinct(), "doc", "left_anti").unionByName(rebuilt)
 
 
+# --- matching
+
+
+def one_query(spark: SparkSession, text: str) -> DataFrame:
+    return spark.createDataFrame([(0, text)], "query_id int, text string")
+
+
+def query_terms(queries: DataFrame, analyzer: str = "simple") -> DataFrame:
+    """The terms of queries (query_id, text): query_id, term, no (0, 1, ... within the query) and size, the number of its
+    distinct terms. A query without terms has no rows and matches nothing."""
+    words = queries.select("query_id", F.explode(tokens(F.col("text"))).alias("word"))
+    terms = _analyzed(words, analyzer).groupBy("query_id").agg(F.sort_array(F.collect_set("term")).alias("terms"))
+    return terms.select("query_id", F.size("terms").alias("size"), F.posexplode("terms").alias("no", "term"))
+
+
+def match_many(index: DataFrame, terms: DataFrame) -> DataFrame:
+    """(query_id, doc) where a document holds all terms of a query (see ``query_terms``).
+
+    A query's candidates are the documents of its rarest term alone; each of its other terms is then looked up for
+    those. So a frequent word costs a look-up for each candidate, and not a row for each document that holds it."""
+    postings = index.select("term", "doc").distinct()
+    held = postings.join(terms.select("term").distinct(), "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("holders"))
+    known = terms.join(held, "term").groupBy("query_id", "size").agg(F.min_by("term", F.struct("holders", "term")).alias("term"), F.count(F.lit(1)).alias("known"))
+    candidates = known.filter("known = size").select("query_id", "term").join(postings, "term").select("query_id", "doc")
+    asked = candidates.join(terms, "query_id").join(postings, ["term", "doc"])
+    return asked.groupBy("query_id", "doc", "size").agg(F.count(F.lit(1)).alias("n")).filter("n = size").select("query_id", "doc")
+
+
 def match(index: DataFrame, terms: Sequence[str]) -> DataFrame:
     """Documents that hold all the terms."""
     if not terms:
@@ -75,104 +106,156 @@ def match(index: DataFrame, terms: Sequence[str]) -> DataFrame:
     return index.filter(F.col("term").isin(*terms)).groupBy("doc").agg(F.countDistinct("term").alias("n")).filter(F.col("n") == len(terms)).select("doc")
 
 
-def _density(entries: list[tuple[int, str, float]], n_terms: int) -> float:
-    """Cover density of sorted (position, term, weight) entries: each shortest span with all the terms adds the harmonic
-    mean of its weights, less the more foreign words it holds."""
-    total, left, inside = 0.0, 0, {}
-    for right, (_, term, _) in enumerate(entries):
-        inside[term] = inside.get(term, 0) + 1
-        if len(inside) < n_terms:
-            continue
-        while inside[entries[left][1]] > 1:
-            inside[entries[left][1]] -= 1
-            left += 1
-        span = entries[left : right + 1]
-        foreign = max(0, (span[-1][0] - span[0][0]) - (len(span) - 1))
-        total += len(span) / sum(1.0 / w for _, _, w in span) / (1 + foreign)
-        del inside[entries[left][1]]
-        left += 1
-    return total
+def matches(title_index: DataFrame, content_index: DataFrame, terms: Sequence[str]) -> DataFrame:
+    """Documents whose title and citation hold all terms, or whose text does; terms split between them don't count."""
+    return match(title_index, terms).union(match(content_index, terms)).distinct()
 
 
-def cover_density(index: DataFrame, terms: Sequence[str], labels: dict[str, float] | None = None) -> DataFrame:
-    """(doc, rank) of the documents that match; positions are gathered for those alone."""
-    weights = labels or LABELS
-    n = len(terms)
+# --- ranks
 
-    @F.pandas_udf("double")
-    def ranked(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for part in parts:
-            yield pd.Series([_density([(e["position"], e["term"], weights[e["weight"]]) for e in row], n) for row in part], dtype="float64")
 
-    found = index.filter(F.col("term").isin(*terms)) if terms else index.limit(0)
-    each = found.join(match(index, terms), "doc", "left_semi").select("doc", "term", "weight", F.explode("positions").alias("position"))
-    entries = each.groupBy("doc").agg(F.sort_array(F.collect_list(F.struct("position", "term", "weight"))).alias("entries"))
-    return entries.select("doc", ranked("entries").alias("rank"))
+def density(entries: Column, size: Column) -> Column:
+    """Cover density of ``entries``, a document's hits in order: array of struct(at 0.., position, no, inverse, upto), with
+    1 / weight of the hit and its sum up to the hit; ``size`` terms are numbered from 0.
 
+    A cover ends at a hit and begins at the earliest of the terms' last hits up to there; it counts if it begins later
+    than the one before. Each adds the harmonic mean of its weights, less the more foreign words it holds.
+    """
 
-def matches(title_index: DataFrame, content_index: DataFrame, terms: Sequence[str]) -> DataFrame:
-    """Documents whose title and citation hold all terms, or whose text does; terms split between them don't count."""
-    return match(title_index, terms).union(match(content_index, terms)).distinct()
+    def step(state: Column, e: Column) -> Column:
+        last = F.transform(state["last"], lambda x, k: F.when(k == e["no"], e["at"]).otherwise(x))
+        begin = F.array_min(last)
+        first = F.get(entries, begin)
+        hits = e["at"] - begin + 1
+        foreign = F.greatest(F.lit(0), (e["position"] - first["position"]) - (hits - 1))
+        score = hits / (e["upto"] - first["upto"] + first["inverse"]) / (1 + foreign)
+        found = begin > state["begin"]
+        return F.struct(last.alias("last"), F.when(found, begin).otherwise(state["begin"]).alias("begin"), (state["total"] + F.when(found, score).otherwise(0.0)).alias("total"))
 
+    start = F.struct(F.array_repeat(F.lit(-1), size).alias("last"), F.lit(-1).alias("begin"), F.lit(0.0).alias("total"))
+    return F.aggregate(entries, start, step, lambda state: state["total"])
 
-def ranked_matches(docs: DataFrame, title_index: DataFrame, content_index: DataFrame, terms: Sequence[str], **filters) -> DataFrame:
-    """(id, relevance, in_content): four times the title's density, and a tenth for a match in the text."""
-    titles = cover_density(title_index, terms).withColumnRenamed("doc", "id")
-    texts = match(content_index, terms).select(F.col("doc").alias("id"), F.lit(0.1).alias("bonus"))
-    found = filter_documents(docs, **filters).select("id").join(titles.join(texts, "id", "full"), "id")
-    return found.select("id", (F.coalesce("rank", F.lit(0.0)) * 4.0 + F.coalesce("bonus", F.lit(0.0))).alias("relevance"), F.col("bonus").isNotNull().alias("in_content"))
-
-
-def _fragments(text: str, terms: set[str], analyzer: str, most: int = 35, least: int = 15, fragments: int = 2) -> str:
-    """Up to two passages around matches with the matches marked; the start of the text where there are none."""
-    words = list(_WORD.finditer(text))
-    hit = [(w.group().lower() if analyzer == "simple" else stem(w.group().lower())) in terms for w in words]
-    at = [i for i, h in enumerate(hit) if h]
-    spans: list[tuple[int, int]] = []
-    for i in at:
-        if len(spans) == fragments:
-            break
-        if spans and i < spans[-1][1]:
-            continue
-        spans.append((max(spans[-1][1] if spans else 0, i - (most - least) // 2), min(len(words), i + least)))
-    spans = [(a, min(b, a + most)) for a, b in spans] or [(0, min(least, len(words)))]
-    out = []
-    for a, b in spans:
-        piece, last = "", words[a].start() if words else 0
-        for k in range(a, b):
-            w = words[k]
-            piece += text[last : w.start()] + (f"<mark>{w.group()}</mark>" if hit[k] else w.group())
-            last = w.end()
-        out.append(piece)
-    return " ... ".join(out)
-
-
-def headline(page: DataFrame, terms: Sequence[str], analyzer: str = "simple") -> DataFrame:
-    """Snippets of a page's rows (in_content, content_text): from whole texts, null for others."""
-    wanted = set(terms)
 
-    @F.pandas_udf("string")
-    def snippet(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for part in parts:
-            yield part.map(lambda t: None if t is None else _fragments(t, wanted, analyzer))
+def cover_density_many(index: DataFrame, terms: DataFrame, labels: dict[str, float] | None = None) -> DataFrame:
+    """(query_id, doc, rank) of the documents that match queries of any number of terms; positions are gathered for those
+    alone."""
+    inverse = F.create_map(*[F.lit(x) for label, w in (labels or LABELS).items() for x in (label, 1.0 / w)])
+    found = match_many(index, terms).join(terms, "query_id").join(index, ["term", "doc"])
+    each = found.select("query_id", "doc", "size", "no", inverse[F.col("weight")].alias("inverse"), F.explode("positions").alias("position"))
+    along = Window.partitionBy("query_id", "doc").orderBy("position", "no")
+    placed = each.withColumns({"at": F.row_number().over(along) - 1, "upto": F.sum("inverse").over(along.rowsBetween(Window.unboundedPreceding, 0))})
+    entries = placed.groupBy("query_id", "doc", "size").agg(F.sort_array(F.collect_list(F.struct("at", "position", "no", "inverse", "upto"))).alias("entries"))
+    return entries.select("query_id", "doc", density(F.col("entries"), F.col("size")).alias("rank"))
+
 
-    return page.withColumn("snippet", snippet(F.when(F.col("in_content"), F.col("content_text")))).drop("content_text")
+def cover_density(index: DataFrame, terms: Sequence[str], labels: dict[str, float] | None = None) -> DataFrame:
+    """(doc, rank) of the documents that hold all the terms."""
+    rows = [(0, len(set(terms)), i, t) for i, t in enumerate(sorted(set(terms)))]
+    asked = index.sparkSession.createDataFrame(rows, "query_id int, size int, no int, term string")
+    return cover_density_many(index.filter(F.col("term").isin(*terms)) if terms else index.limit(0), asked, labels).select("doc", "rank")
+
+
+def ranked_many(docs: DataFrame, title_index: DataFrame, content_index: DataFrame, terms: DataFrame, **filters) -> DataFrame:
+    """(query_id, id, relevance, in_content): four times the title's density, and a tenth for a match in the text, to nine
+    digits, so that ties don't hang on the order in which scores were added."""
+    titles = cover_density_many(title_index, terms)
+    texts = match_many(content_index, terms).withColumn("bonus", F.lit(0.1))
+    both = titles.join(texts, ["query_id", "doc"], "full").withColumnRenamed("doc", "id")
+    found = both.join(filter_documents(docs, **filters).select("id"), "id")
+    relevance = F.round(F.coalesce("rank", F.lit(0.0)) * 4.0 + F.coalesce("bonus", F.lit(0.0)), 9)
+    return found.select("query_id", "id", relevance.alias("relevance"), F.col("bonus").isNotNull().alias("in_content"))
+
+
+# --- snippets
+
+
+def _extent(begin: Column, end: Column, low: Column, high: Column) -> tuple[Column, Column]:
+    """A fragment around the words [begin, end): LEAST_WORDS at least where [low, high) has so many, evenly on both sides."""
+    size = F.greatest(end - begin, F.least(F.lit(LEAST_WORDS), high - low))
+    first = F.greatest(low, F.least(begin - F.floor((size - (end - begin)) / 2).cast("int"), high - size))
+    return first, first + size
+
+
+def _best(stretches: DataFrame, by: list[str]) -> DataFrame:
+    """The best stretch of each row: most distinct terms, then most hits, then fewest words, then the earliest."""
+    top = F.max(F.struct("distinct", "hits", (F.col("begin") - F.col("end")).alias("short"), (-F.col("begin")).alias("early"), "begin", "end")).alias("top")
+    return stretches.groupBy(*by).agg(top).select(*by, "top.begin", "top.end")
+
+
+def headline(page: DataFrame, terms: DataFrame, analyzer: str = "simple") -> DataFrame:
+    """Snippets (query_id, id, snippet) of rows (query_id, id, content_text) for their queries' terms.
+
+    From each hit on, the hits within MOST_WORDS words make a stretch. The best one is the first fragment and the best of
+    those that don't meet it the second; both are widened to LEAST_WORDS words, then shown in the order of the text with
+    their hits marked and `` ... `` between. Texts are taken whole. Rows without a hit have no snippet.
+    """
+    by = ["query_id", "id"]
+    piece = rf"({WORD})([^\p{{L}}\p{{N}}]*)"
+    texts = page.select(*by, F.regexp_extract_all("content_text", F.lit(piece), F.lit(0)).alias("pieces"))
+    words = texts.select(*by, F.posexplode("pieces").alias("at", "piece")).select(*by, "at", F.explode(tokens(F.col("piece"))).alias("word"))
+    hits = _analyzed(words, analyzer).join(terms.select("query_id", "term", "no"), ["query_id", "term"]).select(*by, "at", "no")
+    near = Window.partitionBy(*by).orderBy("at").rangeBetween(0, MOST_WORDS - 1)
+    stretches = hits.select(*by, F.col("at").alias("begin"), (F.max("at").over(near) + 1).alias("end"), F.size(F.collect_set("no").over(near)).alias("distinct"), F.count(F.lit(1)).over(near).alias("hits"))
+    sized = texts.select(*by, F.size("pieces").alias("words"))
+    low, high = _extent(F.col("begin"), F.col("end"), F.lit(0), F.col("words"))
+    first = _best(stretches, by).join(sized, by).select(*by, "words", low.alias("low"), high.alias("high"))
+    others = stretches.join(first, by).filter((F.col("begin") >= F.col("high")) | (F.col("end") <= F.col("low")))
+    second = _best(others, by).join(first, by)
+    after = F.col("begin") >= F.col("high")
+    low2, high2 = _extent(F.col("begin"), F.col("end"), F.when(after, F.col("high")).otherwise(0), F.when(after, F.col("words")).otherwise(F.col("low")))
+    fragments = first.select(*by, "low", "high").unionByName(second.select(*by, low2.alias("low"), high2.alias("high")))
+    chosen = fragments.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct("low", "high"))).alias("fragments"))
+    marks = hits.groupBy(*by).agg(F.collect_set("at").alias("marks"))
+
+    def shown(f: Column) -> Column:
+        inside = F.filter("marks", lambda at: (at >= f["low"]) & (at < f["high"]))
+
+        def one(p: Column, k: Column) -> Column:
+            word = F.regexp_extract(p, WORD, 0)
+            marked = F.when(F.array_contains(inside, k + f["low"]), F.concat(F.lit("<mark>"), word, F.lit("</mark>"))).otherwise(word)
+            return F.when(k + f["low"] + 1 == f["high"], marked).otherwise(F.concat(marked, F.substring(p, F.char_length(word) + 1, F.char_length(p))))
+
+        return F.array_join(F.transform(F.slice("pieces", f["low"] + 1, f["high"] - f["low"]), one), "")
+
+    met = chosen.join(marks, by).join(texts, by)
+    return met.select(*by, F.array_join(F.transform("fragments", shown), " ... ").alias("snippet"))
+
+
+# --- pages
+
+
+def search_many(docs: DataFrame, versions: DataFrame, title_index: DataFrame, content_index: DataFrame, queries: DataFrame, page: int = 1, per_page: int = 20, analyzer: str = "simple", **filters) -> tuple[DataFrame, DataFrame]:
+    """Pages of many queries (query_id, text) at once: (rows, facts).
+
+    Rows have query_id, place (from 1), id, title, citation, source_url, relevance, in_content, has_content and snippet
+    (null unless the text matches), best first, ties by id. Facts have a row for each query that has terms: total and
+    total_pages. Each task keeps the best rows of each query before any are shuffled; texts are read for the pages' rows
+    alone, which are written first so that Spark knows their size when it joins them.
+    """
+    per_page = min(per_page, MOST_PER_PAGE)
+    terms = query_terms(queries, analyzer)
+    found = ranked_many(docs, title_index, content_index, terms, **filters)
+    spark, at = docs.sparkSession, scratch_folder(docs.sparkSession, "pages")
+    best = Window.partitionBy("query_id").orderBy(F.desc("relevance"), "id")
+    last = max(1, page) * per_page
+    kept = found.withColumn("place", F.row_number().over(best)).filter((F.col("place") <= last) & (F.col("place") > last - per_page))
+    kept.write.parquet(at)
+    rows = spark.read.schema(kept.schema).parquet(at)
+    latest = latest_of(versions).select(F.col("document_id").alias("id"), "content_text").join(rows.select("id").distinct(), "id")
+    texts = latest.groupBy("id").agg(F.first("content_text").alias("content_text"))
+    snippets = headline(rows.filter("in_content").select("query_id", "id").join(texts, "id"), terms, analyzer)
+    shown = docs.select("id", "title", "citation", "source_url").join(rows, "id").join(texts.select("id", (F.col("content_text") != "").alias("has_content")), "id", "left")
+    shown = shown.withColumn("has_content", F.coalesce("has_content", F.lit(False))).join(snippets, ["query_id", "id"], "left")
+    counts = found.groupBy("query_id").agg(F.count(F.lit(1)).alias("total"))
+    facts = terms.select("query_id").distinct().join(counts, "query_id", "left").select("query_id", F.coalesce("total", F.lit(0)).alias("total"))
+    return shown, facts.withColumn("total_pages", F.greatest(F.lit(1), F.ceil(F.col("total") / per_page)).cast("long"))
 
 
 def search(docs: DataFrame, versions: DataFrame, title_index: DataFrame, content_index: DataFrame, text: str, page: int = 1, per_page: int = 20, analyzer: str = "simple", **filters) -> tuple[DataFrame, DataFrame]:
-    """(page, facts): best first, ties by id. Texts are read for the page's rows alone, after the limit."""
-    terms, per_page = parse_query(text, analyzer), min(per_page, MOST_PER_PAGE)
-    found = ranked_matches(docs, title_index, content_index, terms, **filters)
-    rows = found.orderBy(F.desc("relevance"), "id").offset((page - 1) * per_page).limit(per_page)
-    # A page has MOST_PER_PAGE rows at most. They go to the texts, and no text is shuffled but the page's own.
-    page_rows = F.broadcast(docs.sparkSession.createDataFrame(rows.collect(), rows.schema))
-    texts = latest_of(versions).select(F.col("document_id").alias("id"), "content_text").join(page_rows.select("id"), "id")
-    texts = texts.groupBy("id").agg(F.first("content_text").alias("content_text"))
-    shown = docs.select("id", "title", "citation", "source_url").join(page_rows, "id").join(texts, "id", "left")
-    shown = shown.withColumn("has_content", F.coalesce(F.col("content_text") != "", F.lit(False)))
-    # The total needs no ranks.
-    hits = filter_documents(docs, **filters).select("id").join(matches(title_index, content_index, terms).withColumnRenamed("doc", "id"), "id", "left_semi")
-    return headline(shown, terms, analyzer), page_facts(hits, per_page)
+    """(page, facts) of one query. The indexes are read for its terms alone."""
+    wanted = F.col("term").isin(*parse_query(text, analyzer)) if parse_query(text, analyzer) else F.lit(False)
+    rows, facts = search_many(docs, versions, title_index.filter(wanted), content_index.filter(wanted), one_query(docs.sparkSession, text), page, per_page, analyzer, **filters)
+    return rows.drop("query_id", "place"), facts.agg(F.coalesce(F.max("total"), F.lit(0)).alias("total"), F.coalesce(F.max("total_pages"), F.lit(1)).alias("total_pages"))
 
 
 def browse_or_search(docs: DataFrame, versions: DataFrame, title_index: DataFrame, content_index: DataFrame, text: str | None, page: int = 1, per_page: int = 20, analyzer: str = "simple", **filters) -> tuple[DataFrame, DataFrame]:
@@ -180,11 +263,3 @@ def browse_or_search(docs: DataFrame, versions: DataFrame, title_index: DataFram
     if not (text or "").strip():
         return browse(docs, versions, page, per_page, **filters)
     return search(docs, versions, title_index, content_index, text, page, per_page, analyzer, **filters)
-
-
-def search_many(index: DataFrame, queries: DataFrame) -> DataFrame:
-    """Many queries (query_id, text) at once: (query_id, doc) where all terms of the query match."""
-    terms = queries.select("query_id", F.explode(F.array_distinct(tokens(F.col("text")))).alias("term"))
-    sizes = terms.groupBy("query_id").agg(F.count(F.lit(1)).alias("size"))
-    hits = index.select("term", "doc").distinct().join(terms, "term").groupBy("query_id", "doc").agg(F.count(F.lit(1)).alias("n"))
-    return hits.join(sizes, "query_id").filter("n = size").select("query_id", "doc")

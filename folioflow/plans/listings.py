@@ -406,6 +406,16 @@ def store_touched_buckets(m: Model) -> DataFrame:
     return own.folders().select("table_name", "bucket", "since")
 
 
+@query(r", t AS (SELECT document_id AS doc, unnest(regexp_extract_all(lower(content_text), '[\p{L}\p{N}]+')) AS term FROM versions WHERE is_latest AND content_text <> '') SELECT term, doc, count(*) AS places FROM t GROUP BY term, doc")
+def index_after_upserts(m: Model) -> DataFrame:
+    """The text index that a store keeps over three batches and a merge, from each batch's own texts."""
+    own = store.Store(m.spark, scratch_folder(m.spark, "indexed"), BUCKETS, analyzer="simple")
+    for k in (1, 2, 3):
+        own.upsert(m.batches.filter(F.col("seq") == k), as_of())
+    own.merge_index()
+    return own.index("content").select("term", "doc", F.size("positions").cast("long").alias("places"))
+
+
 @query("SELECT id, document_id, version_number::INTEGER AS version_number, is_latest FROM versions")
 def upsert_in_steps(m: Model) -> DataFrame:
     """The batches one after another through a store end in the same versions as at once."""

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from folioflow.operators import search, upsert
 from folioflow.schemas import DOCUMENTS, VERSIONS
-from folioflow.session import table
+from folioflow.session import scratch_folder, table
+from folioflow.sources import segments
 
 
 def as_of() -> F.Column:
@@ -126,14 +127,19 @@ class Model:
         url = url.when(n % 20 == 5, F.concat(F.regexp_replace("source_url", r"\d+$", ""), (n - 2).cast("string"), F.lit("%2C%20a%20b")))
         return self.docs.withColumn("source_url", url.otherwise(F.col("source_url")))
 
+    def stored(self, name: str, postings: DataFrame) -> DataFrame:
+        """An index as a segment in the shared folder, so that a search reads its terms' row groups alone."""
+        at = scratch_folder(self.spark, name)
+        rows = segments.write_segment(postings, None, at)
+        return segments.read_segments(self.spark, [{"folder": at, "rows": rows, "first": True}])
+
     @cached_property
     def title_index(self) -> DataFrame:
-        """Kept in memory for the query, as a written index would be."""
-        return search.build_title_index(self.docs).cache()
+        return self.stored("title", search.build_title_index(self.docs))
 
     @cached_property
     def content_index(self) -> DataFrame:
-        return search.build_content_index(self.versions).cache()
+        return self.stored("content", search.build_content_index(self.versions))
 
     def empty(self, schema) -> DataFrame:
         return self.spark.createDataFrame([], schema)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from folioflow.functions.text import clean_lines
 from folioflow.operators import analytics, browse, extract, incremental, joins, normalize, ordering, quality, repair, runs, search, upsert
 from folioflow.plans.model import SQL, Model, as_of, wall
+from folioflow.session import scratch_folder
 from folioflow.sources import store
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -321,9 +322,9 @@ def key_difference(m: Model) -> DataFrame:
     return joins.key_difference(m.keys, m.docs.select(F.col("source_url").alias("url")))
 
 
-@query("SELECT citation, d.source_url, v.content_text FROM docs d LEFT JOIN (SELECT * FROM versions WHERE is_latest) v ON d.doc_id = v.doc_id WHERE d.doc_id % 9 = 1")
+@query("SELECT citation, d.source_url, v.content_text FROM docs d LEFT JOIN (SELECT * FROM versions WHERE is_latest) v ON d.doc_id = v.doc_id")
 def lookup_citations(m: Model) -> DataFrame:
-    return joins.lookup_citations(m.docs, m.corpus.filter("doc_id % 9 = 1").select("citation"), m.versions)
+    return joins.lookup_citations(m.docs, m.corpus.select("citation"), m.versions)
 
 
 @query("SELECT id FROM docs WHERE title LIKE '%th%' UNION SELECT id FROM docs WHERE citation LIKE '%7%'")
@@ -449,9 +450,9 @@ def classify_hosts(m: Model) -> DataFrame:
     return analytics.classify_hosts(m.keys, (("one", ("/src1/",)), ("ten_to_nineteen", ("/src1",))))
 
 
-@query(f"SELECT count(*) AS scraped, greatest(0, 100000 - count(*)) AS remaining, round(count(*) * 100.0 / 100000, 2)::DOUBLE AS percentage, strftime(min(scraped_at), '{DAY}') AS first_at, strftime(max(scraped_at), '{DAY}') AS last_at FROM keys")
+@query(f"SELECT count(*) AS scraped, 900 - count(*) AS remaining, round(count(*) * 100.0 / 900, 2)::DOUBLE AS percentage, strftime(min(scraped_at), '{DAY}') AS first_at, strftime(max(scraped_at), '{DAY}') AS last_at FROM keys")
 def key_progress(m: Model) -> DataFrame:
-    return analytics.key_progress(m.keys, 100_000).withColumns({c: wall(c) for c in ("first_at", "last_at")})
+    return analytics.key_progress(m.keys, 900).withColumns({c: wall(c) for c in ("first_at", "last_at")})
 
 
 @query(f"{_SRC} SELECT s.source_type, n AS documents, estimate, least(100.0, round(n * 100.0 / estimate, 1))::DOUBLE AS coverage FROM src s JOIN (SELECT source_type, count(*) AS n FROM docs GROUP BY source_type) d ON s.source_type = d.source_type")
@@ -633,6 +634,15 @@ def quality_snapshot(m: Model) -> DataFrame:
     return quality.quality_snapshot(m.docs, m.versions, m.jobs, _all_checks(m), as_of()).withColumn("sources", F.size("by_source")).drop("by_source", "taken_at")
 
 
+@query("SELECT '2024-01-31T00:00:00' AS taken, source_type, count(*) AS documents, (SELECT count(*) FROM versions) AS total_versions FROM docs GROUP BY source_type")
+def quality_snapshot_json(m: Model) -> DataFrame:
+    """The snapshot as a JSON file, read again."""
+    at = scratch_folder(m.spark, "snapshot")
+    quality.write_snapshot(quality.quality_snapshot(m.docs, m.versions, m.jobs, _all_checks(m), as_of()), at)
+    kept = m.spark.read.schema("by_source map<string,long>, total_versions long, taken_at string").json(at)
+    return kept.select(F.left("taken_at", F.lit(19)).alias("taken"), F.explode("by_source").alias("source_type", "documents"), "total_versions")
+
+
 @query("SELECT DISTINCT source_type, CASE WHEN CAST(replace(source_type, 'src', '') AS INTEGER) % 2 = 0 THEN 'missing' ELSE 'unexpected' END AS finding FROM docs WHERE CAST(replace(source_type, 'src', '') AS INTEGER) < 6")
 def check_sources(m: Model) -> DataFrame:
     n = F.replace("source_type", F.lit("src"), F.lit("")).cast("int")
@@ -715,35 +725,93 @@ def search_matches(m: Model) -> DataFrame:
     return found.join(found.agg(F.count(F.lit(1)).alias("total")))
 
 
-#: Of two terms each two neighbouring entries of unlike terms are a shortest cover.
-_RANK = r""", tc AS (SELECT id AS doc, regexp_extract_all(lower(title), '[\p{L}\p{N}]+') AS t, regexp_extract_all(lower(citation), '[\p{L}\p{N}]+') AS c FROM docs),
-  pos AS (SELECT doc, generate_subscripts(t || c, 1) AS p, unnest(t || c) AS term, len(t) AS n FROM tc), e AS (SELECT doc, p, term, CASE WHEN p <= n THEN 1.0::DOUBLE ELSE 0.4::DOUBLE END AS w FROM pos WHERE term IN ('the', 'and')),
-  pairs AS (SELECT doc, p, term, w, lag(p) OVER x AS p0, lag(term) OVER x AS term0, lag(w) OVER x AS w0 FROM e WINDOW x AS (PARTITION BY doc ORDER BY p)),
-  density AS (SELECT doc, sum(2.0::DOUBLE / (1.0::DOUBLE / w + 1.0::DOUBLE / w0) / (p - p0)) AS rank FROM pairs WHERE term <> term0 GROUP BY doc)"""
+#: Covers for any number of terms: for each hit the earliest of the terms' last hits up to it, if that moved. Goes on
+#: from q (query_id, term) and pos (doc, p, term, w).
+_DENSITY = """, held AS (SELECT query_id, doc, p, pos.term, w, row_number() OVER (PARTITION BY query_id, doc ORDER BY p) AS k FROM pos JOIN q USING (term)),
+  n AS (SELECT query_id, count(*) AS n FROM q GROUP BY query_id), full_ AS (SELECT query_id, doc FROM held GROUP BY query_id, doc HAVING count(DISTINCT term) = (SELECT n FROM n WHERE n.query_id = held.query_id)),
+  e AS (SELECT held.* FROM held JOIN full_ USING (query_id, doc)),
+  last AS (SELECT e.query_id, doc, k, max(CASE WHEN e.term = q.term THEN k END) OVER (PARTITION BY e.query_id, doc, q.term ORDER BY k) AS l FROM e JOIN q ON e.query_id = q.query_id),
+  begins AS (SELECT query_id, doc, k, min(l) AS b FROM last GROUP BY query_id, doc, k HAVING count(l) = (SELECT n FROM n WHERE n.query_id = last.query_id)),
+  covers AS (SELECT * FROM begins QUALIFY b > coalesce(lag(b) OVER (PARTITION BY query_id, doc ORDER BY k), 0)),
+  scores AS (SELECT c.query_id, c.doc, c.k, count(*) / sum(1.0::DOUBLE / w) / (1 + greatest(0, max(p) - min(p) - count(*) + 1)) AS score FROM covers c JOIN e ON e.query_id = c.query_id AND e.doc = c.doc AND e.k BETWEEN c.b AND c.k GROUP BY c.query_id, c.doc, c.k),
+  density AS (SELECT query_id, doc, sum(score) AS rank FROM scores GROUP BY query_id, doc)"""
+_POSITIONS = r""", tc AS (SELECT id AS doc, regexp_extract_all(lower({title}), '[\p{{L}}\p{{N}}]+') AS t, regexp_extract_all(lower(citation), '[\p{{L}}\p{{N}}]+') AS c FROM docs),
+  pos AS (SELECT doc, generate_subscripts(t || c, 1) AS p, unnest(t || c) AS term, CASE WHEN generate_subscripts(t || c, 1) <= len(t) THEN 1.0::DOUBLE ELSE 0.4::DOUBLE END AS w FROM tc)"""
+_TITLES = _POSITIONS.format(title="title")
+
+
+def _words(*terms: str) -> str:
+    return f", q AS (SELECT 0 AS query_id, unnest([{', '.join(repr(t) for t in terms)}]) AS term)"
+
+
+def _pages(per_page: int, where: str = "true") -> str:
+    """Ranked pages of the queries q over titles and texts."""
+    return f"""{_TOK}{_TITLES}{_DENSITY}, inside AS (SELECT query_id, doc FROM q JOIN texts USING (term) GROUP BY query_id, doc HAVING count(*) = (SELECT n FROM n WHERE n.query_id = q.query_id)),
+  found AS (SELECT query_id, doc AS id, round(coalesce(4 * rank, 0) + CASE WHEN i.doc IS NOT NULL THEN 0.1 ELSE 0 END, 9)::DOUBLE AS relevance, i.doc IS NOT NULL AS in_content FROM density FULL JOIN inside i USING (query_id, doc)),
+  kept AS (SELECT f.*, d.title, d.citation, d.source_url, row_number() OVER (PARTITION BY query_id ORDER BY relevance DESC, f.id) AS place, count(*) OVER (PARTITION BY query_id) AS total FROM found f JOIN docs d ON d.id = f.id WHERE {where}),
+  page AS (SELECT k.*, in_content AS marked, EXISTS (SELECT 1 FROM versions v WHERE v.document_id = k.id AND is_latest AND content_text <> '') AS has_content, greatest(1, ceil(total / {per_page}.0))::BIGINT AS total_pages FROM kept k WHERE place <= {per_page})"""
+
+
+def _long_titles(m: Model) -> DataFrame:
+    """Documents whose whole texts stand as their titles."""
+    return m.docs.drop("title").join(m.corpus.select("source_url", F.col("content_text").alias("title")), "source_url")
+
+
+def _long_density(m: Model, *terms: str) -> DataFrame:
+    index = search.build_title_index(_long_titles(m))
+    return search.cover_density(index, terms).select("doc", F.round("rank", 6).alias("rank"))
+
+
+_LONG = _POSITIONS.format(title="content_text")
+
+
+@query(f"{_words('and', 'the', 'that')}{_LONG}{_DENSITY} SELECT doc, round(rank, 6)::DOUBLE AS rank FROM density")
+def density_three(m: Model) -> DataFrame:
+    return _long_density(m, "and", "the", "that")
+
+
+@query(f"{_words('src1', 'the', 'and', 'that')}{_LONG}{_DENSITY} SELECT doc, round(rank, 6)::DOUBLE AS rank FROM density")
+def density_four(m: Model) -> DataFrame:
+    """One of the terms stands in the citation."""
+    return _long_density(m, "src1", "the", "and", "that")
 
 
-@query(f"""{_TOK}{_RANK}, inside AS ({_all('texts', 'the', 'and')}), titled AS ({_all('words', 'the', 'and')}),
-  f AS (SELECT d.id, d.title, d.citation, d.source_url, coalesce(4 * rank, 0) + CASE WHEN i.doc IS NOT NULL THEN 0.1 ELSE 0 END AS relevance, i.doc IS NOT NULL AS in_content FROM docs d LEFT JOIN inside i ON d.id = i.doc LEFT JOIN titled t ON d.id = t.doc LEFT JOIN density r ON d.id = r.doc AND t.doc IS NOT NULL
-    WHERE document_type = 'regulation' AND (i.doc IS NOT NULL OR t.doc IS NOT NULL))
-  SELECT f.id, f.title, f.citation, f.source_url, round(relevance, 6)::DOUBLE AS relevance, in_content, in_content AS marked, EXISTS (SELECT 1 FROM versions v WHERE v.document_id = f.id AND is_latest AND content_text <> '') AS has_content, (SELECT count(*) FROM f) AS total, greatest(1, ceil((SELECT count(*) FROM f) / 20.0))::BIGINT AS total_pages
-  FROM f ORDER BY f.relevance DESC, f.id LIMIT 20""")
+@query(f"""{_words('the', 'and')}{_pages(20, "document_type = 'regulation'")} SELECT id, title, citation, source_url, relevance, in_content, marked, has_content, total, total_pages FROM page""")
 def search_page(m: Model) -> DataFrame:
     rows, facts = search.browse_or_search(m.docs, m.versions, m.title_index, m.content_index, "the and", per_page=20, document_type="regulation")
-    rows = rows.withColumns({"marked": F.coalesce(F.col("snippet").contains("<mark>"), F.lit(False)), "relevance": F.round("relevance", 6)}).drop("snippet")
-    return rows.join(facts)
+    return rows.withColumn("marked", F.coalesce(F.col("snippet").contains("<mark>"), F.lit(False))).drop("snippet").join(facts)
 
 
-@query()
-def search_english(m: Model) -> DataFrame:
-    rows, facts = search.search(m.docs, m.versions, search.build_title_index(m.docs, "english").cache(), search.build_content_index(m.versions, "english").cache(), "the tion of ers", per_page=20, analyzer="english")
-    return rows.join(facts)
+def _many(m: Model, queries: DataFrame, per_page: int) -> DataFrame:
+    rows, facts = search.search_many(m.docs, m.versions, m.title_index, m.content_index, queries, per_page=per_page)
+    marked = F.coalesce(F.col("snippet").contains("<mark>"), F.lit(False))
+    return rows.join(facts, "query_id").select("query_id", "place", "id", "relevance", "in_content", marked.alias("marked"), "has_content", "total", "total_pages")
 
 
-@query(f"""{_TOK}, q AS (SELECT item_id AS query_id, unnest(list_distinct(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+'))) AS term FROM benchmark), n AS (SELECT query_id, count(*) AS n FROM q GROUP BY query_id),
-  h AS (SELECT query_id, doc, count(*) AS n FROM q JOIN texts ON q.term = texts.term GROUP BY query_id, doc) SELECT h.query_id, doc FROM h JOIN n ON h.query_id = n.query_id AND h.n = n.n""")
+_MANY = "SELECT query_id, place::INTEGER AS place, id, relevance, in_content, marked, has_content, total, total_pages FROM page"
+
+
+@query(f"""{r", q AS (SELECT DISTINCT item_id AS query_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}]+')) AS term FROM benchmark)"}{_pages(5)} {_MANY}""")
 def search_many(m: Model) -> DataFrame:
-    queries = m.raw("benchmark").select(F.col("item_id").alias("query_id"), "text")
-    return search.search_many(search.build_content_index(m.versions), queries)
+    """The whole text of every benchmark item as a query."""
+    return _many(m, m.raw("benchmark").select(F.col("item_id").alias("query_id"), "text"), 5)
+
+
+@query(f""", q AS (SELECT DISTINCT source_type AS query_id, unnest(['the', 'and', source_type]) AS term FROM docs){_pages(10)} {_MANY}""")
+def search_sources(m: Model) -> DataFrame:
+    """A query for each source, whose name stands in citations and the other words in titles and texts."""
+    return _many(m, m.docs.select(F.col("source_type").alias("query_id"), F.concat(F.lit("The AND "), "source_type").alias("text")).distinct(), 10)
+
+
+@query(""", q AS (SELECT DISTINCT source_type AS query_id, unnest(['the', 'and', source_type]) AS term FROM docs) SELECT query_id, term, size::INTEGER AS size, no::INTEGER AS no FROM (SELECT *, count(*) OVER (PARTITION BY query_id) AS size, row_number() OVER (PARTITION BY query_id ORDER BY term) - 1 AS no FROM q)""")
+def query_terms(m: Model) -> DataFrame:
+    return search.query_terms(m.docs.select(F.col("source_type").alias("query_id"), F.concat(F.lit("The AND the "), "source_type").alias("text")).distinct())
+
+
+@query()
+def search_english(m: Model) -> DataFrame:
+    rows, facts = search.search(m.docs, m.versions, m.stored("title-en", search.build_title_index(m.docs, "english")), m.stored("content-en", search.build_content_index(m.versions, "english")), "the tion of ers", per_page=20, analyzer="english")
+    return rows.join(facts)
 
 
 # --- extraction
@@ -824,15 +892,21 @@ def normalize_newfoundland(m: Model) -> DataFrame:
     return normalize.normalize_newfoundland(raw, False).select("source_url", "citation", "title")
 
 
-@query("""SELECT CASE WHEN doc_id % 4 = 1 THEN '/en/document/cr/' ELSE '/en/document/cs/' END AS place, CASE WHEN doc_id % 4 = 1 THEN '99-' || doc_id ELSE '2011, c.' || doc_id END AS citation,
-  CASE WHEN doc_id % 4 = 1 THEN (SELECT trim(b.title) FROM docs b WHERE b.source_type = a.source_type AND b.doc_id % 4 <> 1 AND b.doc_id < a.doc_id AND trim(b.title) <> '' ORDER BY b.doc_id DESC LIMIT 1) END AS parent FROM docs a WHERE trim(title) <> ''""")
+@query("""SELECT CASE WHEN doc_id % 4 = 1 THEN '/en/document/cr/' ELSE '/en/document/cs/' END AS place, citation, parent, CASE WHEN doc_id % 8 = 1 AND parent <> '' THEN 'Fees — ' || parent || ' (NB Reg. ' || citation || ')' WHEN doc_id % 8 = 1 THEN 'Fees' ELSE trim(title) END AS title
+  FROM (SELECT *, CASE WHEN doc_id % 4 = 1 THEN '99-' || doc_id ELSE '2011, c.' || doc_id END AS citation,
+  CASE WHEN doc_id % 4 = 1 THEN (SELECT trim(b.title) FROM docs b WHERE b.source_type = a.source_type AND b.doc_id % 4 <> 1 AND b.doc_id < a.doc_id AND trim(b.title) <> '' ORDER BY b.doc_id DESC LIMIT 1) END AS parent FROM (SELECT doc_id, source_type, title FROM docs) a WHERE doc_id % 8 = 1 OR trim(title) <> '')
+  UNION ALL SELECT '/en/document/cr/', 'Rule-' || doc_id, NULL, 'General (NB Reg. Rule-' || doc_id || ')' FROM docs WHERE doc_id % 16 = 3""")
 def normalize_new_brunswick(m: Model) -> DataFrame:
+    """Statutes with their regulations, some under generic titles, and a second list that repeats some of these."""
     n = F.col("doc_id")
-    chapter = F.when(n % 4 == 1, F.concat(F.lit("99-"), n.cast("string"))).otherwise(F.concat(F.lit("2011, c."), n.cast("string")))
-    raw = m.corpus.select(F.col("source_type").alias("listing"), F.lit("statutes").alias("list"), n.alias("pos"), chapter.alias("chapter"), "title", F.lit("https://laws.gnb.ca/x").alias("href"))
-    out = normalize.normalize_new_brunswick(raw)
+    number = n.cast("string")
+    chapter = F.when(n % 4 == 1, F.concat(F.lit("99-"), number)).otherwise(F.concat(F.lit("2011, c."), number))
+    row = lambda name, chapter, title: m.corpus.select(F.col("source_type").alias("listing"), F.lit(name).alias("list"), n.alias("pos"), chapter.alias("chapter"), title.alias("title"), F.lit("https://laws.gnb.ca/x").alias("href"), n.alias("n"))
+    statutes = row("statutes", chapter, F.when(n % 8 == 1, "Fees").otherwise(F.col("title")))
+    others = row("regulations", F.when(n % 8 == 1, chapter).otherwise(F.concat(F.lit("Rule-"), number)), F.lit("General")).filter((F.col("n") % 8 == 1) | (F.col("n") % 16 == 3))
+    out = normalize.normalize_new_brunswick(statutes.unionByName(others).drop("n"))
     place = F.regexp_extract("source_url", "(/en/document/c[rs]/)", 1)
-    return out.select(place.alias("place"), "citation", F.when(F.col("document_type") == "regulation", F.nullif(F.col("metadata")["parent_act"], F.lit(""))).alias("parent"))
+    return out.select(place.alias("place"), "citation", F.when(F.col("document_type") == "regulation", F.nullif(F.col("metadata")["parent_act"], F.lit(""))).alias("parent"), "title")
 
 
 @query("SELECT id, CASE WHEN doc_id % 2 = 0 THEN 'RSA 2000, c A ' || doc_id ELSE '' END AS citation FROM docs")

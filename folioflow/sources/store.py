@@ -4,19 +4,23 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Callable
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from folioflow.operators import search
 from folioflow.operators import upsert as upserts
 from folioflow.operators.joins import latest_of
 from folioflow.schemas import DOCUMENTS, VERSIONS, conform, document_id, version_id
+from folioflow.sources import segments
 
 POINTER = "CURRENT"
 #: Buckets of a new store; a store keeps the number it was made with.
 BUCKETS = 64
 TABLES = {"documents": DOCUMENTS, "versions": VERSIONS}
+INDEXES = ("title", "content")
 
 
 class Conflict(OSError):
@@ -41,10 +45,14 @@ class Store:
     the number after; else it raises Conflict. No folder, manifest or pointer is ever overwritten: a reader sees one
     snapshot whole, the winner's rows stay, and what a dead writer leaves is named nowhere. A batch id that the current
     snapshot has is not applied again.
+
+    With ``analyzer`` a new store also keeps the title and content index of its documents, as segments that the manifest
+    names: an upsert adds one with the postings of its batch's documents, made from the batch alone, and ``merge_index``
+    joins small ones. Index and tables belong to one snapshot.
     """
 
-    def __init__(self, spark: SparkSession, path: str, buckets: int = BUCKETS):
-        self.spark, self.buckets = spark, buckets
+    def __init__(self, spark: SparkSession, path: str, buckets: int = BUCKETS, analyzer: str | None = None):
+        self.spark, self.buckets, self.analyzer = spark, buckets, analyzer
         self._jvm = spark.sparkContext._jvm
         self._path = self._jvm.org.apache.hadoop.fs.Path
         where = self._path(path.rstrip("/"))
@@ -71,7 +79,7 @@ class Store:
         return now and {"snapshot": now["snapshot"], "batch_id": now["batch_id"]}
 
     def _start(self) -> dict:
-        return self.manifest() or {"snapshot": 0, "batch_id": None, "buckets": self.buckets, "documents": {}, "versions": {}}
+        return self.manifest() or {"snapshot": 0, "batch_id": None, "buckets": self.buckets, "analyzer": self.analyzer, "documents": {}, "versions": {}, "index": {k: [] for k in INDEXES}}
 
     def _table(self, manifest: dict, name: str, buckets: set[int] | None = None) -> DataFrame:
         schema = TABLES[name]
@@ -85,6 +93,13 @@ class Store:
         now = self.manifest(number) or self._start()
         return self._table(now, "documents"), self._table(now, "versions")
 
+    def index(self, kind: str, number: int | None = None) -> DataFrame:
+        """The postings of ``title`` or ``content`` as of a snapshot, by default the current one."""
+        return segments.read_segments(self.spark, self._segments(self.manifest(number) or self._start(), kind))
+
+    def _segments(self, manifest: dict, kind: str) -> list[dict]:
+        return [s | {"folder": f"{self.path}/{s['folder']}"} for s in manifest["index"][kind]]
+
     def outcomes(self, number: int | None = None, batch_id: int | None = None) -> DataFrame:
         """The batch of an upsert's snapshot with the outcome of each row: of the current snapshot, the one numbered so, or
         the one that applied a batch."""
@@ -140,15 +155,20 @@ class Store:
             self._fs.delete(new, False)
         return True
 
-    def _commit(self, base: dict, changes: dict[str, dict[str, str | None]], used: dict[str, set[str]], batch_id: int | None, written: str) -> bool:
-        """Publishes ``base`` with the changed folders (None: a bucket without rows). ``used`` names the buckets that the
-        changes follow from; they must be the same in every snapshot that came in between."""
+    def _segment(self, postings: DataFrame, replaced: DataFrame | None, written: str, kind: str) -> dict:
+        folder = f"{written}/index-{kind}"
+        return {"folder": folder, "rows": segments.write_segment(postings, replaced, f"{self.path}/{folder}"), "first": replaced is None}
+
+    def _commit(self, base: dict, changes: dict[str, dict[str, str | None]], used: dict[str, set[str]], batch_id: int | None, written: str, index: Callable[[dict], dict]) -> bool:
+        """Publishes ``base`` with the changed folders (None: a bucket without rows) and the index that ``index`` makes of the
+        one before. ``used`` names the buckets that the changes follow from; they must be the same in every snapshot that
+        came in between."""
         now = base
         while True:
             if batch_id is not None and now["batch_id"] is not None and batch_id <= now["batch_id"]:
                 return False
             tables = {t: {b: f for b, f in (now[t] | changes[t]).items() if f} for t in TABLES}
-            body = {"batch_id": batch_id if batch_id is not None else now["batch_id"], "buckets": now["buckets"], "written": written, **tables}
+            body = {"batch_id": batch_id if batch_id is not None else now["batch_id"], "buckets": now["buckets"], "analyzer": now["analyzer"], "written": written, "index": index(now["index"]), **tables}
             if self._publish(now["snapshot"] + 1, body):
                 return True
             now = self.manifest()
@@ -164,7 +184,10 @@ class Store:
         changes = {}
         for name, df, key in (("documents", docs, "source_url"), ("versions", versions, "document_id")):
             changes[name] = dict.fromkeys(every) | self._write(df, written, name, key, base["buckets"])
-        return self._commit(base, changes, {t: set(every) for t in TABLES}, batch_id, written)
+        index = {k: [] for k in INDEXES}
+        if base["analyzer"]:
+            index = {"title": [self._segment(search.build_title_index(docs, base["analyzer"]), None, written, "title")], "content": [self._segment(search.build_content_index(versions, base["analyzer"]), None, written, "content")]}
+        return self._commit(base, changes, {t: set(every) for t in TABLES}, batch_id, written, lambda _: index)
 
     def upsert(self, batch: DataFrame, as_of: Column, batch_id: int | None = None) -> bool:
         """Commits the current tables after a batch and rewrites the buckets that it touches alone: documents where the
@@ -194,13 +217,45 @@ class Store:
         next_docs, next_versions = upserts.apply_outcomes(docs, self._table(base, "versions", changed), found, as_of)
         changes = {"documents": self._write(next_docs, written, "documents", "source_url", n) if by_url else {}, "versions": self._write(next_versions, written, "versions", "document_id", n) if changed else {}}
         used = {"documents": {str(b) for b in by_url}, "versions": {str(b) for b in by_id}}
-        return self._commit(base, changes, used, batch_id, written)
+        added = self._batch_segments(found, base, written) if base["analyzer"] else {}
+        return self._commit(base, changes, used, batch_id, written, lambda index: {k: s + added.get(k, []) for k, s in index.items()})
+
+    def _batch_segments(self, found: DataFrame, base: dict, written: str) -> dict[str, list[dict]]:
+        """Segments for a batch's rows with their outcomes: titles of all its documents, texts of those that changed."""
+        last = found.filter("outcome <> 'failed' AND last_row").select(F.col("document_id").alias("id"), "title", "citation")
+        changed = found.filter("changed").groupBy("document_id").agg(F.max_by("content_text", "version_number").alias("content_text")).withColumn("is_latest", F.lit(True))
+        made = {"title": (search.build_title_index(last, base["analyzer"]), last.select(F.col("id").alias("doc"))), "content": (search.build_content_index(changed, base["analyzer"]), changed.select(F.col("document_id").alias("doc")))}
+        return {k: [self._segment(postings, replaced if base["index"][k] else None, written, k)] for k, (postings, replaced) in made.items()}
+
+    def merge_index(self) -> bool:
+        """Merges segments that are small beside the newer ones, as a commit of its own; False where none are due or another
+        writer was faster."""
+        base = self._start()
+        at = {k: segments.due(s) for k, s in base["index"].items()}
+        due = {k: n for k, n in at.items() if n < len(base["index"][k])}
+        if not due:
+            return False
+        written, merged = f"data/commit={uuid.uuid4().hex}", {}
+        for k, n in due.items():
+            folder = f"{written}/index-{k}"
+            rows = segments.merge_segments(self.spark, self._segments(base, k)[n:], f"{self.path}/{folder}")
+            merged[k] = {"folder": folder, "rows": rows, "first": base["index"][k][n]["first"]}
+
+        def index(now: dict) -> dict:
+            if any(now[k][: len(base["index"][k])] != base["index"][k] for k in due):
+                raise Conflict("the index was merged meanwhile")
+            return {k: s[: due[k]] + [merged[k]] + s[len(base["index"][k]) :] if k in due else s for k, s in now.items()}
+
+        try:
+            return self._commit(base, {t: {} for t in TABLES}, {t: set() for t in TABLES}, None, written, index)
+        except Conflict:
+            return False
 
     def expire(self, keep: int = 2) -> int:
         """Deletes pointers but the last ``keep`` and the folders that none of those names; how many folders went. A folder
         that no pointer names yet may be a running writer's and stays."""
         numbers = self.numbers()
-        named = lambda ks: {f for k in ks for m in [self.manifest(k)] for f in [*m["documents"].values(), *m["versions"].values(), f"{m['written']}/outcomes"]}
+        named = lambda ks: {f for k in ks for m in [self.manifest(k)] for f in [*m["documents"].values(), *m["versions"].values(), f"{m['written']}/outcomes", *(x["folder"] for s in m["index"].values() for x in s)]}
         old, stay = numbers[:-keep], named(numbers[-keep:])
         gone = named(old) - stay
         for k in old:

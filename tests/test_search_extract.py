@@ -1,4 +1,8 @@
+import random
+import re
+
 import pytest
+from pyspark.sql import functions as F
 
 from folioflow.functions.markup import choose, xml_text
 from folioflow.functions.stemmer import stem
@@ -33,12 +37,137 @@ def test_search_reads_whole_texts(spark):
     assert facts.first().total == 1 and rows.first().snippet.endswith("<mark>lastword</mark>")
 
 
-def test_density():
-    w = lambda *p: [(i, t, 1.0) for i, t in p]
-    assert search._density(w((1, "a"), (2, "b")), 2) == pytest.approx(1.0)
-    assert search._density(w((1, "a"), (4, "b")), 2) == pytest.approx(1 / 3)
-    assert search._density(w((1, "a"), (2, "b"), (3, "a"), (9, "b")), 2) == pytest.approx(1 + 1 + 1 / 6)
-    assert search._density([(1, "a", 1.0), (2, "b", 0.4)], 2) == pytest.approx(2 / (1 + 2.5)) and search._density(w((1, "a")), 2) == 0
+def brute_density(entries, n):
+    """Every stretch that holds all the terms and no shorter one that does."""
+    total = 0.0
+    for i in range(len(entries)):
+        for j in range(i, len(entries)):
+            span = entries[i : j + 1]
+            if len({t for _, t, _ in span}) == n and len({t for _, t, _ in span[1:]}) < n and len({t for _, t, _ in span[:-1]}) < n:
+                foreign = max(0, span[-1][0] - span[0][0] - (len(span) - 1))
+                total += len(span) / sum(1 / w for _, _, w in span) / (1 + foreign)
+    return total
+
+
+def test_density(spark):
+    rng, weights = random.Random(3), {"A": 1.0, "B": 0.4}
+    cases = [[(1, "a", "A"), (2, "b", "A")], [(1, "a", "A"), (4, "b", "A")], [(1, "a", "A"), (2, "b", "A"), (3, "a", "A"), (9, "b", "A")], [(1, "a", "A"), (2, "b", "B")], [(1, "a", "A")]]
+    cases += [sorted((p, rng.choice("abcde"[: rng.randint(1, 5)]), rng.choice("AB")) for p in rng.sample(range(60), rng.randint(1, 25))) for _ in range(60)]
+    held = {}
+    for doc, entries in enumerate(cases):
+        for p, t, w in entries:
+            held.setdefault((t, str(doc), w), []).append(p)
+    index = spark.createDataFrame([(*k, sorted(v)) for k, v in held.items()], "term string, doc string, weight string, positions array<int>")
+    for terms in (["a"], ["a", "b"], ["c", "a", "b"], ["a", "b", "c", "d"], list("abcde")):
+        got = search.cover_density(index, terms)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+        found = {r.doc: r.rank for r in got.collect()}
+        want = {}
+        for doc, entries in enumerate(cases):
+            own = [(p, t, weights[w]) for p, t, w in entries if t in terms]
+            if {t for _, t, _ in own} == set(terms):
+                want[str(doc)] = brute_density(own, len(terms))
+        assert found == {d: pytest.approx(x) for d, x in want.items()} and want
+    assert search.cover_density(index, ["a", "zz"]).collect() == [] and search.cover_density(index, []).collect() == []
+
+
+def brute_snippet(text, terms):
+    words = list(re.finditer(r"[^\W_]+", text))
+    hit = [i for i, w in enumerate(words) if w.group().lower() in terms]
+    stretches = []
+    for i in hit:
+        inside = [j for j in hit if i <= j < i + 35]
+        stretches.append((len({words[j].group().lower() for j in inside}), len(inside), i - inside[-1] - 1, -i, i, inside[-1] + 1))
+
+    def extent(begin, end, low, high):
+        size = max(end - begin, min(15, high - low))
+        first = max(low, min(begin - (size - (end - begin)) // 2, high - size))
+        return first, first + size
+
+    if not stretches:
+        return None
+    *_, b, e = max(stretches)
+    one = extent(b, e, 0, len(words))
+    out = [one]
+    if rest := [s for s in stretches if s[4] >= one[1] or s[5] <= one[0]]:
+        *_, b, e = max(rest)
+        out.append(extent(b, e, one[1], len(words)) if b >= one[1] else extent(b, e, 0, one[0]))
+    shown = []
+    for a, b in sorted(out):
+        piece = ""
+        for k in range(a, b):
+            word = words[k].group()
+            piece += (f"<mark>{word}</mark>" if k in hit else word) + (text[words[k].end() : words[k + 1].start()] if k + 1 < b else "")
+        shown.append(piece)
+    return " ... ".join(shown)
+
+
+def test_best_fragments(spark):
+    rng = random.Random(11)
+    cases = [("plain land", ["land"]), ("Land, titles & LAND!", ["land", "titles"]), ("nothing here", ["land"]), ("", ["land"])]
+    cases.append(("land " * 10 + "w " * 60 + "land titles water end.", ["land", "titles", "water"]))
+    for _ in range(40):
+        text = "".join(rng.choice(["land", "Titles", "water", *["w%d" % rng.randint(0, 9)] * rng.randint(1, 40)]) + rng.choice([" ", ", ", ". ", "\n", " - "]) for _ in range(rng.randint(1, 300)))
+        cases.append((text, sorted(rng.sample(["land", "titles", "water", "w1"], rng.randint(1, 4)))))
+    page = spark.createDataFrame([(i, "d", t) for i, (t, _) in enumerate(cases)], "query_id int, id string, content_text string")
+    terms = spark.createDataFrame([(i, len(ts), k, t) for i, (_, ts) in enumerate(cases) for k, t in enumerate(ts)], "query_id int, size int, no int, term string")
+    got = search.headline(page, terms)
+    assert "Python" not in got._jdf.queryExecution().executedPlan().toString()
+    found = {r.query_id: r.snippet for r in got.collect()}
+    for i, (text, ts) in enumerate(cases):
+        want = brute_snippet(text, set(ts))
+        assert found.get(i) == want
+        if want:
+            sizes = [len(re.findall(r"[^\W_]+", re.sub("</?mark>", "", f))) for f in want.split(" ... ")]
+            assert len(sizes) <= 2 and max(sizes) <= 35
+
+
+def test_many_queries_are_as_each_alone(spark):
+    docs = spark.createDataFrame([(str(i), f"Act {i} on {'land' if i % 2 else 'water'} titles", f"c {i}", "s", "ca", "legislation", f"u{i}") for i in range(30)], "id string, title string, citation string, source_type string, jurisdiction_code string, document_type string, source_url string")
+    versions = spark.createDataFrame([(str(i), f"the {'water' if i % 3 else 'land'} text {i} titles", True) for i in range(30)], "document_id string, content_text string, is_latest boolean")
+    ti, ci = search.build_title_index(docs), search.build_content_index(versions)
+    texts = ["land titles", "water", "titles water the", "nowhere land", "  ", "act 7", None, "LAND land titles"]
+    queries = spark.createDataFrame(list(enumerate(texts)), "query_id int, text string")
+    for page in (1, 2):
+        rows, facts = search.search_many(docs, versions, ti, ci, queries, page, 4)
+        got = {}
+        for r in rows.orderBy("query_id", "place").collect():
+            got.setdefault(r.query_id, []).append((r.id, round(r.relevance, 9), r.in_content, r.snippet))
+        totals = {r.query_id: (r.total, r.total_pages) for r in facts.collect()}
+        for i, text in enumerate(texts):
+            one, its = search.search(docs, versions, ti, ci, text or "", page, 4)
+            want = [(r.id, round(r.relevance, 9), r.in_content, r.snippet) for r in one.orderBy(F.desc("relevance"), "id").collect()]
+            assert got.get(i, []) == want and totals.get(i, (0, 1)) == tuple(its.first())
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert search.search_many(docs, versions, ti, ci, queries.limit(0))[0].collect() == [] and plan
+
+
+def test_the_store_keeps_its_index(spark, tmp_path):
+    from folioflow.sources import segments, store
+
+    at = F.lit("2024-01-31").cast("timestamp")
+    own = store.Store(spark, str(tmp_path / "s"), buckets=4, analyzer="simple")
+    batch = lambda rows: spark.createDataFrame([(u, k, t, f"Title {t[:5]}", "c") for k, (u, t) in enumerate(rows)], "source_url string, seq long, content_text string, title string, category string")
+    flat = lambda df: sorted((r.term, r.doc, r.weight, tuple(r.positions)) for r in df.collect())
+    batches = [[(f"u{i}", f"word{i} land and water") for i in range(20)], [("u3", "new land"), ("u3", "newer land"), ("u30", "first water")], [("u4", ""), ("u5", "word5 land and water")], [("u6", "x" * 10)], [("u6", "y")]]
+    for rows in batches:
+        own.upsert(batch(rows), at)
+        docs, versions = own.read()
+        assert flat(own.index("content")) == flat(search.build_content_index(versions)) and flat(own.index("title")) == flat(search.build_title_index(docs))
+    before = [s["folder"] for s in own.manifest()["index"]["content"]]
+    assert own.merge_index() and not own.merge_index()
+    after = [s["folder"] for s in own.manifest()["index"]["content"]]
+    assert len(after) < len(before) and after[0] == before[0]
+    assert flat(own.index("content")) == flat(search.build_content_index(versions)) and flat(own.index("title")) == flat(search.build_title_index(docs))
+    assert flat(own.index("content", 1)) == flat(search.build_content_index(own.read(1)[1]))
+    plan = own.index("content").filter(F.col("term").isin("land", "water"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("PushedFilters: [In(term, [land,water])") == len(after)
+    rows, facts = search.search(*own.read(), own.index("title"), own.index("content"), "newer land")
+    assert facts.first().total == 1 and rows.first().snippet == "<mark>newer</mark> <mark>land</mark>"
+    own.write(docs.limit(3), versions.limit(0))
+    assert own.index("content").count() == 0 and own.index("title").select("doc").distinct().count() == 3
+    assert segments.due([{"rows": 100}, {"rows": 3}, {"rows": 2}]) == 1 and segments.due([{"rows": 100}, {"rows": 9}]) == 2 and segments.due([]) == 0
 
 
 @pytest.mark.parametrize("word,root", [("caresses", "caress"), ("ponies", "poni"), ("cats", "cat"), ("agreed", "agre"), ("plastered", "plaster"), ("motoring", "motor"), ("hopping", "hop"), ("filing", "file"), ("happy", "happi"), ("relational", "relat"), ("conditional", "condit"), ("electrical", "electr"), ("adjustment", "adjust"), ("adoption", "adopt"), ("probate", "probat"), ("rate", "rate"), ("controll", "control"), ("regulations", "regul"), ("generalizations", "gener")])
