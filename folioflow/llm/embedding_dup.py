@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import hashlib
 import io
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+from pyarrow.fs import FileType
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folioflow.llm.common import Scratch, components
+from folioflow.llm.common import Scratch, components, open_store, qualified
 from folioflow.llm.hnsw import Graph
 
 #: Bytes of the single-precision vectors of a shard's graph, but for the unevenness of hashing: memory decides how many
@@ -63,7 +66,14 @@ def _stack(column: pd.Series, kind) -> np.ndarray:
     return np.frombuffer(b"".join(column), kind).reshape(len(column), -1)
 
 
-def _build(kind):
+def _graph_file(folder: str, grp: str, shard: int) -> str:
+    return f"{folder}/{hashlib.sha256(grp.encode()).hexdigest()}-{shard}"
+
+
+def _build(kind, folder: str):
+    """Builds a shard's graph and writes it below the shared ``folder``. A repeated attempt makes the same bytes and puts
+    them there by a rename, so readers see a whole file."""
+
     def build(part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values("cls", kind="stable")
         part = part.iloc[np.random.default_rng(8).permutation(len(part))]
@@ -74,13 +84,25 @@ def _build(kind):
             layer = layer.upper
         out = io.BytesIO()
         np.savez(out, raw=raw, keys=_stack(part["cls"], np.uint8), copies=part["copies"].to_numpy(np.int64), **{f"links{i}": a for i, a in enumerate(layers)})
-        return pd.DataFrame({"grp": [part["grp"].iloc[0]], "shard": [part["shard"].iloc[0]], "graph": [out.getvalue()]})
+        grp, shard = part["grp"].iloc[0], part["shard"].iloc[0]
+        store, path = open_store(_graph_file(folder, grp, shard))
+        store.create_dir(path.rsplit("/", 1)[0])
+        new = f"{path}.{uuid.uuid4().hex}"
+        with store.open_output_stream(new, compression=None) as file:
+            file.write(out.getbuffer())
+        store.move(new, path)
+        return pd.DataFrame({"grp": [grp], "shard": [shard]})
 
     return build
 
 
-def _load(raw: bytes):
-    data = np.load(io.BytesIO(raw))
+def _load(folder: str, grp: str, shard: int):
+    """A shard's graph, points, classes and copies, or None for a shard without vectors."""
+    store, path = open_store(_graph_file(folder, grp, shard))
+    if store.get_file_info(path).type != FileType.File:
+        return None
+    with store.open_input_file(path) as file:
+        data = np.load(io.BytesIO(file.read()))
     links = [data[f"links{i}"] for i in range(sum(n.startswith("links") for n in data.files))]
     x = _unit(data["raw"])
     return Graph.restored(x, links), x, data["keys"], data["copies"]
@@ -154,11 +176,12 @@ def joined(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
             root = root[root]
 
 
-def _search(kind, threshold: float):
-    def search(queries: pd.DataFrame, graphs: pd.DataFrame) -> pd.DataFrame:
-        if not len(queries) or not len(graphs):
+def _search(kind, threshold: float, folder: str):
+    def search(queries: pd.DataFrame) -> pd.DataFrame:
+        loaded = _load(folder, queries["grp"].iloc[0], queries["shard"].iloc[0])
+        if loaded is None:
             return pd.DataFrame({"a": [], "b": [], "n": []})
-        graph, x, keys, copies = _load(graphs["graph"].iloc[0])
+        graph, x, keys, copies = loaded
         points = [k.tobytes() for k in keys]
         place = {k: i for i, k in enumerate(points)}
         own = queries["cls"].to_list()
@@ -197,7 +220,8 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98, shard_bytes: in
 
     Equal vectors form a class and go on as one with a count. Each label's classes are dealt by hash to shards of about
     ``shard_bytes`` of single-precision components; a task builds a shard's graph. The classes of a shard ask its own
-    graph and those of the shards after it, in BLOCKS blocks, so that every two shards meet once. A task returns a count for each query and a spanning forest of the links it found, never the pairs, so
+    graph and those of the shards after it, in BLOCKS blocks, so that every two shards meet once. Graphs lie as files in the
+    shared folder and tasks read the one they ask, so only the asking vectors are shuffled. A task returns a count for each query and a spanning forest of the links it found, never the pairs, so
     that a dense group gives as many rows as it has vectors. Every shard searches with a beam widened by audits
     (``links_of``); all links returned are verified in double precision.
     """
@@ -214,11 +238,10 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98, shard_bytes: in
     hashed = lambda salt, n: F.pmod(F.xxhash64(F.lit(salt), "cls"), n).cast("int")
     placed = own.table(classes.join(sizes, "grp").select("cls", "copies", "grp", "shards", "vec", hashed(1, F.col("shards")).alias("shard"), hashed(2, F.lit(BLOCKS)).alias("block")))
 
-    graphs = own.table(placed.groupBy("grp", "shard").applyInPandas(_build(kind), "grp string, shard int, graph binary"))
+    folder = qualified(vectors.sparkSession, f"{own.root}/work/graphs")
+    own.table(placed.groupBy("grp", "shard").applyInPandas(_build(kind, folder), "grp string, shard int"))
     asked = placed.select("grp", F.col("shard").alias("from"), "block", "cls", "copies", "vec", F.explode(F.sequence(F.col("shard"), F.col("shards") - 1)).alias("shard"))
-    served = graphs.select("grp", "shard", "graph", F.explode(F.sequence(F.lit(0), F.col("shard"))).alias("from")).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(BLOCKS - 1))))
-    by = ("grp", "from", "block", "shard")
-    found = own.table(asked.groupBy(*by).cogroup(served.groupBy(*by)).applyInPandas(_search(kind, threshold), "a binary, b binary, n long"))
+    found = own.table(asked.groupBy("grp", "from", "block", "shard").applyInPandas(_search(kind, threshold, folder), "a binary, b binary, n long"))
 
     counts = found.filter("b IS NULL").groupBy(F.col("a").alias("cls")).agg(F.sum("n").alias("others"))
     groups = components(own, found.filter("b IS NOT NULL").select("a", "b")).withColumnRenamed("id", "cls")

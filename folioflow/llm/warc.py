@@ -6,15 +6,13 @@ import hashlib
 import uuid
 import zlib
 from collections.abc import Iterator
-from urllib.parse import quote
 
 import pyarrow as pa
-from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from folioflow.llm.common import Scratch
+from folioflow.llm.common import Scratch, open_store, qualified
 
 #: Fixed values of the format.
 VERSION, BREAK, MAGIC = b"WARC/1.1", b"\r\n", b"\x1f\x8b\x08"
@@ -29,22 +27,6 @@ LEAST_REPEATED = 100
 RECORDS = "path string, position long, length long, complete boolean, record_type string, record_id string, target_uri string, refers_to string, declared_digest string, payload_bytes long, payload_digest string"
 
 
-def qualified(spark: SparkSession, path: str) -> str:
-    """A path with the scheme of the file system that Spark would use for it."""
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(where).toString()
-
-
-def open_store(uri: str) -> tuple[fs.FileSystem, str]:
-    """The file system of a Hadoop path (file, hdfs, s3, gs; nothing in it escaped) and the path in it."""
-    scheme, colon, rest = uri.partition(":")
-    if not colon:
-        return fs.LocalFileSystem(), uri
-    rest = quote(rest, safe="/:@")
-    uri = {"s3a": "s3", "s3n": "s3"}.get(scheme, scheme) + (f":{rest}" if rest.startswith("//") else f"://{rest}")
-    return fs.FileSystem.from_uri(uri)
-
-
 # --- writing
 
 
