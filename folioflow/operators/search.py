@@ -5,7 +5,9 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -47,10 +49,29 @@ def _analyzed(words: DataFrame, analyzer: str) -> DataFrame:
     return words.join(vocabulary, "word").drop("word")
 
 
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The distinct words of each row (doc, weight, words, shift) with their positions, over whole columns."""
+    for batch in batches:
+        lists, shift = batch.column(2), batch.column(3).to_numpy(zero_copy_only=False)
+        coded = lists.flatten().dictionary_encode()
+        row = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy(zero_copy_only=False))
+        code = coded.indices.to_numpy(zero_copy_only=False)
+        position = np.arange(len(row)) - np.searchsorted(row, row) + shift[row] + 1
+        order = np.argsort(row * np.int64(len(coded.dictionary) + 1) + code, kind="stable")
+        row, code = row[order], code[order]
+        begin = np.flatnonzero(np.r_[True, (row[1:] != row[:-1]) | (code[1:] != code[:-1])][: len(row)])
+        places = pa.ListArray.from_arrays(pa.array(np.r_[begin, len(row)].astype(np.int32)), pa.array(position[order].astype(np.int32)))
+        yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row[begin])), batch.column(1).take(pa.array(row[begin])), coded.dictionary.take(pa.array(code[begin])), places], ["doc", "weight", "word", "positions"])
+
+
 def _postings(df: DataFrame, analyzer: str) -> DataFrame:
-    """Of rows (doc, weight, words, shift): positions from shift + 1 on."""
-    words = df.select("doc", "weight", "shift", F.posexplode("words").alias("at", "word")).select("doc", "weight", "word", (F.col("shift") + F.col("at") + 1).alias("position"))
-    return _analyzed(words, analyzer).groupBy("term", "doc", "weight").agg(F.sort_array(F.collect_list("position")).alias("positions"))
+    """Of rows (doc, weight, words, shift): positions from shift + 1 on. A text's words become postings within its task, so
+    that no row is made or shuffled for a single position."""
+    words = df.filter(F.size("words") > 0).select("doc", "weight", "words", "shift").mapInArrow(_runs, "doc string, weight string, word string, positions array<int>")
+    found = _analyzed(words, analyzer)
+    if analyzer == "simple":
+        return found.select("term", "doc", "weight", "positions")
+    return found.groupBy("term", "doc", "weight").agg(F.sort_array(F.flatten(F.collect_list("positions"))).alias("positions"))
 
 
 def build_title_index(docs: DataFrame, analyzer: str = "simple") -> DataFrame:
@@ -229,18 +250,21 @@ def search_many(docs: DataFrame, versions: DataFrame, title_index: DataFrame, co
 
     Rows have query_id, place (from 1), id, title, citation, source_url, relevance, in_content, has_content and snippet
     (null unless the text matches), best first, ties by id. Facts have a row for each query that has terms: total and
-    total_pages. Each task keeps the best rows of each query before any are shuffled; texts are read for the pages' rows
-    alone, which are written first so that Spark knows their size when it joins them.
+    total_pages. Matches with their relevance are written once, for totals and pages. Each task keeps the best rows of each
+    query before any are shuffled; texts are read for the pages' rows alone, which are written too, so that Spark knows
+    their size when it joins them.
     """
     per_page = min(per_page, MOST_PER_PAGE)
     terms = query_terms(queries, analyzer)
-    found = ranked_many(docs, title_index, content_index, terms, **filters)
     spark, at = docs.sparkSession, scratch_folder(docs.sparkSession, "pages")
+    ranked = ranked_many(docs, title_index, content_index, terms, **filters)
+    ranked.write.parquet(f"{at}/found")
+    found = spark.read.schema(ranked.schema).parquet(f"{at}/found")
     best = Window.partitionBy("query_id").orderBy(F.desc("relevance"), "id")
     last = max(1, page) * per_page
     kept = found.withColumn("place", F.row_number().over(best)).filter((F.col("place") <= last) & (F.col("place") > last - per_page))
-    kept.write.parquet(at)
-    rows = spark.read.schema(kept.schema).parquet(at)
+    kept.write.parquet(f"{at}/rows")
+    rows = spark.read.schema(kept.schema).parquet(f"{at}/rows")
     latest = latest_of(versions).select(F.col("document_id").alias("id"), "content_text").join(rows.select("id").distinct(), "id")
     texts = latest.groupBy("id").agg(F.first("content_text").alias("content_text"))
     snippets = headline(rows.filter("in_content").select("query_id", "id").join(texts, "id"), terms, analyzer)

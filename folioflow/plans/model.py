@@ -79,6 +79,13 @@ class Model:
     def versions(self) -> DataFrame:
         return self.upserted[1]
 
+    @cached_property
+    def kept_versions(self) -> DataFrame:
+        """The versions as a table in the shared folder, for queries that read them more than once."""
+        at = scratch_folder(self.spark, "versions")
+        self.versions.write.partitionBy("is_latest").parquet(at)
+        return self.spark.read.schema(VERSIONS).parquet(at).select(*VERSIONS.names)
+
     @cached_property
     def some_versions(self) -> DataFrame:
         """Without those of every seventh document."""
@@ -139,7 +146,7 @@ class Model:
 
     @cached_property
     def content_index(self) -> DataFrame:
-        return self.stored("content", search.build_content_index(self.versions))
+        return self.stored("content", search.build_content_index(self.kept_versions))
 
     def empty(self, schema) -> DataFrame:
         return self.spark.createDataFrame([], schema)

@@ -778,12 +778,12 @@ def density_four(m: Model) -> DataFrame:
 
 @query(f"""{_words('the', 'and')}{_pages(20, "document_type = 'regulation'")} SELECT id, title, citation, source_url, relevance, in_content, marked, has_content, total, total_pages FROM page""")
 def search_page(m: Model) -> DataFrame:
-    rows, facts = search.browse_or_search(m.docs, m.versions, m.title_index, m.content_index, "the and", per_page=20, document_type="regulation")
+    rows, facts = search.browse_or_search(m.docs, m.kept_versions, m.title_index, m.content_index, "the and", per_page=20, document_type="regulation")
     return rows.withColumn("marked", F.coalesce(F.col("snippet").contains("<mark>"), F.lit(False))).drop("snippet").join(facts)
 
 
 def _many(m: Model, queries: DataFrame, per_page: int) -> DataFrame:
-    rows, facts = search.search_many(m.docs, m.versions, m.title_index, m.content_index, queries, per_page=per_page)
+    rows, facts = search.search_many(m.docs, m.kept_versions, m.title_index, m.content_index, queries, per_page=per_page)
     marked = F.coalesce(F.col("snippet").contains("<mark>"), F.lit(False))
     return rows.join(facts, "query_id").select("query_id", "place", "id", "relevance", "in_content", marked.alias("marked"), "has_content", "total", "total_pages")
 
@@ -810,7 +810,7 @@ def query_terms(m: Model) -> DataFrame:
 
 @query()
 def search_english(m: Model) -> DataFrame:
-    rows, facts = search.search(m.docs, m.versions, m.stored("title-en", search.build_title_index(m.docs, "english")), m.stored("content-en", search.build_content_index(m.versions, "english")), "the tion of ers", per_page=20, analyzer="english")
+    rows, facts = search.search(m.docs, m.kept_versions, m.stored("title-en", search.build_title_index(m.docs, "english")), m.stored("content-en", search.build_content_index(m.kept_versions, "english")), "the tion of ers", per_page=20, analyzer="english")
     return rows.join(facts)
 
 

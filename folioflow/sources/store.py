@@ -189,18 +189,19 @@ class Store:
             index = {"title": [self._segment(search.build_title_index(docs, base["analyzer"]), None, written, "title")], "content": [self._segment(search.build_content_index(versions, base["analyzer"]), None, written, "content")]}
         return self._commit(base, changes, {t: set(every) for t in TABLES}, batch_id, written, lambda _: index)
 
-    def upsert(self, batch: DataFrame, as_of: Column, batch_id: int | None = None) -> bool:
+    def upsert(self, batch: DataFrame, as_of: Column, batch_id: int | None = None, land: bool = False) -> bool:
         """Commits the current tables after a batch and rewrites the buckets that it touches alone: documents where the
         batch has a url, versions where a text changed. Its rows with their outcomes are written first and tell which
-        these are; ``outcomes`` reads them. At most a number for each bucket reaches the driver."""
+        these are; ``outcomes`` reads them. At most a number for each bucket reaches the driver. ``land`` writes the batch
+        before it is looked at, for one that is dear to make, or differs or counts when it is made again."""
         base = self._start()
         if batch_id is not None and base["batch_id"] is not None and batch_id <= base["batch_id"]:
             return False
         n, written = base["buckets"], f"data/commit={uuid.uuid4().hex}"
-        # A batch may be dear to make or differ when made again, so it is made once.
         landed = f"{self.path}/{written}/batch"
-        batch.write.parquet(landed)
-        batch = self.spark.read.schema(batch.schema).parquet(landed)
+        if land:
+            batch.write.parquet(landed)
+            batch = self.spark.read.schema(batch.schema).parquet(landed)
 
         def buckets(df: DataFrame, key: str) -> set[int]:
             return {r[0] for r in df.select(bucket_of(F.col(key), n)).distinct().collect()}
@@ -212,7 +213,8 @@ class Store:
         at = f"{self.path}/{written}/outcomes"
         upserts.outcomes(docs, self._table(base, "versions", by_id), batch).write.parquet(at)
         found = self.spark.read.parquet(at)
-        self._fs.delete(self._path(landed), True)
+        if land:
+            self._fs.delete(self._path(landed), True)
         changed = buckets(found.filter("changed"), "document_id")
         next_docs, next_versions = upserts.apply_outcomes(docs, self._table(base, "versions", changed), found, as_of)
         changes = {"documents": self._write(next_docs, written, "documents", "source_url", n) if by_url else {}, "versions": self._write(next_versions, written, "versions", "document_id", n) if changed else {}}

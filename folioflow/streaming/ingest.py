@@ -66,7 +66,7 @@ def stream_upsert(
     def apply(batch: DataFrame, number: int) -> None:
         if limit is not None:
             batch = batch.orderBy(*order).limit(max(0, limit - ledger.taken_before(number)))
-        applied = store.upsert(batch, as_of, number)
+        applied = store.upsert(batch, as_of, number, land=True)
         found = store.outcomes(batch_id=number)
         if ledger:
             ledger.write(number, found)
