@@ -116,34 +116,17 @@ def _local(tag) -> str:
     return tag.rsplit("}", 1)[-1] if isinstance(tag, str) else ""
 
 
+#: How elements' own texts are shown; those of other elements are left out.
+MARKED = {"LongTitle": "\n= %s", "ShortTitle": "\n= %s", "Heading": "\n- %s", "TitleText": "\n- %s", "Label": "\n- %s", "MarginalNote": "\n[%s]", "Text": "%s", "FormGroup": "%s"}
+
+
 def xml_text(xml: str, profile: str) -> str | None:
-    """Text of an XML document; null where it isn't well formed. "federal" marks titles, headings and notes and leaves
-    other elements' own text out, "flat" has all text; tails always count."""
+    """Text of an XML document, a line for each piece; null where it isn't well formed. "federal" shows own texts as MARKED
+    says, "flat" shows all as they are. An element's tail always counts and comes before the texts of its children."""
     try:
-        root = ET.fromstring(xml)
+        nodes = ET.fromstring(xml).iter()
     except ET.ParseError:
         return None
-    parts: list[str] = []
-    stack: list = [root]
-    while stack:
-        node = stack.pop()
-        if isinstance(node, str):
-            parts.append(node)
-            continue
-        own = (node.text or "").strip()
-        tag = _local(node.tag)
-        if own:
-            if profile == "flat" or tag in ("Text", "FormGroup"):
-                parts.append(own)
-            elif tag in ("LongTitle", "ShortTitle"):
-                parts.append(f"\n= {own}")
-            elif tag in ("Heading", "TitleText", "Label"):
-                parts.append(f"\n- {own}")
-            elif tag == "MarginalNote":
-                parts.append(f"\n[{own}]")
-        tail = (node.tail or "").strip()
-        # An element's tail follows its own text before the text of its children.
-        if tail:
-            parts.append(tail)
-        stack.extend(reversed(list(node)))
-    return "\n".join(parts)
+    shown = lambda node: "%s" if profile == "flat" else MARKED.get(_local(node.tag), "")
+    pieces = ((form, text.strip()) for node in nodes for form, text in ((shown(node), node.text or ""), ("%s", node.tail or "")))
+    return "\n".join(form % text for form, text in pieces if form and text)

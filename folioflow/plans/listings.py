@@ -3,8 +3,8 @@ derived from the given ones, written to the shared folder where a reader takes f
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
 from pyspark.errors import StreamingQueryException
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folioflow.operators import extract, incremental, joins, normalize, quality, repair, runs, search, upsert
@@ -12,7 +12,7 @@ from folioflow.plans.model import Model, as_of, wall
 from folioflow.plans.queries import DAY, ORACLE, QUERIES, T, query
 from folioflow.schemas import DOCUMENTS, conform
 from folioflow.session import scratch_folder
-from folioflow.sources import readers, store
+from folioflow.sources import profiles, readers, store
 from folioflow.streaming import ingest
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -199,6 +199,15 @@ def classify_databases(m: Model) -> DataFrame:
     return normalize.classify_databases(raw(m, list=F.col("source_type"), tag=F.when(n() % 5 == 0, "h2").otherwise("a"), text=text, href=href), "ab").drop("pos")
 
 
+@query(f"SELECT {_L} FROM (SELECT 'https://www.canlii.org/en/ab/laws/stat/a' || doc_id AS source_url, 'Act ' || doc_id AS title, 'c ' || doc_id AS citation, 'legislation' AS document_type, doc_id % 3 <> 0 AS is_active FROM docs)")
+def normalize_by_profile(m: Model) -> DataFrame:
+    """A source that is a registered row of settings and a function, found by its name."""
+    profiles.register_profile("statutes_json", {"status": "Repealed", "every": 3}, normalize.normalize_statutes_json)
+    own = profiles.profile("statutes_json")
+    rows = raw(m, title=txt("Act ", n()), citation=txt("c ", n()), path=txt("/en/ab/laws/stat/a", n()), status=F.when(n() % own["every"] == 0, own["status"]))
+    return listed(profiles.normalize("statutes_json", rows))
+
+
 @query("SELECT source_url, 'ab' AS jurisdiction_code, 'Legislation' AS category, 'canlii_legacy' AS source_type, true AS is_active, content_text FROM corpus")
 def conform_batch(m: Model) -> DataFrame:
     return upsert.conform_batch(m.corpus.select("source_url", "content_text")).select("source_url", "jurisdiction_code", "category", "source_type", "is_active", "content_text")
@@ -219,6 +228,25 @@ def case_text(m: Model) -> DataFrame:
     return extract.case_text(rows).select("pos", "content_text")
 
 
+def _as_xml(m: Model) -> DataFrame:
+    """Whole texts, of which letters and digits are kept, as the body of a statute."""
+    body = F.regexp_replace("content_text", "[^A-Za-z0-9]+", " ")
+    return raw(m, xml=txt("<Act><ShortTitle> Act ", n(), "</ShortTitle><Body><Heading>H", n(), "</Heading> tail ", n(), "<Section><Label>", n(), "</Label><MarginalNote>note</MarginalNote><Text>", body, "</Text><Other>other</Other>end</Section></Body></Act>"))
+
+
+_BODY = "(SELECT doc_id AS i, trim(regexp_replace(content_text, '[^A-Za-z0-9]+', ' ', 'g')) AS body, chr(10) AS br FROM docs)"
+
+
+@query(f"SELECT i AS pos, br || '= Act ' || i || br || br || '- H' || i || br || 'tail ' || i || br || br || '- ' || i || br || br || '[note]' || CASE WHEN body <> '' THEN br || body ELSE '' END || br || 'end' AS content_text FROM {_BODY}")
+def xml_to_marked_text(m: Model) -> DataFrame:
+    return extract.xml_to_text(_as_xml(m), "federal").select("pos", "content_text")
+
+
+@query(f"SELECT i AS pos, 'Act ' || i || br || 'H' || i || br || 'tail ' || i || br || i || br || 'note' || CASE WHEN body <> '' THEN br || body ELSE '' END || br || 'other' || br || 'end' AS content_text FROM {_BODY}")
+def xml_to_flat_text(m: Model) -> DataFrame:
+    return extract.xml_to_text(_as_xml(m), "flat").select("pos", "content_text")
+
+
 @query("SELECT id, CASE WHEN doc_id % 2 = 0 THEN '<h2>c ' || doc_id || '</h2>' || content_html ELSE content_html END AS content_html FROM docs")
 def prepend_chapter(m: Model) -> DataFrame:
     rows = m.corpus.select(F.sha2("source_url", 256).alias("id"), F.when(n() % 2 == 0, txt("c ", n())).otherwise("").alias("chapter"), "content_html")
