@@ -32,6 +32,11 @@ def bucket_of(key: Column, buckets: int) -> Column:
     return F.pmod(F.conv(F.left(F.sha2(key, 256), F.lit(8)), 16, 10).cast("long"), F.lit(buckets)).cast("int")
 
 
+def places(key: str, buckets: int) -> list[Column]:
+    """What deals rows to the tasks that write them: four a bucket."""
+    return [bucket_of(F.col(key), buckets), F.pmod(F.xxhash64(key), F.lit(4))]
+
+
 class Store:
     """A folder of snapshots of documents and versions in buckets, and a pointer to the current one.
 
@@ -123,11 +128,12 @@ class Store:
 
     # --- commits
 
-    def _write(self, df: DataFrame, folder: str, name: str, key: str, buckets: int) -> dict[str, str]:
-        """Writes rows by bucket and names the folders that came to be."""
+    def _write(self, df: DataFrame, folder: str, name: str, key: str, buckets: int, placed: bool = False) -> dict[str, str]:
+        """Writes rows by bucket and names the folders that came to be. ``placed`` rows are dealt by ``places`` already."""
         at = f"{folder}/table={name}"
         rows = conform(df, TABLES[name]).withColumn("bucket", bucket_of(F.col(key), buckets))
-        rows.repartition("bucket", F.pmod(F.xxhash64(key), F.lit(4))).write.partitionBy("bucket", *(["is_latest"] if name == "versions" else [])).parquet(f"{self.path}/{at}")
+        rows = rows if placed else rows.repartition(*places(key, buckets))
+        rows.write.option("compression", "zstd").partitionBy("bucket", *(["is_latest"] if name == "versions" else [])).parquet(f"{self.path}/{at}")
         found = self._fs.globStatus(self._path(f"{self.path}/{at}/bucket=*")) or []
         return {f.getPath().getName().rsplit("=", 1)[1]: f"{at}/{f.getPath().getName()}" for f in found}
 
@@ -200,7 +206,7 @@ class Store:
         n, written = base["buckets"], f"data/commit={uuid.uuid4().hex}"
         landed = f"{self.path}/{written}/batch"
         if land:
-            batch.write.parquet(landed)
+            batch.write.option("compression", "zstd").parquet(landed)
             batch = self.spark.read.schema(batch.schema).parquet(landed)
 
         def buckets(df: DataFrame, key: str) -> set[int]:
@@ -211,13 +217,13 @@ class Store:
         ids = batch.select("source_url").distinct().join(docs.select("source_url", "id"), "source_url", "left").select(F.coalesce("id", document_id(F.col("source_url"))).alias("id"))
         by_id = buckets(ids.filter("id IS NOT NULL"), "id")
         at = f"{self.path}/{written}/outcomes"
-        upserts.outcomes(docs, self._table(base, "versions", by_id), batch).write.parquet(at)
+        upserts.outcomes(docs, self._table(base, "versions", by_id), batch).write.option("compression", "zstd").parquet(at)
         found = self.spark.read.parquet(at)
         if land:
             self._fs.delete(self._path(landed), True)
         changed = buckets(found.filter("changed"), "document_id")
-        next_docs, next_versions = upserts.apply_outcomes(docs, self._table(base, "versions", changed), found, as_of)
-        changes = {"documents": self._write(next_docs, written, "documents", "source_url", n) if by_url else {}, "versions": self._write(next_versions, written, "versions", "document_id", n) if changed else {}}
+        next_docs, next_versions = upserts.apply_outcomes(docs, self._table(base, "versions", changed), found, as_of, places("document_id", n))
+        changes = {"documents": self._write(next_docs, written, "documents", "source_url", n) if by_url else {}, "versions": self._write(next_versions, written, "versions", "document_id", n, placed=True) if changed else {}}
         used = {"documents": {str(b) for b in by_url}, "versions": {str(b) for b in by_id}}
         added = self._batch_segments(found, base, written) if base["analyzer"] else {}
         return self._commit(base, changes, used, batch_id, written, lambda index: {k: s + added.get(k, []) for k, s in index.items()})
