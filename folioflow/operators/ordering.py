@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 from folioflow.session import scratch_folder
 
@@ -46,3 +49,21 @@ def carry_forward(df: DataFrame, value: str, by: list[str], order: str, out: str
     here = F.last("value", ignorenulls=True).over(Window.partitionBy("group", "part").orderBy("place").rowsBetween(Window.unboundedPreceding, 0))
     met = rows.withColumn("here", here).join(carried, F.col("group").eqNullSafe(F.col("g")) & (F.col("part") == F.col("p")))
     return met.select(*[F.col("row").getField(c).alias(c) for c in df.columns if c != out], F.coalesce("here", "carried").alias(out))
+
+
+def first_rows(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
+    """The first ``n`` rows by ``order``, nulls first; rows alike in it come by a hash of their columns but maps. No task
+    takes them all: the keys alone are sorted in ranges and numbered, and the rows up to the last key stay where they are.
+    ``df`` is read several times, so it must be the same each time."""
+    if n <= 0:
+        return df.filter(F.lit(False))
+    plain = [f.name for f in df.schema.fields if not isinstance(f.dataType, MapType)]
+    key = F.struct(*[F.col(c) for c in order], F.xxhash64(*plain).alias("_tie"))
+    keys = df.select(key.alias("key"), F.lit(0).alias("all"))
+    if keys.count() <= n:
+        return df
+    numbered = number_rows(keys, ["all"], ["key"], "no").filter(F.col("no") <= n)
+    top = numbered.filter(F.col("no") == n).first()["key"]
+    last = F.struct(*[F.lit(top[f.name]).cast(f.dataType).alias(f.name) for f in keys.schema["key"].dataType.fields])
+    alike = n - numbered.filter(F.col("key") < last).count()
+    return df.filter(key < last).unionByName(df.filter(key == last).limit(alike))

@@ -3,6 +3,8 @@ derived from the given ones, written to the shared folder where a reader takes f
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -319,12 +321,16 @@ def batch_progress(m: Model) -> DataFrame:
 
 @query("SELECT id, title FROM docs ORDER BY updated_at DESC, id LIMIT 20")
 def browse_or_search_blank(m: Model) -> DataFrame:
-    """Blank text browses."""
-    return search.browse_or_search(m.docs, m.versions, m.title_index, m.content_index, "  ", per_page=20)[0].select("id", "title")
+    """Blank text browses, and no index is made for it."""
+    titles, texts = search.build_title_index(m.docs), search.build_content_index(m.versions)
+    return search.browse_or_search(m.docs, m.versions, titles, texts, "  ", per_page=20)[0].select("id", "title")
 
 
 # --- readers: derived tables are written to the shared folder first
 
+#: Tasks that write a file a row.
+FILE_TASKS = 48
+
 
 @query("SELECT 'set' || doc_id AS dataset, citation AS citation_en, title AS name_en, content_text AS unofficial_text_fr FROM docs")
 def read_case_records(m: Model) -> DataFrame:
@@ -372,8 +378,8 @@ def read_packages(m: Model) -> DataFrame:
 def read_xml_docs(m: Model) -> DataFrame:
     at, key = scratch_folder(m.spark, "xml"), F.col("s_suppkey")
     titles = F.concat(F.when(key % 3 == 0, txt("<LongTitle>Long ", key, "</LongTitle>")).otherwise(""), F.when(key % 3 < 2, txt("<ShortTitle>Short ", key, "</ShortTitle>")).otherwise(""), txt("<Title>Any ", key, "</Title>"))
-    m.raw("supplier").select(F.concat(F.lit("<Act>"), titles, F.lit("<Body>"), F.trim("s_name"), F.lit("</Body></Act>")).alias("value")).write.option("maxRecordsPerFile", 1).text(at)
-    rows = readers.read_xml_docs(m.spark, f"{at}/*.txt", at)
+    m.raw("supplier").repartition(FILE_TASKS, key).select(F.concat(F.lit("<Act>"), titles, F.lit("<Body>"), F.trim("s_name"), F.lit("</Body></Act>")).alias("value")).write.option("maxRecordsPerFile", 1).text(at)
+    rows = readers.read_xml_docs(m.spark, at, at)
     return rows.select("title", F.xpath_string("xml", F.lit("/Act/Body")).alias("body"))
 
 
@@ -394,8 +400,8 @@ def read_pages(m: Model) -> DataFrame:
 def gate_binaries(m: Model) -> DataFrame:
     at, key = scratch_folder(m.spark, "binaries"), F.col("s_suppkey")
     body = F.when(key % 3 == 0, "%PDF small").when(key % 3 == 1, F.rpad("s_name", 300, "x")).otherwise(F.rpad(F.lit("%PDF"), 300, "x"))
-    m.raw("supplier").select(body.alias("value")).write.option("maxRecordsPerFile", 1).text(at)
-    return readers.gate_binaries(m.spark, f"{at}/*.txt").groupBy("reason").agg(F.count(F.lit(1)).alias("files"))
+    m.raw("supplier").repartition(FILE_TASKS, key).select(body.alias("value")).write.option("maxRecordsPerFile", 1).text(at)
+    return readers.gate_binaries(m.spark, at).groupBy("reason").agg(F.count(F.lit(1)).alias("files"))
 
 
 @query(f"SELECT DISTINCT source_url AS url, '{'2024-01-31 00:00:00'}' AS first_at FROM docs")
@@ -462,6 +468,10 @@ def _stream(m: Model, at: str, schema, files: int = 4) -> DataFrame:
     return ingest.stream_records(m.spark, f"{at}/in", schema, files_per_trigger=files)
 
 
+#: Files of a micro-batch where all that have arrived make one.
+EVERY_FILE = 1 << 30
+
+
 class Broken(RuntimeError):
     """A fault that a query injects."""
 
@@ -476,30 +486,34 @@ def _run_with_a_fault(start) -> None:
     start(False).awaitTermination()
 
 
-def _stream_upsert(m: Model, name: str, fault: bool = False, **more) -> tuple[store.Store, object]:
-    """The three batches arrive as files of a stream and go into a store one after the other; with ``fault`` the second
-    breaks off between the store and the checkpoint."""
+def _stream_upsert(m: Model, name: str, fault: bool = False, measured: bool = False, **more) -> tuple[store.Store, object]:
+    """The three batches arrive as files, each when the stream has taken those before, and go into a store; with ``fault``
+    the second breaks off between the store and the checkpoint."""
     at = scratch_folder(m.spark, name)
-    for seq in (1, 2, 3):
-        _landed(m.batches.filter(F.col("seq") == seq), f"{at}/in")
     own, ledger = store.Store(m.spark, f"{at}/store", BUCKETS), ingest.Ledger(m.spark, f"{at}/ledger")
-    log = ingest.ProgressLog()
+    log, runs_ = ingest.ProgressLog(), []
     m.spark.streams.addListener(log)
 
     def breaks(number: int, _: DataFrame) -> None:
         if number == 1:
             raise Broken
 
-    start = lambda fails: ingest.stream_upsert(_stream(m, at, m.batches.schema), own, as_of(), f"{at}/checkpoint", breaks if fails else None, ledger=ledger, **more)
-    if fault:
-        _run_with_a_fault(start)
-        progress = None
-    else:
-        run = start(False)
-        run.awaitTermination()
-        progress = ingest.stream_progress(log.rows(run), ledger.read())
+    def start(fails: bool):
+        stream = ingest.stream_records(m.spark, f"{at}/in", m.batches.schema, EVERY_FILE)
+        runs_.append(ingest.stream_upsert(stream, own, as_of(), f"{at}/checkpoint", breaks if fails else None, ledger=ledger, land=measured, **more))
+        return runs_[-1]
+
+    for seq in (1, 2, 3):
+        m.batches.filter(F.col("seq") == seq).write.mode("append").option("compression", "zstd").parquet(f"{at}/in")
+        if fault and seq == 2:
+            _run_with_a_fault(start)
+        else:
+            start(False).awaitTermination()
+    counted = ledger.read()
+    if measured:
+        counted = ingest.stream_progress(reduce(DataFrame.unionByName, [log.rows(r) for r in runs_]), counted)
     m.spark.streams.removeListener(log)
-    return own, progress if progress is not None else ledger.read()
+    return own, counted
 
 
 _STREAMED = "SELECT document_id, id, version_number, is_latest, content_hash FROM versions"
@@ -514,7 +528,7 @@ def stream_upsert(m: Model) -> DataFrame:
 @query(f"{_LEDGER}, count(*) AS input_rows FROM hashed GROUP BY seq")
 def stream_progress(m: Model) -> DataFrame:
     """Each micro-batch: the rows that Spark measured, and what became of them."""
-    return _stream_upsert(m, "progress")[1].select("batch", "taken", "docs_new", "docs_updated", "docs_unchanged", "input_rows")
+    return _stream_upsert(m, "progress", measured=True)[1].select("batch", "taken", "docs_new", "docs_updated", "docs_unchanged", "input_rows")
 
 
 @query(_STREAMED)

@@ -51,7 +51,8 @@ def read_packages(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_xml_docs(spark: SparkSession, path: str, root: str) -> DataFrame:
-    """XML documents (path below root, xml, title): the long title, else the short one, else any, else the file's stem."""
+    """XML documents (path below root, xml, title): the long title, else the short one, else any, else the file's stem.
+    ``path`` is a folder, listed once; a pattern would make each file a path of its own, with a job that lists them."""
     rows = spark.read.text(path, wholetext=True).select(F.col("value").alias("xml"), F.split_part(F.col("_metadata.file_path"), F.lit(root.rstrip("/") + "/"), F.lit(-1)).alias("path"))
     found = lambda tag: strip(F.coalesce(F.xpath_string("xml", F.lit(f"//*[local-name()='{tag}']")), F.lit("")))
     stem = F.regexp_replace(F.substring_index("path", "/", -1), r"\.[^.]*$", "")

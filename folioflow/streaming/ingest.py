@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from folioflow.operators.incremental import add_keys, not_in_keys, stale_queue
+from folioflow.operators.ordering import first_rows
 from folioflow.operators.runs import counters, run_counters
 from folioflow.schemas import COUNTERS
 from folioflow.sources.store import Store
@@ -51,22 +52,23 @@ class Ledger:
 
 
 def stream_upsert(
-    stream: DataFrame, store: Store, as_of: Column, checkpoint: str, report: Callable[[int, DataFrame], None] | None = None, limit: int | None = None, order: Sequence[str] = ("seq", "source_url"), ledger: Ledger | None = None
+    stream: DataFrame, store: Store, as_of: Column, checkpoint: str, report: Callable[[int, DataFrame], None] | None = None, limit: int | None = None, order: Sequence[str] = ("seq", "source_url"), ledger: Ledger | None = None, land: bool = True
 ) -> StreamingQuery:
     """Upserts each micro-batch into the store and stops when there is no more.
 
     A restart goes on from the checkpoint. A batch that ended between the store and the checkpoint is replayed: the
     snapshot knows its number, so nothing is applied twice, and its ledger row is written from the outcomes that its
     snapshot keeps. With ``limit`` the stream takes so many rows in all, over batches and restarts: the ledger says what
-    the batches before took, and a batch gives its first rows by ``order``, the same ones when replayed.
+    the batches before took, and a batch gives its first rows by ``order``, the same ones when replayed. ``land=False``
+    reads a batch more than once instead of writing it: for files as they are, where nobody asks how many rows were read.
     """
     if limit is not None and ledger is None:
         raise ValueError("a limit over batches needs a ledger")
 
     def apply(batch: DataFrame, number: int) -> None:
         if limit is not None:
-            batch = batch.orderBy(*order).limit(max(0, limit - ledger.taken_before(number)))
-        applied = store.upsert(batch, as_of, number, land=True)
+            batch = first_rows(batch, order, limit - ledger.taken_before(number))
+        applied = store.upsert(batch, as_of, number, land=land)
         found = store.outcomes(batch_id=number)
         if ledger:
             ledger.write(number, found)
