@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,6 +20,8 @@ from folioflow.sources import segments
 POINTER = "CURRENT"
 #: Buckets of a new store; a store keeps the number it was made with.
 BUCKETS = 64
+#: Folders of a bucket of versions, from which on the next upsert that touches it writes it as one.
+LAYERS = 8
 TABLES = {"documents": DOCUMENTS, "versions": VERSIONS}
 INDEXES = ("title", "content")
 
@@ -37,12 +40,20 @@ def places(key: str, buckets: int) -> list[Column]:
     return [bucket_of(F.col(key), buckets), F.pmod(F.xxhash64(key), F.lit(4))]
 
 
+def layers_of(folders: str | list[str]) -> list[str]:
+    """A bucket's folders, oldest first; a manifest names a single one as it is."""
+    return [folders] if isinstance(folders, str) else folders
+
+
 class Store:
     """A folder of snapshots of documents and versions in buckets, and a pointer to the current one.
 
     Documents lie in buckets of their url and versions in buckets of their document, parted by is_latest within it. Every
-    commit writes its buckets below a new folder of its own name and a manifest that names a folder for each bucket;
-    ``upsert`` rewrites the buckets that the batch touches and takes all other folders over from the snapshot before.
+    commit writes its buckets below a new folder of its own name and a manifest that names the folders of each bucket;
+    ``upsert`` writes for the buckets that the batch touches and takes all other folders over from the snapshot before.
+    A touched bucket of documents is written again. One of versions gets a further folder, a layer, with the new versions
+    alone: of a document's versions those in its newest layer with a latest one keep their mark, as a reader finds from
+    ids. A bucket of LAYERS layers is written again as one.
 
     A snapshot counts once its pointer CURRENT.<number> exists, which is made with its whole content in one step that fails
     where there is one already. So of two writers that start from one snapshot a single one gets the next number. The
@@ -72,7 +83,7 @@ class Store:
 
     def manifest(self, number: int | None = None) -> dict | None:
         """The manifest of a snapshot, by default of the current one: snapshot, batch_id, buckets, written (the folder of
-        this commit) and, by table, the folder of each bucket that has rows."""
+        this commit) and, by table, the folder of each bucket that has rows; of versions, its layers, oldest first."""
         numbers = self.numbers()
         if not numbers:
             return None
@@ -87,11 +98,23 @@ class Store:
         return self.manifest() or {"snapshot": 0, "batch_id": None, "buckets": self.buckets, "analyzer": self.analyzer, "documents": {}, "versions": {}, "index": {k: [] for k in INDEXES}}
 
     def _table(self, manifest: dict, name: str, buckets: set[int] | None = None) -> DataFrame:
+        """A table's rows. Of versions, a mark of the latest counts unless a later layer of the bucket has a latest one of
+        the same document; ids alone are gathered to find these."""
         schema = TABLES[name]
-        folders = [f"{self.path}/{f}" for b, f in sorted(manifest[name].items()) if buckets is None or int(b) in buckets]
-        if not folders:
+        layers = [layers_of(f) for b, f in sorted(manifest[name].items()) if buckets is None or int(b) in buckets]
+        if not layers:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).option("basePath", f"{self.path}/data").parquet(*folders).select(*schema.names)
+
+        def rows(k: int) -> DataFrame:
+            folders = [f"{self.path}/{found[k]}" for found in layers if k < len(found)]
+            return self.spark.read.schema(schema).option("basePath", f"{self.path}/data").parquet(*folders).select(*schema.names)
+
+        every = [rows(k).withColumn("_layer", F.lit(k)) for k in range(max(map(len, layers)))]
+        if len(every) == 1:
+            return every[0].drop("_layer")
+        renewed = reduce(DataFrame.unionByName, every[1:]).filter("is_latest").groupBy(F.col("document_id").alias("_renewed")).agg(F.max("_layer").alias("_since"))
+        met = reduce(DataFrame.unionByName, every).join(renewed, F.col("document_id") == F.col("_renewed"), "left")
+        return met.withColumn("is_latest", F.col("is_latest") & F.coalesce(F.col("_layer") >= F.col("_since"), F.lit(True))).select(*schema.names)
 
     def read(self, number: int | None = None) -> tuple[DataFrame, DataFrame]:
         """Documents and versions of a snapshot, by default of the current one."""
@@ -115,15 +138,15 @@ class Store:
         raise KeyError(f"no snapshot of batch {batch_id}")
 
     def folders(self, number: int | None = None) -> DataFrame:
-        """A row for each table and bucket of a snapshot: the folder that holds it and the snapshot that wrote it."""
+        """A row for each table and bucket of a snapshot: the folder last written for it and the snapshot that wrote it."""
         kept, out = self.numbers(), {}
         for k in kept:
             m = self.manifest(k)
             for table in TABLES:
                 for b, f in m[table].items():
-                    out.setdefault((table, int(b), f), k)
+                    out.setdefault((table, int(b), layers_of(f)[-1]), k)
         now = self.manifest(number) or self._start()
-        rows = [(t, int(b), f, out[t, int(b), f]) for t in TABLES for b, f in now[t].items()]
+        rows = [(t, int(b), layers_of(f)[-1], out[t, int(b), layers_of(f)[-1]]) for t in TABLES for b, f in now[t].items()]
         return self.spark.createDataFrame(rows, "table_name string, bucket int, folder string, since int")
 
     # --- commits
@@ -165,7 +188,7 @@ class Store:
         folder = f"{written}/index-{kind}"
         return {"folder": folder, "rows": segments.write_segment(postings, replaced, f"{self.path}/{folder}"), "first": replaced is None}
 
-    def _commit(self, base: dict, changes: dict[str, dict[str, str | None]], used: dict[str, set[str]], batch_id: int | None, written: str, index: Callable[[dict], dict]) -> bool:
+    def _commit(self, base: dict, changes: dict[str, dict[str, str | list[str] | None]], used: dict[str, set[str]], batch_id: int | None, written: str, index: Callable[[dict], dict]) -> bool:
         """Publishes ``base`` with the changed folders (None: a bucket without rows) and the index that ``index`` makes of the
         one before. ``used`` names the buckets that the changes follow from; they must be the same in every snapshot that
         came in between."""
@@ -190,14 +213,15 @@ class Store:
         changes = {}
         for name, df, key in (("documents", docs, "source_url"), ("versions", versions, "document_id")):
             changes[name] = dict.fromkeys(every) | self._write(df, written, name, key, base["buckets"])
+        changes["versions"] = {b: f and [f] for b, f in changes["versions"].items()}
         index = {k: [] for k in INDEXES}
         if base["analyzer"]:
             index = {"title": [self._segment(search.build_title_index(docs, base["analyzer"]), None, written, "title")], "content": [self._segment(search.build_content_index(versions, base["analyzer"]), None, written, "content")]}
         return self._commit(base, changes, {t: set(every) for t in TABLES}, batch_id, written, lambda _: index)
 
     def upsert(self, batch: DataFrame, as_of: Column, batch_id: int | None = None, land: bool = False) -> bool:
-        """Commits the current tables after a batch and rewrites the buckets that it touches alone: documents where the
-        batch has a url, versions where a text changed. Its rows with their outcomes are written first and tell which
+        """Commits the current tables after a batch and writes for the buckets that it touches alone: documents where the
+        batch has a url, versions where a text changed, of which the new ones become a layer. Its rows with their outcomes are written first and tell which
         these are; ``outcomes`` reads them. At most a number for each bucket reaches the driver. ``land`` writes the batch
         before it is looked at, for one that is dear to make, or differs or counts when it is made again."""
         base = self._start()
@@ -222,8 +246,11 @@ class Store:
         if land:
             self._fs.delete(self._path(landed), True)
         changed = buckets(found.filter("changed"), "document_id")
-        next_docs, next_versions = upserts.apply_outcomes(docs, self._table(base, "versions", changed), found, as_of, places("document_id", n))
+        before = {str(b): layers_of(base["versions"].get(str(b), [])) for b in changed}
+        full = {int(b) for b, layers in before.items() if len(layers) >= LAYERS}
+        next_docs, next_versions = upserts.apply_outcomes(docs, self._table(base, "versions", full) if full else None, found, as_of, places("document_id", n))
         changes = {"documents": self._write(next_docs, written, "documents", "source_url", n) if by_url else {}, "versions": self._write(next_versions, written, "versions", "document_id", n, placed=True) if changed else {}}
+        changes["versions"] = {b: [f] if int(b) in full else before[b] + [f] for b, f in changes["versions"].items()}
         used = {"documents": {str(b) for b in by_url}, "versions": {str(b) for b in by_id}}
         added = self._batch_segments(found, base, written) if base["analyzer"] else {}
         return self._commit(base, changes, used, batch_id, written, lambda index: {k: s + added.get(k, []) for k, s in index.items()})
@@ -263,7 +290,7 @@ class Store:
         """Deletes pointers but the last ``keep`` and the folders that none of those names; how many folders went. A folder
         that no pointer names yet may be a running writer's and stays."""
         numbers = self.numbers()
-        named = lambda ks: {f for k in ks for m in [self.manifest(k)] for f in [*m["documents"].values(), *m["versions"].values(), f"{m['written']}/outcomes", *(x["folder"] for s in m["index"].values() for x in s)]}
+        named = lambda ks: {f for k in ks for m in [self.manifest(k)] for f in [*m["documents"].values(), *(f for layers in m["versions"].values() for f in layers_of(layers)), f"{m['written']}/outcomes", *(x["folder"] for s in m["index"].values() for x in s)]}
         old, stay = numbers[:-keep], named(numbers[-keep:])
         gone = named(old) - stay
         for k in old:
