@@ -69,12 +69,12 @@ def extract_title(df: DataFrame, suffix: str = "CanLII", html: str = "html") ->
 
 
 def xml_to_text(df: DataFrame, profile: str = "federal") -> DataFrame:
-    """Adds content_text from a column xml."""
+    """Adds content_text from a column xml. Rows go to Python some at a time, so that memory follows a document's size and
+    not that of a batch of columns."""
 
-    @F.pandas_udf("string")
-    def text(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for part in parts:
-            yield part.map(lambda x: None if x is None else xml_text(x, profile))
+    @F.udf("string", useArrow=False)
+    def text(x: str | None) -> str | None:
+        return None if x is None else xml_text(x, profile)
 
     return df.withColumn("content_text", text("xml"))
 
