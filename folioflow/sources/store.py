@@ -186,7 +186,7 @@ class Store:
 
     def _segment(self, postings: DataFrame, replaced: DataFrame | None, written: str, kind: str) -> dict:
         folder = f"{written}/index-{kind}"
-        return {"folder": folder, "rows": segments.write_segment(postings, replaced, f"{self.path}/{folder}"), "first": replaced is None}
+        return {"folder": folder, "rows": segments.write_segment(postings, replaced, f"{self.path}/{folder}"), "first": replaced is None, "numbered": True}
 
     def _commit(self, base: dict, changes: dict[str, dict[str, str | list[str] | None]], used: dict[str, set[str]], batch_id: int | None, written: str, index: Callable[[dict], dict]) -> bool:
         """Publishes ``base`` with the changed folders (None: a bucket without rows) and the index that ``index`` makes of the
@@ -216,7 +216,7 @@ class Store:
         changes["versions"] = {b: f and [f] for b, f in changes["versions"].items()}
         index = {k: [] for k in INDEXES}
         if base["analyzer"]:
-            index = {"title": [self._segment(search.build_title_index(docs, base["analyzer"]), None, written, "title")], "content": [self._segment(search.build_content_index(versions, base["analyzer"]), None, written, "content")]}
+            index = {"title": [self._segment(search.build_title_index(docs, base["analyzer"], numbered=True), None, written, "title")], "content": [self._segment(search.build_content_index(versions, base["analyzer"], numbered=True), None, written, "content")]}
         return self._commit(base, changes, {t: set(every) for t in TABLES}, batch_id, written, lambda _: index)
 
     def upsert(self, batch: DataFrame, as_of: Column, batch_id: int | None = None, land: bool = False) -> bool:
@@ -256,10 +256,11 @@ class Store:
         return self._commit(base, changes, used, batch_id, written, lambda index: {k: s + added.get(k, []) for k, s in index.items()})
 
     def _batch_segments(self, found: DataFrame, base: dict, written: str) -> dict[str, list[dict]]:
-        """Segments for a batch's rows with their outcomes: titles of all its documents, texts of those that changed."""
+        """Segments for a batch's rows with their outcomes: titles of all its documents, texts of those that changed, each
+        from the row of its newest version."""
         last = found.filter("outcome <> 'failed' AND last_row").select(F.col("document_id").alias("id"), "title", "citation")
-        changed = found.filter("changed").groupBy("document_id").agg(F.max_by("content_text", "version_number").alias("content_text")).withColumn("is_latest", F.lit(True))
-        made = {"title": (search.build_title_index(last, base["analyzer"]), last.select(F.col("id").alias("doc"))), "content": (search.build_content_index(changed, base["analyzer"]), changed.select(F.col("document_id").alias("doc")))}
+        changed = found.filter("newest").select("document_id", "content_text", F.lit(True).alias("is_latest"))
+        made = {"title": (search.build_title_index(last, base["analyzer"], numbered=True), last.select(F.col("id").alias("doc"))), "content": (search.build_content_index(changed, base["analyzer"], numbered=True), changed.select(F.col("document_id").alias("doc")))}
         return {k: [self._segment(postings, replaced if base["index"][k] else None, written, k)] for k, (postings, replaced) in made.items()}
 
     def merge_index(self) -> bool:
@@ -274,7 +275,7 @@ class Store:
         for k, n in due.items():
             folder = f"{written}/index-{k}"
             rows = segments.merge_segments(self.spark, self._segments(base, k)[n:], f"{self.path}/{folder}")
-            merged[k] = {"folder": folder, "rows": rows, "first": base["index"][k][n]["first"]}
+            merged[k] = {"folder": folder, "rows": rows, "first": base["index"][k][n]["first"], "numbered": all(s.get("numbered") for s in base["index"][k][n:])}
 
         def index(now: dict) -> dict:
             if any(now[k][: len(base["index"][k])] != base["index"][k] for k in due):
